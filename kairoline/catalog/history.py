@@ -1 +1,145 @@
+"""Order-dependent queries: differences, splits, autocorrelation, ARIMA."""
 
+from pyspark.sql import functions as F
+
+from kairoline.catalog import query
+from kairoline.catalog.views import DAILY, GRID, daily, panel_grid, r, table
+from kairoline.functions.scalars import rounded
+from kairoline.operators import arima, autocorr, fill, rank, split
+
+DAY = 24
+_SERIES = """ff AS (SELECT user_id, t, last_value(v IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY t) AS y FROM grid)"""
+
+
+def _filled(spark, sf):
+    return fill.forward_fill(panel_grid(spark, sf), ["user_id"], "t", "v", "y").select("user_id", "t", "y")
+
+
+@query("first_diff", f"WITH {DAILY}, x AS (SELECT d, y - lag(y) OVER (ORDER BY d) AS diff FROM daily) SELECT d, {r('diff', 3)} AS diff FROM x WHERE diff IS NOT NULL")
+def first_diff(spark, sf):
+    return arima.difference(daily(spark, sf), [], "d", "y", "diff", DAY).select("d", rounded("diff", 3).alias("diff"))
+
+
+@query("inverse_diff", f"""WITH {DAILY} SELECT d, {r('y', 3)} AS y FROM daily WHERE d > (SELECT min(d) FROM daily)""")
+def inverse_diff(spark, sf):
+    y = daily(spark, sf)
+    diffs = arima.difference(y, [], "d", "y", "diff", DAY).select("d", "diff")
+    starts = y.agg(F.min_by("y", "d").alias("start"))
+    return arima.undifference(diffs, starts, [], "d", "diff", "y", DAY).select("d", rounded("y", 3).alias("y"))
+
+
+@query("time_split", """WITH o AS (SELECT o_orderkey, row_number() OVER (ORDER BY o_orderdate, o_orderkey) - 1 AS pos, count(*) OVER () AS n FROM orders),
+f AS (SELECT o.*, fold, n - (5 - fold) * (n // 6) AS start FROM o, range(5) r(fold))
+SELECT o_orderkey, pos, fold::INT AS fold, CASE WHEN pos < start THEN 'train' ELSE 'test' END AS role FROM f WHERE pos < start + n // 6""")
+def time_split(spark, sf):
+    df = table(spark, sf, "orders").select("o_orderdate", "o_orderkey")
+    return split.expanding_split(df, ["o_orderdate", "o_orderkey"], 5).select("o_orderkey", "pos", "fold", "role")
+
+
+@query("holdout_split", """WITH o AS (SELECT o_orderkey, row_number() OVER (ORDER BY o_orderdate, o_orderkey) - 1 AS pos, count(*) OVER () AS n FROM orders)
+SELECT o_orderkey, pos, CASE WHEN pos >= n - ceil(n * 0.2) THEN 'validation' ELSE 'train' END AS role FROM o""")
+def holdout_split(spark, sf):
+    df = table(spark, sf, "orders").select("o_orderdate", "o_orderkey")
+    return split.holdout(df, ["o_orderdate", "o_orderkey"], 0.2).select("o_orderkey", "pos", "role")
+
+
+@query("row_index", "SELECT event_id, row_number() OVER (ORDER BY ts, event_id) - 1 AS pos FROM events")
+def row_index(spark, sf):
+    from kairoline.operators.order import positions
+    return positions(table(spark, sf, "events").select("ts", "event_id"), ["ts", "event_id"]).select("event_id", "pos")
+
+
+@query("avg_rank", "SELECT event_id, value, rank() OVER (ORDER BY value) + (count(*) OVER (PARTITION BY value) - 1) / 2 AS \"rank\" FROM events")
+def avg_rank(spark, sf):
+    return rank.average_rank(table(spark, sf, "events").select("event_id", "value"), "value")
+
+
+_DIFF = f"""{DAILY}, df AS (SELECT d, y - lag(y) OVER (ORDER BY d) AS y FROM daily),
+z AS (SELECT row_number() OVER (ORDER BY d) AS i, y - avg(y) OVER () AS c FROM df WHERE y IS NOT NULL)"""
+
+
+def _diffed(spark, sf):
+    return arima.difference(daily(spark, sf), [], "d", "y", "diff", DAY).select("d", "diff")
+
+
+@query("acf", f"""WITH {_DIFF}, lags AS (SELECT unnest(range(501)) AS lag),
+s AS (SELECT lag, sum(a.c * b.c) AS s FROM lags JOIN z a ON true JOIN z b ON b.i = a.i - lag GROUP BY lag)
+SELECT lag::INT AS lag, {r('s / (SELECT s FROM s WHERE lag = 0)')} AS acf FROM s""")
+def acf(spark, sf):
+    return autocorr.acf(_diffed(spark, sf), ["d"], "diff", 500).select("lag", rounded("acf").alias("acf"))
+
+
+@query("pacf", f"""WITH RECURSIVE {_DIFF}, lags AS (SELECT unnest(range(101)) AS lag),
+s AS (SELECT lag, sum(a.c * b.c) AS s FROM lags JOIN z a ON true JOIN z b ON b.i = a.i - lag GROUP BY lag),
+rho AS (SELECT list(s / (SELECT s FROM s WHERE lag = 0) ORDER BY lag) AS r FROM s),
+dl(k, phi, last) AS (
+  SELECT 1, [r[2]], r[2] FROM rho
+  UNION ALL
+  SELECT k + 1, list_append(list_transform(range(1, k + 1), lambda j: phi[j] - q * phi[k + 1 - j]), q), q FROM (
+    SELECT k, phi, (r[k + 2] - list_sum(list_transform(range(1, k + 1), lambda j: phi[j] * r[k + 2 - j])))
+      / (1 - list_sum(list_transform(range(1, k + 1), lambda j: phi[j] * r[j + 1]))) AS q FROM dl, rho WHERE k < 100))
+SELECT 0 AS lag, 1.0::DOUBLE AS pacf UNION ALL SELECT k::INT, {r('last')} FROM dl""")
+def pacf(spark, sf):
+    return autocorr.pacf(_diffed(spark, sf), ["d"], "diff", 100).select("lag", rounded("pacf").alias("pacf"))
+
+
+@query("adf_stat")
+def adf_stat(spark, sf):
+    return autocorr.adf(_diffed(spark, sf), ["d"], "diff")
+
+
+_D1 = f"""{GRID}, {_SERIES}, a AS (SELECT *, y - lag(y) OVER w AS d FROM ff WINDOW w AS (PARTITION BY user_id ORDER BY t)),
+b AS (SELECT *, lag(d) OVER (PARTITION BY user_id ORDER BY t) AS d1 FROM a WHERE d IS NOT NULL)"""
+_AR = "ar AS (SELECT user_id, regr_intercept(d, d1) AS const, regr_slope(d, d1) AS phi, count(*) AS n FROM b WHERE d1 IS NOT NULL GROUP BY 1)"
+
+
+@query("ar1_fit", f"WITH {_D1}, {_AR} SELECT user_id, {r('const')} AS const, {r('phi')} AS phi, n FROM ar")
+def ar1_fit(spark, sf):
+    f = arima.fit_ar1(_filled(spark, sf), ["user_id"], "t", "y")
+    return f.select("user_id", rounded("const").alias("const"), rounded("phi").alias("phi"), "n")
+
+
+_MA = """mu AS (SELECT user_id, avg(d) AS mean, count(*) AS n FROM b GROUP BY 1),
+rr AS (SELECT b.user_id, any_value(mean) AS mean, any_value(n) AS n, sum((d - mean) * (d1 - mean)) / sum((d - mean) * (d - mean)) AS r
+  FROM b JOIN mu ON b.user_id = mu.user_id GROUP BY b.user_id),
+ma AS (SELECT user_id, mean, n, CASE WHEN abs(r) >= 0.5 THEN sign(r) WHEN r = 0 THEN 0 ELSE (1 - sqrt(1 - 4 * r * r)) / (2 * r) END AS theta FROM rr)"""
+
+
+@query("ma1_fit", f"WITH {_D1}, {_MA} SELECT user_id, {r('mean')} AS mean, {r('theta', 5)} AS theta, n FROM ma")
+def ma1_fit(spark, sf):
+    f = arima.fit_ma1(_filled(spark, sf), ["user_id"], "t", "y")
+    return f.select("user_id", rounded("mean").alias("mean"), rounded("theta", 5).alias("theta"), "n")
+
+
+@query("arima_predict", f"""WITH {_D1}, {_AR}, p AS (
+  SELECT b.user_id, b.t, b.y, coalesce(const + phi * d1, const / (1 - phi)) AS step FROM b JOIN ar ON b.user_id = ar.user_id),
+s AS (SELECT user_id, arg_min(y, t) AS y0 FROM ff GROUP BY 1)
+SELECT p.user_id, t, {r('y0 + sum(step) OVER (PARTITION BY p.user_id ORDER BY t)', 5)} AS prediction FROM p JOIN s ON p.user_id = s.user_id""")
+def arima_predict(spark, sf):
+    y = _filled(spark, sf)
+    f = arima.fit_ar1(y, ["user_id"], "t", "y")
+    p = arima.predict_ar1(y, f, ["user_id"], "t", "y")
+    return p.select("user_id", "t", rounded("prediction", 5).alias("prediction"))
+
+
+@query("arima_forecast", f"""WITH RECURSIVE {_D1}, {_AR}, e AS (SELECT user_id, arg_max(y, t) AS y, arg_max(d, t) AS d FROM b GROUP BY 1),
+f(user_id, h, y, d, const, phi) AS (
+  SELECT e.user_id, 1, y + const + phi * d, const + phi * d, const, phi FROM e JOIN ar ON e.user_id = ar.user_id
+  UNION ALL SELECT user_id, h + 1, y + const + phi * d, const + phi * d, const, phi FROM f WHERE h < 8)
+SELECT user_id, h, {r('y', 5)} AS forecast FROM f""")
+def arima_forecast(spark, sf):
+    y = _filled(spark, sf)
+    f = arima.fit_ar1(y, ["user_id"], "t", "y")
+    p = arima.forecast_ar1(y, f, ["user_id"], "t", "y", 8)
+    return p.select("user_id", "h", rounded("forecast", 5).alias("forecast"))
+
+
+@query("ma_forecast", f"""WITH {_D1}, {_MA}, e AS (SELECT user_id, max(t) AS te, arg_max(y, t) AS ye FROM b GROUP BY 1),
+w AS (SELECT b.user_id, any_value(ye) AS ye, any_value(mean) AS mean, any_value(theta) AS theta,
+  sum(power(-theta, date_diff('hour', t, te) / 3) * (d - mean)) AS res FROM b JOIN e ON b.user_id = e.user_id JOIN ma ON b.user_id = ma.user_id GROUP BY b.user_id)
+SELECT user_id, h::INT AS h, {r('ye + theta * res + h * mean', 5)} AS forecast FROM w, range(1, 9) s(h)""")
+def ma_forecast(spark, sf):
+    y = _filled(spark, sf)
+    f = arima.fit_ma1(y, ["user_id"], "t", "y")
+    p = arima.forecast_ma1(y, f, ["user_id"], "t", "y", 8)
+    return p.select("user_id", "h", rounded("forecast", 5).alias("forecast"))
