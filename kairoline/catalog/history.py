@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 from kairoline.catalog import query
 from kairoline.catalog.views import DAILY, GRID, daily, panel_grid, r, table
 from kairoline.functions.scalars import rounded
-from kairoline.operators import arima, autocorr, fill, rank, split
+from kairoline.operators import arima, autocorr, fill, profile, rank, split
+from kairoline.operators.order import positions, previous
 
 DAY = 24
 _SERIES = """ff AS (SELECT user_id, t, last_value(v IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY t) AS y FROM grid)"""
@@ -45,7 +46,6 @@ def holdout_split(spark, sf):
 
 @query("row_index", "SELECT event_id, row_number() OVER (ORDER BY ts, event_id) - 1 AS pos FROM events")
 def row_index(spark, sf):
-    from kairoline.operators.order import positions
     return positions(table(spark, sf, "events").select("ts", "event_id"), ["ts", "event_id"]).select("event_id", "pos")
 
 
@@ -143,3 +143,15 @@ def ma_forecast(spark, sf):
     f = arima.fit_ma1(y, ["user_id"], "t", "y")
     p = arima.forecast_ma1(y, f, ["user_id"], "t", "y", 8)
     return p.select("user_id", "h", rounded("forecast", 5).alias("forecast"))
+
+
+@query("actual_vs_pred", f"""WITH {DAILY}, x AS (SELECT d, y - lag(y) OVER (ORDER BY d) AS diff FROM daily),
+p AS (SELECT d, diff AS actual, lag(diff) OVER (ORDER BY d) AS predicted FROM x WHERE diff IS NOT NULL)
+SELECT d, {r('actual', 3)} AS actual, {r('predicted', 3)} AS predicted, (SELECT min(actual) < 0 AND max(actual) > 0 FROM p) AS crosses_zero
+FROM p WHERE predicted IS NOT NULL""")
+def actual_vs_pred(spark, sf):
+    """Daily changes beside the change of the day before."""
+    actual = _diffed(spark, sf)
+    predicted = previous(actual, [], "d", "diff", "before", DAY).where("before IS NOT NULL").select("d", "before")
+    both = profile.actual_vs_predicted(actual, predicted, ["d"], "diff", "before")
+    return both.select("d", rounded("actual", 3).alias("actual"), rounded("predicted", 3).alias("predicted"), "crosses_zero")

@@ -141,11 +141,11 @@ def _spend(spark, sf):
 
 @query("knn_regress", f"""WITH {_SPEND}, p AS (SELECT a.c_custkey AS id, b.spend, row_number() OVER (PARTITION BY a.c_custkey ORDER BY
   round(sqrt((a.c_acctbal - b.c_acctbal) ** 2 + (a.c_nationkey - b.c_nationkey) ** 2), 9), b.c_custkey) AS rk FROM spend a, spend b)
-SELECT id AS c_custkey, {r('avg(spend)', 4)} AS prediction FROM p WHERE rk <= 8 GROUP BY 1""")
+SELECT id AS c_custkey, {r('avg(spend)', 6)} AS prediction FROM p WHERE rk <= 8 GROUP BY 1""")
 def knn_regress(spark, sf):
     df = _spend(spark, sf)
     stage = build("KNeighborsRegressor", {"n_neighbors": 8}, ["c_acctbal", "c_nationkey"], "spend", ["c_custkey"])[0]
-    return stage.fit(df).transform(df).select("c_custkey", rounded("prediction", 4).alias("prediction"))
+    return stage.fit(df).transform(df).select("c_custkey", rounded("prediction", 6).alias("prediction"))
 
 
 @query("knn_regress_distance", f"""WITH {_SPEND}, d AS (SELECT s_suppkey AS id, c_custkey AS cid, spend,
@@ -199,12 +199,13 @@ def combined_rank(spark, sf):
 @query("feature_ranking")
 def feature_ranking(spark, sf):
     """The whole ranking: mutual information, forest importance and lasso size."""
-    df = reg(spark, sf)
+    ids = ["l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+    df = reg(spark, sf, ids)
     model = Pipeline(stages=build("RandomForest", {"n_estimators": 10, "max_depth": 5}, list(FEATURES), "label")).fit(df)
     parts = {
         "mutual_info": attribution.mutual_information(df, FEATURES, "label"),
         "forest": attribution.tree_importances(FEATURES, model.stages[-1], spark),
-        "lasso": attribution.lasso_path(df, FEATURES, "label", [*FEATURES, "label"]).select("feature", "coef"),
+        "lasso": attribution.lasso_path(df, FEATURES, "label", ids).select("feature", "coef"),
         "corr": profile.correlations(df, FEATURES, "label"),
     }
     return rank.combined_rank(parts, ranked=["mutual_info", "forest", "lasso"], top=50)

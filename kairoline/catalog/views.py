@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,11 +38,11 @@ def daily(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sum("o_totalprice").alias("y"))
 
 
-def reg(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line items as a regression table."""
+def reg(spark: SparkSession, sf_dir: str, ids: Sequence[str] = ()) -> DataFrame:
+    """Line items as a regression table, with the ``ids`` columns kept in front."""
     cyc = knn_coordinates("l_shipdate")
     return table(spark, sf_dir, "lineitem").select(
-        F.col("l_extendedprice").alias("label"), F.col("l_quantity").alias("quantity"),
+        *ids, F.col("l_extendedprice").alias("label"), F.col("l_quantity").alias("quantity"),
         F.col("l_discount").alias("discount"), F.col("l_tax").alias("tax"),
         *[cyc[f"_{n}"].alias(n) for n in ("dow_sin", "dow_cos", "month_sin", "month_cos")],
         F.year("l_shipdate").cast("double").alias("year"))
