@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from kairoline.catalog import query
-from kairoline.catalog.views import GRID, KINDS, WIDE, panel_grid, r, wide
+from kairoline.catalog.views import GRID, KINDS, WIDE, panel, panel_grid, r, wide
 from kairoline.functions import calendar
 from kairoline.functions.scalars import rounded
 from kairoline.operators import fill, impute, knn
@@ -24,7 +24,7 @@ def _select(expr, places=6):
 s AS (SELECT h, d, m, median(v) AS med FROM k GROUP BY 1, 2, 3)
 {_select('coalesce(k.v, s.med)')} FROM k LEFT JOIN s ON k.h = s.h AND k.d = s.d AND k.m = s.m""")
 def impute_group_median(spark, sf):
-    return _out(impute.impute_group_median(panel_grid(spark, sf), "t", "v", "v_imp"))
+    return _out(impute.impute_group_median(panel_grid(spark, sf), "t", "v", "v_imp", panel(spark, sf)))
 
 
 _LEVELS = """hd AS (SELECT h, d, median(v) AS med FROM k GROUP BY 1, 2), hh AS (SELECT h, median(v) AS med FROM k GROUP BY 1),
@@ -35,7 +35,7 @@ dd AS (SELECT d, median(v) AS med FROM k GROUP BY 1), gg AS (SELECT median(v) AS
 {_select('coalesce(k.v, hd.med, hh.med, dd.med, gg.med)')}
 FROM k LEFT JOIN hd ON k.h = hd.h AND k.d = hd.d LEFT JOIN hh ON k.h = hh.h LEFT JOIN dd ON k.d = dd.d CROSS JOIN gg""")
 def impute_pattern(spark, sf):
-    return _out(impute.impute_pattern(panel_grid(spark, sf), "t", "v", "v_imp"))
+    return _out(impute.impute_pattern(panel_grid(spark, sf), "t", "v", "v_imp", panel(spark, sf)))
 
 
 _NEAR = """near AS (SELECT *,
@@ -52,7 +52,7 @@ _LINED = f"""lined AS (SELECT *, coalesce(v, CASE WHEN date_diff('second', pt, n
 {_select('coalesce(x.l, hh.med, dd.med, gg.med)', 7)}
 FROM lined x LEFT JOIN hh ON x.h = hh.h LEFT JOIN dd ON x.d = dd.d CROSS JOIN gg""")
 def impute_interpolate(spark, sf):
-    return _out(impute.impute_interpolate(panel_grid(spark, sf), KEYS, "t", "v", "v_imp"), 7)
+    return _out(impute.impute_interpolate(panel_grid(spark, sf), KEYS, "t", "v", "v_imp", fit_on=panel(spark, sf)), 7)
 
 
 @query("interpolate_only", f"""WITH {GRID}, {_NEAR}, {_LINED} {_select('l', 7)} FROM lined""")

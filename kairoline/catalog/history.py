@@ -12,8 +12,12 @@ DAY = 24
 _SERIES = """ff AS (SELECT user_id, t, last_value(v IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY t) AS y FROM grid)"""
 
 
-def _filled(spark, sf):
-    return fill.forward_fill(panel_grid(spark, sf), ["user_id"], "t", "v", "y").select("user_id", "t", "y")
+USER = ["user_id"]
+
+
+def _changes(spark, sf):
+    filled = fill.forward_fill(panel_grid(spark, sf), USER, "t", "v", "y")
+    return arima.lagged_changes(filled, USER, "t", "y")
 
 
 @query("first_diff", f"WITH {DAILY}, x AS (SELECT d, y - lag(y) OVER (ORDER BY d) AS diff FROM daily) SELECT d, {r('diff', 3)} AS diff FROM x WHERE diff IS NOT NULL")
@@ -95,7 +99,7 @@ _AR = "ar AS (SELECT user_id, regr_intercept(d, d1) AS const, regr_slope(d, d1)
 
 @query("ar1_fit", f"WITH {_D1}, {_AR} SELECT user_id, {r('const')} AS const, {r('phi')} AS phi, n FROM ar")
 def ar1_fit(spark, sf):
-    f = arima.fit_ar1(_filled(spark, sf), ["user_id"], "t", "y")
+    f = arima.fit_ar1(_changes(spark, sf), USER)
     return f.select("user_id", rounded("const").alias("const"), rounded("phi").alias("phi"), "n")
 
 
@@ -107,7 +111,7 @@ ma AS (SELECT user_id, mean, n, CASE WHEN abs(r) >= 0.5 THEN sign(r) WHEN r = 0
 
 @query("ma1_fit", f"WITH {_D1}, {_MA} SELECT user_id, {r('mean')} AS mean, {r('theta', 5)} AS theta, n FROM ma")
 def ma1_fit(spark, sf):
-    f = arima.fit_ma1(_filled(spark, sf), ["user_id"], "t", "y")
+    f = arima.fit_ma1(_changes(spark, sf), USER)
     return f.select("user_id", rounded("mean").alias("mean"), rounded("theta", 5).alias("theta"), "n")
 
 
@@ -116,9 +120,9 @@ def ma1_fit(spark, sf):
 s AS (SELECT user_id, arg_min(y, t) AS y0 FROM ff GROUP BY 1)
 SELECT p.user_id, t, {r('y0 + sum(step) OVER (PARTITION BY p.user_id ORDER BY t)', 5)} AS prediction FROM p JOIN s ON p.user_id = s.user_id""")
 def arima_predict(spark, sf):
-    y = _filled(spark, sf)
-    f = arima.fit_ar1(y, ["user_id"], "t", "y")
-    p = arima.predict_ar1(y, f, ["user_id"], "t", "y")
+    c = _changes(spark, sf)
+    f = arima.fit_ar1(c, USER)
+    p = arima.predict_ar1(c, f, USER, "t", "y")
     return p.select("user_id", "t", rounded("prediction", 5).alias("prediction"))
 
 
@@ -128,9 +132,9 @@ f(user_id, h, y, d, const, phi) AS (
   UNION ALL SELECT user_id, h + 1, y + const + phi * d, const + phi * d, const, phi FROM f WHERE h < 8)
 SELECT user_id, h, {r('y', 5)} AS forecast FROM f""")
 def arima_forecast(spark, sf):
-    y = _filled(spark, sf)
-    f = arima.fit_ar1(y, ["user_id"], "t", "y")
-    p = arima.forecast_ar1(y, f, ["user_id"], "t", "y", 8)
+    c = _changes(spark, sf)
+    f = arima.fit_ar1(c, USER)
+    p = arima.forecast_ar1(c, f, USER, "t", "y", 8)
     return p.select("user_id", "h", rounded("forecast", 5).alias("forecast"))
 
 
@@ -139,9 +143,9 @@ w AS (SELECT b.user_id, any_value(ye) AS ye, any_value(mean) AS mean, any_value(
   sum(power(-theta, date_diff('hour', t, te) / 3) * (d - mean)) AS res FROM b JOIN e ON b.user_id = e.user_id JOIN ma ON b.user_id = ma.user_id GROUP BY b.user_id)
 SELECT user_id, h::INT AS h, {r('ye + theta * res + h * mean', 5)} AS forecast FROM w, range(1, 9) s(h)""")
 def ma_forecast(spark, sf):
-    y = _filled(spark, sf)
-    f = arima.fit_ma1(y, ["user_id"], "t", "y")
-    p = arima.forecast_ma1(y, f, ["user_id"], "t", "y", 8)
+    c = _changes(spark, sf)
+    f = arima.fit_ma1(c, USER)
+    p = arima.forecast_ma1(c, f, USER, "t", "y", 8)
     return p.select("user_id", "h", rounded("forecast", 5).alias("forecast"))
 
 

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from kairoline.catalog import query
 from kairoline.catalog.gaps import _LEVELS, _HDM
-from kairoline.catalog.views import GRID, KINDS, REG, WIDE, panel_grid, r, reg, table, wide
+from kairoline.catalog.views import GRID, KINDS, REG, WIDE, panel, panel_grid, r, reg, table, wide
 from kairoline.functions.scalars import rounded
 from kairoline.operators import impute, profile, scale
 
@@ -39,7 +39,7 @@ _STATS = {"missing": "count(*) - count({c})", "missing_pct": "(count(*) - count(
 
 
 def _filled(spark, sf):
-    return impute.impute_pattern(panel_grid(spark, sf), "t", "v", "v_imp")
+    return impute.impute_pattern(panel_grid(spark, sf), "t", "v", "v_imp", panel(spark, sf))
 
 
 @query("imputation_report", f"WITH {_FILLED}, b AS (" + " UNION ALL ".join(

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from kairoline.operators.grid import bucket_mean, bucket_pivot, regularise
 from kairoline.operators.impute import knn_coordinates
+from kairoline.session import spread
 
 KINDS = ("click", "error", "purchase", "signup", "view")
 
@@ -41,7 +42,7 @@ def daily(spark: SparkSession, sf_dir: str) -> DataFrame:
 def reg(spark: SparkSession, sf_dir: str, ids: Sequence[str] = ()) -> DataFrame:
     """Line items as a regression table, with the ``ids`` columns kept in front."""
     cyc = knn_coordinates("l_shipdate")
-    return table(spark, sf_dir, "lineitem").select(
+    return spread(table(spark, sf_dir, "lineitem")).select(
         *ids, F.col("l_extendedprice").alias("label"), F.col("l_quantity").alias("quantity"),
         F.col("l_discount").alias("discount"), F.col("l_tax").alias("tax"),
         *[cyc[f"_{n}"].alias(n) for n in ("dow_sin", "dow_cos", "month_sin", "month_cos")],

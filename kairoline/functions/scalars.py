@@ -38,8 +38,13 @@ def parse_time(c: Column | str) -> Column:
 
 
 def epoch_us(ts: Column | str) -> Column:
-    """Microseconds since 1970 of a zone-free timestamp, independent of the session zone."""
-    return F.timestamp_diff("MICROSECOND", F.expr(EPOCH), as_col(ts))
+    """Microseconds since 1970 of a zone-free timestamp, whatever the session zone.
+
+    Built from calendar fields: time differences would first cast to a zoned timestamp.
+    """
+    ts = as_col(ts)
+    minutes = (F.unix_date(ts.cast("date")).cast("bigint") * 24 + F.hour(ts)) * 60 + F.minute(ts)
+    return minutes * F.lit(60_000_000) + (F.extract(F.lit("SECOND"), ts) * 1_000_000).cast("bigint")
 
 
 def from_epoch_us(us: Column | str) -> Column:
@@ -76,5 +81,5 @@ def weather_code(rain: Column | str, clouds: Column | str) -> Column:
 
 def elapsed_hours(ts: Column | str, origin: str = "2018-01-01 00:00:00", base: int = 8760) -> Column:
     """Whole hours since ``origin`` (floored, also before it) plus ``base``."""
-    us = F.timestamp_diff("MICROSECOND", F.expr(f"TIMESTAMP_NTZ'{origin}'"), as_col(ts))
+    us = epoch_us(ts) - epoch_us(F.expr(f"TIMESTAMP_NTZ'{origin}'"))
     return F.floor(us / F.lit(HOUR_US)).cast("bigint") + F.lit(base)

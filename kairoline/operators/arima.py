@@ -11,7 +11,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from kairoline.functions.scalars import HOUR_US, epoch_us
 from kairoline.operators.order import previous, running_sum
+from kairoline.session import settle
 
 
 def difference(df: DataFrame, series: Sequence[str], ts: str, value: str, out: str = "d",
@@ -30,20 +32,25 @@ def undifference(df: DataFrame, starts: DataFrame, series: Sequence[str], ts: st
     return joined.select(*df.columns, (F.col("start") + F.col("_sum")).alias(out))
 
 
-def _diffs(df: DataFrame, series, ts, value, hours, order: int) -> DataFrame:
+def lagged_changes(df: DataFrame, series: Sequence[str], ts: str, value: str, hours: float = 3,
+                   difference_order: int = 1) -> DataFrame:
+    """Change ``d`` and preceding change ``d1`` (null in the first row) beside the value.
+
+    Fits, predictions and forecasts all start here, so the changes are written once.
+    """
     base = df.select(*series, ts, value)
-    if order == 0:
-        return base.withColumn("d", F.col(value))
-    if order == 1:
-        return difference(base, series, ts, value, "d", hours)
-    raise ValueError("difference order must be 0 or 1")
-
-
-def fit_ar1(df: DataFrame, series: Sequence[str], ts: str, value: str, hours: float = 3,
-            difference_order: int = 1) -> DataFrame:
-    """``const``, ``phi``, ``n`` per series; phi is null where the lagged difference never varies."""
-    lagged = previous(_diffs(df, series, ts, value, hours, difference_order), series, ts, "d", "d1", hours)
-    return lagged.where(F.col("d1").isNotNull()).groupBy(*series).agg(
+    if difference_order == 0:
+        changes = base.withColumn("d", F.col(value))
+    elif difference_order == 1:
+        changes = difference(base, series, ts, value, "d", hours)
+    else:
+        raise ValueError("difference order must be 0 or 1")
+    return previous(settle(changes), series, ts, "d", "d1", hours)
+
+
+def fit_ar1(changes: DataFrame, series: Sequence[str]) -> DataFrame:
+    """``const``, ``phi``, ``n`` per series; phi is null where the lagged change never varies."""
+    return changes.where(F.col("d1").isNotNull()).groupBy(*series).agg(
         F.regr_intercept("d", "d1").alias("const"), F.regr_slope("d", "d1").alias("phi"), F.count("*").alias("n"))
 
 
@@ -55,11 +62,9 @@ def ma_theta(r: Column) -> Column:
     )
 
 
-def fit_ma1(df: DataFrame, series: Sequence[str], ts: str, value: str, hours: float = 3,
-            difference_order: int = 1) -> DataFrame:
-    """``mean``, ``theta``, ``n`` per series from the lag-1 autocorrelation of the differences."""
-    lagged = previous(_diffs(df, series, ts, value, hours, difference_order), series, ts, "d", "d1", hours)
-    sums = lagged.groupBy(*series).agg(
+def fit_ma1(changes: DataFrame, series: Sequence[str]) -> DataFrame:
+    """``mean``, ``theta``, ``n`` per series from the lag-1 autocorrelation of the changes."""
+    sums = changes.groupBy(*series).agg(
         F.count("d").alias("n"), F.avg("d").alias("mean"), F.sum(F.col("d") * F.col("d")).alias("_dd"),
         F.sum(F.col("d") * F.col("d1")).alias("_d01"), F.sum(F.when(F.col("d1").isNotNull(), F.col("d"))).alias("_d0"),
         F.sum("d1").alias("_d1"), F.count("d1").alias("_m"))
@@ -70,59 +75,58 @@ def fit_ma1(df: DataFrame, series: Sequence[str], ts: str, value: str, hours: fl
         *series, "mean", ma_theta(F.col("_r")).alias("theta"), "n")
 
 
-def predict_ar1(df: DataFrame, fitted: DataFrame, series: Sequence[str], ts: str, value: str,
+def _with_fit(df: DataFrame, fitted: DataFrame, series: Sequence[str]) -> DataFrame:
+    return df.join(fitted, list(series)) if series else df.join(F.broadcast(fitted), F.lit(True))
+
+
+def predict_ar1(changes: DataFrame, fitted: DataFrame, series: Sequence[str], ts: str, value: str,
                 out: str = "prediction", hours: float = 3) -> DataFrame:
-    """In-sample one-step differences added up from the first value of each series.
+    """In-sample one-step changes added up from the first value of each series.
 
-    The first difference has no predecessor and is predicted by the long-run mean.
+    The first change has no predecessor and is predicted by the long-run mean.
     """
     on = list(series)
-    base = df.select(*on, ts, value)
-    lagged = previous(difference(base, on, ts, value, "d", hours), on, ts, "d", "d1", hours)
-    joined = lagged.join(fitted.select(*on, "const", "phi"), on) if on else lagged.join(
-        F.broadcast(fitted.select("const", "phi")), F.lit(True))
+    joined = _with_fit(changes, fitted.select(*on, "const", "phi"), on)
     step = F.coalesce(F.col("const") + F.col("phi") * F.col("d1"), F.col("const") / (1 - F.col("phi")))
-    starts = base.groupBy(*on).agg(F.min_by(value, ts).alias("start"))
+    starts = changes.groupBy(*on).agg(F.min_by(F.col(value) - F.col("d"), ts).alias("start"))
     stepped = joined.select(*on, ts, value, step.alias("_step"))
     return undifference(stepped, starts, on, ts, "_step", out, hours).select(*on, ts, value, out)
 
 
-def forecast_ar1(df: DataFrame, fitted: DataFrame, series: Sequence[str], ts: str, value: str,
-                 steps: int, hours: float = 3) -> DataFrame:
-    """``h`` = 1..steps ahead of each series: the AR recursion on the last difference, added up
-    from the last value."""
+def _ahead(steps: int):
+    return F.explode(F.sequence(F.lit(1), F.lit(steps))).alias("h")
+
+
+def forecast_ar1(changes: DataFrame, fitted: DataFrame, series: Sequence[str], ts: str, value: str,
+                 steps: int) -> DataFrame:
+    """``h`` = 1..steps ahead of each series: the AR recursion on the last change, added up from
+    the last value."""
     on = list(series)
-    diffs = difference(df.select(*on, ts, value), on, ts, value, "d", hours)
-    last = diffs.groupBy(*on).agg(F.max_by(value, ts).alias("_y"), F.max_by("d", ts).alias("_d"))
-    joined = last.join(fitted.select(*on, "const", "phi"), on) if on else last.join(
-        F.broadcast(fitted.select("const", "phi")), F.lit(True))
+    last = changes.groupBy(*on).agg(F.max_by(value, ts).alias("_y"), F.max_by("d", ts).alias("_d"))
+    joined = _with_fit(last, fitted.select(*on, "const", "phi"), on)
     start = F.struct(F.col("_y").alias("y"), F.col("_d").alias("d"))
 
-    def ahead(acc, _):
+    def step(acc, _):
         d = F.col("const") + F.col("phi") * acc["d"]
         return F.struct((acc["y"] + d).alias("y"), d.alias("d"))
 
-    h = joined.select("*", F.explode(F.sequence(F.lit(1), F.lit(steps))).alias("h"))
-    path = F.aggregate(F.sequence(F.lit(1), F.col("h")), start, ahead, lambda acc: acc["y"])
-    return h.select(*on, "h", path.alias("forecast"))
+    path = F.aggregate(F.sequence(F.lit(1), F.col("h")), start, step, lambda acc: acc["y"])
+    return joined.select("*", _ahead(steps)).select(*on, "h", path.alias("forecast"))
 
 
-def forecast_ma1(df: DataFrame, fitted: DataFrame, series: Sequence[str], ts: str, value: str,
+def forecast_ma1(changes: DataFrame, fitted: DataFrame, series: Sequence[str], ts: str, value: str,
                  steps: int, hours: float = 3) -> DataFrame:
-    """MA(1) forecasts: the last residual acts one step ahead, the mean difference afterwards.
+    """MA(1) forecasts: the last residual acts one step ahead, the mean change afterwards.
 
     The residual recursion e(t) = d(t) - mean - theta e(t-1) is unrolled per series as a
     weighted sum whose weights fall geometrically in the distance from the end.
     """
     on = list(series)
-    diffs = difference(df.select(*on, ts, value), on, ts, value, "d", hours)
-    ends = diffs.groupBy(*on).agg(F.max(ts).alias("_end"), F.max_by(value, ts).alias("_y"))
-    joined = diffs.join(ends, on) if on else diffs.join(F.broadcast(ends), F.lit(True))
-    joined = joined.join(fitted, on) if on else joined.join(F.broadcast(fitted), F.lit(True))
-    age = F.timestamp_diff("SECOND", F.col(ts), F.col("_end")) / F.lit(hours * 3600)
-    weight = F.pow(-F.col("theta"), F.round(age))
+    ends = changes.groupBy(*on).agg(F.max(ts).alias("_end"), F.max_by(value, ts).alias("_y"))
+    joined = _with_fit(_with_fit(changes, ends, on), fitted.select(*on, "mean", "theta"), on)
+    age = F.round((epoch_us("_end") - epoch_us(ts)) / F.lit(hours * HOUR_US))
     resid = joined.groupBy(*on).agg(
-        F.sum(weight * (F.col("d") - F.col("mean"))).alias("_e"), F.first("_y").alias("_y"),
+        F.sum(F.pow(-F.col("theta"), age) * (F.col("d") - F.col("mean"))).alias("_e"), F.first("_y").alias("_y"),
         F.first("mean").alias("mean"), F.first("theta").alias("theta"))
-    h = resid.select("*", F.explode(F.sequence(F.lit(1), F.lit(steps))).alias("h"))
-    return h.select(*on, "h", (F.col("_y") + F.col("theta") * F.col("_e") + F.col("h") * F.col("mean")).alias("forecast"))
+    path = F.col("_y") + F.col("theta") * F.col("_e") + F.col("h") * F.col("mean")
+    return resid.select("*", _ahead(steps)).select(*on, "h", path.alias("forecast"))

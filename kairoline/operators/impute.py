@@ -23,10 +23,15 @@ def _keyed(df: DataFrame, ts: str, value: str, keys: Sequence[str]) -> DataFrame
     return df.select(*[parts[k].alias(f"_{k}") for k in keys], F.col(value).alias("_value"))
 
 
+def _held(state: DataFrame) -> DataFrame:
+    """Fitted medians as a local table: at most 24 x 7 x 12 calendar cells per level."""
+    return state.sparkSession.createDataFrame(state.collect(), state.schema)
+
+
 def seasonal_medians(df: DataFrame, ts: str, value: str, keys: Sequence[str] = ALL_KEYS,
                      limit: int = IN_MEMORY_ROWS) -> DataFrame:
     """Median of ``value`` per calendar cell: columns ``_hour``, ``_dow``, ... and ``_median``."""
-    return medians(_keyed(df, ts, value, keys), [f"_{k}" for k in keys], "_value", "_median", limit)
+    return _held(medians(_keyed(df, ts, value, keys), [f"_{k}" for k in keys], "_value", "_median", limit))
 
 
 def level_medians(df: DataFrame, ts: str, value: str, levels: Sequence[Sequence[str]],
@@ -36,14 +41,16 @@ def level_medians(df: DataFrame, ts: str, value: str, levels: Sequence[Sequence[
     Every row is expanded once per level, as ``GROUPING SETS`` does, so the input is read once.
     """
     keys = sorted({k for level in levels for k in level})
-    rows = _keyed(df, ts, value, keys)
+    rows = _keyed(df, ts, value, keys).where(F.col("_value").isNotNull())
+    n = rows.count()  # no group is larger than the table
     expanded = rows.select("_value", F.explode(F.array(*[
         F.struct(F.lit(i).alias("_level"),
                  *[(F.col(f"_{k}") if k in level else F.lit(None).cast("int")).alias(f"_{k}")
                    for k in keys])
         for i, level in enumerate(levels)
     ])).alias("_cell")).select("_value", "_cell.*")
-    return medians(expanded, ["_level", *[f"_{k}" for k in keys]], "_value", "_median", limit)
+    return _held(medians(expanded, ["_level", *[f"_{k}" for k in keys]], "_value", "_median", limit,
+                         n if n <= limit else None))
 
 
 def fill_from_medians(df: DataFrame, ts: str, value: str, out: str, state: DataFrame,

@@ -27,35 +27,40 @@ _PAIRS_AT_ONCE = 2_000_000
 def _top_k(x: np.ndarray, y: np.ndarray, k: int, total: int):
     """Indices and distances of the k nearest rows of ``y`` for each row of ``x``.
 
-    ``y`` is in tie order. A matrix product screens candidates with a safe margin; those are then
-    measured directly, so cancellation in the product does not show in the result.
+    ``y`` is in tie order. Two matrix products screen candidates with a safe margin; those are
+    then measured directly, so cancellation in the products does not show in the result.
     """
     mx, my = ~np.isnan(x), ~np.isnan(y)
     x0, y0 = np.where(mx, x, 0.0), np.where(my, y, 0.0)
     fx, fy = mx.astype(float), my.astype(float)
-    y2 = (y0 * y0).T
+    left = np.hstack([x0 * x0, fx, -2.0 * x0])
+    right = np.ascontiguousarray(np.hstack([fy, y0 * y0, y0]).T)
+    fy = np.ascontiguousarray(fy.T)
+    norm_x, norm_y = (x0 * x0).sum(1), (y0 * y0).sum(1).max(initial=0.0)
+    groups = max(k, min(len(y), 64 * k)) if len(y) > k else 0
+    cuts = np.linspace(0, len(y), groups + 1).astype(int)[:-1] if groups else None
     rows, cols, dist = [], [], []
     step = max(1, _PAIRS_AT_ONCE // max(1, len(y)))
     for a in range(0, len(x), step):
         b = slice(a, a + step)
-        present = fx[b] @ fy.T
-        left, right = (x0[b] ** 2) @ fy.T, fx[b] @ y2
-        square = left + right - 2 * (x0[b] @ y0.T)
+        present = fx[b] @ fy
+        square = left[b] @ right
         with np.errstate(divide="ignore", invalid="ignore"):
-            square = np.where(present > 0, total / present * square, np.inf)
-            slack = np.where(present > 0, total / present * (left + right) * 1e-12 + 1e-9, 0.0)
-        if len(y) > k:
-            upper = np.partition(square + slack, k - 1, axis=1)[:, k - 1 : k]
-        else:
-            upper = np.full((len(square), 1), np.inf)
-        i, j = np.nonzero((square - slack <= upper) & np.isfinite(square))
+            square *= np.divide(total, present, out=present)
+        np.copyto(square, np.inf, where=~np.isfinite(square))
+        upper = np.full(len(square), np.finfo(float).max)
+        if groups:
+            # k groups have a member at most this far, hence at least k rows do.
+            nearest_in_group = np.minimum.reduceat(square, cuts, axis=1)
+            kth = np.partition(nearest_in_group, k - 1, axis=1)[:, k - 1]
+            upper = np.minimum(upper, kth + 2e-12 * total * (norm_x[b] + norm_y) + 1e-8)
+        i, j = np.nonzero(square <= upper[:, None])
         both = mx[b][i] & my[j]
         exact = np.where(both, x0[b][i] - y0[j], 0.0)
         d = np.round(np.sqrt(total / both.sum(1) * (exact * exact).sum(1)), PLACES)
         order = np.lexsort((j, d, i))
         i, j, d = i[order], j[order], d[order]
-        starts = np.searchsorted(i, np.arange(len(square)))
-        rank = np.arange(len(i)) - starts[i]
+        rank = np.arange(len(i)) - np.searchsorted(i, np.arange(len(square)))[i]
         keep = rank < k
         rows.append(i[keep] + a)
         cols.append(j[keep])

@@ -22,22 +22,28 @@ STRETCH = "_stretch"
 def with_stretch(df: DataFrame, series: Sequence[str], ts: str, hours: float,
                  steps: int = CHUNK_STEPS) -> DataFrame:
     """Tag rows with their time stretch and co-locate each (series, stretch)."""
-    width = int(hours * HOUR_US * steps)
-    return df.withColumn(STRETCH, F.floor(epoch_us(ts) / F.lit(width)).cast("bigint")).repartition(
-        *series, STRETCH
-    )
+    stretch = F.floor(epoch_us(ts) / F.lit(int(hours * HOUR_US * steps))).cast("bigint")
+    return df.withColumn(STRETCH, F.coalesce(stretch, F.lit(0))).repartition(*series, STRETCH)
+
+
+# A scan has two branches: the rows, and one summary row per stretch. Both start from the same
+# shuffle. Spark runs it once if both ask for the same columns and the same rows, so summaries are
+# taken from whole rows (``_row``), the stretch is never null, and the branches meet in an inner
+# join, which puts the same not-null condition on the series ids of either side. Rows without a
+# series id belong to no series.
+# Callers should pass the columns they need and no more.
 
 
-def _carry(summary: DataFrame, series: Sequence[str], columns: dict[str, Column]) -> DataFrame:
-    """Windows over the stretch summaries (one row per ``CHUNK_STEPS`` readings)."""
-    return summary.select(*series, STRETCH, *[c.alias(n) for n, c in columns.items()])
+def _row(df: DataFrame) -> Column:
+    return F.struct(*[F.col(f"`{c}`") for c in df.columns])
 
 
 def _windows(series: Sequence[str]):
-    over_stretches = Window.partitionBy(*series).orderBy(STRETCH)
-    before = over_stretches.rowsBetween(Window.unboundedPreceding, -1)
-    after = over_stretches.rowsBetween(1, Window.unboundedFollowing)
-    return over_stretches, before, after
+    """Over the summaries of a series: one row per ``CHUNK_STEPS`` readings."""
+    whole = Window.partitionBy(*series).orderBy(STRETCH)
+    before = whole.rowsBetween(Window.unboundedPreceding, -1)
+    after = whole.rowsBetween(1, Window.unboundedFollowing)
+    return whole, before, after
 
 
 def neighbours(df: DataFrame, series: Sequence[str], ts: str, value: str, hours: float = 3,
@@ -46,23 +52,24 @@ def neighbours(df: DataFrame, series: Sequence[str], ts: str, value: str, hours:
     (``next_t, next_v``) every row, looking across stretches without a reading."""
     tagged = with_stretch(df, series, ts, hours, steps)
     has = F.when(F.col(value).isNotNull(), F.col(ts))
-    obs = F.struct(F.col(ts).alias("t"), F.col(value).alias("v"))
     summary = tagged.groupBy(*series, STRETCH).agg(
-        F.min_by(obs, has).alias("_first"), F.max_by(obs, has).alias("_last")
+        F.min_by(_row(df), has).alias("_first"), F.max_by(_row(df), has).alias("_last")
     )
     _, before, after = _windows(series)
-    carry = _carry(summary, series, {
-        "_prev": F.last("_last", ignorenulls=True).over(before),
-        "_next": F.first("_first", ignorenulls=True).over(after),
-    })
+    carry = summary.select(
+        *series, STRETCH,
+        F.last("_last", ignorenulls=True).over(before).alias("_prev"),
+        F.first("_first", ignorenulls=True).over(after).alias("_next"),
+    )
     inside = Window.partitionBy(*series, STRETCH).orderBy(ts)
     back = inside.rowsBetween(Window.unboundedPreceding, 0)
     ahead = inside.rowsBetween(0, Window.unboundedFollowing)
-    seen = F.when(F.col(value).isNotNull(), obs)
+    carried = lambda side: F.struct(F.col(f"{side}.{ts}").alias("t"), F.col(f"{side}.{value}").alias("v"))
+    seen = F.when(F.col(value).isNotNull(), F.struct(F.col(ts).alias("t"), F.col(value).alias("v")))
     return (
-        tagged.join(carry, [*series, STRETCH], "left")
-        .withColumn("_p", F.coalesce(F.last(seen, ignorenulls=True).over(back), F.col("_prev")))
-        .withColumn("_n", F.coalesce(F.first(seen, ignorenulls=True).over(ahead), F.col("_next")))
+        tagged.join(carry, [*series, STRETCH])
+        .withColumn("_p", F.coalesce(F.last(seen, ignorenulls=True).over(back), carried("_prev")))
+        .withColumn("_n", F.coalesce(F.first(seen, ignorenulls=True).over(ahead), carried("_next")))
         .select(*df.columns,
                 F.col("_p.t").alias("prev_t"), F.col("_p.v").alias("prev_v"),
                 F.col("_n.t").alias("next_t"), F.col("_n.v").alias("next_v"))
@@ -73,25 +80,27 @@ def previous(df: DataFrame, series: Sequence[str], ts: str, value: str, out: str
              hours: float = 3, steps: int = CHUNK_STEPS) -> DataFrame:
     """Value of the preceding row of the series (``lag``), also across stretch cuts."""
     tagged = with_stretch(df, series, ts, hours, steps)
-    summary = tagged.groupBy(*series, STRETCH).agg(F.max_by(value, ts).alias("_lastrow"))
-    over_stretches, _, _ = _windows(series)
-    carry = _carry(summary, series, {"_carried": F.lag("_lastrow").over(over_stretches)})
+    summary = tagged.groupBy(*series, STRETCH).agg(F.max_by(_row(df), ts).alias("_end"))
+    whole, _, _ = _windows(series)
+    carry = summary.select(*series, STRETCH, F.lag("_end").over(whole).alias("_carried"))
     inside = Window.partitionBy(*series, STRETCH).orderBy(ts)
-    lagged = F.when(F.row_number().over(inside) == 1, F.col("_carried")).otherwise(
+    lagged = F.when(F.row_number().over(inside) == 1, F.col(f"_carried.{value}")).otherwise(
         F.lag(value).over(inside)
     )
-    return tagged.join(carry, [*series, STRETCH], "left").select(*df.columns, lagged.alias(out))
+    return tagged.join(carry, [*series, STRETCH]).select(*df.columns, lagged.alias(out))
 
 
 def running_sum(df: DataFrame, series: Sequence[str], ts: str, value: str, out: str = "total",
                 hours: float = 3, steps: int = CHUNK_STEPS) -> DataFrame:
     """Cumulative sum in time order; nulls count as zero."""
     tagged = with_stretch(df, series, ts, hours, steps)
-    summary = tagged.groupBy(*series, STRETCH).agg(F.sum(value).alias("_sum"))
+    summary = tagged.groupBy(*series, STRETCH).agg(
+        F.when(F.max_by(_row(df), ts).isNotNull(), F.sum(value)).alias("_sum")
+    )
     _, before, _ = _windows(series)
-    carry = _carry(summary, series, {"_base": F.coalesce(F.sum("_sum").over(before), F.lit(0.0))})
+    carry = summary.select(*series, STRETCH, F.coalesce(F.sum("_sum").over(before), F.lit(0.0)).alias("_base"))
     inside = Window.partitionBy(*series, STRETCH).orderBy(ts).rowsBetween(Window.unboundedPreceding, 0)
-    return tagged.join(carry, [*series, STRETCH], "left").select(
+    return tagged.join(carry, [*series, STRETCH]).select(
         *df.columns,
         (F.col("_base") + F.coalesce(F.sum(value).over(inside), F.lit(0.0))).alias(out),
     )

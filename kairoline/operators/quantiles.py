@@ -20,19 +20,21 @@ def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
 
 
 def quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: dict[str, float],
-              limit: int = IN_MEMORY_ROWS) -> DataFrame:
+              limit: int = IN_MEMORY_ROWS, known_rows: int | None = None) -> DataFrame:
     """Linear-interpolated quantiles per group; ``probs`` maps output names to probabilities.
 
     Nulls and NaN are skipped. Small groups use the built-in aggregate; when a group is larger
     than ``limit`` rows, the values are range-sorted and only the partitions holding the wanted
-    ranks are looked at again.
+    ranks are looked at again. ``known_rows`` is an upper bound of the group size, if the caller
+    has one; otherwise the groups are counted.
     """
     clean = df.select(*keys, F.col(value).cast("double").alias("_v")).where(
         F.col("_v").isNotNull() & ~F.isnan("_v")
     )
-    if largest_group(clean, keys) <= limit:
-        return clean.groupBy(*keys).agg(
-            *[F.percentile("_v", F.lit(p)).alias(n) for n, p in probs.items()]
+    if (known_rows is not None and known_rows <= limit) or largest_group(clean, keys) <= limit:
+        wanted = F.percentile("_v", F.array(*[F.lit(float(p)) for p in probs.values()])).alias("_q")
+        return clean.groupBy(*keys).agg(wanted).select(
+            *keys, *[F.col("_q")[i].alias(n) for i, n in enumerate(probs)]
         )
     return _by_sorting(clean, list(keys), probs)
 
@@ -88,5 +90,5 @@ def _by_sorting(clean: DataFrame, keys: list[str], probs: dict[str, float]) -> D
 
 
 def medians(df: DataFrame, keys: Sequence[str], value: str, out: str = "median",
-            limit: int = IN_MEMORY_ROWS) -> DataFrame:
-    return quantiles(df, keys, value, {out: 0.5}, limit)
+            limit: int = IN_MEMORY_ROWS, known_rows: int | None = None) -> DataFrame:
+    return quantiles(df, keys, value, {out: 0.5}, limit, known_rows)
