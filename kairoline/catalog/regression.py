@@ -8,6 +8,7 @@ from kairoline.catalog.views import REG, r, reg, table
 from kairoline.functions.scalars import rounded
 from kairoline.operators import attribution, gram, profile, rank
 from kairoline.plans.regressors import build, neighbour_means
+from kairoline.session import spread
 
 FEATURES = ("quantity", "discount", "tax", "dow_sin", "dow_cos", "month_sin", "month_cos", "year")
 TWO = ("quantity", "discount")
@@ -115,7 +116,7 @@ def reg_tree(spark, sf):
 def _tree(kind, params):
     def run(spark, sf):
         df = reg(spark, sf)
-        model = Pipeline(stages=build(kind, params, list(FEATURES), "label")).fit(df)
+        model = Pipeline(stages=build(kind, params, list(FEATURES), "label")).fit(spread(df))
         return model.transform(df).agg(profile.rmse("label", "prediction").alias("rmse")).select(
             F.lit(kind).alias("model_type"), "rmse")
     return run
@@ -201,7 +202,7 @@ def feature_ranking(spark, sf):
     """The whole ranking: mutual information, forest importance and lasso size."""
     ids = ["l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
     df = reg(spark, sf, ids)
-    model = Pipeline(stages=build("RandomForest", {"n_estimators": 10, "max_depth": 5}, list(FEATURES), "label")).fit(df)
+    model = Pipeline(stages=build("RandomForest", {"n_estimators": 10, "max_depth": 5}, list(FEATURES), "label")).fit(spread(df))
     parts = {
         "mutual_info": attribution.mutual_information(df, FEATURES, "label"),
         "forest": attribution.tree_importances(FEATURES, model.stages[-1], spark),
@@ -222,7 +223,7 @@ def lasso_select(spark, sf):
 
 @query("tree_importance")
 def tree_importance(spark, sf):
-    model = Pipeline(stages=build("RandomForest", {"n_estimators": 10, "max_depth": 5}, list(FEATURES), "label")).fit(reg(spark, sf))
+    model = Pipeline(stages=build("RandomForest", {"n_estimators": 10, "max_depth": 5}, list(FEATURES), "label")).fit(spread(reg(spark, sf)))
     return attribution.tree_importances(FEATURES, model.stages[-1], spark, 5)
 
 

@@ -30,7 +30,9 @@ def mutual_information(df: DataFrame, features: Sequence[str], label: str, bins:
     """
     names = [*features, label]
     probs = {f"q{i}": i / bins for i in range(1, bins)}
-    cut_rows = quantiles(profile.melt(df, names), ["column"], "value", probs, limit).collect()  # one row per column
+    n = df.count()
+    cut_rows = quantiles(profile.melt(df, names), ["column"], "value", probs, limit,
+                         n if n <= limit else None).collect()  # one row per column
     cuts = {r["column"]: sorted({r[p] for p in probs}) for r in cut_rows}
     binned = df.select(*[_bin(c, cuts.get(c, [])).alias(c) for c in names], *[F.col(c).isNotNull().alias(f"_ok_{c}") for c in names])
     cells = F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f).alias("bx"), F.col(f"_ok_{f}").alias("ok")) for f in features])

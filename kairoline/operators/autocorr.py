@@ -32,7 +32,7 @@ def lag_products(placed: DataFrame, value: str, lags: int, chunk: int = CHUNK) -
     A group holds at most ``chunk + lags`` rows.
     """
 
-    def run(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         start = key[0] * chunk
         pdf = pdf.sort_values("pos")
         v, own = pdf["v"].to_numpy(), int((pdf["pos"] >= start).sum())
@@ -117,7 +117,7 @@ def _lag_design(placed: DataFrame, value: str, max_lag: int) -> DataFrame:
     chunk, need = CHUNK, max_lag + 1
     names = ["level", "d0", *[f"d{k}" for k in range(1, max_lag + 1)]]
 
-    def run(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         start = key[0] * chunk
         pdf = pdf.sort_values("pos").reset_index(drop=True)
         diff = pdf["v"].diff()

@@ -7,8 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kairoline.functions.scalars import HOUR_US, epoch_us
-from kairoline.operators.order import neighbours
+from kairoline.functions.scalars import HOUR_US
+from kairoline.operators.order import US, neighbours
 
 
 def forward_fill(df: DataFrame, series: Sequence[str], ts: str, value: str, out: str,
@@ -27,17 +27,15 @@ def zero_fill(df: DataFrame, value: str, out: str) -> DataFrame:
     return df.withColumn(out, F.coalesce(F.col(value), F.lit(0.0)))
 
 
-def gap_hours(ts: str, hours: float) -> Column:
+def gap_hours(hours: float) -> Column:
     """Length of the run of missing steps around a row, in hours (needs ``neighbours``)."""
-    return (epoch_us("next_t") - epoch_us("prev_t")) / F.lit(HOUR_US) - F.lit(float(hours))
+    return (F.col("next_us") - F.col("prev_us")) / F.lit(HOUR_US) - F.lit(float(hours))
 
 
-def _between(ts: str, value: str) -> Column:
-    span = epoch_us("next_t") - epoch_us("prev_t")
-    share = (epoch_us(ts) - epoch_us("prev_t")) / span
-    return F.coalesce(
-        F.col(value), F.col("prev_v") + (F.col("next_v") - F.col("prev_v")) * share
-    )
+def _between(value: str) -> Column:
+    share = (F.col(US) - F.col("prev_us")) / (F.col("next_us") - F.col("prev_us"))
+    line = F.col("prev_v") + (F.col("next_v") - F.col("prev_v")) * share
+    return F.coalesce(F.col(value), line)
 
 
 def linear_fill(df: DataFrame, series: Sequence[str], ts: str, value: str, out: str,
@@ -47,7 +45,7 @@ def linear_fill(df: DataFrame, series: Sequence[str], ts: str, value: str, out:
     Leading gaps stay null and trailing gaps keep the last reading, as a forward linear fill does.
     """
     near = neighbours(df, series, ts, value, hours, **kw)
-    line = F.coalesce(_between(ts, value), F.col("prev_v"))
+    line = F.coalesce(_between(value), F.col("prev_v"))
     return near.select(*df.columns, line.alias(out))
 
 
@@ -55,8 +53,8 @@ def interpolate(df: DataFrame, series: Sequence[str], ts: str, value: str, out:
                 max_gap: float = 24, hours: float = 3, **kw) -> DataFrame:
     """Time-weighted line inside gaps of at most ``max_gap`` hours; edges are not extended."""
     near = neighbours(df, series, ts, value, hours, **kw)
-    inside = F.col(value).isNotNull() | (gap_hours(ts, hours) <= F.lit(float(max_gap)))
-    return near.select(*df.columns, F.when(inside, _between(ts, value)).alias(out))
+    inside = F.col(value).isNotNull() | (gap_hours(hours) <= F.lit(float(max_gap)))
+    return near.select(*df.columns, F.when(inside, _between(value)).alias(out))
 
 
 def gap_islands(df: DataFrame, series: Sequence[str], ts: str, value: str, hours: float = 3,
@@ -64,8 +62,8 @@ def gap_islands(df: DataFrame, series: Sequence[str], ts: str, value: str, hours
     """One row per run of missing steps that has readings on both sides."""
     near = neighbours(df, series, ts, value, hours, **kw)
     return (
-        near.where(F.col(value).isNull() & F.col("prev_t").isNotNull() & F.col("next_t").isNotNull())
-        .groupBy(*series, "prev_t", "next_t")
+        near.where(F.col(value).isNull() & F.col("prev_us").isNotNull() & F.col("next_us").isNotNull())
+        .groupBy(*series, "prev_us", "next_us")
         .agg(F.min(ts).alias("gap_start"), F.max(ts).alias("gap_end"), F.count("*").alias("gap_steps"))
         .select(*series, "gap_start", "gap_end", "gap_steps")
     )

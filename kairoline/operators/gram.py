@@ -53,16 +53,18 @@ class Gram:
 def accumulate_by(df: DataFrame, features: Sequence[str], label: str, segment: str | None = None) -> dict[int, Gram]:
     """Sums per segment. Rows with a null in any used column are left out.
 
-    Columns are shifted by their means first, so no digits are lost to large offsets.
+    Columns are shifted by the values of some row first, so no digits are lost to large offsets;
+    the shift changes the arithmetic only, not the sums about the mean.
     """
     cols = [*features, label]
     used = df.select(
         (F.col(segment) if segment else F.lit(0)).cast("int").alias("_segment"),
         *[F.col(c).cast("double").alias(f"_c{i}") for i, c in enumerate(cols)],
     ).na.drop()
-    names = [f"_c{i}" for i in range(len(cols))]
-    row = used.agg(*[F.avg(c) for c in names]).first()
-    shift = np.array([v if v is not None else 0.0 for v in row], float)
+    row = used.first()
+    if row is None:
+        return {}
+    shift = np.array(row[1:], float)
     width = len(cols) + 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

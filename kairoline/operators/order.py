@@ -16,14 +16,15 @@ from kairoline.functions.scalars import HOUR_US, epoch_us
 from kairoline.operators.grid import CHUNK_STEPS
 from kairoline.session import settle
 
-STRETCH = "_stretch"
+STRETCH, US = "_stretch", "_us"
 
 
 def with_stretch(df: DataFrame, series: Sequence[str], ts: str, hours: float,
                  steps: int = CHUNK_STEPS) -> DataFrame:
-    """Tag rows with their time stretch and co-locate each (series, stretch)."""
-    stretch = F.floor(epoch_us(ts) / F.lit(int(hours * HOUR_US * steps))).cast("bigint")
-    return df.withColumn(STRETCH, F.coalesce(stretch, F.lit(0))).repartition(*series, STRETCH)
+    """Tag rows with their time (``_us``) and time stretch and co-locate each (series, stretch)."""
+    timed = df.withColumn(US, epoch_us(ts))
+    stretch = F.floor(F.col(US) / F.lit(int(hours * HOUR_US * steps))).cast("bigint")
+    return timed.withColumn(STRETCH, F.coalesce(stretch, F.lit(0))).repartition(*series, STRETCH)
 
 
 # A scan has two branches: the rows, and one summary row per stretch. Both start from the same
@@ -42,37 +43,39 @@ def _windows(series: Sequence[str]):
     """Over the summaries of a series: one row per ``CHUNK_STEPS`` readings."""
     whole = Window.partitionBy(*series).orderBy(STRETCH)
     before = whole.rowsBetween(Window.unboundedPreceding, -1)
-    after = whole.rowsBetween(1, Window.unboundedFollowing)
+    # Backwards in descending order: a frame that reaches to the end would be summed anew per row.
+    after = Window.partitionBy(*series).orderBy(F.desc(STRETCH)).rowsBetween(Window.unboundedPreceding, -1)
     return whole, before, after
 
 
 def neighbours(df: DataFrame, series: Sequence[str], ts: str, value: str, hours: float = 3,
                steps: int = CHUNK_STEPS) -> DataFrame:
-    """Add the nearest readings at or before (``prev_t, prev_v``) and at or after
-    (``next_t, next_v``) every row, looking across stretches without a reading."""
+    """Add the nearest readings at or before (``prev_us, prev_v``) and at or after
+    (``next_us, next_v``) every row, looking across stretches without a reading, and the time of
+    the row itself (``_us``). Times are microseconds since 1970."""
     tagged = with_stretch(df, series, ts, hours, steps)
-    has = F.when(F.col(value).isNotNull(), F.col(ts))
+    has = F.when(F.col(value).isNotNull(), F.col(US))
     summary = tagged.groupBy(*series, STRETCH).agg(
-        F.min_by(_row(df), has).alias("_first"), F.max_by(_row(df), has).alias("_last")
+        F.min_by(_row(tagged), has).alias("_first"), F.max_by(_row(tagged), has).alias("_last")
     )
     _, before, after = _windows(series)
     carry = summary.select(
         *series, STRETCH,
         F.last("_last", ignorenulls=True).over(before).alias("_prev"),
-        F.first("_first", ignorenulls=True).over(after).alias("_next"),
+        F.last("_first", ignorenulls=True).over(after).alias("_next"),
     )
-    inside = Window.partitionBy(*series, STRETCH).orderBy(ts)
-    back = inside.rowsBetween(Window.unboundedPreceding, 0)
-    ahead = inside.rowsBetween(0, Window.unboundedFollowing)
-    carried = lambda side: F.struct(F.col(f"{side}.{ts}").alias("t"), F.col(f"{side}.{value}").alias("v"))
-    seen = F.when(F.col(value).isNotNull(), F.struct(F.col(ts).alias("t"), F.col(value).alias("v")))
+    inside = Window.partitionBy(*series, STRETCH)
+    back = inside.orderBy(US).rowsBetween(Window.unboundedPreceding, 0)
+    ahead = inside.orderBy(F.desc(US)).rowsBetween(Window.unboundedPreceding, 0)
+    carried = lambda side: F.struct(F.col(f"{side}.{US}").alias("t"), F.col(f"{side}.{value}").alias("v"))
+    seen = F.when(F.col(value).isNotNull(), F.struct(F.col(US).alias("t"), F.col(value).alias("v")))
     return (
         tagged.join(carry, [*series, STRETCH])
         .withColumn("_p", F.coalesce(F.last(seen, ignorenulls=True).over(back), carried("_prev")))
-        .withColumn("_n", F.coalesce(F.first(seen, ignorenulls=True).over(ahead), carried("_next")))
-        .select(*df.columns,
-                F.col("_p.t").alias("prev_t"), F.col("_p.v").alias("prev_v"),
-                F.col("_n.t").alias("next_t"), F.col("_n.v").alias("next_v"))
+        .withColumn("_n", F.coalesce(F.last(seen, ignorenulls=True).over(ahead), carried("_next")))
+        .select(*df.columns, US,
+                F.col("_p.t").alias("prev_us"), F.col("_p.v").alias("prev_v"),
+                F.col("_n.t").alias("next_us"), F.col("_n.v").alias("next_v"))
     )
 
 
@@ -80,10 +83,10 @@ def previous(df: DataFrame, series: Sequence[str], ts: str, value: str, out: str
              hours: float = 3, steps: int = CHUNK_STEPS) -> DataFrame:
     """Value of the preceding row of the series (``lag``), also across stretch cuts."""
     tagged = with_stretch(df, series, ts, hours, steps)
-    summary = tagged.groupBy(*series, STRETCH).agg(F.max_by(_row(df), ts).alias("_end"))
+    summary = tagged.groupBy(*series, STRETCH).agg(F.max_by(_row(tagged), US).alias("_end"))
     whole, _, _ = _windows(series)
     carry = summary.select(*series, STRETCH, F.lag("_end").over(whole).alias("_carried"))
-    inside = Window.partitionBy(*series, STRETCH).orderBy(ts)
+    inside = Window.partitionBy(*series, STRETCH).orderBy(US)
     lagged = F.when(F.row_number().over(inside) == 1, F.col(f"_carried.{value}")).otherwise(
         F.lag(value).over(inside)
     )
@@ -95,11 +98,11 @@ def running_sum(df: DataFrame, series: Sequence[str], ts: str, value: str, out:
     """Cumulative sum in time order; nulls count as zero."""
     tagged = with_stretch(df, series, ts, hours, steps)
     summary = tagged.groupBy(*series, STRETCH).agg(
-        F.when(F.max_by(_row(df), ts).isNotNull(), F.sum(value)).alias("_sum")
+        F.when(F.max_by(_row(tagged), US).isNotNull(), F.sum(value)).alias("_sum")
     )
     _, before, _ = _windows(series)
     carry = summary.select(*series, STRETCH, F.coalesce(F.sum("_sum").over(before), F.lit(0.0)).alias("_base"))
-    inside = Window.partitionBy(*series, STRETCH).orderBy(ts).rowsBetween(Window.unboundedPreceding, 0)
+    inside = Window.partitionBy(*series, STRETCH).orderBy(US).rowsBetween(Window.unboundedPreceding, 0)
     return tagged.join(carry, [*series, STRETCH]).select(
         *df.columns,
         (F.col("_base") + F.coalesce(F.sum(value).over(inside), F.lit(0.0))).alias(out),
