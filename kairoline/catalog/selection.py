@@ -35,7 +35,7 @@ FROM f JOIN t USING (fold) WHERE NOT is_train GROUP BY fold""")
 def cv_fold_rmse(spark, sf):
     folds = _folds(spark, sf)
     errors = search.fold_errors(folds, search.Candidate("LinearRegression"))
-    folds.rows.unpersist()
+    folds.release()
     return spark.createDataFrame(list(enumerate(errors)), "fold int, rmse double").select("fold", rounded("rmse", 4).alias("rmse"))
 
 
@@ -44,7 +44,7 @@ FROM f JOIN t USING (fold) WHERE NOT is_train GROUP BY fold) SELECT 'LinearRegre
 def cv_rmse(spark, sf):
     folds = _folds(spark, sf)
     found = search.evaluate(folds, [search.Candidate("LinearRegression")], tuning=False)
-    folds.rows.unpersist()
+    folds.release()
     return search.leaderboard(spark, found).select("model_type", rounded("cv_rmse", 4).alias("cv_rmse"))
 
 
@@ -62,7 +62,7 @@ NET = search.Candidate("ElasticNet", {"alpha": 1.0, "l1_ratio": 0.5}, True,
 def grid_search(spark, sf):
     folds = _folds(spark, sf)
     found = search.search(folds, RIDGE, search_type="grid")
-    folds.rows.unpersist()
+    folds.release()
     return search.trials(spark, found).select("seq", F.col("params")["alpha"].alias("alpha"), rounded("cv_rmse", 4).alias("cv_rmse"))
 
 
@@ -73,7 +73,7 @@ SELECT alpha::DOUBLE::VARCHAR AS alpha, l1::DOUBLE::VARCHAR AS l1_ratio, {r('avg
 def random_search(spark, sf):
     folds = _folds(spark, sf)
     found = search.search(folds, NET, search_type="random", n_iter=30)
-    folds.rows.unpersist()
+    folds.release()
     return search.trials(spark, found).select(
         F.col("params")["alpha"].alias("alpha"), F.col("params")["l1_ratio"].alias("l1_ratio"), rounded("cv_rmse", 4).alias("cv_rmse"))
 
@@ -83,7 +83,7 @@ def cv_tree(spark, sf):
     folds = _folds(spark, sf)
     candidate = search.Candidate("DecisionTreeRegressor", {"max_depth": 3}, False, {"max_depth": [2, 4]})
     found = search.search(folds, candidate, search_type="grid")
-    folds.rows.unpersist()
+    folds.release()
     return search.trials(spark, found)
 
 

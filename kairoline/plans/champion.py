@@ -88,7 +88,7 @@ def choose(df: DataFrame, setup: Setup, candidates: Sequence[s.Candidate], table
                            n_iter=setup.n_iter, seed=setup.seed)
         rows = folds.rows.count()
     finally:
-        folds.rows.unpersist()
+        folds.release()
     board = s.leaderboard(spark, found)
     tables.log_scores(run_id, board)
     best = s.best_candidate(board)

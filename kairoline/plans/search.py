@@ -59,14 +59,48 @@ class Folds:
     ids: Sequence[str] = ()
     preparation: Callable[[], list] | None = None  # stages refitted inside every fold
     fit_scope: str = "fold"
-    _sums: dict[int, gram.Gram] | None = None
+    _prepared: dict[int, DataFrame] = field(default_factory=dict)
+    _sums: list[tuple[gram.Gram, gram.Gram]] | None = None
+
+    def prepared(self, f: int) -> DataFrame:
+        """Rows of one fold after its preparation, ``_role`` 0 for training and 1 for test.
+
+        Fitted once per fold and kept, so candidates and parameters do not repeat it.
+        """
+        if f not in self._prepared:
+            train, test = split.fold_frames(self.rows, f)
+            model = Pipeline(stages=self.preparation()).fit(train)
+            both = model.transform(train).withColumn("_role", F.lit(0)).unionByName(
+                model.transform(test).withColumn("_role", F.lit(1)))
+            self._prepared[f] = both.persist()
+        return self._prepared[f]
+
+    def frames(self, f: int) -> tuple[DataFrame, DataFrame]:
+        """(train, test) of one fold."""
+        if self.preparation is None:
+            return split.fold_frames(self.rows, f)
+        both = self.prepared(f)
+        return both.where("_role = 0"), both.where("_role = 1")
 
     @property
-    def sums(self) -> dict[int, gram.Gram]:
-        if self._sums is None:
-            self._sums = gram.accumulate_by(self.rows, self.features, self.label, "segment")
+    def sums(self) -> list[tuple[gram.Gram, gram.Gram]]:
+        """(train, test) sums of every fold."""
+        if self._sums is None and self.preparation is None:
+            parts = gram.accumulate_by(self.rows, self.features, self.label, "segment")
+            train, self._sums = parts[0], []
+            for f in range(self.k):
+                self._sums.append((train, parts[f + 1]))
+                train = train + parts[f + 1]
+        elif self._sums is None:
+            found = [gram.accumulate_by(self.prepared(f), self.features, self.label, "_role") for f in range(self.k)]
+            self._sums = [(g[0], g[1]) for g in found]
         return self._sums
 
+    def release(self) -> None:
+        for df in (self.rows, *self._prepared.values()):
+            df.unpersist()
+        self._prepared.clear()
+
 
 def make_folds(df: DataFrame, order: Sequence[str], features: Sequence[str], label: str, k: int = 5,
                preparation: Callable[[], list] | None = None, fit_scope: str = "fold") -> Folds:
@@ -96,42 +130,45 @@ def sample_grid(params: dict[str, Sequence], n_iter: int = 30, seed: int = 42) -
     return everything if len(everything) <= n_iter else random.Random(seed).sample(everything, n_iter)
 
 
-def _linear_fold_errors(grams: dict[int, gram.Gram], candidate: Candidate, params: dict, k: int,
-                        scope: str) -> list[float]:
-    whole = sum((grams[s] for s in sorted(grams)[1:]), grams[min(grams)])
-    train, errors = grams[0], []
-    for f in range(k):
-        basis = (train if scope == "fold" else whole) if candidate.scaling else None
+def _linear_fold_errors(folds: Folds, candidate: Candidate, params: dict) -> list[float]:
+    last_train, last_test = folds.sums[-1]
+    errors = []
+    for train, test in folds.sums:
+        basis = (train if folds.fit_scope == "fold" else last_train + last_test) if candidate.scaling else None
         fit = scaled_solution(candidate.type, params, train, basis)
-        test = grams[f + 1]
         errors.append(math.sqrt(max(fit.sse(test), 0.0) / test.n))
-        train = train + test
     return errors
 
 
-def _fit_stages(folds: Folds, candidate: Candidate, params: dict) -> list:
-    stages = list(folds.preparation()) if folds.preparation else []
-    if candidate.scaling and folds.fit_scope == "fold":
-        stages.append(PopulationScaler(inputCols=list(folds.features)))
-    return stages + build(candidate.type, params, folds.features, folds.label, folds.ids)
+def _fitted_fold_error(folds: Folds, candidate: Candidate, params: dict, f: int, scaler=None) -> float:
+    train, test = folds.frames(f)
+    stages = build(candidate.type, params, folds.features, folds.label, folds.ids)
+    if scaler is not None:
+        train, test = scaler.transform(train), scaler.transform(test)
+    elif candidate.scaling:
+        stages.insert(0, PopulationScaler(inputCols=list(folds.features)))
+    model = Pipeline(stages=stages).fit(train)
+    return model.transform(test).agg(profile.rmse(folds.label, "prediction")).first()[0]
 
 
-def _fold_error(folds: Folds, rows: DataFrame, candidate: Candidate, params: dict, f: int) -> float:
-    train, test = split.fold_frames(rows, f)
-    model = Pipeline(stages=_fit_stages(folds, candidate, params)).fit(train)
-    return model.transform(test).agg(profile.rmse(folds.label, "prediction")).first()[0]
+def fitted_fold_errors(folds: Folds, candidate: Candidate, params: dict, workers: int = 4) -> list[float]:
+    """Fit and score every fold on Spark ML; independent fits run side by side."""
+    scaler = None
+    if candidate.scaling and folds.fit_scope == "all":
+        scaler = PopulationScaler(inputCols=list(folds.features)).fit(folds.rows)
+    if folds.preparation is not None:
+        for f in range(folds.k):
+            folds.prepared(f)
+    with ThreadPoolExecutor(workers) as pool:
+        return list(pool.map(lambda f: _fitted_fold_error(folds, candidate, params, f, scaler), range(folds.k)))
 
 
-def fold_errors(folds: Folds, candidate: Candidate, params: dict | None = None, workers: int = 4) -> list[float]:
+def fold_errors(folds: Folds, candidate: Candidate, params: dict | None = None) -> list[float]:
     """RMSE of every fold."""
     params = candidate.params if params is None else params
-    if candidate.type in LINEAR and folds.preparation is None:
-        return _linear_fold_errors(folds.sums, candidate, params, folds.k, folds.fit_scope)
-    rows = folds.rows
-    if candidate.scaling and folds.fit_scope == "all":
-        rows = PopulationScaler(inputCols=list(folds.features)).fit(rows).transform(rows)
-    with ThreadPoolExecutor(workers) as pool:
-        return list(pool.map(lambda f: _fold_error(folds, rows, candidate, params, f), range(folds.k)))
+    if candidate.type in LINEAR:
+        return _linear_fold_errors(folds, candidate, params)
+    return fitted_fold_errors(folds, candidate, params)
 
 
 def cv_rmse(folds: Folds, candidate: Candidate, params: dict | None = None) -> float:

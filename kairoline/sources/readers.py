@@ -33,14 +33,18 @@ def read_requests(spark: SparkSession, path: str, features: T.StructType) -> Dat
 
 
 def parse_json(df: DataFrame, column: str, schema: T.StructType) -> DataFrame:
-    """Replace a JSON text column by its fields."""
+    """Replace a JSON text column by its fields.
+
+    The fields come out of a generator, so later filters cannot be rewritten in terms of the text:
+    each document is parsed once, however many columns are tested.
+    """
     rest = [c for c in df.columns if c != column]
-    return df.select(*rest, F.from_json(column, schema).alias("_j")).select(*rest, "_j.*")
+    return df.select(*rest, F.inline(F.array(F.from_json(column, schema))))
 
 
 def parse_requests(df: DataFrame, column: str, features: T.StructType) -> DataFrame:
-    return parse_json(df, column, request_schema(features)).select(
-        *[c for c in df.columns if c != column], "features.*")
+    rest = [c for c in df.columns if c != column]
+    return df.select(*rest, F.inline(F.array(F.from_json(column, request_schema(features))["features"])))
 
 
 def split_target(df: DataFrame, target: str) -> tuple[list[str], str]:

@@ -140,7 +140,7 @@ def test_adaboost_weighted_median(table):
     model = Pipeline(stages=build("AdaBoostRegressor", {"n_estimators": 4}, ["a", "b", "c"])).fit(table)
     boost = model.stages[-1]
     df = model.stages[0].transform(table)
-    preds = np.column_stack([[r["prediction"] for r in t.transform(df).orderBy("time").collect()] for t in boost.trees])
+    preds = np.column_stack([[r["p"] for r in t.copy().setPredictionCol("p").transform(df).orderBy("time").collect()] for t in boost.trees])
     votes = np.array(json.loads(boost.get("votes")))
     order = preds.argsort(1)
     seen = votes[order].cumsum(1)
@@ -166,14 +166,23 @@ def test_sums_and_fitted_folds_agree(table, scope):
     folds = search.make_folds(table, ["time"], feats, "label", 4, fit_scope=scope)
     ridge = search.Candidate("Ridge", {"alpha": 8.0}, scaling=True)
     fast = search.fold_errors(folds, ridge)
-    rows = folds.rows
-    if scope == "all":
-        rows = stages.PopulationScaler(inputCols=feats).fit(rows).transform(rows)
-    slow = [search._fold_error(folds, rows, ridge, ridge.params, f) for f in range(4)]
-    folds.rows.unpersist()
+    slow = search.fitted_fold_errors(folds, ridge, ridge.params)
+    folds.release()
     assert fast == pytest.approx(slow, rel=1e-5)
 
 
+def test_preparation_is_fitted_inside_each_fold(table):
+    holed = table.withColumn("a", F.when(F.hour("time") != 9, F.col("a")))
+    make = lambda: [stages.build_imputer("SimpleImputer", "a")]
+    folds = search.make_folds(holed, ["time"], ["a", "b"], "label", 3, make)
+    lasso = search.Candidate("Lasso", {"alpha": 0.1}, scaling=True)
+    assert search.fold_errors(folds, lasso) == pytest.approx(search.fitted_fold_errors(folds, lasso, lasso.params), rel=1e-5)
+    pdf = holed.toPandas().sort_values("time")
+    got = folds.frames(0)[1].toPandas()
+    assert got["a"].notna().all() and (got["a"].round(9) == round(pdf["a"].iloc[:60].mean(), 9)).sum() == pdf["a"].iloc[60:120].isna().sum()
+    folds.release()
+
+
 def test_grids():
     params = {"b": [1, 2, 3], "a": ["x", "y"]}
     full = search.grid(params)
@@ -186,7 +195,7 @@ def test_grids():
 def test_empty_grid_reports_no_params(table):
     folds = search.make_folds(table, ["time"], ["a"], "label", 3)
     found = search.search(folds, search.Candidate("LinearRegression"))
-    folds.rows.unpersist()
+    folds.release()
     assert found.best_params is None and found.cv_rmse > 0
 
 
