@@ -20,8 +20,9 @@ from pyspark.sql import types as T
 
 BROADCAST_CELLS = 8_000_000  # donor rows x columns: about 64 MB of doubles
 BLOCK_ROWS = 20_000
+MOST_BLOCKS = 100_000  # their bounding boxes are broadcast; beyond this, blocks grow instead
 PLACES = 9
-_PAIRS_AT_ONCE = 2_000_000
+_PAIRS_AT_ONCE = 500_000
 
 
 def _top_k(x: np.ndarray, y: np.ndarray, k: int, total: int):
@@ -126,6 +127,7 @@ def _by_broadcast(receivers, donors, rid, did, coords, k, payload, total) -> Dat
 
 def _by_blocks(receivers, donors, n_donors, rid, did, coords, k, payload, total, block_rows) -> DataFrame:
     spark = receivers.sparkSession
+    block_rows = max(block_rows, n_donors // MOST_BLOCKS)
     complete = donors.agg(*[F.count(c).alias(c) for c in coords],
                           *[F.stddev_pop(c).alias(f"{c}_s") for c in coords]).first()
     sure = [c for c in coords if complete[c] == n_donors]
@@ -169,15 +171,19 @@ def _by_blocks(receivers, donors, n_donors, rid, did, coords, k, payload, total,
 
     route = T.StructType([*receivers.schema.fields, T.StructField("_block", T.LongType())])
 
-    def first_visit(batches):
+    def slices(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rows = max(1, 4 * _PAIRS_AT_ONCE // max(1, len(held.value[0])))
         for frame in batches:
-            home = floor_distance(frame).argmin(axis=1) if len(frame) else np.empty(0, int)
-            yield frame.assign(_block=home.astype("int64"))
+            for a in range(0, len(frame), rows):
+                yield frame.iloc[a : a + rows]
 
-    def later_visits(batches):
-        for frame in batches:
-            low = floor_distance(frame)
-            go = low <= frame["_bound"].to_numpy(float)[:, None]
+    def first_visit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in slices(batches):
+            yield frame.assign(_block=floor_distance(frame).argmin(axis=1).astype("int64"))
+
+    def later_visits(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in slices(batches):
+            go = floor_distance(frame) <= frame["_bound"].to_numpy(float)[:, None]
             go[np.arange(len(frame)), frame["_home"].to_numpy(int)] = False
             i, j = np.nonzero(go)
             out = frame[[*rid, *coords]].iloc[i].reset_index(drop=True)

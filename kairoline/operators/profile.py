@@ -94,7 +94,7 @@ def box_summary(df: DataFrame, value: str, by: Sequence[str] = (), limit: int =
     quart = quantiles(df, by, value, {"q1": 0.25, "median": 0.5, "q3": 0.75}, limit)
     iqr = F.col("q3") - F.col("q1")
     source = df.select(*by, value)
-    joined = source.join(F.broadcast(quart), by) if by else source.join(F.broadcast(quart), F.lit(True))
+    joined = source.join(quart, by) if by else source.join(F.broadcast(quart), F.lit(True))
     inside = (F.col(value) >= F.col("q1") - 1.5 * iqr) & (F.col(value) <= F.col("q3") + 1.5 * iqr)
     return joined.groupBy(*by, "q1", "median", "q3").agg(
         F.min(F.when(inside, F.col(value))).alias("whisker_low"),

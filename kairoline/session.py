@@ -55,6 +55,7 @@ def spread(df: DataFrame) -> DataFrame:
     """Use all cores in iterative fits over a scan with few splits (small or single-group files).
 
     A table that already has a split per core is left as it is, so nothing large is shuffled.
+    Meant for plain scans: asking a plan with shuffles for its partitions would run them.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
