@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from kairoline.catalog import query
-from kairoline.catalog.views import DAILY, GRID, daily, panel_grid, r, table
+from kairoline.catalog.views import DAILY, GRID, daily, orthogonal, panel_grid, r, table
 from kairoline.functions.scalars import rounded
 from kairoline.operators import arima, autocorr, fill, profile, rank, split
 from kairoline.operators.order import positions, previous
@@ -87,8 +87,37 @@ def pacf(spark, sf):
     return autocorr.pacf(_diffed(spark, sf), ["d"], "diff", 100).select("lag", rounded("pacf").alias("pacf"))
 
 
-@query("adf_stat")
+_ADF_LAGS = 27  # ceil(12 (n / 100) ^ 0.25) for the 2,398 daily changes
+_LAGGED = [f"d{k}" for k in range(1, _ADF_LAGS + 1)]
+_ADF_ROWS = f"""{DAILY}, ch AS (SELECT d, y - lag(y) OVER (ORDER BY d) AS y FROM daily),
+base AS (SELECT row_number() OVER (ORDER BY d) - 1 AS pos, y - lag(y) OVER (ORDER BY d) AS d0, lag(y) OVER (ORDER BY d) AS level FROM ch WHERE y IS NOT NULL),
+rowset AS MATERIALIZED (SELECT pos, d0, level, {', '.join(f'lag(d0, {k}) OVER (ORDER BY pos) AS d{k}' for k in range(1, _ADF_LAGS + 1))} FROM base),
+common AS (SELECT * FROM rowset WHERE pos > {_ADF_LAGS})"""
+
+
+def _adf_aic(p: int) -> str:
+    """Errors left after the level and p lags: the target less its part along each column."""
+    left = " - ".join(["yy", *[f"p_{c}" for c in ("level", *_LAGGED[:p])]])
+    return f"SELECT {p} AS p, n * (ln(({left}) / n) + ln(2 * pi()) + 1) + 2 * ({p} + 2) AS aic FROM along"
+
+
+@query("adf_stat", f"""WITH {_ADF_ROWS}, {orthogonal('parts', 'common', ['level', *_LAGGED], ['d0'])},
+along AS (SELECT count(*) AS n, sum((d0 - m) ** 2) AS yy, {', '.join(f'sum(d0 * {c}) ** 2 / sum({c} * {c}) AS p_{c}' for c in ('level', *_LAGGED))}
+  FROM parts, (SELECT avg(d0) AS m FROM parts)),
+best AS MATERIALIZED (SELECT arg_min(p, aic) AS p FROM ({' UNION ALL '.join(_adf_aic(p) for p in range(_ADF_LAGS + 1))})),
+own AS (SELECT d0, level, {', '.join(f'CASE WHEN p >= {k} THEN d{k} ELSE 0 END AS d{k}' for k in range(1, _ADF_LAGS + 1))} FROM rowset, best WHERE pos > p),
+{orthogonal('last', 'own', [*_LAGGED, 'level', 'd0'])},
+lv AS (SELECT level AS x, d0 + w * level AS y, d0 AS e FROM last, (SELECT w_d0 AS w FROM last_w{_ADF_LAGS})),
+t AS (SELECT sum(x * y) / sum(x * x) / sqrt(sum(e * e) / (count(*) - (SELECT p FROM best) - 2) / sum(x * x)) AS statistic, count(*) AS nobs FROM lv)
+SELECT {r('statistic', 5)} AS statistic, (SELECT p FROM best)::INT AS used_lag, nobs FROM t""")
 def adf_stat(spark, sf):
+    a = autocorr.adf(_diffed(spark, sf), ["d"], "diff")
+    return a.select(rounded("statistic", 5).alias("statistic"), "used_lag", "nobs")
+
+
+@query("adf_test")
+def adf_test(spark, sf):
+    """With p-value and critical values, which come from published tables."""
     return autocorr.adf(_diffed(spark, sf), ["d"], "diff")
 
 

@@ -4,7 +4,7 @@ from pyspark.ml import Pipeline
 from pyspark.sql import functions as F
 
 from kairoline.catalog import query
-from kairoline.catalog.views import REG, r, reg, table
+from kairoline.catalog.views import REG, orthogonal, r, reg, table
 from kairoline.functions.scalars import rounded
 from kairoline.operators import attribution, gram, profile, rank
 from kairoline.plans.regressors import build, neighbour_means
@@ -77,11 +77,12 @@ def _errors(kind, params):
         last = model.stages[-1]
         used = sum(abs(c) > 1e-12 for c in last.coefficients)
         return model.transform(df).agg(profile.rmse("label", "prediction").alias("rmse")).select(
-            F.lit(kind).alias("model_type"), F.lit(used).alias("coefficients"), "rmse")
+            F.lit(kind).alias("model_type"), F.lit(used).alias("coefficients"), rounded("rmse", 4).alias("rmse"))
     return run
 
 
-query("reg_ols_multi")(_errors("LinearRegression", {}))
+query("reg_ols_multi", f"""WITH {REG}, {orthogonal('q', 'reg', [*FEATURES, 'label'])}
+SELECT 'LinearRegression' AS model_type, 8 AS coefficients, {r('sqrt(avg(label * label))', 4)} AS rmse FROM q""")(_errors("LinearRegression", {}))
 query("reg_lasso_multi")(_errors("Lasso", {"alpha": 50.0}))
 query("reg_elasticnet_multi")(_errors("ElasticNet", {"alpha": 50.0, "l1_ratio": 0.5}))
 query("reg_bayes_ridge_multi")(_errors("BayesianRidge", {}))

@@ -68,3 +68,22 @@ REG = """reg AS (
 
 def r(sql: str, places: int = 6) -> str:
     return f"round({sql}, {places}) + 0.0"
+
+
+def orthogonal(name: str, source: str, columns: Sequence[str], keep: Sequence[str] = ()) -> str:
+    """CTEs that make ``columns`` of ``source`` orthogonal one after the other (means removed).
+
+    The last CTE is called ``name``; its columns keep their names. A column that depends on
+    earlier ones becomes zero. Least squares in SQL: each coefficient is a ratio of two sums.
+    """
+    rest = ", ".join(keep)
+    lead = f"{rest}, " if keep else ""
+    out = [f"{name}_0 AS MATERIALIZED (SELECT {lead}" + ", ".join(f"{c} - avg({c}) OVER () AS {c}" for c in columns) + f" FROM {source})"]
+    for i, pivot in enumerate(columns[:-1]):
+        done, todo = columns[: i + 1], columns[i + 1 :]
+        ratios = ", ".join(f"coalesce(sum({c} * {pivot}) / nullif(sum({pivot} * {pivot}), 0), 0) AS w_{c}" for c in todo)
+        out.append(f"{name}_w{i} AS MATERIALIZED (SELECT {ratios} FROM {name}_{i})")
+        kept = ", ".join([*keep, *done, *[f"{c} - w_{c} * {pivot} AS {c}" for c in todo]])
+        target = name if i == len(columns) - 2 else f"{name}_{i + 1}"
+        out.append(f"{target} AS MATERIALIZED (SELECT {kept} FROM {name}_{i}, {name}_w{i})")
+    return ",\n".join(out)
