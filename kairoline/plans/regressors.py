@@ -40,9 +40,12 @@ class _PenaltyParams(Params):
 class PenalisedRegression(_Stage, Estimator, _PenaltyParams):
     """Ridge, elastic net and their stochastic-gradient form on unscaled columns.
 
-    Spark ML divides the label by its sample deviation s before it applies a penalty, which
-    leaves the absolute part as it is and multiplies the squared part by s. The objective
+    Spark ML divides the label by its deviation s before it applies a penalty, which leaves the
+    absolute part as it is and multiplies the squared part by s. The objective
     sum r^2 / 2n + a |w|_1 + b |w|^2 / 2 therefore needs the strengths a and b * s.
+
+    The normal-equation solver reads the data once, also with an absolute penalty (it iterates on
+    the sums), and uses the population deviation. It takes up to 4096 features.
     """
 
     _defaults = {"kind": "ridge", "alpha": 1.0, "l1Ratio": 0.0, "featuresCol": VECTOR, "labelCol": "label"}
@@ -54,15 +57,15 @@ class PenalisedRegression(_Stage, Estimator, _PenaltyParams):
 
     def _fit(self, dataset: DataFrame):
         label, alpha, kind = self.get("labelCol"), self.get("alpha"), self.get("kind")
-        row = dataset.agg(F.count(label), F.stddev_samp(label)).first()
+        row = dataset.agg(F.count(label), F.stddev_pop(label)).first()
         n, deviation = row[0], row[1] or 1.0
         share = self.get("l1Ratio")
         absolute = alpha * share if kind == "elastic_net" else 0.0
         squared = {"ridge": alpha / n, "sgd": alpha, "elastic_net": alpha * (1 - share)}[kind] * deviation
         total = absolute + squared
         return LinearRegression(
-            featuresCol=self.get("featuresCol"), labelCol=label, solver="l-bfgs", standardization=False,
-            regParam=total, elasticNetParam=absolute / total if total else 0.0, maxIter=1000, tol=1e-12,
+            featuresCol=self.get("featuresCol"), labelCol=label, solver="normal", standardization=False,
+            regParam=total, elasticNetParam=absolute / total if total else 0.0, maxIter=10_000, tol=1e-12,
         ).fit(dataset)
 
 
@@ -335,7 +338,7 @@ def build(kind: str, params: dict, features: Sequence[str], label: str = "label"
                                    k=int(p.get("n_neighbors", 5)), weights=p.get("weights", "uniform"))]
     common = {"featuresCol": VECTOR, "labelCol": label}
     if kind == "LinearRegression":
-        model = LinearRegression(**common, regParam=0.0, standardization=False)
+        model = LinearRegression(**common, regParam=0.0, standardization=False, solver="normal")
     elif kind == "Ridge":
         model = PenalisedRegression(kind="ridge", alpha=float(p.get("alpha", 1.0)), **common)
     elif kind == "SGDRegressor":
