@@ -115,8 +115,8 @@ i AS (SELECT k.user_id, k.t, coalesce(k.click, hd.med, hh.med, dd.med, gg.med) A
 m AS (SELECT avg(click) AS mc, stddev_pop(click) AS sc, avg(hour_sin) AS mh, stddev_pop(hour_sin) AS sh FROM i)"""
 
 
-@query("roundtrip_pipeline", f"""WITH {_PREPARED} SELECT user_id, t, {r('(click - mc) / sc')} AS click, {r('(hour_sin - mh) / sh')} AS hour_sin FROM i, m""")
-def roundtrip_pipeline(spark, sf):
+@query("roundtrip_stages", f"""WITH {_PREPARED} SELECT user_id, t, {r('(click - mc) / sc')} AS click, {r('(hour_sin - mh) / sh')} AS hour_sin FROM i, m""")
+def roundtrip_stages(spark, sf):
     """Fit grid, calendar, imputation and scaling; save, load and apply."""
     df = wide(spark, sf).select("user_id", "t", "click", "view", "error", "purchase", "signup")
     fitted = Pipeline(stages=[

@@ -289,6 +289,7 @@ class PopulationScalerModel(_Stage, Model, _ScaleParams):
         return scale.standardise(dataset, self.get("inputCols"), json.loads(self.get("moments")))
 
 
+# Imputer type names as configurations spell them.
 IMPUTERS = {
     "TimeAwareKNNImputer": lambda column, time, series, n_neighbors=5, scaled=False: NeighbourImputer(
         inputCol=column, timeCol=time, seriesCols=series, k=n_neighbors, scaled=scaled),

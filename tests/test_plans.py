@@ -192,6 +192,13 @@ def test_grids():
     assert len({json.dumps(d) for d in drawn}) == 4 and drawn == search.sample_grid(params, 4, seed=1)
 
 
+def test_presets_build(spark):
+    from kairoline.plans import presets
+    for c in presets.SHALLOW:
+        for params in (c.params, *search.sample_grid(c.tuning_params, 3)) if c.tuning_params else (c.params,):
+            assert build(c.type, params, ["a"], "label", ["time"])
+
+
 def test_empty_grid_reports_no_params(table):
     folds = search.make_folds(table, ["time"], ["a"], "label", 3)
     found = search.search(folds, search.Candidate("LinearRegression"))
