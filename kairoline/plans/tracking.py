@@ -48,7 +48,7 @@ class RunTables:
     def append(self, name: str, rows: DataFrame) -> None:
         columns = [F.col(f.name).cast(f.dataType) if f.name in rows.columns else F.lit(None).cast(f.dataType).alias(f.name)
                    for f in schema(name)]
-        rows.select(*columns).coalesce(1).write.mode("append").parquet(self.path(name))
+        rows.select(*columns).write.mode("append").parquet(self.path(name))
 
     def add(self, name: str, **values) -> None:
         fields = [f for f in schema(name)]
