@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kairoline.llm import mixing, quality, sharding, url_rules
+from kairoline.llm import bpe, mixing, near_dups, quality, repeats, secrets, sharding, toxicity, url_rules, vectors
 from kairoline.llm.common import table
 from kairoline.llm.sql import ORACLES
 
@@ -16,6 +17,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 URL_RULES = [url_rules.Rule("net", "/", "block"), url_rules.Rule("example.net", "/en/", "allow"),
              url_rules.Rule("example.com", "/de/", "block"), url_rules.Rule("org", "/fr/", "allow")]
 SHARDS = 40
+VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 #: Wanted weights of the mixing query and stage: the hot source is cut to twice the share of any other.
 MIX_WEIGHTS = {"src0": 2.0}
 
@@ -48,3 +50,58 @@ def op4_url_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_poisson_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"), MIX_WEIGHTS, copy="copy", order="mix_order")
+
+
+@query
+def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = bpe.load_ranks(public_tokenizers.path(VOCABULARY))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = bpe.decode(bpe.encode(docs, ranks, public_tokenizers.PATTERN), ranks)
+    return out.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                      F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+                      F.sha2("bytes", 256).alias("decoded_sha256"))
+
+
+@query
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    spans = F.col("spans")
+
+    def count(kind: str):
+        return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long")
+
+    base = F.filter(spans, lambda s: s["kind"] != "guess")
+    return found.select("doc_id", count("assign").alias("n_assign"), count("access").alias("n_access"),
+                        count("hex").alias("n_hex"), F.sha2(secrets.written(base), 256).alias("base_sha256"),
+                        secrets.written(spans).alias("spans"))
+
+
+@query
+def op7_pu_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def remainder(c):
+        return F.pmod(F.crc32(c.cast("string")), F.lit(4))
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    models = toxicity.fit(docs, table(spark, sf_dir, "labels"), lambda c: remainder(c) != 2)
+    out = toxicity.score(docs, models)
+    return out.select("doc_id", F.coalesce(remainder(F.col("doc_id")) == 2, F.lit(False)).alias("held_out"), "score",
+                      (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+@query
+def op8_weighted_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_dups.classes(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "class_id", "class_size", "first")
+
+
+@query
+def op9_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = repeats.strip(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return cut.select("doc_id", F.size("removed").cast("long").alias("n_spans"), F.array_join(F.transform(
+        "removed", lambda s: F.concat_ws(":", s["start"].cast("string"), s["end"].cast("string"))), ",").alias("spans"),
+        "kept_text")
+
+
+@query
+def op5_dimension_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
