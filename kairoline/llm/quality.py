@@ -30,8 +30,8 @@ class Rules:
     repeat_percent: int = 30
     reach: int = 3  # fence = quartile +- reach * distance of the quartiles +- slack
     symbol_slack: int = 500
-    line_slack: int = 2000
-    repeat_slack: int = 1000
+    line_slack: int = 4000
+    repeat_slack: int = 3000
     length_slack: int = 150
     min_group: int = 100  # smaller groups use the sketch of their language
 

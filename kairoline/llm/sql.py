@@ -40,8 +40,8 @@ p AS (SELECT own.lang, own.source, own.measure, CASE WHEN own.total < 100 THEN w
         CASE WHEN own.total < 100 THEN wide.q3 ELSE own.q3 END AS q3
       FROM own JOIN wide ON own.lang IS NOT DISTINCT FROM wide.lang AND own.measure = wide.measure),
 f AS (SELECT lang, source, max(q3 + 3 * (q3 - q1) + 500) FILTER (measure = 'symbols') AS symbols_most,
-        max(q3 + 3 * (q3 - q1) + 2000) FILTER (measure = 'lines') AS lines_most,
-        max(q3 + 3 * (q3 - q1) + 1000) FILTER (measure = 'repeats') AS repeats_most,
+        max(q3 + 3 * (q3 - q1) + 4000) FILTER (measure = 'lines') AS lines_most,
+        max(q3 + 3 * (q3 - q1) + 3000) FILTER (measure = 'repeats') AS repeats_most,
         max(q3 + 3 * (q3 - q1) + 150) FILTER (measure = 'length') AS length_most,
         max(q1 - 3 * (q3 - q1) - 150) FILTER (measure = 'length') AS length_least FROM p GROUP BY ALL)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
