@@ -7,6 +7,11 @@ Words go to buckets by hash, all blocks' copies of a word to the same one; there
 its ids go back to the blocks that asked, where documents are reassembled by position. Decoding joins ids with the
 table of token bytes, which is as large as the vocabulary.
 
+The input is read twice, once for the words and once for the positions, so that nothing has to be stored in between. A
+block is named by a digest of its content: a lost task that runs again over a stored table makes the same blocks. An
+input that changes its order between reads is noticed (words and positions then do not fit) and refused; settle such
+an input first.
+
 Blocks and buckets bound memory: a block ends after ``block_chars`` code points (or one longer document), a common word
 appears once per block however often it occurs, and the word cache of a task is emptied at ``cache_words``.
 
@@ -18,7 +23,6 @@ from __future__ import annotations
 
 import base64
 import re
-import uuid
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
@@ -26,12 +30,14 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
-from kairoline.llm.common import col, fresh, settled
+from kairoline.llm.common import col
 
 #: White space as the vocabulary's pattern understands it (Unicode White_Space).
 _SPACE = "\t-\r \x85\xa0  -     　"
@@ -52,7 +58,7 @@ def _pack(*arrays: np.ndarray) -> bytes:
     for a in arrays:
         planes = np.ascontiguousarray(a.astype("<u4")).view(np.uint8).reshape(-1, 4).T
         out.append(len(a).to_bytes(8, "little") + planes.tobytes())
-    return zstandard.compress(b"".join(out), 1)
+    return zstandard.compress(b"".join(out), 3)
 
 
 def _unpack(data: bytes) -> list[np.ndarray]:
@@ -65,10 +71,9 @@ def _unpack(data: bytes) -> list[np.ndarray]:
     return out
 
 
-def _pack_words(words: list[str]) -> bytes:
-    raw = [w.encode("utf-8", "surrogatepass") for w in words]
+def _pack_words(raw: list[bytes]) -> bytes:
     lens = np.fromiter(map(len, raw), "<u4", len(raw))
-    return zstandard.compress(len(raw).to_bytes(8, "little") + lens.tobytes() + b"".join(raw), 1)
+    return zstandard.compress(len(raw).to_bytes(8, "little") + lens.tobytes() + b"".join(raw), 3)
 
 
 def _unpack_words(data: bytes) -> list[bytes]:
@@ -92,33 +97,36 @@ class _Block:
         self.places.append(np.fromiter(map(self.words.__getitem__, found), np.uint32, len(found)))
         self.chars += len(text) if text else 0
 
-    def flush(self, buckets: int) -> Iterator[tuple]:
-        """One row with positions and the other columns, then one row of words per bucket in use."""
-        name = uuid.uuid4().hex
+    def flush(self, buckets: int, positions: bool) -> Iterator[tuple]:
+        """Either one row with positions and the other columns, or one row of words per bucket in use."""
         places = np.concatenate(self.places) if self.places else np.zeros(0, np.uint32)
-        words = list(self.words)
+        words = [w.encode("utf-8", "surrogatepass") for w in self.words]
+        name = xxhash.xxh3_128(places.tobytes())
+        name.update(b"\0".join(words))
+        block = name.hexdigest()
         order = np.argsort(-np.bincount(places, minlength=len(words)), kind="stable")
-        rank = np.empty(len(words), np.uint32)
-        rank[order] = np.arange(len(words), dtype=np.uint32)
-        words = [words[i] for i in order.tolist()]
-        bucket = np.fromiter((zlib.crc32(w.encode("utf-8", "surrogatepass")) % buckets for w in words), np.uint32,
-                             len(words))
-        sink = pa.BufferOutputStream()
-        with pa.ipc.new_stream(sink, self.rows[0].schema) as writer:
-            for batch in self.rows:
-                writer.write_batch(batch)
-        lengths = np.fromiter(map(len, self.places), np.uint32, len(self.places))
-        yield name, -1, _pack(lengths, rank[places] if len(places) else places, bucket), sink.getvalue().to_pybytes()
+        bucket = np.fromiter((zlib.crc32(w) % buckets for w in words), np.uint32, len(words))[order]
+        if positions:
+            rank = np.empty(len(words), np.uint32)
+            rank[order] = np.arange(len(words), dtype=np.uint32)
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, self.rows[0].schema) as writer:
+                for batch in self.rows:
+                    writer.write_batch(batch)
+            lengths = np.fromiter(map(len, self.places), np.uint32, len(self.places))
+            yield (block, -1, _pack(lengths, rank[places] if len(places) else places, bucket),
+                   zstandard.compress(sink.getvalue().to_pybytes(), 1))
+            return
         by = np.argsort(bucket, kind="stable")
         cuts = np.flatnonzero(np.diff(bucket[by])) + 1
         for group in np.split(by, cuts) if len(by) else []:
-            yield name, int(bucket[group[0]]), _pack_words([words[i] for i in group.tolist()]), None
+            yield block, int(bucket[group[0]]), _pack_words([words[i] for i in order[group].tolist()]), None
 
 
-def _blocks(text: int, buckets: int, block_chars: int):
+def _blocks(text: int, buckets: int, block_chars: int, positions: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def out(block: _Block) -> Iterator[pa.RecordBatch]:
-            for row in block.flush(buckets):
+            for row in block.flush(buckets, positions):
                 yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(
                     row, (pa.string(), pa.int32(), pa.binary(), pa.binary()), strict=True)],
                     ["block", "bucket", "data", "rows"])
@@ -175,49 +183,60 @@ def _spans(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.repeat(starts - (ends - lengths), lengths) + np.arange(total)
 
 
-def _reassemble(schema: pa.Schema):
-    def run(table: pa.Table) -> pa.Table:
+def _reassemble(schema: pa.Schema, slice_places: int = 200_000):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = pa.Table.from_batches(batches)
         bucket = table.column("bucket").to_numpy()
-        data = table.column("data")
-        head = int(np.flatnonzero(bucket < 0)[0])
-        lengths, places, home = _unpack(data[head].as_py())
-        others = pa.ipc.open_stream(table.column("rows")[head].as_py()).read_all()
-        counts, flat, starts = np.zeros(len(home), np.int64), [], np.zeros(len(home), np.int64)
-        at = 0
-        for i in np.flatnonzero(bucket >= 0).tolist():
-            n, ids = _unpack(data[i].as_py())
-            mine = np.flatnonzero(home == bucket[i])
-            counts[mine] = n
-            starts[mine] = at + np.cumsum(n.astype(np.int64)) - n
-            flat.append(ids)
-            at += len(ids)
-        ids = np.concatenate(flat) if flat else np.zeros(0, np.uint32)
-        per_place = counts[places]
-        out = ids[_spans(starts[places], per_place)].astype(np.int32)
-        ends = np.concatenate([[0], np.cumsum(per_place)])[np.cumsum(np.concatenate([[0], lengths.astype(np.int64)]))]
-        listed = pa.LargeListArray.from_arrays(pa.array(ends, pa.int64()), pa.array(out, pa.int32()))
-        columns = [c.combine_chunks() if isinstance(c, pa.ChunkedArray) else c for c in others.columns]
-        return pa.table([c.cast(f.type) for c, f in zip([*columns, listed], schema, strict=True)], schema=schema)
+        data, rows = table.column("data"), table.column("rows")
+        of = {int(bucket[i]): i for i in np.flatnonzero(bucket >= 0).tolist()}
+        heads = np.flatnonzero(bucket < 0).tolist()
+        if not heads:
+            raise RuntimeError("the input gave other rows when read again; settle it before encoding")
+        for head in heads:  # more than one only for blocks of equal content
+            lengths, places, home = _unpack(data[head].as_py())
+            counts, flat, starts, at = np.zeros(len(home), np.int64), [], np.zeros(len(home), np.int64), 0
+            for b in np.unique(home).tolist():
+                if b not in of:
+                    raise RuntimeError("the input gave other rows when read again; settle it before encoding")
+                n, ids = _unpack(data[of[b]].as_py())
+                mine = np.flatnonzero(home == b)
+                counts[mine] = n
+                starts[mine] = at + np.cumsum(n.astype(np.int64)) - n
+                flat.append(ids)
+                at += len(ids)
+            ids = np.concatenate(flat).astype(np.int32) if flat else np.zeros(0, np.int32)
+            others = pa.ipc.open_stream(zstandard.decompress(rows[head].as_py())).read_all().combine_chunks()
+            ends = np.cumsum(np.concatenate([[0], lengths.astype(np.int64)]))
+            first = 0
+            while first < len(lengths):
+                last = max(first + 1, int(np.searchsorted(ends, ends[first] + slice_places, "right")) - 1)
+                part = places[ends[first]:ends[last]]
+                size = counts[part]
+                cuts = np.concatenate([[0], np.cumsum(size)])[ends[first:last + 1] - ends[first]]
+                listed = pa.ListArray.from_arrays(pa.array(cuts.astype(np.int32)),
+                                                  pa.array(ids[_spans(starts[part], size)], pa.int32()))
+                columns = [c.chunk(0) for c in others.slice(first, last - first).columns] if others.num_columns else []
+                yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip([*columns, listed], schema, strict=True)],
+                                                 schema=schema)
+                first = last
     return run
 
 
 def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "text", into: str = "ids",
-           block_chars: int = 48_000_000, cache_words: int = 2_000_000, buckets: int | None = None) -> DataFrame:
+           block_chars: int = 12_000_000, cache_words: int = 2_000_000, buckets: int | None = None) -> DataFrame:
     """The other columns of ``docs`` and the token ids of the text (array of int)."""
     spark = docs.sparkSession
     buckets = buckets or max(16, int(spark.conf.get("spark.sql.shuffle.partitions")))
     others = [c for c in docs.columns if c != text]
-    blocks = settled(docs.select(*[col(c) for c in others], col(text)).mapInArrow(
-        _blocks(len(others), buckets, block_chars), _BLOCK_SCHEMA))
+    source = docs.select(*[col(c) for c in others], col(text))
+    words, positions = (source.mapInArrow(_blocks(len(others), buckets, block_chars, wanted), _BLOCK_SCHEMA)
+                        for wanted in (False, True))
     vocabulary = spark.sparkContext.broadcast(ranks)  # as large as the vocabulary file
-    encoded = blocks.filter("bucket >= 0").repartition("bucket").mapInArrow(
-        _encode_words(vocabulary, pattern, cache_words), _BLOCK_SCHEMA)
+    encoded = words.repartition("bucket").mapInArrow(_encode_words(vocabulary, pattern, cache_words), _BLOCK_SCHEMA)
     fields = [docs.schema[c] for c in others]
     plain = T.StructType([T.StructField(f"c{i}", f.dataType) for i, f in enumerate(fields)]
                          + [T.StructField("ids", T.ArrayType(T.IntegerType()))])
-    from pyspark.sql.pandas.types import to_arrow_schema
-
-    whole = blocks.filter("bucket < 0").unionByName(encoded).groupBy("block").applyInArrow(
+    whole = positions.unionByName(encoded).groupBy("block").applyInArrow(
         _reassemble(to_arrow_schema(plain)), plain)
     return whole.toDF(*others, into)
 

@@ -1,15 +1,17 @@
 """Near-duplicates by improved consistent weighted sampling over TF-IDF shingles.
 
-Equal texts collapse to one first. Every distinct text becomes a weighted bag of five-word shingles: how often the
+Every text becomes a weighted bag of five-word shingles: how often the
 shingle occurs times its inverse document frequency, which a count-min table of fixed size estimates from all texts.
-Consistent weighted samples of the bag form a sketch; bands of it are the buckets. Links are candidate pairs whose
+Consistent weighted samples of the bag form a sketch; bands of it are the buckets. Equal texts collapse to one sketch
+before anything is bucketed, and only texts that share a bucket with another one travel again. Links are candidate pairs whose
 weighted Jaccard similarity, computed from the whole texts, is at least the threshold, and classes are the connected
 components of the links.
 
-A bucket never emits all its pairs. Every member is first compared with the bucket's smallest member. Members of a
-bucket that are then still in different classes are compared with each other in blocks, sketch against sketch, and only
-pairs that could reach the threshold are verified. So a group of copies costs work in proportion to its size, and no
-candidate link between two classes is left out.
+A bucket never emits all its pairs. Every member is first linked with the smallest member of one of its buckets, the one
+whose sketch agrees best, for a few rounds. Members of a bucket that are then still in different classes are compared in
+blocks, sketch against sketch, and pairs that could reach the threshold are verified inside the block, which emits only
+links that join two classes. So output stays in proportion to the members, and no candidate link between two classes is
+left out.
 
 Defined results: a text with one to four words has one shingle, its whole word list; texts without words are alike only
 if they are equal; a null text is in no class with another row. Rows without an id take part; the class id is the
@@ -26,18 +28,21 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kairoline.llm.common import col, fresh, settled, words
+from kairoline.llm.common import col, fresh, settled, sized, words
 
 SHINGLE = 5
-SAMPLES = 64
-BAND = 4
+#: Twelve bands of three: a pair at the threshold shares no bucket with odds of 2 in 10,000, one at 0.9 of 1 in 10^7.
+SAMPLES = 36
+BAND = 3
 THRESHOLD = 0.8
 FLOOR = 0.8
 #: Count-min table: rows x 2^CELLS counters, 8 MB whatever the size of the corpus.
 ROWS, CELLS = 2, 20
-#: A pair whose sketches agree in fewer samples cannot reach the threshold but for odds of about 1 in 10^5.
-MAYBE = 35
+#: A pair at the threshold has sketches that agree in fewer samples with odds of about 2 in 10,000.
+MAYBE = 20
 BLOCK = 512
+#: Rounds of best stars before the blocks.
+ROUNDS = 2
 _POOL = 1 << 16
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -80,14 +85,23 @@ def document_frequencies(distinct: DataFrame, text: str) -> np.ndarray:
     piece = 4096
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, n = np.zeros(ROWS << CELLS, np.int64), 0
+        held, n, waiting, queue = np.zeros(ROWS << CELLS, np.int64), 0, 0, []
+
+        def drain():
+            if queue:
+                for cells in _cells(np.concatenate(queue)):
+                    held.__iadd__(np.bincount(cells, minlength=len(held)))
+                queue.clear()
+
         for batch in batches:
             for x in _lists(batch.column(0)):
-                for cells in _cells(np.unique(shingles(x))):
-                    held += np.bincount(cells, minlength=len(held)) if len(cells) > len(held) // 8 else 0
-                    if len(cells) <= len(held) // 8:
-                        np.add.at(held, cells, 1)
+                queue.append(np.unique(shingles(x)))
+                waiting += len(x)
                 n += 1
+                if waiting > 2_000_000:
+                    drain()
+                    waiting = 0
+        drain()
         if n:
             parts = held.reshape(-1, piece)
             used = np.flatnonzero(parts.any(axis=1))
@@ -156,24 +170,44 @@ def sketches(bags: list[tuple[np.ndarray, np.ndarray]], samples: int = SAMPLES)
     keys = (np.random.default_rng(7).integers(0, 1 << 63, samples, np.uint64) << np.uint64(1)) | np.uint64(1)
     out = np.empty((len(bags), samples), np.int32)
     at = 0
-    while at < len(bags):  # a few ten thousand shingles at a time stay in the processor's cache
+    while at < len(bags):  # some ten thousand shingles at a time stay in the processor's cache
         end, n = at, 0
-        while end < len(bags) and (end == at or n + len(bags[end][0]) <= 40_000):
+        while end < len(bags) and (end == at or n + len(bags[end][0]) <= 16_000):
             n += len(bags[end][0])
             end += 1
         s = np.concatenate([b[0] for b in bags[at:end]])
         log_s = np.log(np.concatenate([b[1] for b in bags[at:end]])).astype(np.float32)
         starts = np.cumsum([0, *(len(b[0]) for b in bags[at:end - 1])])
-        with np.errstate(over="ignore"):
-            for k in range(samples):
-                x = s * keys[k]
-                i = (x >> np.uint64(48)).astype(np.intp)
-                t = np.floor(log_s * inverse[i] + beta[i])
-                log_a = log_c[i] - r[i] * (t - beta[i] + np.float32(1))
-                bits = log_a.view(np.int32)
-                rank = (bits ^ ((bits >> 31) & np.int32(0x7FFFFFFF))).astype(np.int64) << 32
-                name = ((x >> np.uint64(16)).astype(np.uint32) + t.astype(np.int32).view(np.uint32) * np.uint32(2654435761))
-                out[at:end, k] = np.minimum.reduceat(rank | name.astype(np.int64), starts).astype(np.uint32).view(np.int32)
+        x, i, name = np.empty(n, np.uint64), np.empty(n, np.int64), np.empty(n, np.uint64)
+        t, u, g = (np.empty(n, np.float32) for _ in range(3))
+        sign, rank = np.empty(n, np.int32), np.empty(n, np.int64)
+        for k in range(samples):
+            np.multiply(s, keys[k], out=x)
+            np.right_shift(x, np.uint64(48), out=i.view(np.uint64))
+            np.take(beta, i, out=u, mode="clip")
+            np.take(inverse, i, out=t, mode="clip")
+            t *= log_s
+            t += u
+            np.floor(t, out=t)
+            np.subtract(t, u, out=u)
+            u += np.float32(1)
+            np.take(r, i, out=g, mode="clip")
+            u *= g
+            np.take(log_c, i, out=g, mode="clip")
+            g -= u
+            bits = g.view(np.int32)  # as an integer that sorts like the float
+            np.right_shift(bits, 31, out=sign)
+            sign &= np.int32(0x7FFFFFFF)
+            sign ^= bits
+            rank[:] = sign
+            rank <<= 32
+            x >>= np.uint64(16)
+            np.multiply(t, np.float32(8191), out=t)
+            name[:] = t.astype(np.int64).view(np.uint64)
+            x += name
+            x &= np.uint64(0xFFFFFFFF)
+            rank |= x.view(np.int64)
+            out[at:end, k] = np.minimum.reduceat(rank, starts).astype(np.uint32).view(np.int32)
         at = end
     return out
 
@@ -191,7 +225,7 @@ def _bands(sketch: np.ndarray) -> np.ndarray:
 
 
 def sketched(distinct: DataFrame, table: np.ndarray) -> DataFrame:
-    """``tid``, sketch and bucket keys of every text that has words."""
+    """``tid``, sketch and bucket keys of every text that has words; equal texts give equal rows."""
     shared = distinct.sparkSession.sparkContext.broadcast(table)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -254,15 +288,15 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     raise RuntimeError(f"components did not settle in {rounds} rounds")
 
 
-def _cross_pairs(members: DataFrame) -> DataFrame:
-    """Pairs of a bucket in different classes whose sketches may reach the threshold; compared in blocks.
+def _blocks(members: DataFrame, *carried: str) -> DataFrame:
+    """``members`` of each bucket as block pairs (i, j): outsiders against all, ``out`` marks the outsiders.
 
-    ``members``: bucket, tid, root, sketch, main (class of the bucket's first member). One side of every pair is
-    outside the main class, so members of a large class are never compared among themselves.
+    Outsiders are not in the class of the bucket's first member (``main``), so members of a large class are never compared
+    among themselves.
     """
-    sized = members.groupBy("bucket").agg(
+    counts = members.groupBy("bucket").agg(
         F.count(F.lit(1)).alias("n"), F.sum(F.when(F.col("root") != F.col("main"), 1).otherwise(0)).alias("outside"))
-    pieces = sized.filter("outside > 0").select(
+    pieces = counts.filter("outside > 0").select(
         "bucket", F.ceil(F.col("n") / BLOCK).cast("int").alias("np"), F.ceil(F.col("outside") / BLOCK).cast("int").alias("no"))
     placed = members.join(pieces, "bucket")
 
@@ -272,54 +306,131 @@ def _cross_pairs(members: DataFrame) -> DataFrame:
     def all_of(count: str) -> Column:
         return F.explode(F.sequence(F.lit(0), F.col(count) - 1))
 
+    rest = ["tid", "root", "band", "sketch", *carried]
     left = placed.filter("root <> main").select("bucket", slot("no").alias("i"), all_of("np").alias("j"),
-                                                F.lit(True).alias("out"), "tid", "root", "sketch")
-    right = placed.select("bucket", all_of("no").alias("i"), slot("np").alias("j"), F.lit(False).alias("out"), "tid",
-                          "root", "sketch")
-
-    def compare(table: pa.Table) -> pa.Table:
-        out = table.column("out").to_numpy(zero_copy_only=False).astype(bool)
-        tid = np.array(table.column("tid").to_pylist(), object)
-        root = np.array(table.column("root").to_pylist(), object)
-        sk = np.frombuffer(b"".join(x.as_py() for x in table.column("sketch")), "<i4").reshape(len(tid), -1)
-        o, m = np.flatnonzero(out), np.flatnonzero(~out)
-        pairs = set()
-        for i in o.tolist():
-            close = m[((sk[m] == sk[i]).sum(axis=1) >= MAYBE) & (root[m] != root[i])]
-            pairs.update((min(tid[i], t), max(tid[i], t)) for t in tid[close])
-        ordered = sorted(pairs)
-        return pa.table({"b": pa.array([p[0] for p in ordered], pa.string()),
-                         "a": pa.array([p[1] for p in ordered], pa.string())})
-
-    return left.union(right).groupBy("bucket", "i", "j").applyInArrow(compare, "b string, a string").distinct()
-
-
-def links(distinct: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFrame, DataFrame]:
-    """Verified links (a, b) between different texts, and the class root of every linked text."""
-    table = document_frequencies(distinct, "text")
-    sk = settled(sketched(distinct, table))
-    buckets = sk.select("tid", F.explode("bands").alias("bucket"))
+                                                F.lit(True).alias("out"), *rest)
+    right = placed.select("bucket", all_of("no").alias("i"), slot("np").alias("j"), F.lit(False).alias("out"), *rest)
+    return left.union(right)
+
+
+def _close(table: pa.Table) -> Iterator[tuple[int, np.ndarray]]:
+    """Each outsider of a block, and the members in other classes that it could be linked to.
+
+    A pair that shares several buckets is taken in its first one only.
+    """
+    out = table.column("out").to_numpy(zero_copy_only=False).astype(bool)
+    root = np.array(table.column("root").to_pylist(), object)
+    sk = np.frombuffer(b"".join(x.as_py() for x in table.column("sketch")), "<i4").reshape(len(root), -1)
+    band = table.column("band")[0].as_py() if len(root) else 0
+    m = np.flatnonzero(~out)
+    for i in np.flatnonzero(out).tolist():
+        same = sk[m] == sk[i]
+        good = (same.sum(axis=1) >= MAYBE) & (root[m] != root[i])
+        if good.any():
+            shared = same[good].reshape(int(good.sum()), -1, BAND).all(axis=2)
+            found = m[good][shared.argmax(axis=1) == band]
+            if len(found):
+                yield i, found
+
+
+def _cross_links(members: DataFrame, distinct: DataFrame, table: np.ndarray, threshold: float) -> DataFrame:
+    """Verified links (a, b) that join classes which share a bucket."""
+    shared = distinct.sparkSession.sparkContext.broadcast(table)
+
+    def flag(block: pa.Table) -> pa.Table:
+        tid, found = block.column("tid").to_pylist(), set()
+        for i, near in _close(block):
+            found.add(tid[i])
+            found.update(tid[n] for n in near.tolist())
+        return pa.table({"tid": pa.array(sorted(found), pa.string()),
+                         "bucket": pa.array([block.column("bucket")[0].as_py()] * len(found), pa.int64())})
+
+    def link(block: pa.Table) -> pa.Table:
+        tid, root = block.column("tid").to_pylist(), block.column("root").to_pylist()
+        hashes = list(_lists(block.column("h").combine_chunks()))
+        bags: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        above: dict[str, str] = {}
+
+        def top(x: str) -> str:
+            while x in above:
+                x = above[x]
+            return x
+
+        def bag(i: int) -> tuple[np.ndarray, np.ndarray]:
+            if i not in bags:
+                bags[i] = weigh(hashes[i], shared.value)
+            return bags[i]
+
+        ends = []
+        for i, near in _close(block):
+            for n in near.tolist():
+                x, y = top(root[i]), top(root[n])
+                if x != y and similarity(bag(i), bag(n)) >= threshold:
+                    above[max(x, y)] = min(x, y)
+                    ends.append((max(tid[i], tid[n]), min(tid[i], tid[n])))
+        return pa.table({"a": pa.array([e[0] for e in ends], pa.string()),
+                         "b": pa.array([e[1] for e in ends], pa.string())})
+
+    flagged = settled(_blocks(members).groupBy("bucket", "i", "j").applyInArrow(
+        flag, "tid string, bucket bigint").distinct())
+    texts = distinct.select("tid", word_hashes(F.col("text")).alias("h"))
+    full = members.join(flagged, ["bucket", "tid"]).join(texts, "tid")
+    return _blocks(full, "h").groupBy("bucket", "i", "j").applyInArrow(link, "a string, b string").distinct()
+
+
+def _agreement(pairs: DataFrame, sk: DataFrame) -> DataFrame:
+    """``pairs`` (a, b) with the number of samples in which their sketches agree."""
+    @F.pandas_udf("int")
+    def same(x: pd.Series, y: pd.Series) -> pd.Series:
+        if not len(x):
+            return pd.Series([], dtype="int32")
+        u, v = (np.frombuffer(b"".join(s), "<i4").reshape(len(s), -1) for s in (x, y))
+        return pd.Series((u == v).sum(axis=1).astype(np.int32))
+
+    left = sk.select(F.col("tid").alias("a"), F.col("sketch").alias("sa"))
+    right = sk.select(F.col("tid").alias("b"), F.col("sketch").alias("sb"))
+    return pairs.join(left, "a").join(right, "b").select("a", "b", same("sa", "sb").alias("same"))
+
+
+def links(texts: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFrame, DataFrame]:
+    """Verified links (a, b) between different texts, and the class root of every linked text.
+
+    ``texts``: ``tid`` and ``text``, one row per document.
+    """
+    table = document_frequencies(texts, "text")
+    sk = settled(sketched(texts, table).groupBy("tid").agg(
+        F.first("sketch").alias("sketch"), F.first("bands").alias("bands")))
+    buckets = sk.select("tid", F.posexplode("bands").alias("band", "bucket"))
     first = buckets.groupBy("bucket").agg(F.min("tid").alias("b"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-    shared = settled(buckets.join(first, "bucket").select("bucket", "tid", "b"))
-    stars = shared.filter("tid <> b").select(F.col("tid").alias("a"), "b")
-    # one comparison per text settles most groups; the rest of the stars follow only where classes still differ
-    nearest = settled(verify(stars.groupBy("a").agg(F.min("b").alias("b")), distinct, table, threshold))
-    labels = components(nearest)
+    shared = settled(buckets.join(first, "bucket").select("bucket", "band", "tid", "b"))
+    stars = settled(_agreement(shared.filter("tid <> b").select(F.col("tid").alias("a"), "b").distinct(), sk)
+                    .filter(F.col("same") >= MAYBE))
+    involved = sized(settled(shared.select("tid").distinct()))
+    distinct = settled(texts.join(involved, "tid", "left_semi").dropDuplicates(["tid"]))
+    found = labels = None
 
     def root_of(df: DataFrame, key: str, name: str) -> DataFrame:
+        if labels is None:
+            return df.withColumn(name, F.col(key))
         known = labels.select(F.col("tid").alias(key), F.col("root").alias(f"_{name}"))
         return df.join(known, key, "left").withColumn(name, F.coalesce(f"_{name}", key)).drop(f"_{name}")
 
-    open_stars = root_of(root_of(stars.distinct(), "a", "ra"), "b", "rb").filter("ra <> rb").select("a", "b")
-    more = settled(verify(open_stars, distinct, table, threshold))
-    found = settled(nearest.union(more))
-    labels = components(found)
+    tried = None
+    for _ in range(ROUNDS):
+        open_ = root_of(root_of(stars, "a", "ra"), "b", "rb").filter("ra <> rb").select("a", "b", "same")
+        if tried is not None:
+            open_ = open_.join(tried, ["a", "b"], "left_anti")
+        best = settled(open_.groupBy("a").agg(F.max_by("b", F.struct("same", "b")).alias("b")))
+        tried = best if tried is None else tried.union(best)
+        good = settled(verify(best, distinct, table, threshold))
+        found = good if found is None else settled(found.union(good))
+        labels = components(found)
     members = root_of(root_of(shared, "tid", "root"), "b", "main")
     mixed = members.filter("root <> main").select("bucket").distinct()
-    cross = settled(_cross_pairs(members.join(mixed, "bucket").join(sk.select("tid", "sketch"), "tid")))
-    last = settled(verify(cross, distinct, table, threshold))
+    members = settled(members.join(mixed, "bucket").join(sk.select("tid", "sketch"), "tid"))
+    last = settled(_cross_links(members, distinct, table, threshold))
     if last.limit(1).count():
-        found = settled(found.union(last).distinct())
+        found = settled(found.union(last))
         labels = components(found)
     return found, labels
 
@@ -327,11 +438,9 @@ def links(distinct: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFrame,
 def classes(docs: DataFrame, id_col: str = "doc_id", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """One row per document: ``id_col``, ``tid`` (digest of the text), ``class_key``, ``class_id``, ``class_size`` and
     ``first`` (the row's id and text represent the class)."""
-    (key,) = fresh(docs, "near_tid")
     rows = settled(docs.select(col(id_col).alias("id"), F.md5(col(text)).alias("tid")))
-    distinct = settled(docs.filter(col(text).isNotNull()).select(F.md5(col(text)).alias("tid"), col(text).alias("text"))
-                       .dropDuplicates(["tid"]))
-    _, labels = links(distinct, threshold)
+    texts = docs.filter(col(text).isNotNull()).select(F.md5(col(text)).alias("tid"), col(text).alias("text"))
+    _, labels = links(texts, threshold)
     rooted = rows.join(labels, "tid", "left").withColumn("class_key", F.coalesce(
         "root", "tid", F.concat(F.lit("null:"), F.coalesce(F.col("id").cast("string"), F.lit("")))))
     per = rooted.groupBy("class_key").agg(
@@ -342,12 +451,24 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text: str = "text", thresho
     return out.select(F.col("id").alias(id_col), "tid", "class_key", "class_id", "class_size", is_first.alias("first"))
 
 
+def _row_key(id_: Column, tid: Column) -> Column:
+    return F.concat_ws(":", F.coalesce(id_.cast("string"), F.lit("-")), F.coalesce(tid, F.lit("-")))
+
+
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """One document of every class: the one with the smallest id; of rows equal in id and text, one. Rows with a null
-    text are in classes by their id."""
+    text are in classes by their id.
+
+    Texts move only where rows are equal in id and text, or where the rows to drop are too many to broadcast.
+    """
     (key,) = fresh(docs, "near_key")
-    mark = F.concat_ws(":", F.coalesce(col(id_col).cast("string"), F.lit("-")), F.coalesce(F.md5(col(text)), F.lit("-")))
-    found = classes(docs, id_col, text, threshold).filter("first").select(F.concat_ws(
-        ":", F.coalesce(col(id_col).cast("string"), F.lit("-")), F.coalesce("tid", F.lit("-"))).alias(key)).distinct()
-    kept = docs.withColumn(key, mark).join(found, key, "left_semi")
-    return kept.dropDuplicates([key]).select(*[col(c) for c in docs.columns])
+    judged = settled(classes(docs, id_col, text, threshold).select(
+        _row_key(col(id_col), F.col("tid")).alias(key), "first"))
+    dropped = sized(settled(judged.filter(~F.col("first")).select(key).distinct()))
+    marked = docs.withColumn(key, _row_key(col(id_col), F.md5(col(text)))).join(dropped, key, "left_anti")
+    twice = settled(judged.filter("first").groupBy(key).count().filter("count > 1").select(key))
+    if twice.limit(1).count():
+        again = sized(twice)
+        marked = marked.join(again, key, "left_anti").unionByName(
+            marked.join(again, key, "left_semi").dropDuplicates([key]))
+    return marked.select(*[col(c) for c in docs.columns])
