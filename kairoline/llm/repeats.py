@@ -34,7 +34,7 @@ _WORD = re.compile(r"\S+")
 
 
 def sentences(text: str | None) -> list[tuple[int, int, list[str]]]:
-    """Start, end (code points, trailing white space included) and lower-case words of every sentence."""
+    """Start, end (code points, white space before it included) and lower-case words of every sentence."""
     out: list[tuple[int, int, list[str]]] = []
     if not text:
         return out
