@@ -18,9 +18,10 @@ from kairoline.session import settle
 
 def difference(df: DataFrame, series: Sequence[str], ts: str, value: str, out: str = "d",
                hours: float = 3) -> DataFrame:
-    """y(t) - y(t-1); the first row of a series is dropped."""
-    lagged = previous(df, series, ts, value, "_before", hours)
-    return lagged.where(F.col("_before").isNotNull()).select(*df.columns, (F.col(value) - F.col("_before")).alias(out))
+    """y(t) - y(t-1); only the first row of a series is dropped, next to a gap the difference is null."""
+    lagged = previous(df.withColumn("_at", F.struct(value)), series, ts, "_at", "_before", hours)
+    return lagged.where(F.col("_before").isNotNull()).select(
+        *df.columns, (F.col(value) - F.col(f"_before.{value}")).alias(out))
 
 
 def undifference(df: DataFrame, starts: DataFrame, series: Sequence[str], ts: str, diff: str,

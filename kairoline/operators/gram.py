@@ -50,8 +50,10 @@ class Gram:
         return Gram(tuple(names), self.shift[[*at, -1]], self.sums[np.ix_(cols, cols)])
 
 
-def accumulate_by(df: DataFrame, features: Sequence[str], label: str, segment: str | None = None) -> dict[int, Gram]:
-    """Sums per segment. Rows with a null in any used column are left out.
+def accumulate_by(df: DataFrame, features: Sequence[str], label: str, segment: str | None = None,
+                  nulls: str = "error") -> dict[int, Gram]:
+    """Sums per segment. A null or NaN in a used column raises with the counts per column, found in the same pass;
+    ``nulls="drop"`` leaves such rows out instead.
 
     Columns are shifted by the values of some row first, so no digits are lost to large offsets;
     the shift changes the arithmetic only, not the sums about the mean.
@@ -60,19 +62,27 @@ def accumulate_by(df: DataFrame, features: Sequence[str], label: str, segment: s
     used = df.select(
         (F.col(segment) if segment else F.lit(0)).cast("int").alias("_segment"),
         *[F.col(c).cast("double").alias(f"_c{i}") for i, c in enumerate(cols)],
-    ).na.drop()
-    row = used.first()
+    )
+    if nulls not in ("error", "drop"):
+        raise ValueError(f"unknown null policy: {nulls}")
+    row = used.na.drop().first() or (used.limit(1).count() and (0, *[0.0] * len(cols))) or None
     if row is None:
         return {}
     shift = np.array(row[1:], float)
     width = len(cols) + 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        totals: dict[int, np.ndarray] = {}
+        totals: dict[int | None, np.ndarray] = {}
         for batch in batches:
             seg = batch.column(0).to_numpy(zero_copy_only=False)
             z = np.column_stack([np.ones(len(seg)), *[
                 batch.column(i + 1).to_numpy(zero_copy_only=False) - shift[i] for i in range(len(cols))]])
+            gaps = np.isnan(z)
+            if gaps.any():
+                lost = totals.setdefault(None, np.zeros((width, width)))
+                lost[0] += gaps.sum(axis=0)
+                whole = ~gaps.any(axis=1)
+                z, seg = z[whole], seg[whole]
             for s in np.unique(seg):
                 part = z[seg == s]
                 totals[int(s)] = totals.get(int(s), np.zeros((width, width))) + part.T @ part
@@ -84,6 +94,11 @@ def accumulate_by(df: DataFrame, features: Sequence[str], label: str, segment: s
     parts = used.mapInArrow(run, "segment int, sums array<double>")
     summed = parts.groupBy("segment").agg(Summarizer.sum(array_to_vector("sums")).alias("s"))
     rows = summed.select("segment", vector_to_array("s").alias("s")).collect()  # segments x p^2 numbers
+    lost = next((r["s"][1:width] for r in rows if r["segment"] is None), None)
+    if lost is not None and nulls == "error":
+        where = ", ".join(f"{c} ({int(n)})" for c, n in zip(cols, lost, strict=True) if n)
+        raise ValueError(f"nulls left in {where}; impute them or pass nulls='drop'")
+    rows = [r for r in rows if r["segment"] is not None]
     return {r["segment"]: Gram(tuple(features), shift, np.array(r["s"]).reshape(width, width)) for r in rows}
 
 

@@ -6,7 +6,7 @@ from kairoline.plans.search import Candidate
 
 SEED = 42
 
-# Default parameters and tuning grids per model type.
+# Default parameters and tuning grids per model type; depths end at 30.
 BASELINE = (
     Candidate("LinearRegression", {}, scaling=True),
     Candidate("Ridge", {"alpha": 1.0, "random_state": SEED}, True, {"alpha": [0.1, 1.0, 10.0, 100.0]}),
@@ -17,10 +17,10 @@ SHALLOW = (
     Candidate("ElasticNet", {"alpha": 1.0, "l1_ratio": 0.5, "random_state": SEED}, True,
               {"alpha": [0.1, 1.0, 10.0], "l1_ratio": [0.1, 0.3, 0.5, 0.7, 0.9]}),
     Candidate("RandomForest", {"n_estimators": 100, "max_depth": 10, "random_state": SEED}, False,
-              {"n_estimators": [50, 100, 200], "max_depth": [5, 10, 20, 100], "min_samples_split": [2, 5, 10],
+              {"n_estimators": [50, 100, 200], "max_depth": [5, 10, 20, 30], "min_samples_split": [2, 5, 10],
                "min_samples_leaf": [1, 2, 4]}),
     Candidate("ExtraTreesRegressor", {"n_estimators": 100, "max_depth": 10, "random_state": SEED}, False,
-              {"n_estimators": [50, 100, 200], "max_depth": [5, 10, 20, 100], "min_samples_split": [2, 5, 10]}),
+              {"n_estimators": [50, 100, 200], "max_depth": [5, 10, 20, 30], "min_samples_split": [2, 5, 10]}),
     Candidate("GradientBoostingRegressor", {"n_estimators": 100, "max_depth": 4, "learning_rate": 0.1, "random_state": SEED}, False,
               {"n_estimators": [50, 100, 200], "max_depth": [3, 4, 5, 6], "learning_rate": [0.01, 0.1, 0.2]}),
     Candidate("XGBRegressor", {"n_estimators": 100, "max_depth": 4, "learning_rate": 0.1, "random_state": SEED}, False,

@@ -292,7 +292,10 @@ def neighbour_means(receivers: DataFrame, donors: DataFrame, ids: Sequence[str],
 
 
 def _depth(value) -> int:
-    return 30 if value is None else min(int(value), 30)  # Spark ML grows trees to depth 30 at most
+    """Spark ML grows trees to depth 30 at most; an open depth means that, a deeper one is refused."""
+    if value is not None and int(value) > 30:
+        raise ValueError(f"max_depth {value}: trees end at depth 30")
+    return 30 if value is None else int(value)
 
 
 def _subset(value) -> str:

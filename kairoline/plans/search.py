@@ -215,6 +215,7 @@ def trials(spark: SparkSession, evaluation: Evaluation) -> DataFrame:
 
 
 def best_candidate(board: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """Lowest error; the earliest on ties."""
+    """Lowest error; the earliest on ties. Candidates without a score do not count."""
+    board = board.where(F.col("cv_rmse").isNotNull() & ~F.isnan("cv_rmse"))
     best = F.min_by(F.struct(*[c for c in board.columns if c not in by]), F.struct("cv_rmse", "seq"))
     return board.groupBy(*by).agg(best.alias("_b")).where(F.col("_b").isNotNull()).select(*by, "_b.*")

@@ -42,7 +42,9 @@ class RunTables:
     def read(self, name: str) -> DataFrame:
         try:
             return self.spark.read.schema(schema(name)).parquet(self.path(name))
-        except AnalysisException:  # nothing written yet
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":  # anything but "nothing written yet" is an error
+                raise
             return self.spark.createDataFrame([], schema(name))
 
     def append(self, name: str, rows: DataFrame) -> None:

@@ -28,10 +28,12 @@ def get_session(app: str = "kairoline", master: str | None = None, **conf: str)
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared folder named by the cluster; a local one only where none is set."""
+    """The shared folder named by the cluster; a temporary one only for a local master where none is set."""
     sc = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not named:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         named = tempfile.mkdtemp(prefix="kairoline-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(named)
@@ -50,13 +52,3 @@ def settle(df: DataFrame) -> DataFrame:
     """
     checkpoint_root(df.sparkSession)
     return df.checkpoint(eager=True)
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Use all cores in iterative fits over a scan with few splits (small or single-group files).
-
-    A table that already has a split per core is left as it is, so nothing large is shuffled.
-    Meant for plain scans: asking a plan with shuffles for its partitions would run them.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

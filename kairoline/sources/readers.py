@@ -8,8 +8,16 @@ from pyspark.sql import types as T
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Header CSV under a given schema; the file is never scanned to infer types."""
-    return spark.read.schema(schema).option("header", True).csv(path)
+    """Header CSV under a given schema; columns are found by name, in any order, and types are never inferred.
+
+    Missing or unknown columns raise; a value that does not fit its type becomes null.
+    """
+    found = spark.read.option("header", True).option("inferSchema", False).csv(path)
+    missing = [f.name for f in schema if f.name not in found.columns]
+    unknown = [c for c in found.columns if c not in schema.names]
+    if missing or unknown:
+        raise ValueError(f"{path}: missing columns {missing}, unknown columns {unknown}")
+    return found.select(*[F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in schema])
 
 
 def load_tables(spark: SparkSession, data_path: str, train: str, test: str, submission: str,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,11 +27,11 @@ def write_predictions(scored: DataFrame, path: str, keys: Sequence[str] = ("ts",
 def missing_outputs(spark: SparkSession, root: str, expected: Sequence[str]) -> DataFrame:
     """Expected paths (relative to ``root``) under which no file was written."""
     base = root.rstrip("/")
-    found = (
-        spark.read.format("binaryFile").option("recursiveFileLookup", True).load(base)
-        .select(F.regexp_replace("path", "^file:/*", "/").alias("path"))
-    )
+    plain = re.sub("^file:/*", "/", base)
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(base).select(
+        F.split(F.substr(F.regexp_replace("path", "^file:/*", "/"), F.lit(len(plain) + 2)), "/").alias("parts"))
+    # a file proves every folder above it
+    there = found.select(F.explode(F.transform(F.sequence(F.lit(1), F.size("parts")), lambda n: F.array_join(
+        F.slice("parts", F.lit(1), n), "/"))).alias("expected")).distinct()
     wanted = spark.createDataFrame([(e,) for e in expected], "expected string")
-    under = F.concat(F.lit(base.removeprefix("file:") + "/"), F.col("expected"))
-    hit = found["path"].startswith(F.concat(under, F.lit("/"))) | (found["path"] == under)
-    return wanted.join(found, hit, "left_anti")
+    return wanted.join(there, "expected", "left_anti")
