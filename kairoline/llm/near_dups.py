@@ -20,11 +20,14 @@ smallest id of the class, null if it has none. Repeated rows are in one class. A
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import xxhash
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -44,6 +47,7 @@ BLOCK = 512
 #: Rounds of best stars before the blocks.
 ROUNDS = 2
 _POOL = 1 << 16
+_WORD = re.compile(r"[^ \t-\r]+")
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -58,6 +62,11 @@ def word_hashes(text: Column) -> Column:
     return F.transform(words(text), lambda w: F.xxhash64(w))
 
 
+def hash_words(text: str) -> np.ndarray:
+    """``word_hashes`` of one text, inside a task."""
+    return np.array([xxhash.xxh64_intdigest(w.encode(), 42) for w in _WORD.findall(text)], np.uint64).view(np.int64)
+
+
 def shingles(hashes: np.ndarray) -> np.ndarray:
     """64-bit shingles of a list of word hashes, in order of position."""
     h = hashes.astype(np.int64).view(np.uint64)
@@ -123,7 +132,7 @@ def document_frequencies(distinct: DataFrame, text: str) -> np.ndarray:
             out[-1] = got[0]
         else:
             out[r.piece * piece:(r.piece + 1) * piece] = got
-    return out
+    return out.astype(np.int32) if out.max(initial=0) < 1 << 31 else out
 
 
 def _lists(column: pa.ListArray) -> Iterator[np.ndarray]:
@@ -224,10 +233,8 @@ def _bands(sketch: np.ndarray) -> np.ndarray:
     return out.view(np.int64)
 
 
-def sketched(distinct: DataFrame, table: np.ndarray) -> DataFrame:
+def sketched(distinct: DataFrame, shared: Broadcast) -> DataFrame:
     """``tid``, sketch and bucket keys of every text that has words; equal texts give equal rows."""
-    shared = distinct.sparkSession.sparkContext.broadcast(table)
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for start in range(0, whole.num_rows, 500):
@@ -246,10 +253,8 @@ def sketched(distinct: DataFrame, table: np.ndarray) -> DataFrame:
         run, "tid string, sketch binary, bands array<bigint>")
 
 
-def verify(pairs: DataFrame, distinct: DataFrame, table: np.ndarray, threshold: float) -> DataFrame:
+def verify(pairs: DataFrame, distinct: DataFrame, shared: Broadcast, threshold: float) -> DataFrame:
     """Pairs (a, b) whose texts reach the threshold."""
-    shared = distinct.sparkSession.sparkContext.broadcast(table)
-
     @F.pandas_udf("double")
     def exact(left: pd.Series, right: pd.Series) -> pd.Series:
         last_key, last = None, None
@@ -333,10 +338,8 @@ def _close(table: pa.Table) -> Iterator[tuple[int, np.ndarray]]:
                 yield i, found
 
 
-def _cross_links(members: DataFrame, distinct: DataFrame, table: np.ndarray, threshold: float) -> DataFrame:
+def _cross_links(members: DataFrame, distinct: DataFrame, shared: Broadcast, threshold: float) -> DataFrame:
     """Verified links (a, b) that join classes which share a bucket."""
-    shared = distinct.sparkSession.sparkContext.broadcast(table)
-
     def flag(block: pa.Table) -> pa.Table:
         tid, found = block.column("tid").to_pylist(), set()
         for i, near in _close(block):
@@ -347,7 +350,7 @@ def _cross_links(members: DataFrame, distinct: DataFrame, table: np.ndarray, thr
 
     def link(block: pa.Table) -> pa.Table:
         tid, root = block.column("tid").to_pylist(), block.column("root").to_pylist()
-        hashes = list(_lists(block.column("h").combine_chunks()))
+        texts = block.column("text")
         bags: dict[int, tuple[np.ndarray, np.ndarray]] = {}
         above: dict[str, str] = {}
 
@@ -358,7 +361,7 @@ def _cross_links(members: DataFrame, distinct: DataFrame, table: np.ndarray, thr
 
         def bag(i: int) -> tuple[np.ndarray, np.ndarray]:
             if i not in bags:
-                bags[i] = weigh(hashes[i], shared.value)
+                bags[i] = weigh(hash_words(texts[i].as_py()), shared.value)
             return bags[i]
 
         ends = []
@@ -373,9 +376,8 @@ def _cross_links(members: DataFrame, distinct: DataFrame, table: np.ndarray, thr
 
     flagged = settled(_blocks(members).groupBy("bucket", "i", "j").applyInArrow(
         flag, "tid string, bucket bigint").distinct())
-    texts = distinct.select("tid", word_hashes(F.col("text")).alias("h"))
-    full = members.join(flagged, ["bucket", "tid"]).join(texts, "tid")
-    return _blocks(full, "h").groupBy("bucket", "i", "j").applyInArrow(link, "a string, b string").distinct()
+    full = members.join(flagged, ["bucket", "tid"]).join(distinct, "tid")
+    return _blocks(full, "text").groupBy("bucket", "i", "j").applyInArrow(link, "a string, b string").distinct()
 
 
 def _agreement(pairs: DataFrame, sk: DataFrame) -> DataFrame:
@@ -397,7 +399,7 @@ def links(texts: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFrame, Da
 
     ``texts``: ``tid`` and ``text``, one row per document.
     """
-    table = document_frequencies(texts, "text")
+    table = texts.sparkSession.sparkContext.broadcast(document_frequencies(texts, "text"))  # one copy for all steps
     sk = settled(sketched(texts, table).groupBy("tid").agg(
         F.first("sketch").alias("sketch"), F.first("bands").alias("bands")))
     buckets = sk.select("tid", F.posexplode("bands").alias("band", "bucket"))

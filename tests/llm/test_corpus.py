@@ -244,6 +244,11 @@ def test_blocks_find_links_that_stars_miss(spark):
     assert {r.class_id for r in got} == {0}
 
 
+def test_word_hashes_agree_inside_and_outside_of_tasks(docs):
+    for r in docs.select("text", near_dups.word_hashes(F.col("text")).alias("h")).collect():
+        assert near_dups.hash_words(r.text or "").tolist() == r.h
+
+
 def test_weighted_samples_estimate_similarity():
     a = np.unique(G.integers(0, 2 ** 62, 900, np.uint64))
     w = G.choice([0.8, 1.0, 2.0, 3.0], len(a))
