@@ -8,7 +8,7 @@ weighted Jaccard similarity, computed from the whole texts, is at least the thre
 components of the links.
 
 A bucket never emits all its pairs. Every member is first linked with the smallest member of one of its buckets, the one
-whose sketch agrees best, for a few rounds. Members of a bucket that are then still in different classes are compared in
+whose sketch agrees best. Members of a bucket that are then still in different classes are compared in
 blocks, sketch against sketch, and pairs that could reach the threshold are verified inside the block, which emits only
 links that join two classes. So output stays in proportion to the members, and no candidate link between two classes is
 left out.
@@ -44,8 +44,6 @@ ROWS, CELLS = 2, 20
 #: A pair at the threshold has sketches that agree in fewer samples with odds of about 2 in 10,000.
 MAYBE = 20
 BLOCK = 512
-#: Rounds of best stars before the blocks.
-ROUNDS = 2
 _POOL = 1 << 16
 _WORD = re.compile(r"[^ \t-\r]+")
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -253,8 +251,8 @@ def sketched(distinct: DataFrame, shared: Broadcast) -> DataFrame:
         run, "tid string, sketch binary, bands array<bigint>")
 
 
-def verify(pairs: DataFrame, distinct: DataFrame, shared: Broadcast, threshold: float) -> DataFrame:
-    """Pairs (a, b) whose texts reach the threshold."""
+def compared(pairs: DataFrame, distinct: DataFrame, shared: Broadcast) -> DataFrame:
+    """``pairs`` (a, b) with the weighted Jaccard similarity ``s`` of their whole texts."""
     @F.pandas_udf("double")
     def exact(left: pd.Series, right: pd.Series) -> pd.Series:
         last_key, last = None, None
@@ -268,29 +266,53 @@ def verify(pairs: DataFrame, distinct: DataFrame, shared: Broadcast, threshold:
 
     a = distinct.select(F.col("tid").alias("a"), F.col("text").alias("left"))
     b = distinct.select(F.col("tid").alias("b"), F.col("text").alias("right"))
-    both = pairs.join(a, "a").join(b, "b")
-    return both.withColumn("s", exact(word_hashes(F.col("left")), word_hashes(F.col("right")))).filter(
-        F.col("s") >= threshold).select("a", "b")
-
-
-def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
-    """``tid`` and the smallest ``tid`` of its component, for every vertex with an edge.
-
-    Labels travel along edges and then along themselves, so chains shorten geometrically; stops when nothing changes.
+    return pairs.join(a, "a").join(b, "b").select(
+        "a", "b", exact(word_hashes(F.col("left")), word_hashes(F.col("right"))).alias("s"))
+
+
+def _to_roots(df: DataFrame, labels: DataFrame | None, key: str, name: str) -> DataFrame:
+    """``df`` with the root of ``key``; what has no label is its own root."""
+    if labels is None:
+        return df.withColumn(name, F.col(key))
+    known = labels.select(F.col("tid").alias(key), F.col("root").alias(f"_{name}"))
+    return df.join(known, key, "left").withColumn(name, F.coalesce(f"_{name}", key)).drop(f"_{name}")
+
+
+def _flattened(parents: DataFrame) -> DataFrame:
+    """A forest of ``tid`` and a smaller ``root`` with every path cut short to its end; paths halve twice a step."""
+    while True:
+        up = parents.select(F.col("tid").alias("root"), F.col("root").alias("up"))
+        once = parents.join(up, "root", "left").select("tid", F.coalesce("up", "root").alias("root"))
+        far = once.select(F.col("tid").alias("root"), F.col("root").alias("up"))
+        parents = settled(once.join(far, "root", "left").select(
+            "tid", F.coalesce("up", "root").alias("root"), F.col("up").isNotNull().alias("moved")))
+        done = not parents.agg(F.max("moved")).first()[0]
+        parents = parents.select("tid", "root")
+        if done:
+            return parents
+
+
+def components(edges: DataFrame) -> DataFrame | None:
+    """``tid`` and the smallest ``tid`` of its component, for all vertices but the smallest of each; ``None`` if there is
+    no edge (a, b).
+
+    Every root hooks on to the smallest root it has an edge to, if that is smaller; the forest is flattened and edges are
+    drawn between its roots, until none is left. Two passes at least halve the roots that still have edges.
     """
-    both = settled(edges.select("a", "b").union(edges.select("b", "a")).distinct())
-    labels = settled(both.groupBy(F.col("a").alias("tid")).agg(F.least(F.min("b"), F.col("tid")).alias("root")))
-    for _ in range(rounds):
-        near = both.join(labels.select(F.col("tid").alias("b"), "root"), "b").groupBy(F.col("a").alias("tid")).agg(
-            F.min("root").alias("seen"))
-        moved = labels.join(near, "tid").select("tid", "root", F.least("root", "seen").alias("next"))
-        jump = labels.select(F.col("tid").alias("next"), F.col("root").alias("far"))
-        stepped = settled(moved.join(jump, "next").select("tid", F.least("next", "far").alias("new"), "root"))
-        changed = stepped.filter("new <> root").limit(1).count()
-        labels = stepped.select("tid", F.col("new").alias("root"))
-        if not changed:
+    labels = None
+    while True:
+        ends = _to_roots(_to_roots(edges, labels, "a", "ra"), labels, "b", "rb").filter("ra <> rb").select(
+            F.greatest("ra", "rb").alias("tid"), F.least("ra", "rb").alias("root"))
+        hooks = settled(ends.groupBy("tid").agg(F.min("root").alias("root"),
+                                                (F.max("root") > F.min("root")).alias("more")))
+        more = hooks.agg(F.max("more")).first()[0]
+        if more is None:
+            return labels
+        flat = _flattened(hooks.select("tid", "root"))
+        labels = flat if labels is None else settled(_to_roots(
+            labels.withColumnRenamed("root", "was"), flat, "was", "root").select("tid", "root").union(flat))
+        if not more:  # every edge is one of the forest
             return labels
-    raise RuntimeError(f"components did not settle in {rounds} rounds")
 
 
 def _blocks(members: DataFrame, *carried: str) -> DataFrame:
@@ -339,7 +361,7 @@ def _close(table: pa.Table) -> Iterator[tuple[int, np.ndarray]]:
 
 
 def _cross_links(members: DataFrame, distinct: DataFrame, shared: Broadcast, threshold: float) -> DataFrame:
-    """Verified links (a, b) that join classes which share a bucket."""
+    """Verified links (a, b) that join the classes ``ra`` and ``rb``, which share a bucket."""
     def flag(block: pa.Table) -> pa.Table:
         tid, found = block.column("tid").to_pylist(), set()
         for i, near in _close(block):
@@ -370,14 +392,14 @@ def _cross_links(members: DataFrame, distinct: DataFrame, shared: Broadcast, thr
                 x, y = top(root[i]), top(root[n])
                 if x != y and similarity(bag(i), bag(n)) >= threshold:
                     above[max(x, y)] = min(x, y)
-                    ends.append((max(tid[i], tid[n]), min(tid[i], tid[n])))
-        return pa.table({"a": pa.array([e[0] for e in ends], pa.string()),
-                         "b": pa.array([e[1] for e in ends], pa.string())})
+                    ends.append((tid[i], tid[n], root[i], root[n]))
+        return pa.table({name: pa.array([e[k] for e in ends], pa.string()) for k, name in enumerate(("a", "b", "ra", "rb"))})
 
     flagged = settled(_blocks(members).groupBy("bucket", "i", "j").applyInArrow(
         flag, "tid string, bucket bigint").distinct())
     full = members.join(flagged, ["bucket", "tid"]).join(distinct, "tid")
-    return _blocks(full, "text").groupBy("bucket", "i", "j").applyInArrow(link, "a string, b string").distinct()
+    return _blocks(full, "text").groupBy("bucket", "i", "j").applyInArrow(
+        link, "a string, b string, ra string, rb string")
 
 
 def _agreement(pairs: DataFrame, sk: DataFrame) -> DataFrame:
@@ -395,7 +417,7 @@ def _agreement(pairs: DataFrame, sk: DataFrame) -> DataFrame:
 
 
 def links(texts: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFrame, DataFrame]:
-    """Verified links (a, b) between different texts, and the class root of every linked text.
+    """Verified links (a, b) between different texts, and the class root of every linked text that is not one itself.
 
     ``texts``: ``tid`` and ``text``, one row per document.
     """
@@ -409,32 +431,22 @@ def links(texts: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFrame, Da
                     .filter(F.col("same") >= MAYBE))
     involved = sized(settled(shared.select("tid").distinct()))
     distinct = settled(texts.join(involved, "tid", "left_semi").dropDuplicates(["tid"]))
-    found = labels = None
-
-    def root_of(df: DataFrame, key: str, name: str) -> DataFrame:
-        if labels is None:
-            return df.withColumn(name, F.col(key))
-        known = labels.select(F.col("tid").alias(key), F.col("root").alias(f"_{name}"))
-        return df.join(known, key, "left").withColumn(name, F.coalesce(f"_{name}", key)).drop(f"_{name}")
-
-    tried = None
-    for _ in range(ROUNDS):
-        open_ = root_of(root_of(stars, "a", "ra"), "b", "rb").filter("ra <> rb").select("a", "b", "same")
-        if tried is not None:
-            open_ = open_.join(tried, ["a", "b"], "left_anti")
-        best = settled(open_.groupBy("a").agg(F.max_by("b", F.struct("same", "b")).alias("b")))
-        tried = best if tried is None else tried.union(best)
-        good = settled(verify(best, distinct, table, threshold))
-        found = good if found is None else settled(found.union(good))
-        labels = components(found)
-    members = root_of(root_of(shared, "tid", "root"), "b", "main")
+    best = stars.groupBy("a").agg(F.max_by("b", F.struct("same", "b")).alias("b"))
+    found = settled(compared(best, distinct, table).filter(F.col("s") >= threshold).select("a", "b"))
+    labels = components(found)
+    members = _to_roots(_to_roots(shared, labels, "tid", "root"), labels, "b", "main")
     mixed = members.filter("root <> main").select("bucket").distinct()
     members = settled(members.join(mixed, "bucket").join(sk.select("tid", "sketch"), "tid"))
     last = settled(_cross_links(members, distinct, table, threshold))
-    if last.limit(1).count():
-        found = settled(found.union(last))
-        labels = components(found)
-    return found, labels
+    above = components(last.select(F.col("ra").alias("a"), F.col("rb").alias("b")))
+    if labels is None:
+        labels = above
+    elif above is not None:
+        labels = settled(_to_roots(labels.withColumnRenamed("root", "was"), above, "was", "root").select(
+            "tid", "root").union(above))
+    if labels is None:
+        labels = texts.sparkSession.createDataFrame([], "tid string, root string")
+    return found.union(last.select("a", "b")), labels
 
 
 def classes(docs: DataFrame, id_col: str = "doc_id", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
