@@ -296,3 +296,11 @@ def test_pipeline_stages(spark, docs, none):
             assert at.columns == start.columns
         at.count()
     assert hashlib.sha256(b"").hexdigest().startswith("e3b0")
+
+
+def test_components_of_any_graph(spark):
+    edges = [("d", "a"), ("d", "b"), ("d", "c"), ("z", "y"), ("y", "x"), ("x", "w"), ("w", "v"), ("v", "u"), ("m", "m")]
+    df = spark.createDataFrame(edges + edges[:2], "a string, b string")  # a star around its largest end, a chain, repeats
+    got = {r.tid: r.root for r in near_dups.components(df).collect()}
+    assert got == {**dict.fromkeys("bcd", "a"), **dict.fromkeys("vwxyz", "u")}
+    assert near_dups.components(df.limit(0)) is None
