@@ -10,6 +10,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+# Columns that request parsing adds: what is wrong with the document, and its text.
+PROBLEMS, DOCUMENT = "_problems", "_document"
+
+
 @dataclass(frozen=True)
 class Field:
     name: str
@@ -77,15 +81,18 @@ def report(df: DataFrame, contract: Sequence[Field]) -> DataFrame:
 
 
 def tag_errors(df: DataFrame, contract: Sequence[Field], out: str = "errors") -> DataFrame:
-    """Add the names of the broken rules of every row."""
+    """Add the names of the broken rules of every row, those found when it was parsed first."""
     named = [F.when(c.failed, F.lit(f"{c.rule}:{c.column}")) for c in checks(df, contract)]
-    return df.withColumn(out, F.array_compact(F.array(*named)))
+    broken = F.array_compact(F.array(*named)) if named else F.array().cast("array<string>")
+    if PROBLEMS in df.columns:
+        broken = F.array_distinct(F.concat(F.col(PROBLEMS), broken))
+    return df.withColumn(out, broken).drop(PROBLEMS)
 
 
 def split(df: DataFrame, contract: Sequence[Field]) -> tuple[DataFrame, DataFrame]:
     """(valid rows, quarantined rows with their errors)."""
     tagged = tag_errors(df, contract)
-    return tagged.where(F.size("errors") == 0).drop("errors"), tagged.where(F.size("errors") > 0)
+    return tagged.where(F.size("errors") == 0).drop("errors", DOCUMENT), tagged.where(F.size("errors") > 0)
 
 
 class ContractViolation(ValueError):

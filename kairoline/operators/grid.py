@@ -53,9 +53,22 @@ def grid_of(df: DataFrame, series: Sequence[str], ts: str, hours: int = 3) -> Da
     return opened.select(*series, from_epoch_us("_us").alias(ts))
 
 
+def with_nulls(left: DataFrame, right: DataFrame, keys: Sequence[str], exact: Sequence[str] = (),
+               how: str = "inner") -> DataFrame:
+    """Join on ``keys``, where a null key matches a null key, and on ``exact``; columns as in a join by name."""
+    named = right.withColumnsRenamed({c: f"_r_{c}" for c in (*keys, *exact)})
+    same = F.lit(True)
+    for c in keys:
+        same = same & F.col(f"`{c}`").eqNullSafe(F.col(f"`_r_{c}`"))
+    for c in exact:
+        same = same & (F.col(f"`{c}`") == F.col(f"`_r_{c}`"))
+    return left.join(named, same, how).drop(*[f"_r_{c}" for c in (*keys, *exact)])
+
+
 def regularise(df: DataFrame, series: Sequence[str], ts: str, hours: int = 3) -> DataFrame:
-    """Left-join readings onto their grid: missing steps appear, off-grid rows vanish."""
-    return grid_of(df, series, ts, hours).join(df, [*series, ts], "left")
+    """Left-join readings onto their grid: missing steps appear, off-grid rows vanish. Readings without
+    a series id are a series of their own."""
+    return with_nulls(grid_of(df, series, ts, hours), df, series, [ts], "left")
 
 
 def drop_all_null(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -67,10 +80,10 @@ def on_grid(df: DataFrame, series: Sequence[str], ts: str, columns: Sequence[str
     """Regularise and drop fully missing rows in one filter, with no grid to build.
 
     Keeps readings whose distance from the first one of their series is a whole number of steps
-    and that have at least one value.
+    and that have at least one value. Readings without a series id are a series of their own.
     """
     lo = df.groupBy(*series).agg(F.min(ts).alias("_lo"))
-    joined = df.join(lo, list(series)) if series else df.join(F.broadcast(lo))
+    joined = with_nulls(df, lo, series) if series else df.join(F.broadcast(lo))
     fits = (epoch_us(ts) - epoch_us("_lo")) % F.lit(hours * HOUR_US) == 0
     return drop_all_null(joined.where(fits).drop("_lo"), columns)
 

@@ -18,6 +18,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from kairoline.session import settle
+
 BROADCAST_CELLS = 8_000_000  # donor rows x columns: about 64 MB of doubles
 BLOCK_ROWS = 20_000
 MOST_BLOCKS = 100_000  # their bounding boxes are broadcast; beyond this, blocks grow instead
@@ -95,11 +97,12 @@ def nearest(receivers: DataFrame, donors: DataFrame, rid: Sequence[str], did: Se
             broadcast_cells: int = BROADCAST_CELLS, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """At most ``k`` rows per receiver: ids, ``donor_*`` ids, ``payload``, ``distance``, ``rank``.
 
-    Donors with no coordinate in common with a receiver never match it.
+    Donors with no coordinate in common with a receiver never match it. A receiver that is given
+    more than once is compared once; one id with different coordinates is an error.
     """
     rid, did, coords = list(rid), list(did), list(coords)
     total = coordinate_count or len(coords)
-    receivers = receivers.select(*rid, *coords)
+    receivers = _once(receivers.select(*rid, *coords), rid)
     donors = donors.select(*did, payload, *coords)
     n_donors = donors.count()
     if n_donors * (len(coords) + 2) <= broadcast_cells:
@@ -110,6 +113,15 @@ def nearest(receivers: DataFrame, donors: DataFrame, rid: Sequence[str], did: Se
     return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
 
 
+def _once(receivers: DataFrame, rid) -> DataFrame:
+    """Distinct receivers, spread by id; one shuffle serves both."""
+    spread = int(receivers.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    same_id = F.count("*").over(Window.partitionBy(*rid))
+    distinct = receivers.repartition(spread, *rid).dropDuplicates().withColumn("_same", same_id)
+    message = F.lit(f"rows to be matched are not unique by {rid}")
+    return distinct.where(F.when(F.col("_same") == 1, True).otherwise(F.raise_error(message))).drop("_same")
+
+
 def _by_broadcast(receivers, donors, rid, did, coords, k, payload, total) -> DataFrame:
     spark = receivers.sparkSession
     table = donors.toPandas().sort_values(did, kind="stable").reset_index(drop=True)
@@ -119,10 +131,7 @@ def _by_broadcast(receivers, donors, rid, did, coords, k, payload, total) -> Dat
         for batch in batches:
             yield _matches(batch, held.value, rid, did, coords, k, payload, total)
 
-    spread = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return receivers.repartition(spread, *rid).mapInPandas(
-        run, _schema(receivers, donors, rid, did, payload)
-    )
+    return receivers.mapInPandas(run, _schema(receivers, donors, rid, did, payload))
 
 
 def _by_blocks(receivers, donors, n_donors, rid, did, coords, k, payload, total, block_rows) -> DataFrame:
@@ -143,9 +152,10 @@ def _by_blocks(receivers, donors, n_donors, rid, did, coords, k, payload, total,
     tagged = donors.withColumn("_cell", cell)
     sizes = tagged.groupBy("_cell").agg(F.count("*").alias("_size"))
     # A crowded cell is cut further by a hash of the donor id.
-    tagged = tagged.join(F.broadcast(sizes), "_cell").withColumn(
+    # Settled, so that a mean computed anew with another last bit cannot move a donor between passes.
+    tagged = settle(tagged.join(F.broadcast(sizes), "_cell").withColumn(
         "_sub", F.pmod(F.xxhash64(*did), F.ceil(F.col("_size") / F.lit(block_rows)))
-    ).drop("_size")
+    ).drop("_size"))
     boxes = tagged.groupBy("_cell", "_sub").agg(
         F.count("*").alias("_n"),
         *[F.min(c).alias(f"{c}_lo") for c in sure], *[F.max(c).alias(f"{c}_hi") for c in sure],

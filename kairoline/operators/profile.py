@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from kairoline.functions import calendar
 from kairoline.operators.contract import long_form
+from kairoline.operators.grid import with_nulls
 from kairoline.operators.quantiles import IN_MEMORY_ROWS, medians, quantiles
 
 STATS = ("missing", "missing_pct", "mean", "median", "std", "min", "max")
@@ -89,12 +90,12 @@ def histogram(df: DataFrame, value: str, bins: int = 30, by: Sequence[str] = ())
 
 
 def box_summary(df: DataFrame, value: str, by: Sequence[str] = (), limit: int = IN_MEMORY_ROWS) -> DataFrame:
-    """Quartiles, whiskers (last readings within 1.5 IQR) and the number of outliers."""
+    """Quartiles, whiskers (last readings within 1.5 IQR) and the number of outliers; a null key is a group."""
     by = list(by)
     quart = quantiles(df, by, value, {"q1": 0.25, "median": 0.5, "q3": 0.75}, limit)
     iqr = F.col("q3") - F.col("q1")
     source = df.select(*by, value)
-    joined = source.join(quart, by) if by else source.join(F.broadcast(quart), F.lit(True))
+    joined = with_nulls(source, quart, by) if by else source.join(F.broadcast(quart), F.lit(True))
     inside = (F.col(value) >= F.col("q1") - 1.5 * iqr) & (F.col(value) <= F.col("q3") + 1.5 * iqr)
     return joined.groupBy(*by, "q1", "median", "q3").agg(
         F.min(F.when(inside, F.col(value))).alias("whisker_low"),

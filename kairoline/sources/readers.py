@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from kairoline.operators.contract import DOCUMENT, PROBLEMS
+
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Header CSV under a given schema; columns are found by name, in any order, and types are never inferred.
@@ -55,6 +57,32 @@ def parse_requests(df: DataFrame, column: str, features: T.StructType) -> DataFr
     return df.select(*rest, F.inline(F.array(F.from_json(column, request_schema(features))["features"])))
 
 
+def checked_requests(df: DataFrame, column: str, features: T.StructType) -> DataFrame:
+    """Features of request documents with ``PROBLEMS``, what is wrong with each, and ``DOCUMENT``, its text.
+
+    ``malformed:document``: no JSON, or no object of features; ``missing:f``: the field is absent; ``type:f``: a number
+    or flag where text is due, or a value that is no number where one is due. A field that is there and null is fine.
+    Every document keeps its row.
+    """
+    rest = [c for c in df.columns if c != column]
+    parsed = F.try_variant_get(F.try_parse_json(column), "$.features", "variant")
+    # Generators keep later filters from repeating the work once per tested column, as in ``parse_json``.
+    rows = df.select(*rest, F.inline(F.array(F.struct(F.col(column).alias(DOCUMENT), parsed.alias("_v")))))
+    whole = F.coalesce(F.schema_of_variant("_v").startswith("OBJECT"), F.lit(False))
+    values, found = [], [F.when(~whole, F.lit("malformed:document"))]
+    for f in features:
+        path = f"$['{f.name}']"
+        item = F.try_variant_get(F.col("_v"), path, "variant")
+        value = F.try_variant_get(F.col("_v"), path, f.dataType.simpleString())
+        kind = F.schema_of_variant(item)
+        wrong = (kind != "STRING") if isinstance(f.dataType, T.StringType) else (value.isNull() | (kind == "BOOLEAN"))
+        values.append(value.alias(f.name))
+        found.append(F.when(whole & item.isNull(), F.lit(f"missing:{f.name}")).when(
+            whole & (kind != "VOID") & wrong, F.lit(f"type:{f.name}")))
+    return rows.select(*rest, DOCUMENT, F.inline(F.array(F.struct(
+        *values, F.array_compact(F.array(*found)).alias(PROBLEMS)))))
+
+
 def split_target(df: DataFrame, target: str) -> tuple[list[str], str]:
     """Feature names and target name; the label stays in its row."""
     if target not in df.columns:

@@ -10,20 +10,23 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from kairoline.operators.contract import Field, split, tag_errors
-from kairoline.sources.readers import parse_requests
+from kairoline.operators.contract import DOCUMENT, Field, split, tag_errors
+from kairoline.sources.readers import checked_requests
 
 
 def request_stream(spark: SparkSession, path: str, features: T.StructType, fmt: str = "text",
                    files_per_batch: int | None = None, **options) -> DataFrame:
-    """Stream of request documents (one per line) or of parquet rows with the feature schema."""
+    """Stream of request documents (one per line) or of parquet rows with the feature schema.
+
+    Documents carry what is wrong with them, so scoring leaves bad ones out and quarantine keeps their text.
+    """
     reader = spark.readStream
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     for name, value in options.items():
         reader = reader.option(name, value)
     if fmt == "text":
-        return parse_requests(reader.text(path), "value", features)
+        return checked_requests(reader.text(path), "value", features)
     return reader.schema(features).format(fmt).load(path)
 
 
@@ -55,12 +58,13 @@ def score_with_quarantine(requests: DataFrame, model: PipelineModel | None, cont
     def run(batch: DataFrame, number: int) -> None:
         tagged = tag_errors(batch, contract).persist()
         try:
-            good = tagged.where(F.size("errors") == 0).drop("errors")
+            good = tagged.where(F.size("errors") == 0).drop("errors", DOCUMENT)
             if prepare:
                 good = prepare(good)
             scored = model.transform(good).select(*keys, "prediction") if model else good.select(*keys)
             scored.write.mode("overwrite").parquet(f"{out}/batch={number}")
-            bad = tagged.where(F.size("errors") > 0).select(*keys, "errors")
+            bad = tagged.where(F.size("errors") > 0).select(
+                *keys, "errors", *[c for c in (DOCUMENT,) if c in tagged.columns])
             bad.write.mode("overwrite").parquet(f"{quarantine}/batch={number}")
         finally:
             tagged.unpersist()
