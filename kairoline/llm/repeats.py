@@ -1,34 +1,46 @@
-"""Substring dedup: repeated runs of consecutive sentences.
+"""Substring dedup: repeated runs of consecutive sentences, and repeated passages that no sentence end bounds.
 
-Every text is cut into sentences. A run starts at each sentence and goes on until it has at least ``SENTENCES``
-sentences and ``RUN_WORDS`` words; its hash is joined with all other runs of the corpus. The first place of a run (smallest id,
-then smallest digest of the text, then position) stays; at every other place all sentences of the run are removed.
+Every text is cut into sentences. The shortest runs with at least ``SENTENCES`` sentences and ``RUN_WORDS`` words are
+taken forwards from each sentence and backwards from each, so every sentence of a longer repeated run lies in a repeated
+shortest one. The first place of a run (smallest id, then smallest digest of the text, then position) stays; at every
+other place all sentences of the run are removed.
 
-Only hashes travel: runs are counted with map-side combining, and a run that very many documents share is one counted
-row per task before the shuffle. Spans come back per document and are applied where the text is.
+A window of ``PASSAGE`` words is removed, wherever its sentences begin and end, if it stands at an earlier place that it
+does not overlap. Windows are compared all, but only near words that can be repeated: in every ``PASSAGE`` words at
+least one group of ``GRAM`` words has the smallest hash of its surroundings, whatever stands around the passage, and
+only windows with such a group that occurs twice are hashed.
+
+Only hashes travel: they are counted with map-side combining, and one that very many documents share is one counted
+row per task before the shuffle. Copies of a whole text are found by its digest; only the first is compared
+further. Spans come back per document and are applied where the text is.
 
 Defined results: sentences end at ``.``, ``!`` or ``?`` before white space, or at a line end; one longer than
 ``LONGEST`` words counts as several. Comparison ignores case and the kind and amount of white space. A null or empty
-text has no sentences and stays as it is; runs at the end of a text that never reach the length are left alone; rows
+text has no sentences and stays as it is; sentences in no run of that length and no such window are left alone; rows
 equal in id and text are one document with one result each; rows without an id come last; empty tables stay empty.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kairoline.llm.common import col, fresh, settled
+from kairoline.llm.common import col, fresh, settled, sized
 
 SENTENCES = 2
 RUN_WORDS = 20
 LONGEST = 40
+PASSAGE = 51
+GRAM = 12
+_REACH = PASSAGE - GRAM + 1  # groups in a passage
+_TURN = 0x9E3779B97F4A7C15
 _END = re.compile(r"[.!?]+(?=\s)|\n")
 _WORD = re.compile(r"\S+")
 
@@ -56,28 +68,113 @@ def sentences(text: str | None) -> list[tuple[int, int, list[str]]]:
 
 
 def runs(parts: list[tuple[int, int, list[str]]]) -> list[tuple[int, int, int]]:
-    """First sentence, sentence after the last, and hash of every run."""
-    out, joined = [], [" ".join(p[2]) for p in parts]
-    for i in range(len(parts)):
+    """First sentence, sentence after the last, and hash of every shortest run from a sentence on or back from one."""
+    n, sizes, joined = len(parts), [len(p[2]) for p in parts], [" ".join(p[2]) for p in parts]
+    found = set()
+    for i in range(n):
         words, j = 0, i
-        while j < len(parts) and (j - i < SENTENCES or words < RUN_WORDS):
-            words += len(parts[j][2])
+        while j < n and (j - i < SENTENCES or words < RUN_WORDS):
+            words += sizes[j]
             j += 1
         if j - i >= SENTENCES and words >= RUN_WORDS:
-            out.append((i, j, xxhash.xxh3_64_intdigest("\n".join(joined[i:j]).encode("utf-8", "surrogatepass")) - (1 << 63)))
+            found.add((i, j))
+        words, j = 0, i + 1
+        while j > 0 and (i + 1 - j < SENTENCES or words < RUN_WORDS):
+            j -= 1
+            words += sizes[j]
+        if i + 1 - j >= SENTENCES and words >= RUN_WORDS:
+            found.add((j, i + 1))
+    return [(i, j, xxhash.xxh3_64_intdigest("\n".join(joined[i:j]).encode("utf-8", "surrogatepass")) - (1 << 63))
+            for i, j in sorted(found)]
+
+
+class _Known(dict):
+    """Hashes of words; forgets all when full."""
+
+    def __missing__(self, word: str) -> int:
+        if len(self) >= 500_000:
+            self.clear()
+        found = self[word] = xxhash.xxh3_64_intdigest(word.encode("utf-8", "surrogatepass")) - (1 << 63)
+        return found
+
+
+def grams(hashes: np.ndarray, n: int) -> np.ndarray:
+    """Hash of every ``n`` consecutive words; doubles the length and adds up the parts that ``n`` consists of."""
+    size = max(len(hashes) - n + 1, 0)
+    out, at, power, length = np.zeros(size, np.uint64), 0, hashes, 1
+    while size:
+        if n & length:
+            out = out * np.uint64(pow(_TURN, length, 1 << 64)) + power[at:at + size]
+            at += length
+        if 2 * length > n:
+            break
+        power = power[:-length] * np.uint64(pow(_TURN, length, 1 << 64)) + power[length:]
+        length *= 2
     return out
 
 
+def _slide(best: Callable, x: np.ndarray, n: int) -> np.ndarray:
+    """Smallest or largest of every ``n`` consecutive values."""
+    length = 1
+    while length < n:
+        step = min(length, n - length)
+        x = best(x[:-step], x[step:])
+        length += step
+    return x
+
+
+def anchors(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Positions and hashes of the groups that are smallest in some passage; no word outside of it has a say in that."""
+    if len(hashes) < PASSAGE:
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+    g = grams(hashes, GRAM)
+    least = _slide(np.minimum, g, _REACH)
+    edge = np.zeros(_REACH - 1, np.uint64)
+    at = np.flatnonzero(_slide(np.maximum, np.concatenate([edge, least, edge]), _REACH) == g)
+    return at, g[at]
+
+
+def _hashes(text: str, known: _Known) -> np.ndarray:
+    words = text.lower().split()
+    return np.fromiter(map(known.__getitem__, words), np.int64, len(words)).view(np.uint64)
+
+
 def _emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per text its runs, numbered from 0, and its anchors, numbered -1 - position."""
+    known = _Known()
     for batch in batches:
-        keys, hashes, firsts = [], [], []
-        for key, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-            for i, _, h in runs(sentences(text.as_py())):
-                keys.append(key)
-                hashes.append(h)
-                firsts.append(i)
-        yield pa.RecordBatch.from_arrays([pa.array(keys, batch.column(0).type), pa.array(hashes, pa.int64()),
-                                          pa.array(firsts, pa.int32())], ["place", "run", "at"])
+        hashes, numbers = [], []
+        for text in batch.column(1):
+            at, g = anchors(_hashes(text.as_py(), known))
+            own = np.array([h for _, _, h in runs(sentences(text.as_py()))], np.int64)
+            hashes.append(np.concatenate([own, g.view(np.int64)]))
+            numbers.append(np.concatenate([np.arange(len(own)), -1 - at]).astype(np.int32))
+        yield _packed(batch.column(0), hashes, numbers)
+
+
+def _emit_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per text the windows that hold one of the given anchors, numbered by their first word."""
+    known = _Known()
+    for batch in batches:
+        hashes, numbers = [], []
+        for text, near in zip(batch.column(1), batch.column(2), strict=True):
+            g = grams(_hashes(text.as_py(), known), PASSAGE)
+            step = np.zeros(len(g) + 1, np.int64)
+            at = -1 - np.array(near.as_py(), np.int64)
+            np.add.at(step, np.clip(at - _REACH + 1, 0, len(g)), 1)
+            np.add.at(step, np.clip(at + 1, 0, len(g)), -1)
+            start = np.flatnonzero(np.cumsum(step)[:-1])
+            hashes.append(g[start].view(np.int64))
+            numbers.append(start.astype(np.int32))
+        yield _packed(batch.column(0), hashes, numbers)
+
+
+def _packed(places: pa.Array, hashes: list[np.ndarray], numbers: list[np.ndarray]) -> pa.RecordBatch:
+    def lists(parts: list[np.ndarray], kind: pa.DataType) -> pa.Array:
+        ends = np.cumsum([0, *map(len, parts)]).astype(np.int32)
+        return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(parts) if parts else [], kind))
+
+    return pa.RecordBatch.from_arrays([places, lists(hashes, pa.int64()), lists(numbers, pa.int32())], ["place", "run", "at"])
 
 
 def _place(id_col: str, text: str) -> Column:
@@ -86,49 +183,79 @@ def _place(id_col: str, text: str) -> Column:
     return F.struct(k.isNull().alias("no_id"), k.alias("id"), F.xxhash64(F.md5(col(text))).alias("mark"))
 
 
+def _shared(found: DataFrame) -> DataFrame:
+    """Every place of the hashes that have more than one, with the first."""
+    items = found.select("place", F.inline(F.arrays_zip("run", "at")))
+    spot = F.struct("place", "at")
+    first = items.groupBy("run").agg(F.min(spot).alias("first"), F.max(spot).alias("last")).filter("first < last")
+    return items.join(first.select("run", "first"), "run").withColumn("again", spot > F.col("first"))
+
+
 def repeated(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """``place`` of each document with repeated runs, and the sentence numbers at which its non-first runs start."""
+    """Per ``place`` of a document with repeats: ``whole`` if it copies an earlier text, else the numbers of its non-first
+    ``runs`` and the first words of its non-first ``windows``."""
     rows = docs.filter(F.length(col(text)) > 0).select(_place(id_col, text).alias("place"), col(text).alias("text"))
     kind = rows.schema["place"].dataType.simpleString()
-    found = settled(rows.mapInArrow(_emit, f"place {kind}, run bigint, at int"))
-    spot = F.struct("place", "at")
-    first = found.groupBy("run").agg(F.min(spot).alias("first"), F.max(spot).alias("last")).filter("first < last")
-    again = found.join(first.select("run", "first"), "run").filter(spot > F.col("first"))
-    return again.groupBy("place").agg(F.sort_array(F.collect_set("at")).alias("starts"))
+    shape = f"place {kind}, run array<bigint>, at array<int>"
+    found = settled(rows.mapInArrow(_emit, shape))
+    copied = sized(settled(found.groupBy(F.col("place.mark").alias("mark")).agg(
+        F.min("place").alias("kept"), F.max("place").alias("last")).filter("kept < last").select("mark", "kept")))
+    judged = found.join(copied, F.col("place.mark") == F.col("mark"), "left").withColumn(
+        "whole", F.coalesce(F.col("place") > F.col("kept"), F.lit(False)))
+    of_runs = F.col("at") >= 0
+    marks = settled(_shared(judged.filter("not whole")).filter(~of_runs | F.col("again")).groupBy("place").agg(
+        F.sort_array(F.collect_set(F.when(of_runs, F.col("at")))).alias("runs"),
+        F.collect_set(F.when(~of_runs, F.col("at"))).alias("near")))
+    windows = settled(rows.join(marks.filter(F.size("near") > 0).select("place", "near"), "place").mapInArrow(
+        _emit_windows, shape))
+    apart = (F.col("place") > F.col("first.place")) | (F.col("at") - F.col("first.at") >= PASSAGE)
+    passages = _shared(windows).filter(F.col("again") & apart).groupBy("place").agg(
+        F.sort_array(F.collect_set("at")).alias("windows"))
+    parts = marks.select("place", "runs").unionByName(passages, True).unionByName(
+        judged.filter("whole").select("place", "whole"), True)
+    return parts.groupBy("place").agg(F.max("whole").alias("whole"), F.first("runs", True).alias("runs"),
+                                      F.first("windows", True).alias("windows"))
+
+
+def _gone(text: str, whole: bool, numbers: list[int], windows: list[int]) -> list[list[int]]:
+    """Sorted, disjoint spans of the text that repeat an earlier place; white space before them included."""
+    parts = sentences(text)
+    found = runs(parts)
+    spans = [(parts[i][0], parts[j - 1][1]) for i, j, _ in (found if whole else [found[n] for n in numbers])]
+    if whole or len(windows):
+        ends = [0, *(m.end() for m in _WORD.finditer(text))]
+        windows = range(len(ends) - PASSAGE) if whole else windows
+        spans += [(ends[i], ends[i + PASSAGE]) for i in windows]
+    gone: list[list[int]] = []
+    for a, b in sorted(spans):
+        if gone and a <= gone[-1][1]:
+            gone[-1][1] = max(gone[-1][1], b)
+        else:
+            gone.append([a, b])
+    return gone
 
 
 def strip(docs: DataFrame, id_col: str = "doc_id", text: str = "text", into: str = "kept_text",
           spans: str = "removed") -> DataFrame:
     """``docs`` with the text that is left and the removed spans (start and end in code points)."""
-    place, starts = fresh(docs, "repeat_place", "repeat_starts")
-    marks = repeated(docs, id_col, text).select(F.col("place").alias(place), F.col("starts").alias(starts))
+    place, mark = fresh(docs, "repeat_place", "repeat_marks")
+    marks = repeated(docs, id_col, text).select(F.col("place").alias(place), F.struct("whole", "runs", "windows").alias(mark))
 
     @F.pandas_udf("kept string, spans array<struct<start:int,end:int>>")
-    def cut(texts: pd.Series, lists: pd.Series) -> pd.DataFrame:
+    def cut(texts: pd.Series, whole: pd.Series, numbers: pd.Series, windows: pd.Series) -> pd.DataFrame:
         kept, removed = [], []
-        for t, s in zip(texts, lists, strict=True):
-            if t is None or s is None or not len(s):
-                kept.append(t)
-                removed.append([])
-                continue
-            parts = sentences(t)
-            ends = {i: j for i, j, _ in runs(parts)}
-            gone: list[list[int]] = []
-            for i in s:
-                a, b = parts[i][0], parts[ends[i] - 1][1]
-                if gone and a <= gone[-1][1]:
-                    gone[-1][1] = max(gone[-1][1], b)
-                else:
-                    gone.append([a, b])
+        for t, *found in zip(texts, whole, numbers, windows, strict=True):
+            w, n, p = (bool(found[0]) if found[0] is not None else False), *([] if x is None else x for x in found[1:])
+            gone = _gone(t, w, n, p) if t is not None and (w or len(n) or len(p)) else []
             out, at = [], 0
             for a, b in gone:
                 out.append(t[at:a])
                 at = b
-            kept.append("".join([*out, t[at:]]))
+            kept.append("".join([*out, t[at:]]) if gone else t)
             removed.append([{"start": a, "end": b} for a, b in gone])
         return pd.DataFrame({"kept": kept, "spans": removed})
 
     joined = docs.withColumn(place, _place(id_col, text)).join(marks, place, "left")
-    done = joined.withColumn(place, cut(col(text), col(starts)))
+    done = joined.withColumn(place, cut(col(text), *(F.col(f"{mark}.{c}") for c in ("whole", "runs", "windows"))))
     return done.select(*[col(c) for c in docs.columns], F.col(f"{place}.kept").alias(into),
                        F.col(f"{place}.spans").alias(spans))

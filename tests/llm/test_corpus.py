@@ -271,6 +271,35 @@ def test_repeated_sentence_runs(spark, docs, none):
     assert repeats.strip(none).count() == 0
 
 
+def test_passages_are_found_wherever_sentences_end(spark):
+    passage = G.choice(VOCAB, 51).tolist()  # no sentence end in it
+    late = [f"u{i}" for i in range(60)]
+    late[22] += "."
+    late[32] += "."
+    texts = [prose(7)[:-1] + " " + " ".join(passage) + " " + prose(9), prose(30)[:-1] + " " + " ".join(passage).upper() + " " + prose(3),
+             prose(93)[:-1] + "  " + " ".join(passage[:50]) + " " + prose(3),
+             "a b " + " ".join(late) + " c d.", "e f g h i " + " ".join(late) + " j.", prose(300)]
+    texts += [texts[5], " ".join(texts[5].split()[37:200])]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    seen, want = set(), []
+    for t in texts:  # every window of 51 words, the slow way
+        w = t.lower().split()
+        at = {}
+        for i in range(len(w) - 50):
+            at.setdefault(tuple(w[i:i + 51]), []).append(i)
+        gone = set()
+        for v, found in at.items():
+            gone |= {k for i in found if v in seen or i - found[0] >= 51 for k in range(i, i + 51)}
+        seen |= at.keys()
+        want.append(" ".join(x for k, x in enumerate(t.split()) if k not in gone))
+    got = {r.doc_id: r for r in repeats.strip(df).collect()}
+    assert [" ".join(got[i].kept_text.split()) for i in range(len(texts))] == want
+    assert [bool(got[i].removed) for i in range(len(texts))] == [False, True, False, False, True, False, True, True]
+    tail = "One two three four five. Six seven eight nine ten. A b c d e. F g h i j k l m n o p q r s. Last."
+    rows = spark.createDataFrame([(1, tail), (2, tail + " Other words.")], "doc_id long, text string")
+    assert {r.doc_id: r.kept_text for r in repeats.strip(rows).collect()} == {1: tail, 2: " Other words."}
+
+
 def test_mixing_meets_the_weights(spark, docs, none):
     rows = [(i, f"t{i}", "big" if i % 10 else "rare") for i in range(4000)]
     df = spark.createDataFrame(rows, "doc_id long, text string, source string")
