@@ -1,9 +1,9 @@
 """Secret scans: fixed patterns, and credential values judged by what it would cost to guess them.
 
-The fixed kinds are ``assign``, ``access`` and ``hex``. Further credential contexts (other key words, user names in
-urls) give candidate values; a value becomes a span of kind ``guess`` if no cheap explanation exists: dynamic programming
+The fixed kinds are ``assign``, ``access`` and ``hex``. Credential contexts (the same and other key words, alone or in
+longer names, authorization headers, user names in urls) give candidate values; a value becomes a span of kind ``guess`` if no cheap explanation exists: dynamic programming
 finds the cheapest cut of the value into dictionary words, dates, repeats, keyboard walks and brute-force stretches.
-The cost of every value found, also of the fixed ``assign`` kind, is part of the result.
+The cost of every value found, also of the fixed ``assign`` kind, is part of the result. A ``guess`` goes to the end of its value and may overlap a fixed span that ends earlier; one inside a fixed ``assign`` span is left out.
 
 Defined results: a null text counts as empty and has no spans; positions are code points, ends exclusive; spans are
 sorted by start, then kind; equal spans of one kind cannot occur; repeated rows are scanned each; an empty table stays
@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections.abc import Iterable
 from functools import lru_cache
 
 import pandas as pd
@@ -28,14 +29,18 @@ ASSIGN = re.compile(r"""([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][D
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")  # runs are maximal, so this equals dropping short runs
 LEAST = {"assign": 6, "access": 20, "hex": 24}
-#: Credential contexts beyond the base kinds; the last group is the value.
+_ANY = "[A-Za-z0-9_-]*"
+_VALUE = r"""(?:"([^\s"]+)|'([^\s']+)|((?:[^\s"'<>]|[<>"'](?=[^\s<>"'/,;:)\]}]))+))"""
+#: Credential contexts beyond the base kinds and for the base key words; the last group that took part is the value. Short
+#: key words that begin or end other words must stand apart: after no letter or digit, or as a capitalised part.
 CONTEXTS = (
-    re.compile(r"""\b(?:pwd|passphrase|passcode|pass|credentials?|auth|bearer|login|private_?key|access_?key|client_?id)["']?\x20*[:=]\x20*["']?([^\s"'<>]+)""", re.I | re.A),
+    re.compile(rf"""(?:(?:password|passwd|pwd|passphrase|passcode|secret|token|credential|api[_-]?key|private[_-]?key|access[_-]?key|client[_-]?id){_ANY}|(?:(?<![A-Za-z0-9])(?:pass|auth|login|bearer)|(?<=[a-z0-9])(?-i:Pass|Auth|Login))(?:[0-9_-]{_ANY})?)["']?\s*[:=]\s*(?={_VALUE})""", re.I | re.A),
+    re.compile(rf"""(?:\bbearer\x20+|\bauthorization["']?\s*[:=]\s*["']?(?:(?:basic|bearer|token|digest)\x20+)?)(?={_VALUE})""", re.I | re.A),
     re.compile(r"""[A-Za-z][A-Za-z0-9+.-]*://[^\s/:@]+:([^\s/@]+)@"""),
 )
 #: Substrings without which a lower-cased text cannot match; only there to skip the slower patterns.
 _ASSIGN_HINTS = ("password", "passwd", "secret", "token", "apikey", "api_key")
-_CONTEXT_HINTS = (("pwd", "pass", "credential", "auth", "bearer", "login", "key", "client"), ("://",))
+_CONTEXT_HINTS = (("pwd", "pass", "secret", "token", "credential", "auth", "bearer", "login", "key", "client"), ("bearer", "authorization"), ("://",))
 #: A value is a secret if guessing takes at least 10^this tries.
 STRONG = 10.0
 #: Common words of weak passwords, most common first.
@@ -58,8 +63,32 @@ def _neighbours() -> dict[str, frozenset[str]]:
 
 
 _NEXT = _neighbours()
-_RANK = {w: i + 1 for i, w in enumerate(WORDS)}
-_LONGEST = max(map(len, WORDS))
+
+class Ranks(dict):
+    """Word to rank, from 1; hashed by identity, so costs found with it can be kept."""
+
+    __hash__ = object.__hash__
+    __eq__ = object.__eq__
+
+    def __init__(self, words: Iterable[str] = ()) -> None:
+        super().__init__()
+        for known in (WORDS, words):
+            for i, w in enumerate(known):
+                self[w] = min(i + 1, self.get(w, i + 1))
+        self.longest = max(map(len, self))
+
+    def __reduce__(self):
+        return _ranks, (dict(self),)
+
+
+def _ranks(known: dict[str, int]) -> Ranks:
+    out = Ranks()
+    out.update(known)
+    out.longest = max(map(len, out))
+    return out
+
+
+_RANK = Ranks()
 _DATE = re.compile(r"(?:19|20)\d\d(?:[-/.]?(?:0[1-9]|1[0-2])(?:[-/.]?(?:0[1-9]|[12]\d|3[01]))?)?"
                    r"|(?:0[1-9]|[12]\d|3[01])[-/.]?(?:0[1-9]|1[0-2])[-/.]?(?:19|20)?\d\d")
 
@@ -69,7 +98,7 @@ def _char_cost(c: str) -> float:
 
 
 @lru_cache(maxsize=20_000)
-def guess_cost(value: str) -> float:
+def guess_cost(value: str, ranks: Ranks = _RANK) -> float:
     """Decimal logarithm of the guesses of the cheapest segmentation; linear in the length of the value."""
     n = len(value)
     if not n:
@@ -78,10 +107,10 @@ def guess_cost(value: str) -> float:
     plain = lower.translate(_LEET)
     ends: list[list[tuple[int, float]]] = [[] for _ in range(n + 1)]  # segments by end: (start, cost)
     for i in range(n):
-        for j in range(i + 1, min(n, i + _LONGEST) + 1):
-            rank = _RANK.get(lower[i:j])
+        for j in range(i + 1, min(n, i + ranks.longest) + 1):
+            rank = ranks.get(lower[i:j])
             extra = 1 if value[i:j] == lower[i:j] else 2
-            if rank is None and (rank := _RANK.get(plain[i:j])) is not None:
+            if rank is None and (rank := ranks.get(plain[i:j])) is not None:
                 extra *= 4
             if rank is not None:
                 ends[j].append((i, math.log10(rank * extra)))
@@ -108,7 +137,7 @@ def guess_cost(value: str) -> float:
     return best[n] - _SEGMENT
 
 
-def find(text: str | None, strong: float = STRONG) -> list[tuple[str, int, int, float | None]]:
+def find(text: str | None, strong: float = STRONG, ranks: Ranks = _RANK) -> list[tuple[str, int, int, float | None]]:
     """Spans of a text: kind, start, end, cost of the value (null for kinds without one)."""
     if not text:
         return []
@@ -116,17 +145,18 @@ def find(text: str | None, strong: float = STRONG) -> list[tuple[str, int, int,
     lower = text.lower()
     for m in ASSIGN.finditer(text) if any(k in lower for k in _ASSIGN_HINTS) else ():
         if len(m[2]) >= LEAST["assign"]:
-            out.append(("assign", m.start(), m.end(), guess_cost(m[2])))
+            out.append(("assign", m.start(), m.end(), guess_cost(m[2], ranks)))
     if "AKIA" in text:
         out += [("access", m.start(), m.end(), None) for m in ACCESS.finditer(text) if len(m[0]) >= LEAST["access"]]
     out += [("hex", m.start(), m.end(), None) for m in HEX.finditer(text)]
+    fixed = [(a, b) for kind, a, b, _ in out if kind == "assign"]
     taken: set[tuple[int, int]] = set()
     for context, hints in zip(CONTEXTS, _CONTEXT_HINTS, strict=True):
         for m in context.finditer(text) if any(k in lower for k in hints) else ():
-            value = m[1].rstrip(".,;:!?)")
-            if len(value) >= LEAST["assign"] and (cost := guess_cost(value)) >= strong:
-                span = (m.start(1), m.start(1) + len(value))
-                if span not in taken:
+            value = m[m.lastindex].rstrip(".,;:!?)")
+            if len(value) >= LEAST["assign"] and (cost := guess_cost(value, ranks)) >= strong:
+                span = (m.start(m.lastindex), m.start(m.lastindex) + len(value))
+                if span not in taken and not any(a <= span[0] and span[1] <= b for a, b in fixed):
                     taken.add(span)
                     out.append(("guess", *span, cost))
     return sorted(out, key=lambda s: (s[1], KINDS.index(s[0]), s[2]))
@@ -135,11 +165,15 @@ def find(text: str | None, strong: float = STRONG) -> list[tuple[str, int, int,
 _SPANS = "array<struct<kind:string,start:int,end:int,cost:double>>"
 
 
-def scan(docs: DataFrame, text: str = "text", into: str = "spans", strong: float = STRONG) -> DataFrame:
+def scan(docs: DataFrame, text: str = "text", into: str = "spans", strong: float = STRONG,
+         ranks: Ranks | None = None) -> DataFrame:
     """``docs`` with the spans of their whole texts; no shuffle."""
+    shared = docs.sparkSession.sparkContext.broadcast(_RANK if ranks is None else ranks)
+
     @F.pandas_udf(_SPANS)
     def spans(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: [dict(zip(("kind", "start", "end", "cost"), s, strict=True)) for s in find(t, strong)])
+        ranks = shared.value
+        return texts.map(lambda t: [dict(zip(("kind", "start", "end", "cost"), s, strict=True)) for s in find(t, strong, ranks)])
 
     return docs.withColumn(into, spans(col(text)))
 
@@ -150,12 +184,15 @@ def written(spans: Column) -> Column:
         ":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
-def redact(docs: DataFrame, text: str = "text", size: str | None = "n_chars", mark: str = "[secret]") -> DataFrame:
+def redact(docs: DataFrame, text: str = "text", size: str | None = "n_chars", mark: str = "[secret]",
+           ranks: Ranks | None = None) -> DataFrame:
     """``docs`` with every span of the text replaced by ``mark`` and the length column brought up to date."""
+    shared = docs.sparkSession.sparkContext.broadcast(_RANK if ranks is None else ranks)
+
     @F.pandas_udf("string")
     def clean(texts: pd.Series) -> pd.Series:
         def one(t):
-            spans = find(t)
+            spans = find(t, ranks=shared.value)
             if not spans:
                 return t
             out, at = [], 0

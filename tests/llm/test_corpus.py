@@ -181,6 +181,18 @@ def test_secret_spans_costs_and_redaction(docs, none):
     assert clean[4].text is None and secrets.redact(none).count() == 0 and secrets.redact(docs).columns == docs.columns
 
 
+def test_secret_values_after_any_key(spark):
+    for t, value in [('password = "Zx9$Lm2!kQ7@vR4"', "Zx9$Lm2!kQ7@vR4"), ("DB_PASS=Xk29!fLq8z0w", "Xk29!fLq8z0w"),
+                     ("db_pwd: Xk29!fLq8z0w,", "Xk29!fLq8z0w"), ("Authorization: Bearer q7Zk.93kfLq02mzPw7", "q7Zk.93kfLq02mzPw7"),
+                     ("aws_secret_access_key = wJ4lrXUtnF/K7MDENG", "wJ4lrXUtnF/K7MDENG"), ("dbPass: 'Xk2<9!fLq8z0w'", "Xk2<9!fLq8z0w"),
+                     ("token = abcdefgh$Zx9Lm2kQ7vR4 x", "abcdefgh$Zx9Lm2kQ7vR4"), ("secret: token = Xk29!fLq8z0w", "Xk29!fLq8z0w"),
+                     ("basic auth: bearer Xk29!fLq8z0w", "Xk29!fLq8z0w"), ("authorization: dXNlcjpwYXNz", "dXNlcjpwYXNz")]:
+        assert [t[a:b] for kind, a, b, _ in secrets.find(t) if kind == "guess"] == [value], t
+        df = spark.createDataFrame([(1, t)], "doc_id long, text string")
+        assert value[-6:] not in secrets.redact(df, size=None, ranks=secrets.Ranks()).first().text
+    assert secrets.find("compass: Xk29!fLq8z0w author: Xk29!fLq8z0w") == []
+
+
 def test_toxicity_learns_from_positive_and_unlabelled(spark):
     rows, labels = [], []
     for i in range(600):
