@@ -3,7 +3,9 @@
 The fixed kinds are ``assign``, ``access`` and ``hex``. Credential contexts (the same and other key words, alone or in
 longer names, authorization headers, user names in urls) give candidate values; a value becomes a span of kind ``guess`` if no cheap explanation exists: dynamic programming
 finds the cheapest cut of the value into dictionary words, dates, repeats, keyboard walks and brute-force stretches.
-The cost of every value found, also of the fixed ``assign`` kind, is part of the result. A ``guess`` goes to the end of its value and may overlap a fixed span that ends earlier; one inside a fixed ``assign`` span is left out.
+The cost of every value found, also of the fixed ``assign`` kind, is part of the result. Dictionary words are a short list of weak
+passwords and the ``LISTED`` commonest words of the documents themselves, of all languages together. A ``guess`` goes
+to the end of its value and may overlap a fixed span that ends earlier; one inside a fixed ``assign`` span is left out.
 
 Defined results: a null text counts as empty and has no spans; positions are code points, ends exclusive; spans are
 sorted by start, then kind; equal spans of one kind cannot occur; repeated rows are scanned each; an empty table stays
@@ -21,7 +23,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kairoline.llm.common import col, fresh
+from kairoline.llm.common import col, fresh, settled
 
 KINDS = ("assign", "access", "hex", "guess")
 #: The three base patterns and their least lengths.
@@ -63,6 +65,10 @@ def _neighbours() -> dict[str, frozenset[str]]:
 
 
 _NEXT = _neighbours()
+#: Words of the documents that count as guessable: so many at most, each in so many documents at least.
+LISTED = 100_000
+LISTED_DOCS = 3
+
 
 class Ranks(dict):
     """Word to rank, from 1; hashed by identity, so costs found with it can be kept."""
@@ -165,10 +171,26 @@ def find(text: str | None, strong: float = STRONG, ranks: Ranks = _RANK) -> list
 _SPANS = "array<struct<kind:string,start:int,end:int,cost:double>>"
 
 
+def listed(docs: DataFrame, text: str = "text") -> Ranks:
+    """The commonest words of the documents, by how many hold them; what follows a colon or an equals sign is no evidence."""
+    plain = F.regexp_replace(F.lower(col(text)), r"[:=]\s*\S+", " ")
+    found = F.array_distinct(F.filter(F.split(plain, r"[^\p{L}\p{N}_]+"), lambda w: w.rlike(r"^\p{L}{3,24}$")))
+    counts = settled(docs.select(F.explode(found).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n")).filter(
+        F.col("n") >= LISTED_DOCS))
+    least, total = None, 0  # words as common as the first one that no longer fits are left out
+    for n, size in sorted(((r[0], r[1]) for r in counts.groupBy("n").count().toLocalIterator()), reverse=True):
+        if (total := total + size) > LISTED:
+            break
+        least = n
+    if least is None:
+        return Ranks()
+    return Ranks(r[0] for r in sorted(counts.filter(F.col("n") >= least).collect(), key=lambda r: (-r[1], r[0])))
+
+
 def scan(docs: DataFrame, text: str = "text", into: str = "spans", strong: float = STRONG,
          ranks: Ranks | None = None) -> DataFrame:
-    """``docs`` with the spans of their whole texts; no shuffle."""
-    shared = docs.sparkSession.sparkContext.broadcast(_RANK if ranks is None else ranks)
+    """``docs`` with the spans of their whole texts; only the counts of words for ``listed`` are shuffled."""
+    shared = docs.sparkSession.sparkContext.broadcast(listed(docs, text) if ranks is None else ranks)
 
     @F.pandas_udf(_SPANS)
     def spans(texts: pd.Series) -> pd.Series:
@@ -187,7 +209,7 @@ def written(spans: Column) -> Column:
 def redact(docs: DataFrame, text: str = "text", size: str | None = "n_chars", mark: str = "[secret]",
            ranks: Ranks | None = None) -> DataFrame:
     """``docs`` with every span of the text replaced by ``mark`` and the length column brought up to date."""
-    shared = docs.sparkSession.sparkContext.broadcast(_RANK if ranks is None else ranks)
+    shared = docs.sparkSession.sparkContext.broadcast(listed(docs, text) if ranks is None else ranks)
 
     @F.pandas_udf("string")
     def clean(texts: pd.Series) -> pd.Series:

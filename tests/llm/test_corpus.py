@@ -193,6 +193,15 @@ def test_secret_values_after_any_key(spark):
     assert secrets.find("compass: Xk29!fLq8z0w author: Xk29!fLq8z0w") == []
 
 
+def test_ordinary_words_after_a_key_stay(spark):
+    words_ = ["continue", "optional", "Verantwortung", "développement", "necesariamente"]
+    rows = [f"we {w} and so {w}" for w in words_ for _ in range(3)] + [f"login: {w}\nauth: {w}." for w in words_]
+    rows += ["login: qzkwvjxpymbt"] * 5  # a value is no evidence for itself
+    df = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    got = [r.text for r in secrets.redact(df, size=None).orderBy("doc_id").collect()]
+    assert got == rows[:-5] + ["login: [secret]"] * 5
+
+
 def test_toxicity_learns_from_positive_and_unlabelled(spark):
     rows, labels = [], []
     for i in range(600):
