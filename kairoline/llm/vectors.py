@@ -11,7 +11,8 @@ queries into blocks, so a vector that a third of all rows share fills many small
 
 Defined results: vectors that are null, empty, zero, of another length than the first ones, or hold a null or
 non-finite component take no part, neither as query nor as candidate; rows without an id do not either. A query's own
-id is never its neighbour. Ties go to the smaller id; with fewer candidates than ``k`` all found ones return; an empty
+id is never its neighbour. Rows equal in id and vector count once. An id with several vectors asks with the smallest of
+those that are queries (compared component by component) and is one neighbour with the best score of its vectors. Ties go to the smaller id; with fewer candidates than ``k`` all found ones return; an empty
 table gives no rows.
 """
 
@@ -71,6 +72,13 @@ def centroids(x: np.ndarray, p: Index) -> np.ndarray:
     return c
 
 
+def _best(ids: np.ndarray, score: np.ndarray, k: int) -> np.ndarray:
+    """Positions of the ``k`` ids with the best scores, best first; an id once, with its best one."""
+    order = np.argsort(-score, kind="stable")
+    first = np.unique(ids[order], return_index=True)[1]
+    return order[np.sort(first)[:k]]
+
+
 def scan(queries: np.ndarray, rotated_q: np.ndarray, vectors: np.ndarray, blocks: list[np.ndarray], norms: np.ndarray,
          q_ids: np.ndarray, ids: np.ndarray, k: int, p: Index) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """Per query the number, and the positions and exact scores of its best candidates.
@@ -88,8 +96,8 @@ def scan(queries: np.ndarray, rotated_q: np.ndarray, vectors: np.ndarray, blocks
         q_norm = float(q @ q)
         # a sure lower bound of the k-th best: exact scores of the most promising candidates
         lead = alive if len(alive) <= 2 * k else alive[np.argpartition(-partial, 2 * k)[:2 * k]]
-        exact = vectors[lead] @ queries[n]
-        bound = np.sort(exact)[-k] if len(exact) >= k else -np.inf
+        top = _best(ids[lead], vectors[lead] @ queries[n], k)
+        bound = (vectors[lead[top[-1]]] @ queries[n]) if len(top) == k else -np.inf
         for b in range(1, len(blocks) + 1):
             if len(alive) > 2 * k and np.isfinite(bound):
                 # squared distance from the seen dimensions, scaled up, against the distance at the bound
@@ -105,7 +113,7 @@ def scan(queries: np.ndarray, rotated_q: np.ndarray, vectors: np.ndarray, blocks
             seen += len(rows)
         alive = np.union1d(alive, lead)
         score = vectors[alive] @ queries[n]
-        best = np.argsort(-score, kind="stable")[:k]
+        best = _best(ids[alive], score, k)
         yield n, alive[best], score[best]
 
 
@@ -116,6 +124,7 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec
     sound = vectors.filter(col(id_col).isNotNull() & usable(col(vector))).select(
         col(id_col).cast("long").alias("id"), F.transform(col(vector), lambda x: x.cast("double")).alias("v"),
         is_query.alias("q"))
+    sound = settled(sound.groupBy("id", "v").agg(F.max("q").alias("q")))
     schema = "query_id long, rank int, vec_id long, score double"
     head = sound.agg(F.count(F.lit(1)), F.mode(F.size("v"), True)).first()
     if not head[0]:
@@ -123,7 +132,7 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec
     dim = head[1]
     sound = sound.filter(F.size("v") == dim)
     rate = min(p.sample / head[0], 1.0)
-    share = F.conv(F.substring(F.md5(F.col("id").cast("string")), 1, 12), 16, 10).cast("double") / float(1 << 48)
+    share = F.pmod(F.xxhash64("id", "v", F.lit(p.seed)), F.lit(1 << 48)) / float(1 << 48)
     sample = np.array([r[0] for r in sound.filter(share < rate).select("v").toLocalIterator()] or
                       [sound.select("v").first()[0]])
     shared = spark.sparkContext.broadcast((centroids(sample, p), rotation(dim, p.seed)))
@@ -140,13 +149,16 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec
                 pa.array([row.tolist() if q else None for row, q in zip(probes, query, strict=True)], pa.list_(pa.int32()))],
                 ["id", "v", "list", "probes"])
 
-    placed = settled(sound.mapInArrow(assign, "id long, v array<double>, list int, probes array<int>"))
-    probing = placed.filter("probes is not null").select("id", "v", F.explode("probes").alias("list"))
+    shape = "id long, v array<double>, list int, probes array<int>"
+    placed = settled(sound.select("id", "v", F.lit(False)).mapInArrow(assign, shape))
+    asked = sound.filter("q").groupBy("id").agg(F.min("v").alias("v"))
+    probing = settled(asked.select("id", "v", F.lit(True)).mapInArrow(assign, shape)).select(
+        "id", "v", F.explode("probes").alias("list"))
     sizes = settled(placed.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / p.chunk).cast("int").alias("chunks")).join(
         probing.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / p.block).cast("int").alias("parts")), "list"))
 
     def slot(count: str) -> Column:
-        return F.pmod(F.xxhash64("id"), F.col(count)).cast("int")
+        return F.pmod(F.xxhash64("id", "v"), F.col(count)).cast("int")
 
     def all_of(count: str) -> Column:
         return F.explode(F.sequence(F.lit(0), F.col(count) - 1))
@@ -178,7 +190,8 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec
                          "score": join(out_s, pa.float64())})
 
     found = left.union(right).groupBy("list", "i", "j").applyInArrow(probe, "query_id long, vec_id long, score double")
-    # at most k rows per query and task group: the k best by (-score, id) of a bounded list
+    # at most k rows per query and task group: the k best by (-score, id) of a bounded list; an id may be in several lists
+    found = found.repartition("query_id").groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     order = F.struct((-F.col("score")).alias("s"), F.col("vec_id").alias("v"))
     best = found.groupBy("query_id").agg(F.slice(F.array_sort(F.collect_list(order)), 1, k).alias("best"))
     return best.select("query_id", F.posexplode("best").alias("at", "hit")).select(

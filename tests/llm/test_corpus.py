@@ -165,6 +165,26 @@ def test_vectors_find_neighbours(spark):
     assert len(few) == 6
 
 
+def test_vectors_with_repeated_ids(spark):
+    x = G.standard_normal((300, 16))
+    rows = [(i % 100, [float(v) for v in r]) for i, r in enumerate(x)]  # three vectors an id
+    rows += rows[:100] * 4 + [(7, rows[7][1])] * 60 + [(500, [float(v) for v in 9 + r]) for r in x]  # equal rows, a hot id
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(5)
+    by = {}
+    for i, v in rows:
+        by.setdefault(i, []).append(v)
+    for p in (vectors.Index(lists=4, probes=4), vectors.Index(lists=4, probes=4, chunk=20, block=3)):
+        got = vectors.search(df, F.col("vec_id").isin(7, 20, 500), 10, p=p).collect()
+        found = 0
+        for q in (7, 20, 500):
+            best = {i: max(float(np.dot(v, min(by[q]))) for v in vs) for i, vs in by.items() if i != q}
+            want = sorted(best, key=lambda i: (-best[i], i))[:10]
+            mine = sorted((r for r in got if r.query_id == q), key=lambda r: r["rank"])
+            assert [r["rank"] for r in mine] == list(range(1, 11)) and len({r.vec_id for r in mine}) == 10
+            found += sum(abs(r.score - best[r.vec_id]) < 1e-9 and r.vec_id in want for r in mine)
+        assert found >= 27
+
+
 def test_secret_spans_costs_and_redaction(docs, none):
     got = {(r.doc_id, r.text): r.spans for r in secrets.scan(docs.drop("n_chars").withColumn("spans", F.lit(1))).collect()}
     spans = {d: [(s.kind, t[s.start:s.end]) for s in v] for (d, t), v in got.items() if d == 10}[10]
