@@ -38,7 +38,8 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [("quality", quality_rules), ("near_dedup", near_dedup), ("secrets", secret_scan), ("mixing", mix_sources),
           ("encoding", encode)]
-#: Near-duplicate classes and token ids are beyond SQL; the tests compare with brute force.
+#: Near-duplicate classes and token ids are beyond SQL; the operators are tested one by one,
+#: the whole run is not yet compared with anything.
 ORACLE_SQL = None
 
 
