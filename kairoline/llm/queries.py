@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kairoline.llm import bpe, mixing, near_dups, quality, repeats, secrets, sharding, toxicity, url_rules, vectors
+from kairoline.llm import (bpe, centroids, lexical, mixing, near_dups, quality, repeats, run_index, secrets, sharding,
+                           toxicity, url_rules, vectors)
 from kairoline.llm.common import table
 from kairoline.llm.sql import ORACLES
 
@@ -105,3 +106,23 @@ def op9_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op5_dimension_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+@query
+def op11_bag_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op12_run_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = run_index.strip(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    gone = F.aggregate("removed", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return cut.select("doc_id", (F.octet_length("kept") + gone).cast("long").alias("n_bytes"), gone.alias("n_removed"),
+                      F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query
+def op13_threshold_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    assigned, centers = centroids.cluster(table(spark, sf_dir, "embeddings"))
+    return centroids.with_inertia(assigned, centers).select(
+        "vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256")

@@ -101,5 +101,79 @@ SELECT doc_id, text, lang, source, n_chars, x.i::INT AS copy, md5('mix:' || key
 FROM drawn, LATERAL (SELECT unnest(range(1, copies + 1)) AS i) AS x
 """
 
+LEXICAL = r"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ts FROM documents),
+g AS (SELECT count(*) FILTER (len(ts) > 0) AS n_docs, sum(len(ts))::BIGINT AS n_terms FROM d),
+q AS (SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+tf AS (SELECT rid, term, count(*) AS tf FROM (SELECT rid, unnest(ts) AS term FROM d)
+       WHERE term IN (SELECT term FROM q) GROUP BY ALL),
+w AS (SELECT term, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * df + 1)::DOUBLE))::BIGINT AS w
+      FROM (SELECT term, count(*) AS df FROM tf GROUP BY term), g),
+m AS (SELECT rid, doc_id, (10 + (90 * len(ts)::BIGINT * n_docs) // greatest(n_terms, 1))::BIGINT AS m FROM d, g),
+s AS (SELECT item_id, rid, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m)))::BIGINT AS score
+      FROM q JOIN tf USING (term) JOIN w USING (term) JOIN m USING (rid) GROUP BY ALL)
+SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST)::INT AS rank, doc_id, score
+FROM s JOIN m USING (rid) WHERE score > 0
+QUALIFY row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) <= 10
+"""
+
+
+def _covered(length: int) -> str:
+    """Windows of bytes by hashes of doubled lengths; a byte goes if a window that occurs twice covers it."""
+    levels, held, at = [], None, 0
+    for e in range(length.bit_length()):
+        size = 1 << e
+        if e:
+            levels.append(f"l{e} AS (SELECT rid, i, hash(x, lead(x, {size // 2}) OVER o) AS x"
+                          + (f", hash(held, lead(x, {at}) OVER o) AS held" if held and (length >> (e - 1)) & 1
+                             else (", x AS held" if (length >> (e - 1)) & 1 else (", held" if held else "")))
+                          + f" FROM l{e - 1} WINDOW o AS (PARTITION BY rid ORDER BY i))")
+            if (length >> (e - 1)) & 1:
+                held, at = True, at + size // 2
+    top = length.bit_length() - 1
+    last = f"hash(held, lead(x, {at}) OVER o)" if held else "x"
+    return rf"""
+WITH d AS MATERIALIZED (SELECT row_number() OVER () AS rid, doc_id, encode(coalesce(text, '')) AS b FROM documents),
+n AS (SELECT rid, doc_id, octet_length(b) AS n FROM d),
+l0 AS (SELECT rid, unnest(bs) AS x, generate_subscripts(bs, 1) AS i FROM (SELECT rid, regexp_extract_all(hex(b), '..') AS bs FROM d)),
+{", ".join(levels)},
+win AS (SELECT rid, i, CASE WHEN i + {length - 1} <= n THEN {last} END AS x FROM l{top} JOIN n USING (rid)
+        WINDOW o AS (PARTITION BY rid ORDER BY i)),
+rep AS (SELECT x FROM win WHERE x IS NOT NULL GROUP BY x HAVING count(*) > 1),
+marked AS (SELECT rid, i, coalesce(max(CASE WHEN rep.x IS NOT NULL THEN i END) OVER (PARTITION BY rid ORDER BY i) > i - {length}, false)
+             AS gone FROM win LEFT JOIN rep ON win.x = rep.x),
+edges AS (SELECT *, gone AND NOT coalesce(lag(gone) OVER (PARTITION BY rid ORDER BY i), false) AS opens FROM marked),
+left_over AS (SELECT rid, count(*) FILTER (gone) AS n_removed, count(*) FILTER (opens) AS n_spans,
+                string_agg(l0.x, '' ORDER BY i) FILTER (NOT gone) AS kept FROM edges JOIN l0 USING (rid, i) GROUP BY rid)
+SELECT doc_id, n AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+  sha256(unhex(coalesce(kept, ''))) AS kept_sha256 FROM n LEFT JOIN left_over USING (rid)
+"""
+
+
+def _clusters(k: int, rounds: int) -> str:
+    steps = []
+    for r in range(rounds + 1):
+        steps.append(rf"""a{r} AS MATERIALIZED (SELECT rid, c, d FROM (SELECT rid, c, sum((x - y) * (x - y))::BIGINT AS d
+  FROM x JOIN c{r} USING (j) GROUP BY ALL) QUALIFY row_number() OVER (PARTITION BY rid ORDER BY d, c) = 1)""")
+        if r < rounds:
+            steps.append(rf"""c{r + 1} AS MATERIALIZED (SELECT c, j, CASE WHEN n IS NULL THEN y ELSE (s - ((s % n) + n) % n) // n END::BIGINT AS y
+  FROM c{r} LEFT JOIN (SELECT c, j, sum(x) AS s, count(*) AS n FROM x JOIN a{r} USING (rid) GROUP BY ALL) USING (c, j))""")
+    return rf"""
+WITH k AS MATERIALIZED (SELECT row_number() OVER () AS rid, vec_id, list_transform(embedding, lambda e: floor(1024 * e::DOUBLE)::BIGINT) AS v
+  FROM embeddings WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda e: e IS NOT NULL AND isfinite(e))) = 64),
+x AS MATERIALIZED (SELECT rid, unnest(v) AS x, generate_subscripts(v, 1) AS j FROM k),
+c0 AS MATERIALIZED (SELECT c, unnest(v) AS y, generate_subscripts(v, 1) AS j FROM (SELECT v,
+  row_number() OVER (ORDER BY sha256('3:' || coalesce(vec_id::VARCHAR, 'null')), v) - 1 AS c FROM k) WHERE c < {k}),
+{", ".join(steps)},
+sums AS (SELECT c, sum(d)::BIGINT AS cluster_inertia FROM a{rounds} GROUP BY c),
+named AS (SELECT c, sha256(string_agg(y::VARCHAR, ',' ORDER BY j)) AS centroid_sha256 FROM c{rounds} GROUP BY c)
+SELECT vec_id, c::INT AS cluster, d AS distance, cluster_inertia, (SELECT sum(d) FROM a{rounds})::BIGINT AS inertia, centroid_sha256
+FROM a{rounds} JOIN k USING (rid) JOIN sums USING (c) JOIN named USING (c)
+"""
+
+
 ORACLES = {"op1_quality_rules": QUALITY, "op3_jump_sharding": SHARDING, "op4_url_trie": URLS,
-           "op10_poisson_mixing": MIXING}
+           "op10_poisson_mixing": MIXING, "op11_bag_search": LEXICAL,
+           "op12_run_index": _covered(200), "op13_threshold_clusters": _clusters(8, 10)}
