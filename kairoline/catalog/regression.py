@@ -3,7 +3,7 @@
 from pyspark.ml import Pipeline
 from pyspark.sql import functions as F
 
-from kairoline.catalog import query
+from kairoline.catalog import query, tree_sql
 from kairoline.catalog.views import REG, orthogonal, r, reg, table
 from kairoline.functions.scalars import rounded
 from kairoline.operators import attribution, gram, profile, rank
@@ -124,9 +124,51 @@ def _tree(kind, params):
 
 query("reg_tree_deep")(_tree("DecisionTreeRegressor", {"max_depth": 6}))
 query("reg_forest")(_tree("RandomForest", {"n_estimators": 10, "max_depth": 6}))
-query("reg_extra_trees")(_tree("ExtraTreesRegressor", {"n_estimators": 10, "max_depth": 6}))
-query("reg_gbt")(_tree("GradientBoostingRegressor", {"n_estimators": 10, "max_depth": 4, "learning_rate": 0.1}))
-query("reg_xgb_like")(_tree("XGBRegressor", {"n_estimators": 10, "max_depth": 4, "learning_rate": 0.1}))
+
+# Sines and cosines of different libraries differ in the last digit, which is enough to part equal values.
+_LIST = ", ".join(f if f in ("quantity", "discount", "tax", "year") else f"round({f}, 9) + 0.0" for f in FEATURES)
+_TREE_ROWS = f"SELECT label AS y, [{_LIST}] AS x FROM reg"
+_STUMP_ROWS = "SELECT label AS y, [discount, tax] AS x FROM reg"
+
+
+def _grown(kind, params, names=FEATURES):
+    """Error on the table of a tree model over rounded features."""
+    def run(spark, sf):
+        df = reg(spark, sf)
+        df = df.select("label", *[(F.col(f) if f in ("quantity", "discount", "tax", "year") else rounded(f, 9)).alias(f) for f in names])
+        model = Pipeline(stages=build(kind, params, list(names), "label")).fit(df)
+        return model.transform(df).agg(rounded(profile.rmse("label", "prediction"), 4).alias("rmse")).select(
+            F.lit(kind).alias("model_type"), "rmse")
+    return run
+
+
+def _leaves(kind, params):
+    """Predictions of a tree model on two features, with their rows."""
+    def run(spark, sf):
+        df = reg(spark, sf).select("label", "discount", "tax")
+        model = Pipeline(stages=build(kind, params, ["discount", "tax"], "label")).fit(df)
+        return model.transform(df).groupBy(rounded("prediction", 3).alias("prediction")).agg(F.count("*").alias("rows"))
+    return run
+
+
+def _grown_sql(kind, ctes):
+    return f"WITH {REG}, {ctes} SELECT '{kind}' AS model_type, {r('sqrt(avg((y - prediction) ** 2))', 4)} AS rmse FROM pred"
+
+
+def _leaves_sql(ctes):
+    return f"WITH {REG}, {ctes} SELECT {r('prediction', 3)} AS prediction, count(*) AS \"rows\" FROM pred GROUP BY 1"
+
+
+query("reg_extra_trees", _grown_sql("ExtraTreesRegressor", tree_sql.extra_trees(_TREE_ROWS, 10, 6)))(
+    _grown("ExtraTreesRegressor", {"n_estimators": 10, "max_depth": 6}))
+query("reg_gbt", _grown_sql("GradientBoostingRegressor", tree_sql.boosted(_TREE_ROWS, 10, 4, 0.1, 0.0)))(
+    _grown("GradientBoostingRegressor", {"n_estimators": 10, "max_depth": 4, "learning_rate": 0.1}))
+query("reg_xgb_like", _grown_sql("XGBRegressor", tree_sql.boosted(_TREE_ROWS, 10, 4, 0.1, 1.0)))(
+    _grown("XGBRegressor", {"n_estimators": 10, "max_depth": 4, "learning_rate": 0.1}))
+query("extra_tree_leaves", _leaves_sql(tree_sql.extra_trees(_STUMP_ROWS, 1, 2, 7)))(
+    _leaves("ExtraTreesRegressor", {"n_estimators": 1, "max_depth": 2, "random_state": 7}))
+query("boosted_leaves", _leaves_sql(tree_sql.boosted(_STUMP_ROWS, 2, 1, 0.3, 1.0)))(
+    _leaves("XGBRegressor", {"n_estimators": 2, "max_depth": 1}))
 query("reg_adaboost")(_tree("AdaBoostRegressor", {"n_estimators": 5}))
 
 _SPEND = """spend AS (SELECT c_custkey, c_acctbal, c_nationkey, coalesce(sum(o_totalprice), 0) AS spend

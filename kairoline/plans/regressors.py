@@ -15,13 +15,14 @@ from pyspark import keyword_only
 from pyspark.ml import Estimator, Model
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.param import Params
-from pyspark.ml.regression import (DecisionTreeRegressionModel, DecisionTreeRegressor, GBTRegressor,
-                                   LinearRegression, RandomForestRegressor)
+from pyspark.ml.regression import (DecisionTreeRegressionModel, DecisionTreeRegressor, LinearRegression,
+                                   RandomForestRegressor)
 from pyspark.ml.util import DefaultParamsReader, DefaultParamsWriter, MLReader, MLWriter
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kairoline.operators import gram, knn
+from kairoline.plans.grown import ExtraTrees, SecondOrderBoosting
 from kairoline.plans.stages import _Stage, _WithDonors, param
 from kairoline.session import scratch_path, settle
 
@@ -304,6 +305,15 @@ def _subset(value) -> str:
     return {"sqrt": "sqrt", "log2": "log2"}.get(value, str(value))
 
 
+def _tried(value, p: int) -> int:
+    """Features tried per node: all, a root, a logarithm, a share or a number of them."""
+    if value in (None, "all"):
+        return p
+    if value in ("sqrt", "log2"):
+        return max(1, int(math.sqrt(p) if value == "sqrt" else math.log2(p)))
+    return max(1, int(value * p) if isinstance(value, float) else min(int(value), p))
+
+
 def _leaf(params: dict) -> int:
     """Rows per leaf. A split minimum of m has no Spark ML counterpart of its own; a node with fewer
     than m rows cannot give two leaves of half of m each."""
@@ -318,7 +328,7 @@ KNOWN = {
     "RandomForest": {"n_estimators", "max_depth", "min_samples_split", "min_samples_leaf", "max_features"},
     "ExtraTreesRegressor": {"n_estimators", "max_depth", "min_samples_split", "min_samples_leaf", "max_features"},
     "GradientBoostingRegressor": {"n_estimators", "max_depth", "learning_rate", "subsample", "min_samples_split", "min_samples_leaf"},
-    "XGBRegressor": {"n_estimators", "max_depth", "learning_rate", "subsample"},
+    "XGBRegressor": {"n_estimators", "max_depth", "learning_rate", "subsample", "reg_lambda", "gamma", "min_child_weight", "max_bin"},
     "AdaBoostRegressor": {"n_estimators", "learning_rate", "max_depth"},
     "KNeighborsRegressor": {"n_neighbors", "weights"},
 }
@@ -339,6 +349,18 @@ def build(kind: str, params: dict, features: Sequence[str], label: str = "label"
     if kind == "KNeighborsRegressor":
         return [NeighbourRegressor(inputCols=features, labelCol=label, idCols=list(ids),
                                    k=int(p.get("n_neighbors", 5)), weights=p.get("weights", "uniform"))]
+    if kind == "ExtraTreesRegressor":
+        return [ExtraTrees(inputCols=features, labelCol=label, options=json.dumps({
+            "trees": int(p.get("n_estimators", 100)), "depth": _depth(p.get("max_depth")), "leaf": int(p.get("min_samples_leaf", 1)),
+            "split": int(p.get("min_samples_split", 2)), "subset": _tried(p.get("max_features"), len(features)), "seed": seed}))]
+    if kind in ("GradientBoostingRegressor", "XGBRegressor"):
+        second = kind == "XGBRegressor"
+        return [SecondOrderBoosting(inputCols=features, labelCol=label, options=json.dumps({
+            "rounds": int(p.get("n_estimators", 100)), "depth": _depth(p.get("max_depth", 6 if second else 3)),
+            "rate": float(p.get("learning_rate", 0.3 if second else 0.1)), "subsample": float(p.get("subsample", 1.0)),
+            "ridge": float(p.get("reg_lambda", 1.0)) if second else 0.0, "least_gain": float(p.get("gamma", 0.0)),
+            "leaf": float(p.get("min_child_weight", 1.0)) if second else int(p.get("min_samples_leaf", 1)),
+            "split": int(p.get("min_samples_split", 2)), "bins": int(p.get("max_bin", 256)), "seed": seed}))]
     common = {"featuresCol": VECTOR, "labelCol": label}
     if kind == "LinearRegression":
         model = LinearRegression(**common, regParam=0.0, standardization=False, solver="normal")
@@ -351,19 +373,10 @@ def build(kind: str, params: dict, features: Sequence[str], label: str = "label"
         model = PenalisedRegression(kind="elastic_net", alpha=float(p.get("alpha", 1.0)), l1Ratio=share, **common)
     elif kind == "DecisionTreeRegressor":
         model = DecisionTreeRegressor(**common, seed=seed, maxDepth=_depth(p.get("max_depth")), minInstancesPerNode=_leaf(p))
-    elif kind in ("RandomForest", "ExtraTreesRegressor"):
-        extra = kind == "ExtraTreesRegressor"
-        subset = "onethird" if extra and "max_features" not in p else _subset(p.get("max_features"))
+    elif kind == "RandomForest":
         model = RandomForestRegressor(
             **common, seed=seed, numTrees=int(p.get("n_estimators", 100)), maxDepth=_depth(p.get("max_depth")),
-            minInstancesPerNode=_leaf(p), bootstrap=not extra, featureSubsetStrategy=subset)
-    elif kind in ("GradientBoostingRegressor", "XGBRegressor"):
-        default = 3 if kind == "GradientBoostingRegressor" else 6
-        rate = 0.1 if kind == "GradientBoostingRegressor" else 0.3
-        model = GBTRegressor(
-            **common, seed=seed, maxIter=int(p.get("n_estimators", 100)), maxDepth=_depth(p.get("max_depth", default)),
-            stepSize=float(p.get("learning_rate", rate)), subsamplingRate=float(p.get("subsample", 1.0)),
-            minInstancesPerNode=_leaf(p))
+            minInstancesPerNode=_leaf(p), featureSubsetStrategy=_subset(p.get("max_features")))
     else:
         model = AdaBoostR2(**common, rounds=int(p.get("n_estimators", 50)), learningRate=float(p.get("learning_rate", 1.0)),
                            maxDepth=int(p.get("max_depth", 3)), seed=seed)
