@@ -6,13 +6,13 @@ neighbours in the order have to be measured; everywhere else it is that of the p
 match of every position with any other one is streamed from left to right over the samples, and a position with ``length``
 or more starts a repeated string.
 
-Spark brings together what can match. The smallest hash among the groups of ``GRAM`` bytes in a string of ``length`` is
+Spark brings together what can match. The smallest hash among the groups of ``GRAMS[0]`` bytes in a string of ``length`` is
 the same wherever the string stands, so every string belongs to one hash; neighbouring strings with the same hash form a
-context. Bare hashes are counted first, with map-side combining; only contexts whose hash occurs twice are cut out
-of their texts and sent to the task that indexes all contexts of that hash. A hash with more than ``CROWD`` contexts is no
-longer kept together: its contexts are cut into single strings, which are counted by their own 128-bit hash, so no
-group grows with the number of documents that share a passage. Whole texts that occur twice are found by digest; one of
-them stands for all.
+context. Bare hashes are counted first, with map-side combining; of the contexts whose hash occurs twice, one copy of each,
+or two where there are more, is cut out of its text and sent to the task that indexes all contexts of that hash. What is found
+goes back to all copies. A hash with more than ``CROWD`` different contexts is not kept together: they are cut anew
+by longer groups, in the end by whole strings, so no group grows with the number of documents that share a passage.
+Whole texts that occur twice are found by digest; one of them stands for all.
 
 Defined results: lengths and positions count UTF-8 bytes; all occurrences go, the first one too, and strings are judged on
 the input. A null or empty text, or one below ``length`` bytes, keeps everything (null: empty). Rows equal in id and text
@@ -27,19 +27,21 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kairoline.llm.common import col, fresh, settled, sized
 
-GRAM = 32
+#: Bytes of a group; each later one splits what crowds together under the one before, and the string itself comes last.
+GRAMS = (32, 128)
 CROWD = 1000
 #: Strings that one context holds at most.
 REACH = 1024
 #: Contexts per task group, in expectation, and bytes that are sorted at once.
 BUCKET_ROWS = 8192
 PART_BYTES = 2_000_000
-_TURNS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
+_TURN = 0x9E3779B97F4A7C15
 _GAP = 0xFF  # no byte of a UTF-8 text
 _POSITION = (1 << 31) - 1
 
@@ -137,12 +139,12 @@ def repeated_starts(contexts: list[bytes], twice: list[bool], length: int) -> li
     return out
 
 
-def grams(values: np.ndarray, n: int, turn: int) -> np.ndarray:
+def grams(values: np.ndarray, n: int) -> np.ndarray:
     """Polynomial hash of every ``n`` consecutive values, from hashes of doubled lengths."""
     size = max(len(values) - n + 1, 0)
     out, at, power, length = np.zeros(size, np.uint64), 0, values, 1
     while size:
-        factor = np.uint64(pow(turn, length, 1 << 64))
+        factor = np.uint64(pow(_TURN, length, 1 << 64))
         if n & length:
             out = out * factor + power[at:at + size]
             at += length
@@ -158,15 +160,14 @@ def _spread(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
-def contexts(raw: bytes, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def contexts(raw: bytes, length: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Hash, first start, end of starts, and whether the hash stands in it more than once, of every context of a text.
 
     The place of a string's smallest hash is the leftmost one; what is smallest is told by 33 bits, above the position.
     """
     if len(raw) < length:
         return *(np.zeros(0, np.int64) for _ in range(3)), np.zeros(0, bool)
-    gram = min(GRAM, length)
-    hashes = _spread(grams(np.frombuffer(raw, np.uint8).astype(np.uint64) + np.uint64(1), gram, _TURNS[0]))
+    hashes = _spread(grams(np.frombuffer(raw, np.uint8).astype(np.uint64) + np.uint64(1), gram))
     x = (hashes & ~np.uint64(_POSITION)) | np.arange(len(hashes), dtype=np.uint64)
     size, n = 1, length - gram + 1
     while size < n:
@@ -209,129 +210,150 @@ def _ranges(at: np.ndarray, length: int) -> list[int]:
     return np.stack([at[np.concatenate([[0], apart + 1])], at[np.concatenate([apart, [len(at) - 1]])] + length], 1).ravel().tolist()
 
 
-def _among(rows: DataFrame, counts: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows whose keys are in the settled ``counts``, with ``crowd``: more than ``CROWD`` rows share them.
+def _among(rows: DataFrame, counts: DataFrame, keys: list[str], n: str = "n") -> DataFrame:
+    """Rows whose keys are in the settled ``counts``, with its further columns.
 
-    Rows of crowded keys are told by a broadcast where a count shows that such keys are few, and are not shuffled then.
+    Keys of more than ``CROWD`` rows are told by a broadcast where a count shows that such keys are few, and are not shuffled.
     """
-    crowds = sized(counts.filter(F.col("n") > CROWD).select(*keys, F.lit(True).alias("crowd")))
+    crowds = sized(counts.filter(F.col(n) > CROWD).withColumn("crowd", F.lit(True)))
     split = rows.join(crowds, keys, "left")
-    calm = split.filter("crowd is null").join(counts.filter(F.col("n") <= CROWD).select(*keys), keys, "left_semi")
-    return calm.withColumn("crowd", F.lit(False)).unionByName(split.filter("crowd"))
+    often = split.filter("crowd").drop("crowd")
+    calm = split.filter("crowd is null").select(*rows.columns).join(counts.filter(F.col(n) <= CROWD), keys)
+    return often.unionByName(calm)
 
 
-def covered(docs: DataFrame, length: int = 200, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per ``place`` of a document with repeats: ``whole`` if all of its text occurs twice, else ``ranges`` (start, end, ...)."""
-    rows = docs.filter(F.octet_length(col(text)) >= length).select(
-        _place(id_col, text).alias("place"), col(text).cast("binary").alias("raw"))
-    kind = rows.schema["place"].dataType.simpleString()
-
+def _number(length: int, gram: int):
     def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [contexts(raw, length) for raw in _binary(batch.column(1))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), _lists([f[0] for f in found], pa.int64()),
-                                              _lists([f[3] for f in found], pa.bool_())],
-                                             ["place", "digest", "hash", "many"])
+            found, marks = [], []
+            for raw in _binary(batch.column(1)):
+                found.append(contexts(raw, length, gram))
+                marks.append(np.array([_mark(raw[a:b]) for a, b in zip(
+                    found[-1][1].tolist(), (found[-1][2] + length - 1).tolist(), strict=True)], np.int64))
+            yield pa.RecordBatch.from_arrays([
+                *(batch.column(i) for i in range(batch.num_columns) if i != 1), _lists([f[0] for f in found], pa.int64()),
+                _lists(marks, pa.int64()), _lists([f[1].astype(np.int32) for f in found], pa.int32()),
+                _lists([f[3] for f in found], pa.bool_())],
+                [*(n for n in batch.schema.names if n != "raw"), "hash", "content", "at", "many"])
 
-    found = settled(rows.withColumn("digest", F.unhex(F.md5("raw"))).mapInArrow(
-        number, f"place {kind}, digest binary, hash array<bigint>, many array<boolean>"))
-    # texts that occur twice: the smallest place stands for all in the index
-    copies = sized(settled(found.groupBy("digest").agg(F.min("place").alias("kept"), F.count(F.lit(1)).alias("n")).filter(
-        "n > 1").select("digest", "kept")))
-    judged = found.join(copies, "digest", "left")
-    whole = judged.filter("kept is not null").select("place", F.lit(True).alias("whole")).distinct()
-    single = judged.filter("kept is null or place = kept").select(
-        "place", F.posexplode(F.arrays_zip("hash", "many")).alias("i", "c")).select("place", "i", "c.hash", "c.many")
-    counts = settled(single.groupBy("hash").agg(F.sum(F.when(F.col("many"), 2).otherwise(1)).alias("n")).filter("n > 1"))
-    total = counts.filter(F.col("n") <= CROWD).agg(F.sum("n")).first()[0] or 0
-    buckets = max(1, total // BUCKET_ROWS)
-    texts = rows.join(_among(single, counts, ["hash"]).groupBy("place").agg(
-        F.collect_list(F.when(~F.col("crowd"), F.col("i"))).alias("calm"),
-        F.collect_list(F.when(F.col("crowd"), F.col("i"))).alias("crowd")), "place")
+    return number
+
+
+def _mark(part: bytes) -> int:
+    return xxhash.xxh3_64_intdigest(part) - (1 << 63)
+
+
+_NUMBERED = "hash array<bigint>, content array<bigint>, at array<int>, many array<boolean>"
+
+
+def _indexed(table: pa.Table, length: int) -> pa.Table:
+    """Starts and ends (from the context's own start) that lie in strings occurring twice among the given contexts."""
+    table = table.sort_by("hash")
+    hashes, marks = table.column("hash").to_numpy(), table.column("content").to_numpy()
+    parts = table.column("part").to_pylist()
+    own, ranges = [], []
+
+    def flush(held: dict[bytes, list[int]]) -> None:
+        for rows, at in zip(held.values(), repeated_starts(list(held), [len(r) > 1 for r in held.values()], length), strict=True):
+            if len(at):
+                own.append(rows[0])
+                ranges.append(_ranges(at, length))
+
+    held: dict[bytes, list[int]] = {}
+    size = 0
+    for r, part in enumerate(parts):
+        if size >= PART_BYTES and hashes[r] != hashes[r - 1]:
+            flush(held)
+            held, size = {}, 0
+        rows = held.setdefault(part, [])
+        rows.append(r)
+        size += len(part) + 1
+    if held:
+        flush(held)
+    return pa.table({"hash": hashes[own], "content": marks[own], "ranges": pa.array(ranges, pa.list_(pa.int32()))})
 
+
+def _cut(length: int, gram: int):
+    """Wanted contexts of each text, with their hashes."""
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            owner, hashes, starts, parts = [], [], [], []
-            for n, (raw, numbers) in enumerate(zip(_binary(batch.column(1)), batch.column(2).to_pylist(), strict=True)):
-                if not numbers:
-                    continue
-                h, a, b, _ = contexts(raw, length)
-                for i in numbers:
-                    owner.append(n)
+            hashes, marks, parts = [], [], []
+            for raw, wanted in zip(_binary(batch.column(0)), batch.column(1).to_pylist(), strict=True):
+                h, a, b, _ = contexts(raw, length, gram)
+                for i in np.searchsorted(a, wanted).tolist():
                     hashes.append(h[i])
-                    starts.append(a[i])
                     parts.append(raw[a[i]:b[i] + length - 1])
+                    marks.append(_mark(parts[-1]))
                 if len(parts) >= 4096:
-                    yield packed(batch, owner, hashes, starts, parts)
-                    owner, hashes, starts, parts = [], [], [], []
-            yield packed(batch, owner, hashes, starts, parts)
-
-    def packed(batch, owner, hashes, starts, parts) -> pa.RecordBatch:
-        hashes = np.array(hashes, np.int64)
-        return pa.RecordBatch.from_arrays([
-            pa.array((hashes.view(np.uint64) % np.uint64(buckets)).astype(np.int64)), pa.array(hashes),
-            batch.column(0).take(pa.array(owner, pa.int32())), pa.array(starts, pa.int32()),
-            pa.array(parts, pa.binary())], ["bucket", "hash", "place", "at", "part"])
-
-    def index(table: pa.Table) -> pa.Table:
-        table = table.sort_by("hash")
-        hashes = table.column("hash").to_numpy()
-        parts, starts = table.column("part").to_pylist(), table.column("at").to_pylist()
-        own, ranges = [], []
-
-        def flush(numbers: dict[bytes, list[int]]) -> None:
-            distinct = list(numbers)
-            for c, at in zip(distinct, repeated_starts(distinct, [len(numbers[c]) > 1 for c in distinct], length), strict=True):
-                if len(at):
-                    for r in numbers[c]:
-                        own.append(r)
-                        ranges.append(_ranges(at + starts[r], length))
-
-        held: dict[bytes, list[int]] = {}
-        size = 0
-        for r, part in enumerate(parts):
-            if size >= PART_BYTES and hashes[r] != hashes[r - 1]:
-                flush(held)
-                held, size = {}, 0
-            rows_of = held.get(part)
-            if rows_of is None:
-                held[part] = [r]
-                size += len(part) + 1
-            else:
-                rows_of.append(r)
-        if held:
-            flush(held)
-        return pa.table({"place": table.column("place").combine_chunks().take(pa.array(own, pa.int64())),
-                         "ranges": pa.array(ranges, pa.list_(pa.int32()))})
+                    yield packed(hashes, marks, parts)
+                    hashes, marks, parts = [], [], []
+            yield packed(hashes, marks, parts)
 
-    calm_ranges = texts.filter(F.size("calm") > 0).select("place", "raw", "calm").mapInArrow(
-        cut, f"bucket bigint, hash bigint, place {kind}, at int, part binary").groupBy("bucket").applyInArrow(
-        index, f"place {kind}, ranges array<int>")
+    def packed(hashes, marks, parts) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(hashes, pa.int64()), pa.array(marks, pa.int64()), pa.array(parts, pa.binary())],
+                                          ["hash", "content", "part"])
 
-    def strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            a_list, b_list, at_list = [], [], []
-            for raw, numbers in zip(_binary(batch.column(1)), batch.column(2).to_pylist(), strict=True):
-                _, a, b, _ = contexts(raw, length)
-                at = np.concatenate([np.arange(a[i], b[i]) for i in numbers]) if numbers else np.zeros(0, np.int64)
-                values = np.frombuffer(raw, np.uint8).astype(np.uint64) + np.uint64(1)
-                one, two = (_spread(grams(values, length, t)).view(np.int64) for t in _TURNS)
-                a_list.append(one[at])
-                b_list.append(two[at])
-                at_list.append(at.astype(np.int32))
-            yield pa.RecordBatch.from_arrays([batch.column(0), _lists(a_list, pa.int64()), _lists(b_list, pa.int64()),
-                                              _lists(at_list, pa.int32())], ["place", "one", "two", "at"])
-
-    own = settled(texts.filter(F.size("crowd") > 0).select("place", "raw", "crowd").mapInArrow(
-        strings, f"place {kind}, one array<bigint>, two array<bigint>, at array<int>"))
-    each = own.select("place", F.inline(F.arrays_zip("one", "two", "at")))
-    often = settled(each.groupBy("one", "two").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"))
-    crowd_ranges = _among(each, often, ["one", "two"]).groupBy("place").agg(
-        F.flatten(F.transform(F.collect_list("at"), lambda a: F.array(a, a + length))).alias("ranges"))
-    parts = calm_ranges.withColumn("whole", F.lit(False)).unionByName(
-        crowd_ranges.withColumn("whole", F.lit(False))).unionByName(
+    return cut
+
+
+def _matched(parts: DataFrame, single: DataFrame, length: int, level: int) -> DataFrame:
+    """Per ``owner`` of ``parts`` (``owner``, ``raw``) the ``ranges`` of its repeated strings, in pieces.
+
+    ``single`` holds one row per context: ``owner``, ``hash``, ``content``, ``at``, ``many``.
+    """
+    gram = ([g for g in GRAMS if g < length] + [length])[level]
+    counts = settled(single.groupBy("hash").agg(F.sum(F.when(F.col("many"), 2).otherwise(1)).alias("n")).filter("n > 1"))
+    near = settled(_among(single.drop("many"), counts, ["hash"]).drop("n"))
+    spot = F.struct("owner", "at")
+    kinds = settled(near.groupBy("hash", "content").agg(F.min(spot).alias("a"), F.max(spot).alias("b"), F.count(F.lit(1)).alias("n")))
+    crowds = settled(kinds.groupBy("hash").agg(F.count(F.lit(1)).alias("kinds")).filter(F.col("kinds") > CROWD))
+    crowded = gram < length and not crowds.isEmpty()
+    marked = kinds.join(sized(crowds.select("hash", F.lit(True).alias("crowd"))), "hash", "left") if crowded else kinds.withColumn(
+        "crowd", F.lit(None).cast("boolean"))
+
+    def wanted(rows: DataFrame) -> DataFrame:
+        at = rows.select(F.explode(F.array_distinct(F.array("a", "b"))).alias("r")).select("r.owner", "r.at")
+        return at.groupBy("owner").agg(F.sort_array(F.collect_set("at")).alias("wanted"))
+
+    cut, shape = _cut(length, gram), "hash bigint, content bigint, part binary"
+    calm = marked.filter("crowd is null")
+    buckets = max(1, (calm.count() if crowded else kinds.count()) // BUCKET_ROWS)
+    contexts_of = parts.join(wanted(calm), "owner").select("raw", "wanted").mapInArrow(cut, shape)
+    found = contexts_of.groupBy(F.pmod("hash", F.lit(buckets)).alias("bucket")).applyInArrow(
+        lambda table: _indexed(table.select(["hash", "content", "part"]), length), "hash bigint, content bigint, ranges array<int>")
+    if crowded:
+        again = parts.join(sized(settled(wanted(marked.filter("crowd")))), "owner").select("raw", "wanted").mapInArrow(cut, shape)
+        again = settled(again.select(F.struct("hash", "content").alias("key"), F.col("part").alias("raw"))
+                        .withColumn("owner", F.struct("key", F.monotonically_increasing_id().alias("copy"))).select("owner", "raw"))
+        kind = again.schema["owner"].dataType.simpleString()
+        below = ([g for g in GRAMS if g < length] + [length])[level + 1]
+        numbered = settled(again.mapInArrow(_number(length, below), f"owner {kind}, {_NUMBERED}"))
+        deeper = _matched(again, numbered.select("owner", F.inline(F.arrays_zip("hash", "content", "at", "many"))), length, level + 1)
+        found = found.unionByName(deeper.select("owner.key.hash", "owner.key.content", "ranges"))
+    results = settled(found.groupBy("hash", "content").agg(F.flatten(F.collect_list("ranges")).alias("ranges")).join(
+        kinds.select("hash", "content", "n"), ["hash", "content"]))
+    return _among(near, results, ["hash", "content"]).select(
+        "owner", F.transform("ranges", lambda x: x + F.col("at")).alias("ranges"))
+
+
+def covered(docs: DataFrame, length: int = 200, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+    """Per ``place`` of a document with repeats: ``whole`` if all of its text occurs twice, else ``ranges`` (start, end, ...)."""
+    rows = docs.filter(F.octet_length(col(text)) >= length).select(
+        _place(id_col, text).alias("owner"), col(text).cast("binary").alias("raw"))
+    kind = rows.schema["owner"].dataType.simpleString()
+    first = min([*GRAMS, length])
+    found = settled(rows.withColumn("digest", F.unhex(F.md5("raw"))).mapInArrow(
+        _number(length, first), f"owner {kind}, digest binary, {_NUMBERED}"))
+    # texts that occur twice: the smallest place stands for all in the index
+    copies = sized(settled(found.groupBy("digest").agg(F.min("owner").alias("kept"), F.count(F.lit(1)).alias("n")).filter(
+        "n > 1").select("digest", "kept")))
+    judged = found.join(copies, "digest", "left")
+    whole = judged.filter("kept is not null").select("owner", F.lit(True).alias("whole")).distinct()
+    single = judged.filter("kept is null or owner = kept").select("owner", F.inline(F.arrays_zip("hash", "content", "at", "many")))
+    parts = _matched(rows, single, length, 0).withColumn("whole", F.lit(False)).unionByName(
         whole.withColumn("ranges", F.array().cast("array<int>")))
-    return parts.groupBy("place").agg(F.max("whole").alias("whole"), F.flatten(F.collect_list("ranges")).alias("ranges"))
+    return parts.groupBy(F.col("owner").alias("place")).agg(
+        F.max("whole").alias("whole"), F.flatten(F.collect_list("ranges")).alias("ranges"))
 
 
 def _merged(flat: np.ndarray) -> list[tuple[int, int]]:

@@ -123,7 +123,7 @@ def test_index_removes_what_windows_say(spark, monkeypatch, crowd):
     monkeypatch.setattr(run_index, "BUCKET_ROWS", 40)
     rows = passages(5, 60)
     rows += [(200, rows[0][1]), (201, rows[0][1]), rows[1], (202, rows[2][1][3:] + "!"), *SPECIAL]
-    for length in (40, 64):
+    for length in (40, 64, 150):
         assert stripped(spark, rows, length) == plain_strip(rows, length)
 
 
