@@ -3,10 +3,11 @@
 from pyspark.sql import functions as F
 
 from kairoline.catalog import query
-from kairoline.catalog.views import GRID, KINDS, WIDE, panel, panel_grid, r, wide
+from kairoline.catalog.views import GRID, KINDS, WIDE, panel, panel_grid, r, table, wide
 from kairoline.functions import calendar
 from kairoline.functions.scalars import rounded
 from kairoline.operators import fill, impute, knn
+from kairoline.operators.grid import bucket_mean, regularise
 
 KEYS = ["user_id"]
 _HDM = "hour(t) AS h, isodow(t) - 1 AS d, month(t) AS m"
@@ -97,6 +98,62 @@ def fill_zero(spark, sf):
     return _out(fill.zero_fill(panel_grid(spark, sf), "v", "v_imp"))
 
 
+# Every fifth user lost its id: those readings are one series, with a mean per step.
+_SOME = "nullif(user_id, user_id // 5 * 5)"
+GRID_NULL = f"""panel AS (
+  SELECT {_SOME} AS user_id, time_bucket(INTERVAL 3 HOURS, ts) AS t, avg(value) AS v FROM events GROUP BY 1, 2),
+bounds AS (SELECT user_id, min(t) AS lo, max(t) AS hi FROM panel GROUP BY 1),
+steps AS (SELECT user_id, unnest(generate_series(lo, hi, INTERVAL 3 HOURS)) AS t FROM bounds),
+grid AS (SELECT s.user_id, s.t, p.v FROM steps s LEFT JOIN panel p ON s.user_id IS NOT DISTINCT FROM p.user_id AND s.t = p.t)"""
+
+
+def grid_null(spark, sf):
+    some = F.when(F.col("user_id") % 5 != 0, F.col("user_id"))
+    return regularise(bucket_mean(table(spark, sf, "events").withColumn("user_id", some), KEYS, "ts", "value"), KEYS, "t")
+
+
+_NULL_FILLS = {"forward": "pv", "backward": "nv", "linear": f"coalesce(v, {_LINE}, pv)"}
+_NULL_FNS = {"forward": fill.forward_fill, "backward": fill.backward_fill, "linear": fill.linear_fill}
+for _name, _sql in _NULL_FILLS.items():
+    query(f"fill_{_name}_null_series", f"WITH {GRID_NULL}, {_NEAR} {_select(_sql, 7)} FROM near")(
+        lambda spark, sf, fn=_NULL_FNS[_name]: _out(fn(grid_null(spark, sf), KEYS, "t", "v", "v_imp"), 7))
+
+
+@query("interpolate_null_series", f"""WITH {GRID_NULL}, {_NEAR}, {_LINED} {_select('l', 7)} FROM lined""")
+def interpolate_null_series(spark, sf):
+    return _out(fill.interpolate(grid_null(spark, sf), KEYS, "t", "v", "v_imp"), 7)
+
+
+@query("gap_islands_null_series", f"""WITH {GRID_NULL}, {_NEAR}
+SELECT user_id, min(t) AS gap_start, max(t) AS gap_end, count(*) AS gap_steps FROM near
+WHERE v IS NULL AND pt IS NOT NULL AND nt IS NOT NULL GROUP BY user_id, pt, nt""")
+def gap_islands_null_series(spark, sf):
+    return fill.gap_islands(grid_null(spark, sf), KEYS, "t", "v")
+
+
+# Fills of the steps that have no reading in any column, all columns at once.
+_STEPS6 = f"""{WIDE}, bounds AS (SELECT user_id, min(t) AS lo, max(t) AS hi FROM wide GROUP BY 1),
+steps AS (SELECT user_id, unnest(generate_series(lo, hi, INTERVAL 6 HOURS)) AS t FROM bounds),
+g AS (SELECT s.user_id, s.t, {', '.join(KINDS)}, row_number() OVER (PARTITION BY s.user_id ORDER BY s.t) AS i,
+  {' AND '.join(f'{k} IS NULL' for k in KINDS)} AS empty FROM steps s LEFT JOIN wide w ON s.user_id = w.user_id AND s.t = w.t)"""
+_B, _A = "OVER (PARTITION BY user_id ORDER BY t)", "OVER (PARTITION BY user_id ORDER BY t ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)"
+
+
+def _wide_fill(mode: str) -> str:
+    def one(k: str) -> str:
+        before, after = f"last_value({k} IGNORE NULLS) {_B}", f"first_value({k} IGNORE NULLS) {_A}"
+        at, to = (f"{f}(CASE WHEN {k} IS NOT NULL THEN i END IGNORE NULLS) {w}" for f, w in (("last_value", _B), ("first_value", _A)))
+        line = f"coalesce({before} + ({after} - {before}) * (i - {at}) / ({to} - {at}), {before})"
+        value = {"ffill": before, "bfill": after, "zero": "0", "interpolate": line}[mode]
+        return f"{r(f'CASE WHEN empty THEN {value} ELSE {k} END', 7)} AS {k}"
+    return f"WITH {_STEPS6} SELECT user_id, t, {', '.join(map(one, KINDS))} FROM g"
+
+
+for _mode in fill.MODES:
+    query(f"grid_fill_{_mode}", _wide_fill(_mode))(lambda spark, sf, mode=_mode: fill.regularise_and_fill(
+        wide(spark, sf), KEYS, "t", KINDS, mode, 6).select("user_id", "t", *[rounded(k, 7).alias(k) for k in KINDS]))
+
+
 _OTHERS = [k for k in KINDS if k != "click"]
 _CYC = {
     "hour_sin": "sin(2 * pi() * hour(t) / 24)", "hour_cos": "cos(2 * pi() * hour(t) / 24)",

@@ -3,10 +3,12 @@
 from pyspark.sql import functions as F
 
 from kairoline.catalog import query
+from kairoline.catalog.gaps import GRID_NULL, grid_null
 from kairoline.catalog.views import DAILY, GRID, daily, orthogonal, panel_grid, r, table
 from kairoline.functions.scalars import rounded
 from kairoline.operators import arima, autocorr, fill, profile, rank, split
 from kairoline.operators.order import positions, previous
+from kairoline.plans import presets, search
 
 DAY = 24
 _SERIES = """ff AS (SELECT user_id, t, last_value(v IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY t) AS y FROM grid)"""
@@ -188,3 +190,54 @@ def actual_vs_pred(spark, sf):
     predicted = previous(actual, [], "d", "diff", "before", DAY).where("before IS NOT NULL").select("d", "before")
     both = profile.actual_vs_predicted(actual, predicted, ["d"], "diff", "before")
     return both.select("d", rounded("actual", 3).alias("actual"), rounded("predicted", 3).alias("predicted"), "crosses_zero")
+
+
+_TE = "date_diff('hour', te, c.t) / 3"
+
+
+@query("arima_cv", f"""WITH {GRID}, {_SERIES}, o AS (SELECT *, row_number() OVER (ORDER BY t, user_id) - 1 AS pos, count(*) OVER () AS n FROM ff),
+sg AS (SELECT *, CASE WHEN pos < n - 5 * (n // 6) THEN 0 ELSE 1 + (pos - (n - 5 * (n // 6))) // (n // 6) END AS seg FROM o),
+c AS (SELECT *, lag(d) OVER (PARTITION BY user_id ORDER BY t) AS d1 FROM (
+  SELECT *, y - lag(y) OVER (PARTITION BY user_id ORDER BY t) AS d FROM sg) WHERE d IS NOT NULL),
+tr AS (SELECT c.*, fold FROM c JOIN range(5) q(fold) ON seg <= fold),
+fit AS (SELECT user_id, fold, coalesce(regr_slope(d, d1), 0) AS phi, avg(d) AS mean, coalesce(regr_intercept(d, d1), avg(d)) AS const,
+  max(t) AS te, arg_max(y, t) AS ye, arg_max(d, t) AS de FROM tr GROUP BY 1, 2),
+rr AS (SELECT user_id, fold, CASE WHEN sum((d - mean) ** 2) > 0 THEN sum((d - mean) * (d1 - mean)) / sum((d - mean) ** 2) ELSE 0 END AS r
+  FROM tr JOIN fit USING (user_id, fold) GROUP BY 1, 2),
+th AS (SELECT user_id, fold, CASE WHEN abs(r) >= 0.5 THEN sign(r) WHEN r = 0 OR r IS NULL THEN 0 ELSE (1 - sqrt(1 - 4 * r * r)) / (2 * r) END AS theta FROM rr),
+re AS (SELECT user_id, fold, any_value(theta) AS theta, sum(power(-theta, date_diff('hour', t, te) / 3) * (d - mean)) AS e
+  FROM tr JOIN fit USING (user_id, fold) JOIN th USING (user_id, fold) GROUP BY 1, 2),
+e AS (SELECT f.fold, c.y, ye + {_TE} * const / (1 - phi) + (de - const / (1 - phi)) * phi * (1 - power(phi, {_TE})) / (1 - phi) AS ar,
+    ye + theta * e + {_TE} * mean AS ma
+  FROM c JOIN fit f ON f.user_id = c.user_id AND f.fold = c.seg - 1 JOIN re ON re.user_id = c.user_id AND re.fold = f.fold)
+SELECT 'AR' AS model_type, fold::INT AS fold, {r('sqrt(avg((y - ar) ** 2))', 4)} AS rmse FROM e GROUP BY fold
+UNION ALL SELECT 'MA1', fold::INT, {r('sqrt(avg((y - ma) ** 2))', 4)} FROM e GROUP BY fold""")
+def arima_cv(spark, sf):
+    """Series models on the folds of the search: all users and folds from one set of sums."""
+    filled = fill.forward_fill(panel_grid(spark, sf), USER, "t", "v", "y")
+    folds = search.make_folds(filled, ["t", "user_id"], [], "y", series=USER)
+    rows = [(c.type, f, e) for c in presets.ARIMA for f, e in enumerate(search.fold_errors(folds, c))]
+    folds.release()
+    return spark.createDataFrame(rows, "model_type string, fold int, rmse double").select(
+        "model_type", "fold", rounded("rmse", 4).alias("rmse"))
+
+
+_D1_NULL = _D1.replace(GRID, GRID_NULL)
+
+
+@query("first_diff_null_series", f"WITH {_D1_NULL} SELECT user_id, t, {r('d')} AS d FROM a WHERE d IS NOT NULL")
+def first_diff_null_series(spark, sf):
+    filled = fill.forward_fill(grid_null(spark, sf), USER, "t", "v", "y")
+    return arima.difference(filled.select("user_id", "t", "y"), USER, "t", "y").select("user_id", "t", rounded("d").alias("d"))
+
+
+@query("arima_predict_null_series", f"""WITH {_D1_NULL}, {_AR}, p AS (
+  SELECT b.user_id, b.t, b.y, coalesce(const + phi * d1, const / (1 - phi)) AS step FROM b JOIN ar ON b.user_id IS NOT DISTINCT FROM ar.user_id),
+s AS (SELECT user_id, arg_min(y, t) AS y0 FROM ff GROUP BY 1)
+SELECT p.user_id, t, {r('y0 + sum(step) OVER (PARTITION BY p.user_id ORDER BY t)', 5)} AS prediction
+FROM p JOIN s ON p.user_id IS NOT DISTINCT FROM s.user_id""")
+def arima_predict_null_series(spark, sf):
+    filled = fill.forward_fill(grid_null(spark, sf), USER, "t", "v", "y")
+    c = arima.lagged_changes(filled, USER, "t", "y")
+    p = arima.predict_ar1(c, arima.fit_ar1(c, USER), USER, "t", "y")
+    return p.select("user_id", "t", rounded("prediction", 5).alias("prediction"))

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kairoline.functions.scalars import HOUR_US, epoch_us
+from kairoline.operators.grid import with_nulls
 from kairoline.operators.order import previous, running_sum
 from kairoline.session import settle
 
@@ -29,17 +30,17 @@ def undifference(df: DataFrame, starts: DataFrame, series: Sequence[str], ts: st
     """start + running sum of differences; ``starts`` has one ``start`` per series."""
     summed = running_sum(df, series, ts, diff, "_sum", hours)
     on = list(series)
-    joined = summed.join(starts, on) if on else summed.join(F.broadcast(starts), F.lit(True))
+    joined = with_nulls(summed, starts, on) if on else summed.join(F.broadcast(starts), F.lit(True))
     return joined.select(*df.columns, (F.col("start") + F.col("_sum")).alias(out))
 
 
 def lagged_changes(df: DataFrame, series: Sequence[str], ts: str, value: str, hours: float = 3,
-                   difference_order: int = 1) -> DataFrame:
+                   difference_order: int = 1, keep: Sequence[str] = ()) -> DataFrame:
     """Change ``d`` and preceding change ``d1`` (null in the first row) beside the value.
 
     Fits, predictions and forecasts all start here, so the changes are written once.
     """
-    base = df.select(*series, ts, value)
+    base = df.select(*series, ts, value, *keep)
     if difference_order == 0:
         changes = base.withColumn("d", F.col(value))
     elif difference_order == 1:
@@ -77,7 +78,7 @@ def fit_ma1(changes: DataFrame, series: Sequence[str]) -> DataFrame:
 
 
 def _with_fit(df: DataFrame, fitted: DataFrame, series: Sequence[str]) -> DataFrame:
-    return df.join(fitted, list(series)) if series else df.join(F.broadcast(fitted), F.lit(True))
+    return with_nulls(df, fitted, list(series)) if series else df.join(F.broadcast(fitted), F.lit(True))
 
 
 def predict_ar1(changes: DataFrame, fitted: DataFrame, series: Sequence[str], ts: str, value: str,

@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kairoline.functions.scalars import HOUR_US
-from kairoline.operators.order import US, neighbours
+from kairoline.operators.grid import grid_of, with_nulls
+from kairoline.operators.order import US, neighbours, neighbours_of
 
 
 def forward_fill(df: DataFrame, series: Sequence[str], ts: str, value: str, out: str,
@@ -67,3 +68,34 @@ def gap_islands(df: DataFrame, series: Sequence[str], ts: str, value: str, hours
         .agg(F.min(ts).alias("gap_start"), F.max(ts).alias("gap_end"), F.count("*").alias("gap_steps"))
         .select(*series, "gap_start", "gap_end", "gap_steps")
     )
+
+
+MODES = ("interpolate", "ffill", "bfill", "zero")
+
+
+def regularise_and_fill(df: DataFrame, series: Sequence[str], ts: str, values: Sequence[str], mode: str,
+                        hours: int = 3, **kw) -> DataFrame:
+    """Readings on their grid; rows in which every one of ``values`` is missing are filled, all columns from one scan.
+
+    Such rows are steps without a reading and readings without a value. Other rows stay as they are, with
+    their own nulls. ``interpolate`` draws a line per column and keeps the last value after the end; ``ffill`` and ``bfill``
+    take the value before or after, ``zero`` takes 0. Where a column has nothing to take, it stays null.
+    """
+    if mode not in MODES:
+        raise ValueError(f"unknown fill mode: {mode}; choose one of {', '.join(MODES)}")
+    values = list(values)
+    held = df.select(*series, ts, *values)
+    placed = with_nulls(grid_of(df, series, ts, hours), held, list(series), [ts], "left")
+    if mode == "zero":
+        near, fills = placed, {c: F.lit(0.0) for c in values}
+    else:
+        near, fills = neighbours_of(placed, series, ts, values, hours, **kw), {}
+        for i, c in enumerate(values):
+            prev, after = F.col(f"_prev{i}"), F.col(f"_next{i}")
+            share = (F.col(US) - prev["t"]) / (after["t"] - prev["t"])
+            line = F.coalesce(prev["v"] + (after["v"] - prev["v"]) * share, prev["v"])
+            fills[c] = {"ffill": prev["v"], "bfill": after["v"], "interpolate": line}[mode]
+    empty = F.lit(True)
+    for c in values:
+        empty = empty & F.col(f"`{c}`").isNull()
+    return near.select(*series, ts, *[F.when(empty, fills[c]).otherwise(F.col(f"`{c}`")).alias(c) for c in values])

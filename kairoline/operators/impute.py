@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from kairoline.functions import calendar
 from kairoline.operators import fill, knn
+from kairoline.operators.grid import with_nulls
 from kairoline.operators.quantiles import IN_MEMORY_ROWS, medians
 
 ALL_KEYS = ("hour", "dow", "month")
@@ -156,5 +157,5 @@ def impute_knn(df: DataFrame, ts: str, value: str, out: str, row_id: Sequence[st
                        coordinate_count=len(coords) + 1, **limits)
     means = near.groupBy(*row_id).agg(F.avg("_y").alias("_knn"))
     overall = donor_rows.agg(F.avg("_y").alias("_mean"))
-    joined = df.join(means, list(row_id), "left").join(F.broadcast(overall), F.lit(True), "left")
+    joined = with_nulls(df, means, list(row_id), how="left").join(F.broadcast(overall), F.lit(True), "left")
     return joined.select(*df.columns, F.coalesce(F.col(value), "_knn", "_mean").alias(out))

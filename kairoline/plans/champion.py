@@ -66,7 +66,8 @@ def folds_for(df: DataFrame, setup: Setup) -> s.Folds:
         raise ValueError(f"unknown split type: {setup.split_type}")
     prepared = setup.prep().transform(df)
     preparation = setup.imputation if setup.impute_column else None
-    return s.make_folds(prepared, setup.order, setup.features, setup.label, setup.n_splits, preparation, setup.fit_scope)
+    return s.make_folds(prepared, setup.order, setup.features, setup.label, setup.n_splits, preparation, setup.fit_scope,
+                        setup.series, setup.time, setup.hours)
 
 
 def refit(df: DataFrame, setup: Setup, candidate: s.Candidate, best_params: dict | None) -> PipelineModel:
@@ -74,7 +75,8 @@ def refit(df: DataFrame, setup: Setup, candidate: s.Candidate, best_params: dict
     stages = [setup.prep(), *setup.imputation()]
     if candidate.scaling:
         stages.append(PopulationScaler(inputCols=list(setup.features)))
-    stages += build(candidate.type, best_params or candidate.params, setup.features, setup.label, setup.order)
+    stages += build(candidate.type, best_params or candidate.params, setup.features, setup.label, setup.order,
+                    setup.series, setup.time, setup.hours)
     return Pipeline(stages=stages).fit(df)
 
 

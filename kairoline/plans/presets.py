@@ -28,3 +28,7 @@ SHALLOW = (
     Candidate("KNeighborsRegressor", {"n_neighbors": 8}, True,
               {"n_neighbors": [3, 5, 8, 12, 15], "weights": ["uniform", "distance"]}),
 )
+ARIMA = (
+    Candidate("MA1", {"AR_order": 0, "difference_order": 1, "MA_order": 1}),
+    Candidate("AR", {"AR_order": 1, "difference_order": 1, "MA_order": 0}),
+)

@@ -21,7 +21,7 @@ from pyspark.ml.util import DefaultParamsReader, DefaultParamsWriter, MLReader,
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kairoline.operators import gram, knn
+from kairoline.operators import arima, arima_folds, gram, grid, knn
 from kairoline.plans.grown import ExtraTrees, SecondOrderBoosting
 from kairoline.plans.stages import _Stage, _WithDonors, param
 from kairoline.session import scratch_path, settle
@@ -269,7 +269,7 @@ class NeighbourRegressorModel(_WithDonors, _Stage, Model, _NearParams):
         donors = dataset.sparkSession.read.parquet(self.donor_path)
         predicted = neighbour_means(dataset, donors, self.get("idCols"), self.get("inputCols"),
                                     self.get("labelCol"), self.get("k"), self.get("weights"))
-        return dataset.join(predicted, self.get("idCols"), "left")
+        return grid.with_nulls(dataset, predicted, self.get("idCols"), how="left")
 
 
 def neighbour_means(receivers: DataFrame, donors: DataFrame, ids: Sequence[str], coords: Sequence[str],
@@ -292,6 +292,66 @@ def neighbour_means(receivers: DataFrame, donors: DataFrame, ids: Sequence[str],
         F.coalesce(exact, F.sum(F.col("_y") * inverse) / F.sum(inverse)).alias("prediction"))
 
 
+class _SeriesParams(Params):
+    kind = param("kind", "ar or ma")
+    order = param("order", "0: the values themselves, 1: their changes")
+    seriesCols = param("seriesCols", "columns that identify a series")
+    timeCol = param("timeCol", "time column")
+    labelCol = param("labelCol", "label")
+    hours = param("hours", "step of the time grid in hours")
+
+
+_SERIES_DEFAULTS = {"kind": "ar", "order": 1, "seriesCols": [], "timeCol": "time", "labelCol": "label", "hours": 3}
+
+
+class SeriesRegressor(_Stage, Estimator, _SeriesParams):
+    """First-order model of every series; its fits are kept as a table, one row per series."""
+
+    _defaults = _SERIES_DEFAULTS
+
+    @keyword_only
+    def __init__(self, *, kind=None, order=None, seriesCols=None, timeCol=None, labelCol=None, hours=None):
+        super().__init__()
+        self._start(self._input_kwargs)
+
+    def _fit(self, dataset: DataFrame) -> "SeriesRegressorModel":
+        series, ts, label, hours = (self.get(c) for c in ("seriesCols", "timeCol", "labelCol", "hours"))
+        rows = dataset.withColumns({label: F.col(label).cast("double"), "segment": F.lit(0)})
+        changes = settle(arima.lagged_changes(rows, series, ts, label, hours, self.get("order"), ["segment"]))
+        sums = arima_folds.segment_sums(changes, series, ts, label)
+        path = scratch_path(dataset.sparkSession, "series")
+        arima_folds.fold_fits(changes, sums, self.get("kind"), series, ts, 1, hours).drop("fold").write.parquet(path)
+        model = SeriesRegressorModel()
+        self._copyValues(model)
+        model.donor_path = path
+        return model
+
+
+class SeriesRegressorModel(_WithDonors, _Stage, Model, _SeriesParams):
+    """Forecasts from the last row seen; rows at or before it and unknown series have no prediction."""
+
+    _defaults = _SERIES_DEFAULTS
+
+    def __init__(self):
+        super().__init__()
+        self._start({})
+
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        fits = dataset.sparkSession.read.parquet(self.donor_path)
+        return arima_folds.forecast(dataset, fits, self.get("kind"), self.get("seriesCols"), self.get("timeCol"), (),
+                                    self.get("hours"), self.get("order"))
+
+
+def series_kind(kind: str, params: dict) -> tuple[str, int]:
+    """``ar`` or ``ma``, and the order of differences; other orders are refused."""
+    wanted = (1, 0) if kind == "AR" else (0, 1)
+    found = (int(params.get("AR_order", wanted[0])), int(params.get("MA_order", wanted[1])))
+    order = int(params.get("difference_order", 1))
+    if found != wanted or order not in (0, 1):
+        raise ValueError(f"{kind} takes AR_order {wanted[0]}, MA_order {wanted[1]} and difference_order 0 or 1")
+    return ("ar" if kind == "AR" else "ma"), order
+
+
 def _depth(value) -> int:
     """Spark ML grows trees to depth 30 at most; an open depth means that, a deeper one is refused."""
     if value is not None and int(value) > 30:
@@ -331,13 +391,15 @@ KNOWN = {
     "XGBRegressor": {"n_estimators", "max_depth", "learning_rate", "subsample", "reg_lambda", "gamma", "min_child_weight", "max_bin"},
     "AdaBoostRegressor": {"n_estimators", "learning_rate", "max_depth"},
     "KNeighborsRegressor": {"n_neighbors", "weights"},
+    **{kind: {"AR_order", "difference_order", "MA_order"} for kind in ("AR", "MA", "MA1")},
 }
 LINEAR = ("LinearRegression", "Ridge", "Lasso", "ElasticNet", "BayesianRidge", "SGDRegressor")
-SERIES = ("AR", "MA", "MA1")  # fitted per series, see ``operators.arima``
+SERIES = ("AR", "MA", "MA1")  # fitted per series
 
 
-def build(kind: str, params: dict, features: Sequence[str], label: str = "label", ids: Sequence[str] = ()) -> list:
-    """Stages that turn feature columns into a ``prediction`` column."""
+def build(kind: str, params: dict, features: Sequence[str], label: str = "label", ids: Sequence[str] = (),
+          series: Sequence[str] = (), time: str = "time", hours: float = 3) -> list:
+    """Stages that turn feature columns (series models: time and label) into a ``prediction`` column."""
     if kind not in KNOWN:
         raise ValueError(f"unknown model type: {kind}")
     strange = set(params) - KNOWN[kind] - _IGNORED
@@ -361,6 +423,9 @@ def build(kind: str, params: dict, features: Sequence[str], label: str = "label"
             "ridge": float(p.get("reg_lambda", 1.0)) if second else 0.0, "least_gain": float(p.get("gamma", 0.0)),
             "leaf": float(p.get("min_child_weight", 1.0)) if second else int(p.get("min_samples_leaf", 1)),
             "split": int(p.get("min_samples_split", 2)), "bins": int(p.get("max_bin", 256)), "seed": seed}))]
+    if kind in SERIES:
+        form, order = series_kind(kind, p)
+        return [SeriesRegressor(kind=form, order=order, seriesCols=list(series), timeCol=time, labelCol=label, hours=hours)]
     common = {"featuresCol": VECTOR, "labelCol": label}
     if kind == "LinearRegression":
         model = LinearRegression(**common, regParam=0.0, standardization=False, solver="normal")

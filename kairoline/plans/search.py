@@ -20,9 +20,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kairoline.operators import gram, profile, split
-from kairoline.plans.regressors import LINEAR, build, scaled_solution
+from kairoline.operators import arima, arima_folds, gram, profile, split
+from kairoline.plans.regressors import LINEAR, SERIES, build, scaled_solution, series_kind
 from kairoline.plans.stages import PopulationScaler
+from kairoline.session import settle
 
 LEADERBOARD = T.StructType([
     T.StructField("seq", T.LongType()),
@@ -59,6 +60,10 @@ class Folds:
     ids: Sequence[str] = ()
     preparation: Callable[[], list] | None = None  # stages refitted inside every fold
     fit_scope: str = "fold"
+    series: Sequence[str] = ()
+    time: str | None = None
+    hours: float = 3
+    _changes: dict[int, tuple[DataFrame, DataFrame]] = field(default_factory=dict)
     _prepared: dict[int, DataFrame] = field(default_factory=dict)
     _sums: list[tuple[gram.Gram, gram.Gram]] | None = None
 
@@ -96,6 +101,14 @@ class Folds:
             self._sums = [(g[0], g[1]) for g in found]
         return self._sums
 
+    def changes(self, order: int) -> tuple[DataFrame, DataFrame]:
+        """Changes of the label along each series, and their sums per segment; taken once per order of differences."""
+        if order not in self._changes:
+            rows = self.rows.withColumn(self.label, F.col(self.label).cast("double"))
+            found = settle(arima.lagged_changes(rows, self.series, self.time, self.label, self.hours, order, ["segment"]))
+            self._changes[order] = found, settle(arima_folds.segment_sums(found, self.series, self.time, self.label))
+        return self._changes[order]
+
     def release(self) -> None:
         for df in (self.rows, *self._prepared.values()):
             df.unpersist()
@@ -103,9 +116,12 @@ class Folds:
 
 
 def make_folds(df: DataFrame, order: Sequence[str], features: Sequence[str], label: str, k: int = 5,
-               preparation: Callable[[], list] | None = None, fit_scope: str = "fold") -> Folds:
+               preparation: Callable[[], list] | None = None, fit_scope: str = "fold", series: Sequence[str] = (),
+               time: str | None = None, hours: float = 3) -> Folds:
     """Number the rows in time order and cut them into segments.
 
+    ``series``, ``time`` (the first of ``order`` if not given) and ``hours`` serve the series models.
+
     ``preparation`` builds the imputation stages. With ``fit_scope="fold"`` they learn from the
     training rows of each fold only, with ``"all"`` from the whole table.
     """
@@ -115,7 +131,8 @@ def make_folds(df: DataFrame, order: Sequence[str], features: Sequence[str], lab
     if preparation is not None and fit_scope == "all":
         placed = Pipeline(stages=preparation()).fit(placed).transform(placed)
         preparation = None
-    return Folds(placed.persist(), list(features), label, k, list(order), preparation, fit_scope)
+    return Folds(placed.persist(), list(features), label, k, list(order), preparation, fit_scope, list(series),
+                 time or order[0], hours)
 
 
 def grid(params: dict[str, Sequence]) -> list[dict[str, Any]]:
@@ -142,7 +159,7 @@ def _linear_fold_errors(folds: Folds, candidate: Candidate, params: dict) -> lis
 
 def _fitted_fold_error(folds: Folds, candidate: Candidate, params: dict, f: int, scaler=None) -> float:
     train, test = folds.frames(f)
-    stages = build(candidate.type, params, folds.features, folds.label, folds.ids)
+    stages = build(candidate.type, params, folds.features, folds.label, folds.ids, folds.series, folds.time, folds.hours)
     if scaler is not None:
         train, test = scaler.transform(train), scaler.transform(test)
     elif candidate.scaling:
@@ -163,11 +180,26 @@ def fitted_fold_errors(folds: Folds, candidate: Candidate, params: dict, workers
         return list(pool.map(lambda f: _fitted_fold_error(folds, candidate, params, f, scaler), range(folds.k)))
 
 
+def series_fold_errors(folds: Folds, candidate: Candidate, params: dict) -> list[float]:
+    """All series and folds are fitted from the same sums, and all test rows are forecast in one job."""
+    kind, order = series_kind(candidate.type, params)
+    changes, sums = folds.changes(order)
+    fits = arima_folds.fold_fits(changes, sums, kind, folds.series, folds.time, folds.k, folds.hours)
+    found = {r["fold"]: r["rmse"] for r in arima_folds.fold_errors(
+        changes, fits, kind, folds.series, folds.time, folds.label, folds.k, folds.hours, order).collect()}
+    missing = [f for f in range(folds.k) if found.get(f) is None]
+    if missing:
+        raise ValueError(f"{candidate.type}: no test row of folds {missing} has a forecast")
+    return [found[f] for f in range(folds.k)]
+
+
 def fold_errors(folds: Folds, candidate: Candidate, params: dict | None = None) -> list[float]:
     """RMSE of every fold."""
     params = candidate.params if params is None else params
     if candidate.type in LINEAR:
         return _linear_fold_errors(folds, candidate, params)
+    if candidate.type in SERIES:
+        return series_fold_errors(folds, candidate, params)
     return fitted_fold_errors(folds, candidate, params)
 
 
