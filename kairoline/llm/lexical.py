@@ -34,6 +34,8 @@ from kairoline.llm.common import col, settled, sized
 
 #: Words of a block of items, in expectation.
 BLOCK_TERMS = 100_000
+#: Scores that a task holds at once.
+SCORES = 1_000_000
 #: Bytes of a text that are cut into terms at once.
 PIECE = 1 << 22
 _TABLE = bytes((b + 32 if 65 <= b <= 90 else b) if b >= 128 or chr(b).isalnum() else 32 for b in range(256))
@@ -98,38 +100,42 @@ def _score(classes: DataFrame, weight: np.ndarray, starts: np.ndarray, items: np
     shared = classes.sparkSession.sparkContext.broadcast((weight, starts, items))
     kind = classes.schema["first"].dataType.simpleString()
 
+    def heads(number: np.ndarray) -> np.ndarray:
+        """The first ``k`` of every run of equal numbers."""
+        new = np.concatenate([[True], number[1:] != number[:-1]])
+        place = np.arange(len(number))
+        return place - np.maximum.accumulate(np.where(new, place, 0)) < k
+
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         w, begin, item_of = shared.value
-        kept, least = None, np.zeros(n_items, np.int64)
+        kept, least = None, np.ones(n_items, np.int64)
         for batch in batches:
-            hits_item, hits_row, hits_score = [], [], []
-            for row, (m, bag) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)):
-                t, tf = unpack(bag)
-                gain = w[t] * (1_000_000_000 * tf // (1000 * tf + 8 * m))
-                size = begin[t + 1] - begin[t]
-                at = np.repeat(begin[t] - np.cumsum(size) + size, size) + np.arange(size.sum())
-                total = np.zeros(n_items, np.int64)
-                np.add.at(total, item_of[at], np.repeat(gain, size))
-                good = np.flatnonzero((total > 0) & (total >= least))
-                hits_item.append(good)
-                hits_row.append(np.full(len(good), row))
-                hits_score.append(total[good])
-            if not hits_item:
-                continue
-            new = pa.table({"number": pa.array(np.concatenate(hits_item).astype(np.int32)),
-                            "score": pa.array(np.concatenate(hits_score))})
-            taken = pa.Table.from_batches([batch]).take(pa.array(np.concatenate(hits_row)))
-            for name in taken.column_names:
-                new = new.append_column(name, taken.column(name))
-            kept = new if kept is None else pa.concat_tables([kept, new])
-            kept = kept.sort_by([("number", "ascending"), ("score", "descending"), ("first_missing", "ascending"),
-                                 ("first", "ascending")])
-            number = kept.column("number").to_numpy()
-            head = np.concatenate([[True], number[1:] != number[:-1]])
-            place = np.arange(len(number)) - np.maximum.accumulate(np.where(head, np.arange(len(number)), 0))
-            last = place == k - 1
-            least[number[last]] = kept.column("score").to_numpy()[last]
-            kept = kept.take(pa.array(np.flatnonzero(place < k))).combine_chunks()
+            batch = pa.Table.from_batches([batch]).sort_by([("first_missing", "ascending"), ("first", "ascending")])
+            for at in range(0, batch.num_rows, max(1, SCORES // n_items)):
+                some = batch.slice(at, max(1, SCORES // n_items))
+                total = np.zeros((some.num_rows, n_items), np.int64)
+                for row, (m, bag) in enumerate(zip(some.column("m").to_pylist(), some.column("bag").to_pylist(), strict=True)):
+                    t, tf = unpack(bag)
+                    gain = w[t] * (1_000_000_000 * tf // (1000 * tf + 8 * m))
+                    size = begin[t + 1] - begin[t]
+                    of = np.repeat(begin[t] - np.cumsum(size) + size, size) + np.arange(size.sum())
+                    np.add.at(total[row], item_of[of], np.repeat(gain, size))
+                if len(total) > k:
+                    least = np.maximum(least, np.partition(total, len(total) - k, axis=0)[len(total) - k])
+                row, number = np.nonzero(total >= least)
+                if not len(row):
+                    continue
+                order = np.lexsort((row, -total[row, number], number))
+                order = order[heads(number[order])]
+                new = some.take(pa.array(row[order])).append_column("number", pa.array(number[order].astype(np.int32))).append_column(
+                    "score", pa.array(total[row[order], number[order]]))
+                kept = new if kept is None else pa.concat_tables([kept, new])
+                kept = kept.sort_by([("number", "ascending"), ("score", "descending"), ("first_missing", "ascending"),
+                                     ("first", "ascending")])
+                kept = kept.filter(pa.array(heads(kept.column("number").to_numpy()))).combine_chunks()
+                number, last = np.unique(kept.column("number").to_numpy()[::-1], return_index=True)
+                full = np.bincount(kept.column("number").to_numpy(), minlength=n_items)[number] == k
+                least[number[full]] = kept.column("score").to_numpy()[::-1][last[full]]
         if kept is not None:
             yield from kept.select(["number", "score", "m", "bag", "first", "first_missing"]).to_batches()
 
