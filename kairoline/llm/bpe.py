@@ -12,7 +12,7 @@ block is named by a digest of its content: a lost task that runs again over a st
 input that changes its order between reads is noticed (words and positions then do not fit) and refused; settle such
 an input first.
 
-Blocks and buckets bound memory: a block ends after ``block_chars`` code points (or one longer document), a common word
+Blocks and buckets bound memory: a block ends after ``block_chars`` code points, rows counted in (or one longer document), a common word
 appears once per block however often it occurs, and the word cache of a task is emptied at ``cache_words``.
 
 Defined results: a null or empty text has no tokens; repeated rows and any further columns pass through unchanged; an
@@ -84,6 +84,10 @@ def _unpack_words(data: bytes) -> list[bytes]:
     return [raw[a:b] for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
 
 
+#: What a row counts beside its text, so that rows without one fill a block too.
+ROW_CHARS = 32
+
+
 class _Block:
     def __init__(self) -> None:
         self.words: defaultdict[str, int] = defaultdict()
@@ -95,7 +99,7 @@ class _Block:
     def add(self, text: str | None) -> None:
         found = _CHUNK.findall(text) if text else []
         self.places.append(np.fromiter(map(self.words.__getitem__, found), np.uint32, len(found)))
-        self.chars += len(text) if text else 0
+        self.chars += (len(text) if text else 0) + ROW_CHARS
 
     def flush(self, buckets: int, positions: bool) -> Iterator[tuple]:
         """Either one row with positions and the other columns, or one row of words per bucket in use."""
@@ -223,7 +227,7 @@ def _reassemble(schema: pa.Schema, slice_places: int = 200_000):
 
 
 def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "text", into: str = "ids",
-           block_chars: int = 12_000_000, cache_words: int = 2_000_000, buckets: int | None = None) -> DataFrame:
+           block_chars: int = 6_000_000, cache_words: int = 250_000, buckets: int | None = None) -> DataFrame:
     """The other columns of ``docs`` and the token ids of the text (array of int)."""
     spark = docs.sparkSession
     buckets = buckets or max(16, int(spark.conf.get("spark.sql.shuffle.partitions")))
