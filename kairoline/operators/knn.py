@@ -1,11 +1,12 @@
 """Exact k-nearest-neighbour join with missing values.
 
-Only the best ``k`` donors of a receiver leave a task; pairs are never emitted. Donors are
-broadcast when a count shows that they are few. Otherwise both sides are cut into blocks: a
-receiver first visits the block nearest to it, which bounds the distance of its k-th neighbour,
-and then only those blocks whose bounding box lies within that bound. Blocks are bounded in rows on
-both sides, so neither a dense region nor a popular donor ends up in one task, and the result
-equals a full comparison.
+Only the best ``k`` donors of a receiver leave a task; pairs are never emitted. Donors lie in the blocks of a k-d tree
+over all coordinates. A receiver visits the block that can be nearest, then further ones by rising least distance, and stops where
+that exceeds the distance of its k-th neighbour so far; the result equals a full comparison.
+
+Donors are broadcast when a count shows that they are few, and tasks visit the blocks by themselves. Otherwise a visit is a
+join on the block, in rounds of 1, 4 and all remaining blocks. Blocks are bounded in rows on both sides, so neither a dense
+region nor a popular donor ends up in one task.
 """
 
 from __future__ import annotations
@@ -18,12 +19,17 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from kairoline.operators import kdtree
+from kairoline.operators.grid import with_nulls
 from kairoline.session import settle
 
 BROADCAST_CELLS = 8_000_000  # donor rows x columns: about 64 MB of doubles
 BLOCK_ROWS = 20_000
 MOST_BLOCKS = 100_000  # their bounding boxes are broadcast; beyond this, blocks grow instead
-PLACES = 9
+PLACES = kdtree.PLACES
+SAMPLE = 50_000  # donors, in expectation, that the tree is built from
+ROUNDS = (1, 4)  # blocks that a receiver visits in the first rounds; the last round takes all that are left
+LOCAL_ROWS = 1_000  # donors of a block inside a task
 _PAIRS_AT_ONCE = 500_000
 
 
@@ -75,7 +81,10 @@ def _top_k(x: np.ndarray, y: np.ndarray, k: int, total: int):
 
 def _matches(receivers: pd.DataFrame, donors: pd.DataFrame, rid, did, coords, k, payload, total):
     """Candidate rows for one block of receivers against donors already in tie order."""
-    i, j, d = _top_k(receivers[coords].to_numpy(float), donors[coords].to_numpy(float), k, total)
+    return _named(receivers, donors, *_top_k(receivers[coords].to_numpy(float), donors[coords].to_numpy(float), k, total), rid, did, payload)
+
+
+def _named(receivers: pd.DataFrame, donors: pd.DataFrame, i, j, d, rid, did, payload) -> pd.DataFrame:
     out = receivers[rid].iloc[i].reset_index(drop=True)
     for c in did:
         out[f"donor_{c}"] = donors[c].to_numpy()[j]
@@ -84,6 +93,47 @@ def _matches(receivers: pd.DataFrame, donors: pd.DataFrame, rid, did, coords, k,
     return out
 
 
+class LocalBlocks:
+    """Donors of one task (in tie order) in blocks of a k-d tree."""
+
+    def __init__(self, y: np.ndarray, total: int, rows: int = LOCAL_ROWS):
+        self.y, self.total = y, total
+        block = kdtree.build(y, rows).route(y) if len(y) else np.zeros(0, int)
+        self.members = [np.flatnonzero(block == b) for b in range(int(block.max(initial=-1)) + 1)]
+        self.boxes = kdtree.Boxes.of(y, block, len(self.members)) if len(y) else None
+
+    def nearest(self, x: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+        """Receiver, donor and distance of the best ``k`` of every row of ``x``, and the number of pairs compared."""
+        n, compared = len(x), 0
+        if not len(self.y) or not n:
+            return np.empty(0, int), np.empty(0, int), np.empty(0), 0
+        least = self.boxes.least(x, self.total)
+        order = np.argsort(least, axis=1, kind="stable")
+        best = np.full((n, k), np.inf)
+        who = np.full((n, k), len(self.y))
+        open_ = np.arange(n)
+        for turn in range(order.shape[1]):
+            block = order[open_, turn]
+            near = least[open_, block]
+            on = np.isfinite(near) & (near <= best[open_, k - 1])
+            open_, block = open_[on], block[on]  # later blocks are no nearer
+            if not len(open_):
+                break
+            by = np.argsort(block, kind="stable")
+            for part in np.split(by, np.flatnonzero(np.diff(block[by])) + 1):
+                rows, members = open_[part], self.members[block[part[0]]]
+                compared += len(rows) * len(members)
+                i, j, d = _top_k(x[rows], self.y[members], k, self.total)
+                slot = np.arange(len(i)) - np.searchsorted(i, np.arange(len(rows)))[i]
+                new_d, new_j = np.full((len(rows), k), np.inf), np.full((len(rows), k), len(self.y))
+                new_d[i, slot], new_j[i, slot] = d, members[j]
+                both_d, both_j = np.hstack([best[rows], new_d]), np.hstack([who[rows], new_j])
+                first = np.lexsort((both_j, both_d), axis=1)[:, :k]
+                best[rows], who[rows] = np.take_along_axis(both_d, first, 1), np.take_along_axis(both_j, first, 1)
+        i, slot = np.nonzero(who < len(self.y))
+        return i, who[i, slot], best[i, slot], compared
+
+
 def _schema(receivers: DataFrame, donors: DataFrame, rid, did, payload) -> T.StructType:
     return T.StructType(
         [receivers.schema[c] for c in rid]
@@ -94,11 +144,12 @@ def _schema(receivers: DataFrame, donors: DataFrame, rid, did, payload) -> T.Str
 
 def nearest(receivers: DataFrame, donors: DataFrame, rid: Sequence[str], did: Sequence[str],
             coords: Sequence[str], k: int, payload: str, coordinate_count: int | None = None,
-            broadcast_cells: int = BROADCAST_CELLS, block_rows: int = BLOCK_ROWS) -> DataFrame:
+            broadcast_cells: int = BROADCAST_CELLS, block_rows: int = BLOCK_ROWS, report: dict | None = None) -> DataFrame:
     """At most ``k`` rows per receiver: ids, ``donor_*`` ids, ``payload``, ``distance``, ``rank``.
 
     Donors with no coordinate in common with a receiver never match it. A receiver that is given
-    more than once is compared once; one id with different coordinates is an error.
+    more than once is compared once; one id with different coordinates is an error. A ``report`` receives the number of
+    blocks, of rounds, and the share of all pairs that joins on blocks compared (one more job).
     """
     rid, did, coords = list(rid), list(did), list(coords)
     total = coordinate_count or len(coords)
@@ -107,10 +158,13 @@ def nearest(receivers: DataFrame, donors: DataFrame, rid: Sequence[str], did: Se
     n_donors = donors.count()
     if n_donors * (len(coords) + 2) <= broadcast_cells:
         found = _by_broadcast(receivers, donors, rid, did, coords, k, payload, total)
-    else:
-        found = _by_blocks(receivers, donors, n_donors, rid, did, coords, k, payload, total, block_rows)
-    best = Window.partitionBy(*rid).orderBy("distance", *[f"donor_{c}" for c in did])
-    return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+        return _best(found, rid, did, k)
+    return _by_blocks(receivers, donors, n_donors, rid, did, coords, k, payload, total, block_rows, report)
+
+
+def _best(found: DataFrame, rid, did, k: int) -> DataFrame:
+    order = Window.partitionBy(*rid).orderBy("distance", *[f"donor_{c}" for c in did])
+    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
 def _once(receivers: DataFrame, rid) -> DataFrame:
@@ -128,76 +182,59 @@ def _by_broadcast(receivers, donors, rid, did, coords, k, payload, total) -> Dat
     held = spark.sparkContext.broadcast(table)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        blocks = None
         for batch in batches:
-            yield _matches(batch, held.value, rid, did, coords, k, payload, total)
+            if blocks is None:
+                blocks = LocalBlocks(held.value[coords].to_numpy(float), total)
+            i, j, d, _ = blocks.nearest(batch[coords].to_numpy(float), k)
+            yield _named(batch, held.value, i, j, d, rid, did, payload)
 
     return receivers.mapInPandas(run, _schema(receivers, donors, rid, did, payload))
 
 
-def _by_blocks(receivers, donors, n_donors, rid, did, coords, k, payload, total, block_rows) -> DataFrame:
+def _by_blocks(receivers, donors, n_donors, rid, did, coords, k, payload, total, block_rows, report) -> DataFrame:
     spark = receivers.sparkSession
     block_rows = max(block_rows, n_donors // MOST_BLOCKS)
-    complete = donors.agg(*[F.count(c).alias(c) for c in coords],
-                          *[F.stddev_pop(c).alias(f"{c}_s") for c in coords]).first()
-    sure = [c for c in coords if complete[c] == n_donors]
-    widest = sorted(sure, key=lambda c: -(complete[f"{c}_s"] or 0))[:2]
-    per_axis = max(1, int(np.ceil((n_donors / block_rows) ** (1 / max(1, len(widest))))))
-    cell = F.lit(0).cast("bigint")
-    for c in widest:
-        cuts = sorted(set(donors.approxQuantile(c, [i / per_axis for i in range(1, per_axis)], 0.01)))
-        above = F.lit(0)
-        for cut in cuts:
-            above = above + (F.col(c) > cut).cast("int")
-        cell = cell * F.lit(per_axis + 1) + above
-    tagged = donors.withColumn("_cell", cell)
-    sizes = tagged.groupBy("_cell").agg(F.count("*").alias("_size"))
-    # A crowded cell is cut further by a hash of the donor id.
     # Settled, so that a mean computed anew with another last bit cannot move a donor between passes.
-    tagged = settle(tagged.join(F.broadcast(sizes), "_cell").withColumn(
-        "_sub", F.pmod(F.xxhash64(*did), F.ceil(F.col("_size") / F.lit(block_rows)))
-    ).drop("_size"))
-    boxes = tagged.groupBy("_cell", "_sub").agg(
-        F.count("*").alias("_n"),
-        *[F.min(c).alias(f"{c}_lo") for c in sure], *[F.max(c).alias(f"{c}_hi") for c in sure],
-    ).toPandas()  # one row per block of about ``block_rows`` donors
-    boxes["_block"] = np.arange(len(boxes))
-    block_ids = spark.createDataFrame(boxes[["_cell", "_sub", "_block"]].astype("int64"))
-    blocked = tagged.join(F.broadcast(block_ids), ["_cell", "_sub"]).drop("_cell", "_sub")
-    lo, hi = boxes[[f"{c}_lo" for c in sure]].to_numpy(float), boxes[[f"{c}_hi" for c in sure]].to_numpy(float)
-    held = spark.sparkContext.broadcast((lo, hi))
-
-    def floor_distance(frame: pd.DataFrame) -> np.ndarray:
-        """Least possible distance of each receiver to each block (sure coordinates only)."""
-        low, high = held.value
-        x = frame[sure].to_numpy(float)
-        present = (~frame[coords].isna()).sum(axis=1).to_numpy()
-        out = np.zeros((len(x), len(low)))
-        for a in range(len(sure)):
-            gap = np.maximum(np.maximum(low[:, a] - x[:, a : a + 1], x[:, a : a + 1] - high[:, a]), 0.0)
-            out += np.where(np.isnan(gap), 0.0, gap) ** 2
-        with np.errstate(divide="ignore", invalid="ignore"):
-            scale = np.where(present > 0, total / present, 0.0)
-        return np.sqrt(scale[:, None] * out) * (1 - 1e-9) - 10.0**-PLACES
+    donors = settle(donors)
+    share = F.pmod(F.xxhash64(*did), F.lit(1 << 40)) / float(1 << 40)
+    some = donors.where(share < F.lit(min(1.0, SAMPLE / n_donors))).select(*coords).toPandas().to_numpy(float)
+    tree = kdtree.build(some, max(1, int(block_rows * len(some) / n_donors))) if len(some) else kdtree.build(np.zeros((1, len(coords))), 1)
+    kept = T.StructType([*donors.schema.fields, T.StructField("_leaf", T.LongType())])
 
+    def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield batch.assign(_leaf=tree.route(batch[coords].to_numpy(float)))
+
+    tagged = donors.mapInPandas(place, kept)
+    sizes = tagged.groupBy("_leaf").agg(F.count("*").alias("_size"))
+    # Rows that no coordinate tells apart are cut further by a hash of the donor id.
+    tagged = settle(tagged.join(F.broadcast(sizes), "_leaf").withColumn(
+        "_sub", F.pmod(F.xxhash64(*did), F.ceil(F.col("_size") / F.lit(block_rows)))).drop("_size"))
+    bounds = tagged.groupBy("_leaf", "_sub").agg(
+        F.count("*").alias("_n"), *[f(F.when(~F.isnan(c), F.col(c))).alias(f"{c}_{end}") for c in coords for f, end in (
+            (F.min, "lo"), (F.max, "hi"), (F.count, "seen"))]).toPandas()  # one row per block of about ``block_rows`` donors
+    bounds["_block"] = np.arange(len(bounds))
+    ends = {end: bounds[[f"{c}_{end}" for c in coords]].to_numpy(float) for end in ("lo", "hi", "seen")}
+    boxes = kdtree.Boxes(ends["lo"], ends["hi"], ends["seen"] == bounds[["_n"]].to_numpy(), ends["seen"] > 0)
+    block_ids = spark.createDataFrame(bounds[["_leaf", "_sub", "_block", "_n"]].astype("int64"))
+    blocked = tagged.join(F.broadcast(block_ids.drop("_n")), ["_leaf", "_sub"]).drop("_leaf", "_sub")
+    held = spark.sparkContext.broadcast(boxes)
     route = T.StructType([*receivers.schema.fields, T.StructField("_block", T.LongType())])
 
-    def slices(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rows = max(1, 4 * _PAIRS_AT_ONCE // max(1, len(held.value[0])))
-        for frame in batches:
-            for a in range(0, len(frame), rows):
-                yield frame.iloc[a : a + rows]
-
-    def first_visit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in slices(batches):
-            yield frame.assign(_block=floor_distance(frame).argmin(axis=1).astype("int64"))
-
-    def later_visits(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in slices(batches):
-            go = floor_distance(frame) <= frame["_bound"].to_numpy(float)[:, None]
-            go[np.arange(len(frame)), frame["_home"].to_numpy(int)] = False
-            i, j = np.nonzero(go)
-            out = frame[[*rid, *coords]].iloc[i].reset_index(drop=True)
-            yield out.assign(_block=j.astype("int64"))
+    def visits(first: int, last: int | None):
+        """Blocks number ``first`` to ``last`` by rising least distance, as far as that is within the bound."""
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            rows = max(1, 4 * _PAIRS_AT_ONCE // max(1, len(held.value.low)))
+            for whole in batches:
+                for a in range(0, len(whole), rows):
+                    frame = whole.iloc[a:a + rows]
+                    least = held.value.least(frame[coords].to_numpy(float), total)
+                    order = np.argsort(least, axis=1, kind="stable")[:, first:last]
+                    near = np.take_along_axis(least, order, 1)
+                    i, j = np.nonzero(np.isfinite(near) & (near <= frame["_bound"].to_numpy(float)[:, None]))
+                    yield frame[[*rid, *coords]].iloc[i].reset_index(drop=True).assign(_block=order[i, j].astype("int64"))
+        return run
 
     out_schema = _schema(receivers, donors, rid, did, payload)
 
@@ -217,10 +254,30 @@ def _by_blocks(receivers, donors, n_donors, rid, did, coords, k, payload, total,
         return left.groupBy("_block", "_lane").cogroup(right.groupBy("_block", "_lane")).applyInPandas(
             compare, out_schema)
 
-    placed = receivers.mapInPandas(first_visit, route)
-    near_home = visit(placed)
-    kth = near_home.groupBy(*rid).agg(F.count("*").alias("_got"), F.max("distance").alias("_far"))
-    bound = F.when(F.col("_got") >= k, F.col("_far")).otherwise(F.lit(float("inf")))
-    again = placed.withColumnRenamed("_block", "_home").join(kth, rid, "left").select(
-        *rid, *coords, "_home", F.coalesce(bound, F.lit(float("inf"))).alias("_bound"))
-    return near_home.unionByName(visit(again.mapInPandas(later_visits, route)))
+    best, first, compared, rounds = None, 0, 0, 0
+    receivers = settle(receivers)
+    for size in (*ROUNDS, None):
+        if best is None:
+            asked = receivers.withColumn("_bound", F.lit(float("inf")))
+        else:
+            kth = best.groupBy(*rid).agg(F.count("*").alias("_got"), F.max("distance").alias("_far"))
+            bound = F.when(F.col("_got") >= k, F.col("_far")).otherwise(F.lit(float("inf")))
+            asked = with_nulls(receivers, kth, rid, how="left").select(
+                *rid, *coords, F.coalesce(bound, F.lit(float("inf"))).alias("_bound"))
+        placed = settle(asked.mapInPandas(visits(first, None if size is None else first + size), route))
+        first += size or 0
+        if placed.isEmpty():
+            break
+        rounds += 1
+        if report is not None:
+            compared += placed.groupBy("_block").count().join(F.broadcast(block_ids), "_block").agg(
+                F.sum(F.col("count") * F.col("_n"))).first()[0]
+        found = visit(placed)
+        best = settle(_best(found if best is None else found.unionByName(best.drop("rank")), rid, did, k))
+        if first >= len(bounds):
+            break
+    if report is not None:
+        report.update(blocks=len(bounds), rounds=rounds, visited=compared / max(1, n_donors * receivers.count()))
+    if best is None:
+        return _best(spark.createDataFrame([], out_schema), rid, did, k)
+    return best
