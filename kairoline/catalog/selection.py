@@ -78,6 +78,33 @@ def random_search(spark, sf):
         F.col("params")["alpha"].alias("alpha"), F.col("params")["l1_ratio"].alias("l1_ratio"), rounded("cv_rmse", 4).alias("cv_rmse"))
 
 
+NEAR = search.Candidate("KNeighborsRegressor", {"n_neighbors": 8}, False, {"n_neighbors": [2, 5, 8], "weights": ["uniform", "distance"]})
+
+
+@query("cv_neighbours", f"""WITH c AS (SELECT c_custkey AS id, c_acctbal AS a, c_nationkey AS b, coalesce(sum(o_totalprice), 0) AS y,
+    row_number() OVER (ORDER BY c_custkey) - 1 AS pos, count(*) OVER () AS n FROM customer LEFT JOIN orders ON c_custkey = o_custkey GROUP BY 1, 2, 3),
+f AS (SELECT c.*, fold, pos < n - (3 - fold) * (n // 4) AS is_train FROM c, range(3) q(fold) WHERE pos < n - (3 - fold) * (n // 4) + n // 4),
+d AS (SELECT t.fold, t.id, t.y, s.y AS v, round(sqrt((t.a - s.a) ** 2 + (t.b - s.b) ** 2), 9) AS d, s.id AS other
+  FROM f t JOIN f s ON t.fold = s.fold AND NOT t.is_train AND s.is_train),
+k AS (SELECT *, row_number() OVER (PARTITION BY fold, id ORDER BY d, other) AS rk FROM d),
+p AS (SELECT fold, id, any_value(y) AS y, kk, w, CASE WHEN w = 'uniform' THEN avg(v) ELSE
+    coalesce(avg(v) FILTER (d = 0), sum(v / d) FILTER (d > 0) / sum(1 / d) FILTER (d > 0)) END AS p
+  FROM k, (VALUES (2), (5), (8)) q(kk), (VALUES ('uniform'), ('distance')) r(w) WHERE rk <= kk GROUP BY fold, id, kk, w),
+e AS (SELECT kk, w, fold, sqrt(avg((y - p) ** 2)) AS rmse FROM p GROUP BY ALL)
+SELECT kk::VARCHAR AS n_neighbors, w AS weights, {r('avg(rmse)', 4)} AS cv_rmse FROM e GROUP BY kk, w""")
+def cv_neighbours(spark, sf):
+    """Six points of the grid over three folds: one neighbour join per fold."""
+    spend = table(spark, sf, "orders").groupBy("o_custkey").agg(F.sum("o_totalprice").alias("_s"))
+    customers = table(spark, sf, "customer").select("c_custkey", "c_acctbal", "c_nationkey")
+    rows = customers.join(spend, F.col("c_custkey") == F.col("o_custkey"), "left").select(
+        "c_custkey", "c_acctbal", "c_nationkey", F.coalesce("_s", F.lit(0.0)).alias("spend"))
+    folds = search.make_folds(rows, ["c_custkey"], ["c_acctbal", "c_nationkey"], "spend", 3)
+    found = search.search(folds, NEAR, search_type="grid")
+    folds.release()
+    return search.trials(spark, found).select(
+        F.col("params")["n_neighbors"].alias("n_neighbors"), F.col("params")["weights"].alias("weights"), rounded("cv_rmse", 4).alias("cv_rmse"))
+
+
 @query("cv_tree")
 def cv_tree(spark, sf):
     folds = _folds(spark, sf)

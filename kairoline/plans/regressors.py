@@ -18,7 +18,7 @@ from pyspark.ml.param import Params
 from pyspark.ml.regression import (DecisionTreeRegressionModel, DecisionTreeRegressor, LinearRegression,
                                    RandomForestRegressor)
 from pyspark.ml.util import DefaultParamsReader, DefaultParamsWriter, MLReader, MLWriter
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kairoline.operators import arima, arima_folds, gram, grid, knn
@@ -272,24 +272,35 @@ class NeighbourRegressorModel(_WithDonors, _Stage, Model, _NearParams):
         return grid.with_nulls(dataset, predicted, self.get("idCols"), how="left")
 
 
-def neighbour_means(receivers: DataFrame, donors: DataFrame, ids: Sequence[str], coords: Sequence[str],
-                    label: str, k: int, weights: str = "uniform", **limits) -> DataFrame:
-    """Mean label of the ``k`` nearest donors; with ``distance`` weights 1/d, and where some donor
-    lies at distance 0 only those count."""
+def ranked_neighbours(receivers: DataFrame, donors: DataFrame, ids: Sequence[str], coords: Sequence[str],
+                      label: str, k: int, **limits) -> DataFrame:
+    """Per receiver its ``k`` nearest donors with their label ``_y``, ``distance`` and ``rank``."""
     as_id = lambda d: [F.col(c) for c in ids]
-    near = knn.nearest(
+    return knn.nearest(
         receivers.select(*as_id(receivers), *[F.col(c).cast("double").alias(f"_x{i}") for i, c in enumerate(coords)]),
         donors.select(*as_id(donors), F.col(label).cast("double").alias("_y"),
                       *[F.col(c).cast("double").alias(f"_x{i}") for i, c in enumerate(coords)]),
         ids, ids, [f"_x{i}" for i in range(len(coords))], k, "_y", **limits)
+
+
+def mean_label(k: int, weights: str = "uniform") -> Column:
+    """Aggregate over ranked neighbours: the mean label of the first ``k``; with ``distance`` weights 1/d, and where some donor
+    lies at distance 0 only those count."""
+    near = F.col("rank") <= k
     if weights == "uniform":
-        return near.groupBy(*ids).agg(F.avg("_y").alias("prediction"))
+        return F.avg(F.when(near, F.col("_y")))
     if weights != "distance":
         raise ValueError(f"unknown weights: {weights}")
-    exact = F.avg(F.when(F.col("distance") == 0, F.col("_y")))
-    inverse = F.when(F.col("distance") > 0, 1 / F.col("distance"))
-    return near.groupBy(*ids).agg(
-        F.coalesce(exact, F.sum(F.col("_y") * inverse) / F.sum(inverse)).alias("prediction"))
+    exact = F.avg(F.when(near & (F.col("distance") == 0), F.col("_y")))
+    inverse = F.when(near & (F.col("distance") > 0), 1 / F.col("distance"))
+    return F.coalesce(exact, F.sum(F.col("_y") * inverse) / F.sum(inverse))
+
+
+def neighbour_means(receivers: DataFrame, donors: DataFrame, ids: Sequence[str], coords: Sequence[str],
+                    label: str, k: int, weights: str = "uniform", **limits) -> DataFrame:
+    """Mean label of the ``k`` nearest donors."""
+    mean = mean_label(k, weights).alias("prediction")
+    return ranked_neighbours(receivers, donors, ids, coords, label, k, **limits).groupBy(*ids).agg(mean)
 
 
 class _SeriesParams(Params):

@@ -21,7 +21,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kairoline.operators import arima, arima_folds, gram, profile, split
-from kairoline.plans.regressors import LINEAR, SERIES, build, scaled_solution, series_kind
+from kairoline.operators.grid import with_nulls
+from kairoline.plans.regressors import LINEAR, SERIES, build, mean_label, ranked_neighbours, scaled_solution, series_kind
 from kairoline.plans.stages import PopulationScaler
 from kairoline.session import settle
 
@@ -180,6 +181,35 @@ def fitted_fold_errors(folds: Folds, candidate: Candidate, params: dict, workers
         return list(pool.map(lambda f: _fitted_fold_error(folds, candidate, params, f, scaler), range(folds.k)))
 
 
+def neighbour_fold_errors(folds: Folds, candidate: Candidate, points: Sequence[dict], workers: int = 4) -> list[list[float]]:
+    """RMSE of every fold for each of several parameter sets, from one ranked-neighbour join per fold.
+
+    The join is made for the largest number of neighbours; smaller ones and both weightings are read from it in one aggregate.
+    """
+    settings = [(int(p.get("n_neighbors", 5)), p.get("weights", "uniform")) for p in points]
+    for p in points:
+        build(candidate.type, p, folds.features, folds.label, folds.ids)  # refuses unknown parameters
+    whole = PopulationScaler(inputCols=list(folds.features)).fit(folds.rows) if candidate.scaling and folds.fit_scope == "all" else None
+    if folds.preparation is not None:
+        for f in range(folds.k):
+            folds.prepared(f)
+
+    def fold(f: int) -> list[float]:
+        train, test = folds.frames(f)
+        if candidate.scaling:
+            scaler = whole or PopulationScaler(inputCols=list(folds.features)).fit(train)
+            train, test = scaler.transform(train), scaler.transform(test)
+        near = ranked_neighbours(test, train.where(F.col(folds.label).isNotNull()), folds.ids, folds.features, folds.label,
+                                 max(k for k, _ in settings))
+        means = near.groupBy(*folds.ids).agg(*[mean_label(k, w).alias(f"_p{i}") for i, (k, w) in enumerate(settings)])
+        both = with_nulls(test.select(*folds.ids, F.col(folds.label).alias("_truth")), means, list(folds.ids), how="left")
+        return list(both.agg(*[profile.rmse("_truth", f"_p{i}").alias(f"_e{i}") for i in range(len(settings))]).first())
+
+    with ThreadPoolExecutor(workers) as pool:
+        by_fold = list(pool.map(fold, range(folds.k)))
+    return [list(errors) for errors in zip(*by_fold, strict=True)]
+
+
 def series_fold_errors(folds: Folds, candidate: Candidate, params: dict) -> list[float]:
     """All series and folds are fitted from the same sums, and all test rows are forecast in one job."""
     kind, order = series_kind(candidate.type, params)
@@ -200,6 +230,8 @@ def fold_errors(folds: Folds, candidate: Candidate, params: dict | None = None)
         return _linear_fold_errors(folds, candidate, params)
     if candidate.type in SERIES:
         return series_fold_errors(folds, candidate, params)
+    if candidate.type == "KNeighborsRegressor":
+        return neighbour_fold_errors(folds, candidate, [params])[0]
     return fitted_fold_errors(folds, candidate, params)
 
 
@@ -221,7 +253,11 @@ def search(folds: Folds, candidate: Candidate, tuning: bool = True, search_type:
         points = sample_grid(candidate.tuning_params, n_iter, seed)
     else:
         raise ValueError(f"unknown search type: {search_type}")
-    tried = [(p, cv_rmse(folds, candidate, {**candidate.params, **p})) for p in points]
+    if candidate.type == "KNeighborsRegressor":
+        found = neighbour_fold_errors(folds, candidate, [{**candidate.params, **p} for p in points])
+        tried = [(p, sum(errors) / len(errors)) for p, errors in zip(points, found, strict=True)]
+    else:
+        tried = [(p, cv_rmse(folds, candidate, {**candidate.params, **p})) for p in points]
     best, score = min(tried, key=lambda t: t[1])
     return Evaluation(candidate, score, best, tried)
 

@@ -151,3 +151,22 @@ def test_orders_that_are_not_offered_are_refused(spark):
     for params in ({"AR_order": 2}, {"MA_order": 1}, {"difference_order": 2}):
         with pytest.raises(ValueError, match="AR takes"):
             build("AR", params, [], "y")
+
+
+def test_one_neighbour_join_per_fold(spark, monkeypatch):
+    from kairoline.operators import knn
+
+    rnd = random.Random(2)
+    rows = [(i, rnd.random(), rnd.random() * 100, rnd.random()) for i in range(120)]
+    df = spark.createDataFrame(rows, "i long, a double, b double, y double")
+    folds = search.make_folds(df, ["i"], ["a", "b"], "y", 3)
+    c = search.Candidate("KNeighborsRegressor", {}, True, {"n_neighbors": [1, 4], "weights": ["uniform", "distance"]})
+    calls, nearest = [], knn.nearest
+    monkeypatch.setattr(knn, "nearest", lambda *a, **k: calls.append(1) or nearest(*a, **k))
+    found = search.search(folds, c, search_type="grid")
+    assert len(calls) == 3 and len(found.tried) == 4
+    for params, score in found.tried:
+        assert abs(np.mean(search.fitted_fold_errors(folds, c, params)) - score) < 1e-9
+    with pytest.raises(ValueError, match="does not take"):
+        search.neighbour_fold_errors(folds, c, [{"radius": 1}])
+    folds.release()
