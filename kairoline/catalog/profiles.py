@@ -6,7 +6,7 @@ from kairoline.catalog import query
 from kairoline.catalog.gaps import _LEVELS, _HDM
 from kairoline.catalog.views import GRID, KINDS, REG, WIDE, panel, panel_grid, r, reg, table, wide
 from kairoline.functions.scalars import rounded
-from kairoline.operators import impute, profile, scale
+from kairoline.operators import impute, profile, quantiles, scale
 
 FEATURES = ("quantity", "discount", "tax", "dow_sin", "dow_cos", "month_sin", "month_cos", "year")
 
@@ -94,3 +94,14 @@ def box_summary(spark, sf):
     b = profile.box_summary(table(spark, sf, "lineitem"), "l_extendedprice", ["l_returnflag"])
     return b.select("l_returnflag", *[rounded(c, 4).alias(c) for c in ("q1", "median", "q3")],
                     "whisker_low", "whisker_high", "outliers")
+
+
+@query("approx_medians", """SELECT event_type, count(*) AS "rows", true AS inside FROM events GROUP BY 1""")
+def approx_medians(spark, sf):
+    """Medians from one pass of mergeable summaries; ``inside``: the rank is within the stated error of the middle."""
+    error = 0.005
+    events = table(spark, sf, "events").select("event_type", "value")
+    both = events.join(F.broadcast(quantiles.medians(events, ["event_type"], "value", "m", error=error)), "event_type")
+    below, upto = (F.count(F.when(c, 1)) / F.count(F.lit(1)) for c in (F.col("value") < F.col("m"), F.col("value") <= F.col("m")))
+    return both.groupBy("event_type").agg(
+        F.count(F.lit(1)).alias("rows"), ((below <= 0.5 + error) & (upto >= 0.5 - error)).alias("inside"))

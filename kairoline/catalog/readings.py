@@ -58,12 +58,15 @@ def rename_alias(spark, sf):
     return raw.withColumnRenamed("Unnamed: 0", "Unnamed_0").withColumn("s_nationkey", F.col("s_nationkey").cast("bigint"))
 
 
-@query("numeric_columns", """SELECT column_name AS "column", (SELECT count(*) FROM lineitem) AS "rows"
-FROM (DESCRIBE SELECT * FROM lineitem) WHERE column_type IN ('DOUBLE', 'BIGINT')""")
+@query("numeric_columns", "SELECT * FROM (" + " UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", count({c}) AS filled, {r(f'avg({c})', 3)} AS mean FROM lineitem"
+    for c in ("l_orderkey", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax")) + ")")
 def numeric_columns(spark, sf):
+    """The columns that count as numeric, with their values."""
     df = table(spark, sf, "lineitem")
-    names = contract.column_set(spark, impute.numeric_columns(df))
-    return names.join(F.broadcast(df.agg(F.count("*").alias("rows"))), F.lit(True))
+    names = impute.numeric_columns(df)
+    means = contract.long_form(df.agg(*[F.avg(c).alias(c) for c in names]), [(c,) for c in names], names, ("column",), "mean")
+    return contract.fill_counts(df, names).join(means, "column").select("column", "filled", rounded("mean", 3).alias("mean"))
 
 
 @query("first_n", "SELECT o_orderkey, o_orderdate, o_totalprice FROM orders ORDER BY o_orderdate, o_orderkey LIMIT 100")
@@ -186,15 +189,40 @@ def calendar_keys(spark, sf):
         "o_orderkey", *[c.cast("bigint").alias(n) for n, c in calendar.keys("o_orderdate").items()])
 
 
-@query("feature_list", """WITH c AS (SELECT column_name AS n, row_number() OVER () AS i FROM (DESCRIBE lineitem) WHERE column_name <> 'l_shipdate'),
-g(n, i) AS (VALUES ('hour_sin', 1), ('hour_cos', 2), ('dow_sin', 3), ('dow_cos', 4), ('month_sin', 5), ('month_cos', 6), ('year', 7))
-SELECT i - 1 AS position, n AS feature, (SELECT count(*) FROM lineitem) AS "rows" FROM c
-UNION ALL SELECT (SELECT count(*) FROM c) + i - 1, n, (SELECT count(*) FROM lineitem) FROM g""")
+_LISTED = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
+           "l_returnflag", "l_linestatus")
+_MADE = {"hour_sin": "sin(2 * pi() * hour(l_shipdate) / 24)", "hour_cos": "cos(2 * pi() * hour(l_shipdate) / 24)",
+         "dow_sin": "sin(2 * pi() * (isodow(l_shipdate) - 1) / 7)", "dow_cos": "cos(2 * pi() * (isodow(l_shipdate) - 1) / 7)",
+         "month_sin": "sin(2 * pi() * month(l_shipdate) / 12)", "month_cos": "cos(2 * pi() * month(l_shipdate) / 12)",
+         "year": "year(l_shipdate)"}
+
+
+@query("feature_list", "SELECT * FROM (" + " UNION ALL ".join(
+    f"SELECT {i}::BIGINT AS position, '{n}' AS feature, count({e}) AS filled, count(DISTINCT round({e}, 9))::BIGINT AS kinds FROM lineitem"
+    if n in _MADE else f"SELECT {i}::BIGINT AS position, '{n}' AS feature, count({e}) AS filled, count(DISTINCT {e})::BIGINT AS kinds FROM lineitem"
+    for i, (n, e) in enumerate([*((c, c) for c in _LISTED), *_MADE.items()])) + ")")
 def feature_list(spark, sf):
+    """Names of the features that the calendar leaves and adds, with the values each of them really has."""
     df = table(spark, sf, "lineitem")
     names = calendar.feature_list(df.columns, "cyclical", removed=["l_shipdate"])
-    listed = spark.createDataFrame(list(enumerate(names)), "position bigint, feature string")
-    return listed.join(F.broadcast(df.agg(F.count("*").alias("rows"))), F.lit(True))
+    made = calendar.add_calendar(df, "l_shipdate", "cyclical")
+    one = {n: F.round(F.col(n), 9) if n in _MADE else F.col(n) for n in names}
+    counts = made.agg(*[F.count(n).alias(f"f_{n}") for n in names], *[F.count_distinct(one[n]).alias(f"k_{n}") for n in names])
+    filled = contract.long_form(counts.select(*[f"f_{n}" for n in names]), list(enumerate(names)), [f"f_{n}" for n in names],
+                                ("position", "feature"), "filled")
+    kinds = contract.long_form(counts.select(*[f"k_{n}" for n in names]), [(n,) for n in names], [f"k_{n}" for n in names], ("feature",), "kinds")
+    return filled.join(kinds, "feature").select(F.col("position").cast("bigint").alias("position"), "feature", "filled", "kinds")
+
+
+@query("distinct_encodings_full", f"""SELECT DISTINCT hour(ts)::BIGINT AS hour, isodow(ts) - 1 AS dow, month(ts)::BIGINT AS month,
+  {", ".join(f"{r(f'{fn}(2 * pi() * {e} / {p})')} AS {n}_{fn}" for n, e, p in (('hour', 'hour(ts)', 24), ('dow', '(isodow(ts) - 1)', 7), ('month', 'month(ts)', 12))
+             for fn in ('sin', 'cos'))} FROM events""")
+def distinct_encodings_full(spark, sf):
+    """Every calendar cell that occurs, by hour, weekday and month, with its encodings."""
+    keys, cyc = calendar.keys("ts"), calendar.cyclical("ts")
+    cells = table(spark, sf, "events").select(
+        *[keys[k].cast("bigint").alias(k) for k in ("hour", "dow", "month")], *[rounded(c).alias(n) for n, c in cyc.items() if n != "year"])
+    return cells.distinct().orderBy("hour", "dow", "month")
 
 
 @query("wide_pivot", f"WITH {WIDE} SELECT user_id, t, " + ", ".join(f"{r(k)} AS {k}" for k in KINDS) + " FROM wide")

@@ -73,6 +73,11 @@ def long_form(row: DataFrame, names: Sequence[Sequence[str]], values: Sequence[s
 def report(df: DataFrame, contract: Sequence[Field]) -> DataFrame:
     """One pass over the table: violations per rule and column, beside the row count."""
     found = checks(df, contract)
+    if PROBLEMS in df.columns:  # values that did not fit their type are null by now
+        fields = {f.name: f for f in contract}
+        early = [f"type:{c}" for c in df.columns if c in fields]
+        found = [c for c in found if f"{c.rule}:{c.column}" not in early] + [
+            Check("type", name[5:], F.array_contains(PROBLEMS, name)) for name in early]
     totals = [F.coalesce(F.sum(c.failed.cast("bigint")), F.lit(0)).alias(f"_{i}") for i, c in enumerate(found)]
     row = df.agg(F.count("*").alias("rows"), *totals)
     out = long_form(row, [(c.rule, c.column) for c in found], [f"_{i}" for i in range(len(found))],

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from kairoline.functions.scalars import HOUR_US, epoch_us, from_epoch_us
@@ -71,6 +71,23 @@ def regularise(df: DataFrame, series: Sequence[str], ts: str, hours: int = 3) ->
     return with_nulls(grid_of(df, series, ts, hours), df, series, [ts], "left")
 
 
+def single_steps(df: DataFrame, series: Sequence[str], ts: str, duplicates: str = "error") -> DataFrame:
+    """One row per series and step. With ``error`` a step that is read twice fails the job that reads it, with its series
+    and time; ``first`` keeps the row that comes first by its values; ``keep`` leaves all."""
+    if duplicates not in ("error", "first", "keep"):
+        raise ValueError("duplicates must be 'error', 'first' or 'keep'")
+    if duplicates == "keep":
+        return df
+    step = Window.partitionBy(*[F.col(f"`{c}`") for c in series], F.col(f"`{ts}`"))
+    if duplicates == "first":
+        order = [F.col(f"`{c}`") for c in df.columns if c not in (*series, ts)]
+        numbered = df.withColumn("_copy", F.row_number().over(step.orderBy(*(order or [F.lit(0)]))))
+        return numbered.where("_copy = 1").drop("_copy")
+    what = F.concat(F.lit("a step is read more than once: "), F.to_json(F.struct(*[F.col(f"`{c}`") for c in (*series, ts)])))
+    counted = df.withColumn("_copies", F.count(F.lit(1)).over(step))
+    return counted.where(F.when(F.col("_copies") == 1, True).otherwise(F.raise_error(what))).drop("_copies")
+
+
 def drop_all_null(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.na.drop("all", subset=list(columns))
 

@@ -30,20 +30,20 @@ def _held(state: DataFrame) -> DataFrame:
 
 
 def seasonal_medians(df: DataFrame, ts: str, value: str, keys: Sequence[str] = ALL_KEYS,
-                     limit: int = IN_MEMORY_ROWS) -> DataFrame:
-    """Median of ``value`` per calendar cell: columns ``_hour``, ``_dow``, ... and ``_median``."""
-    return _held(medians(_keyed(df, ts, value, keys), [f"_{k}" for k in keys], "_value", "_median", limit))
+                     limit: int = IN_MEMORY_ROWS, error: float | None = None) -> DataFrame:
+    """Median (within a rank ``error``, if given) of ``value`` per calendar cell: columns ``_hour``, ``_dow``, ... and ``_median``."""
+    return _held(medians(_keyed(df, ts, value, keys), [f"_{k}" for k in keys], "_value", "_median", limit, error=error))
 
 
 def level_medians(df: DataFrame, ts: str, value: str, levels: Sequence[Sequence[str]],
-                  limit: int = IN_MEMORY_ROWS) -> DataFrame:
+                  limit: int = IN_MEMORY_ROWS, error: float | None = None) -> DataFrame:
     """Medians of several calendar groupings in one table; ``_level`` is the index in ``levels``.
 
     Every row is expanded once per level, as ``GROUPING SETS`` does, so the input is read once.
     """
     keys = sorted({k for level in levels for k in level})
     rows = _keyed(df, ts, value, keys).where(F.col("_value").isNotNull())
-    n = rows.count()  # no group is larger than the table
+    n = rows.count() if error is None else None  # no group is larger than the table
     expanded = rows.select("_value", F.explode(F.array(*[
         F.struct(F.lit(i).alias("_level"),
                  *[(F.col(f"_{k}") if k in level else F.lit(None).cast("int")).alias(f"_{k}")
@@ -51,7 +51,7 @@ def level_medians(df: DataFrame, ts: str, value: str, levels: Sequence[Sequence[
         for i, level in enumerate(levels)
     ])).alias("_cell")).select("_value", "_cell.*")
     return _held(medians(expanded, ["_level", *[f"_{k}" for k in keys]], "_value", "_median", limit,
-                         n if n <= limit else None))
+                         n if n is not None and n <= limit else None, error))
 
 
 def fill_from_medians(df: DataFrame, ts: str, value: str, out: str, state: DataFrame,
@@ -86,15 +86,15 @@ FALLBACK_LEVELS = (("hour",), ("dow",), ())
 
 
 def impute_group_median(df: DataFrame, ts: str, value: str, out: str,
-                        fit_on: DataFrame | None = None, limit: int = IN_MEMORY_ROWS) -> DataFrame:
-    state = seasonal_medians(fit_on if fit_on is not None else df, ts, value, ALL_KEYS, limit)
+                        fit_on: DataFrame | None = None, limit: int = IN_MEMORY_ROWS, error: float | None = None) -> DataFrame:
+    state = seasonal_medians(fit_on if fit_on is not None else df, ts, value, ALL_KEYS, limit, error)
     return fill_from_medians(df, ts, value, out, state)
 
 
 def impute_pattern(df: DataFrame, ts: str, value: str, out: str,
-                   fit_on: DataFrame | None = None, limit: int = IN_MEMORY_ROWS) -> DataFrame:
+                   fit_on: DataFrame | None = None, limit: int = IN_MEMORY_ROWS, error: float | None = None) -> DataFrame:
     """(hour, weekday) median, then hour, then weekday, then overall."""
-    state = level_medians(fit_on if fit_on is not None else df, ts, value, PATTERN_LEVELS, limit)
+    state = level_medians(fit_on if fit_on is not None else df, ts, value, PATTERN_LEVELS, limit, error)
     return fill_from_levels(df, ts, value, out, state, PATTERN_LEVELS)
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
@@ -90,5 +91,18 @@ def _by_sorting(clean: DataFrame, keys: list[str], probs: dict[str, float]) -> D
 
 
 def medians(df: DataFrame, keys: Sequence[str], value: str, out: str = "median",
-            limit: int = IN_MEMORY_ROWS, known_rows: int | None = None) -> DataFrame:
+            limit: int = IN_MEMORY_ROWS, known_rows: int | None = None, error: float | None = None) -> DataFrame:
+    """Exact, or within a rank ``error`` (a share of the group's rows) from one pass."""
+    if error is not None:
+        return sketched(df, keys, value, {out: 0.5}, error)
     return quantiles(df, keys, value, {out: 0.5}, limit, known_rows)
+
+
+def sketched(df: DataFrame, keys: Sequence[str], value: str, probs: dict[str, float], error: float = 1e-3) -> DataFrame:
+    """Approximate quantiles per group in one pass: values of the data whose rank is off by at most ``error`` times the rows of
+    the group. Tasks send mergeable summaries, whose size depends on ``error`` and not on the rows."""
+    if not 0 < error < 0.5:
+        raise ValueError("error must lie between 0 and 0.5")
+    clean = df.select(*keys, F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull() & ~F.isnan("_v"))
+    wanted = F.percentile_approx("_v", [float(p) for p in probs.values()], math.ceil(1 / error)).alias("_q")
+    return clean.groupBy(*keys).agg(wanted).select(*keys, *[F.col("_q")[i].alias(n) for i, n in enumerate(probs)])

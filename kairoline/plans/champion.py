@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kairoline.functions import calendar
+from kairoline.operators.grid import single_steps
 from kairoline.plans import search as s
 from kairoline.plans.regressors import build
 from kairoline.plans.stages import PopulationScaler, ReadingPrep, build_imputer
@@ -40,10 +41,11 @@ class Setup:
     seed: int = 42
     fit_scope: str = "fold"
     drop: Sequence[str] = calendar.BOOKKEEPING[:1]
+    duplicates: str = "error"  # steps read more than once in the training table: error, first or keep
 
-    def prep(self) -> ReadingPrep:
+    def prep(self, duplicates: str = "keep") -> ReadingPrep:
         return ReadingPrep(codes=self.codes, timeCol=self.time, hours=self.hours, seriesCols=list(self.series),
-                           mode=self.calendar_mode or "none", dropCols=list(self.drop))
+                           mode=self.calendar_mode or "none", dropCols=list(self.drop), duplicates=duplicates)
 
     def imputation(self) -> list:
         if not self.impute_column:
@@ -64,7 +66,7 @@ class Outcome:
 def folds_for(df: DataFrame, setup: Setup) -> s.Folds:
     if setup.split_type != "time_series":
         raise ValueError(f"unknown split type: {setup.split_type}")
-    prepared = setup.prep().transform(df)
+    prepared = setup.prep(setup.duplicates).transform(df)
     preparation = setup.imputation if setup.impute_column else None
     return s.make_folds(prepared, setup.order, setup.features, setup.label, setup.n_splits, preparation, setup.fit_scope,
                         setup.series, setup.time, setup.hours)
@@ -72,6 +74,8 @@ def folds_for(df: DataFrame, setup: Setup) -> s.Folds:
 
 def refit(df: DataFrame, setup: Setup, candidate: s.Candidate, best_params: dict | None) -> PipelineModel:
     """Preparation and model fitted on all rows; found parameters replace the given ones."""
+    if setup.duplicates == "first":
+        df = single_steps(df, setup.series, setup.time, "first")
     stages = [setup.prep(), *setup.imputation()]
     if candidate.scaling:
         stages.append(PopulationScaler(inputCols=list(setup.features)))

@@ -48,21 +48,23 @@ class _ReadingParams(Params):
     mode = param("mode", "calendar features: cyclical, onehot or none")
     dropFirst = param("dropFirst", "leave out the first one-hot level")
     dropCols = param("dropCols", "columns to remove if present")
+    duplicates = param("duplicates", "steps read more than once: error, first or keep (batch tables)")
 
 
 class ReadingPrep(_Stage, Transformer, _ReadingParams):
     """Codes to numbers, text to time, off-grid and empty rows out, calendar features in.
 
     The grid starts at the first reading of the table (per series). A stream has no first reading:
-    there every request counts as its own table, so all of them are on their grid.
+    there every request counts as its own table, so all of them are on their grid. Steps read more than once are left alone
+    (requests may name the same time) unless ``duplicates`` says otherwise, as training does.
     """
 
     _defaults = {"codes": "{}", "timeCol": "time", "hours": 3, "seriesCols": [], "regular": True,
-                 "mode": "cyclical", "dropFirst": False, "dropCols": ["Unnamed: 0"]}
+                 "mode": "cyclical", "dropFirst": False, "dropCols": ["Unnamed: 0"], "duplicates": "keep"}
 
     @keyword_only
     def __init__(self, *, codes=None, timeCol=None, hours=None, seriesCols=None, regular=None,
-                 mode=None, dropFirst=None, dropCols=None):
+                 mode=None, dropFirst=None, dropCols=None, duplicates=None):
         super().__init__()
         self._start(self._input_kwargs)
 
@@ -79,6 +81,7 @@ class ReadingPrep(_Stage, Transformer, _ReadingParams):
             return df
         if self.get("regular") and not df.isStreaming:
             values = [c for c in df.columns if c not in (ts, *series)]
+            df = grid.single_steps(df, series, ts, self.get("duplicates"))
             df = grid.on_grid(df, series, ts, values, self.get("hours"))
         mode = self.get("mode")
         return calendar.add_calendar(df, ts, None if mode == "none" else mode, self.get("dropFirst"))

@@ -6,8 +6,12 @@ failed job leaves earlier rows as they were.
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime, timezone
+from pathlib import Path
+from urllib.parse import quote
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -41,16 +45,17 @@ class RunTables:
 
     def read(self, name: str) -> DataFrame:
         try:
-            return self.spark.read.schema(schema(name)).parquet(self.path(name))
+            return self.spark.read.schema(schema(name)).option("recursiveFileLookup", True).parquet(self.path(name))
         except AnalysisException as e:
             if e.getCondition() != "PATH_NOT_FOUND":  # anything but "nothing written yet" is an error
                 raise
             return self.spark.createDataFrame([], schema(name))
 
     def append(self, name: str, rows: DataFrame) -> None:
+        """Every call writes a folder of its own: appends to one folder at the same time would remove each other's files."""
         columns = [F.col(f.name).cast(f.dataType) if f.name in rows.columns else F.lit(None).cast(f.dataType).alias(f.name)
                    for f in schema(name)]
-        rows.select(*columns).write.mode("append").parquet(self.path(name))
+        rows.select(*columns).write.parquet(f"{self.path(name)}/{uuid.uuid4().hex}")
 
     def add(self, name: str, **values) -> None:
         fields = [f for f in schema(name)]
@@ -60,17 +65,46 @@ class RunTables:
     def log_scores(self, run_id: str, board: DataFrame) -> None:
         self.append("scores", board.withColumn("run_id", F.lit(run_id)))
 
+    def claim(self, kind: str, number: int) -> int:
+        """The first free number from ``number`` on, taken for this caller alone.
+
+        A number is taken by creating an empty file of that name only if it is absent. HDFS lets one caller do so, and so does
+        a local disk; a store without such a promise gives none here.
+        """
+        folder = f"{self.root}/_claims/{quote(kind, safe='')}"
+        while not self._created(f"{folder}/{number}"):
+            number += 1
+        return number
+
+    def _created(self, name: str) -> bool:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(name)
+        files = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        if files.getUri().getScheme() == "file":
+            local = Path(path.toUri().getPath())
+            local.parent.mkdir(parents=True, exist_ok=True)
+            try:
+                local.touch(exist_ok=False)
+                return True
+            except FileExistsError:
+                return False
+        try:
+            return files.createNewFile(path)
+        except Py4JJavaError as e:
+            if e.java_exception.getClass().getName().endswith("FileAlreadyExistsException"):
+                return False
+            raise
+
     def next_version(self, model_name: str) -> int:
         return (self.read("versions").where(F.col("model_name") == model_name).agg(F.max("version")).first()[0] or 0) + 1
 
     def register(self, model_name: str, run_id: str, model_type: str, cv_rmse: float, path: str,
                  alias: str = "production") -> int:
-        """New version; the alias moves to it."""
-        version = self.next_version(model_name)
+        """New version; the alias moves to it. Callers at the same time get different versions and one order of moves."""
+        version = self.claim(f"version {model_name}", self.next_version(model_name))
         self.add("versions", model_name=model_name, version=version, run_id=run_id, model_type=model_type,
                  cv_rmse=float(cv_rmse), path=path, created_at=now())
         last = self.read("aliases").agg(F.max("event_seq")).first()[0]
-        self.add("aliases", model_name=model_name, alias=alias, version=version, event_seq=(last or 0) + 1)
+        self.add("aliases", model_name=model_name, alias=alias, version=version, event_seq=self.claim("alias", (last or 0) + 1))
         return version
 
     def production(self, model_name: str, alias: str = "production") -> DataFrame:
