@@ -75,6 +75,9 @@ def _grid(column: pa.Array, width: int, kind=np.float64) -> np.ndarray:
 def matrix(df: DataFrame, features: Sequence[str], label: str) -> DataFrame:
     """Settled rows ``x`` (features), ``y`` and ``id``. Nulls, NaN and infinite values raise, with counts per column."""
     cols = [F.col(f"`{c}`").cast("double") for c in (*features, label)]
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:  # the table is read once per level: cut it evenly first
+        df = df.select(*[F.col(f"`{c}`") for c in dict.fromkeys((*features, label))]).repartition(cores)
     rows = settle(df.select(F.array(*cols[:-1]).alias("x"), cols[-1].alias("y"), F.monotonically_increasing_id().alias("id")))
 
     def bad(c):
