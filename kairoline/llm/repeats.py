@@ -10,9 +10,12 @@ does not overlap. Windows are compared all, but only near words that can be repe
 least one group of ``GRAM`` words has the smallest hash of its surroundings, whatever stands around the passage, and
 only windows with such a group that occurs twice are hashed.
 
-Only hashes travel: they are counted with map-side combining, and one that very many documents share is one counted
-row per task before the shuffle. Copies of a whole text are found by its digest; only the first is compared
-further. Spans come back per document and are applied where the text is.
+Bare hashes travel first: of the shortest run forwards from each sentence and of those groups, counted with map-side
+combining, so one that very many documents share is one row per task before the shuffle. What occurs twice goes into a
+bitmap of ``BITMAP`` bits, which finds the documents to look at again (every repeated run begins with a repeated
+shortest one). The bitmap may let through more than it should, the more the fuller it is, and loses nothing; only the
+documents found by it send hashes with their places. Copies of a whole text are found by its digest; only the first is
+compared further. Spans come back per document and are applied where the text is.
 
 Defined results: sentences end at ``.``, ``!`` or ``?`` before white space, or at a line end; one longer than
 ``LONGEST`` words counts as several. Comparison ignores case and the kind and amount of white space. A null or empty
@@ -34,6 +37,8 @@ from pyspark.sql import functions as F
 
 from kairoline.llm.common import col, fresh, settled, sized
 
+#: Bits of the map of repeated hashes, a power of two: 16 MB at most, whatever the corpus.
+BITMAP = 1 << 27
 SENTENCES = 2
 RUN_WORDS = 20
 LONGEST = 40
@@ -53,20 +58,39 @@ def sentences(text: str | None) -> list[tuple[int, int, list[str]]]:
     at = 0
     for m in [*_END.finditer(text), None]:
         end = m.end() if m else len(text)
-        part = text[at:end].split()
+        part = text[at:end].lower().split()
         if part:
             if len(part) > LONGEST:
                 found = [w.start() for w in _WORD.finditer(text, at, end)][::LONGEST // 2]
                 cuts = [at, *found[1:], end]
                 out += [(a, b, text[a:b].lower().split()) for a, b in zip(cuts, cuts[1:], strict=False)]
             else:
-                out.append((at, end, text[at:end].lower().split()))
+                out.append((at, end, part))
         elif out:
             out[-1] = (out[-1][0], end, out[-1][2])  # white space belongs to the sentence before
         at = end
     return out
 
 
+def _digest(joined: list[str]) -> int:
+    return xxhash.xxh3_64_intdigest("\n".join(joined).encode("utf-8", "surrogatepass")) - (1 << 63)
+
+
+def leads(parts: list[tuple[int, int, list[str]]]) -> dict[int, int]:
+    """First sentence and hash of every shortest run forwards; each run of ``runs`` begins with one of them."""
+    sizes, joined = [len(p[2]) for p in parts], [" ".join(p[2]) for p in parts]
+    out, words, j = {}, 0, 0
+    for i, size in enumerate(sizes):
+        while j < len(parts) and (j - i < SENTENCES or words < RUN_WORDS):
+            words += sizes[j]
+            j += 1
+        if j - i < SENTENCES or words < RUN_WORDS:
+            break
+        out[i] = _digest(joined[i:j])
+        words -= size
+    return out
+
+
 def runs(parts: list[tuple[int, int, list[str]]]) -> list[tuple[int, int, int]]:
     """First sentence, sentence after the last, and hash of every shortest run from a sentence on or back from one."""
     n, sizes, joined = len(parts), [len(p[2]) for p in parts], [" ".join(p[2]) for p in parts]
@@ -84,8 +108,7 @@ def runs(parts: list[tuple[int, int, list[str]]]) -> list[tuple[int, int, int]]:
             words += sizes[j]
         if i + 1 - j >= SENTENCES and words >= RUN_WORDS:
             found.add((j, i + 1))
-    return [(i, j, xxhash.xxh3_64_intdigest("\n".join(joined[i:j]).encode("utf-8", "surrogatepass")) - (1 << 63))
-            for i, j in sorted(found)]
+    return [(i, j, _digest(joined[i:j])) for i, j in sorted(found)]
 
 
 class _Known(dict):
@@ -134,47 +157,64 @@ def anchors(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return at, g[at]
 
 
-def _hashes(text: str, known: _Known) -> np.ndarray:
-    words = text.lower().split()
-    return np.fromiter(map(known.__getitem__, words), np.int64, len(words)).view(np.uint64)
+def _hashes(parts: list[tuple[int, int, list[str]]], known: _Known) -> np.ndarray:
+    words = [known[w] for p in parts for w in p[2]]
+    return np.array(words, np.int64).view(np.uint64)
 
 
 def _emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per text its runs, numbered from 0, and its anchors, numbered -1 - position."""
+    """Per text the hashes of its forward runs and of its anchors."""
     known = _Known()
     for batch in batches:
-        hashes, numbers = [], []
+        keys = []
         for text in batch.column(1):
-            at, g = anchors(_hashes(text.as_py(), known))
-            own = np.array([h for _, _, h in runs(sentences(text.as_py()))], np.int64)
-            hashes.append(np.concatenate([own, g.view(np.int64)]))
-            numbers.append(np.concatenate([np.arange(len(own)), -1 - at]).astype(np.int32))
-        yield _packed(batch.column(0), hashes, numbers)
+            parts = sentences(text.as_py())
+            own = np.fromiter(leads(parts).values(), np.int64)
+            keys.append(np.concatenate([own, anchors(_hashes(parts, known))[1].view(np.int64)]))
+        yield pa.RecordBatch.from_arrays([batch.column(0), _lists(keys, pa.int64())], ["place", "keys"])
 
 
-def _emit_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per text the windows that hold one of the given anchors, numbered by their first word."""
-    known = _Known()
-    for batch in batches:
-        hashes, numbers = [], []
-        for text, near in zip(batch.column(1), batch.column(2), strict=True):
-            g = grams(_hashes(text.as_py(), known), PASSAGE)
-            step = np.zeros(len(g) + 1, np.int64)
-            at = -1 - np.array(near.as_py(), np.int64)
-            np.add.at(step, np.clip(at - _REACH + 1, 0, len(g)), 1)
-            np.add.at(step, np.clip(at + 1, 0, len(g)), -1)
-            start = np.flatnonzero(np.cumsum(step)[:-1])
-            hashes.append(g[start].view(np.int64))
-            numbers.append(start.astype(np.int32))
-        yield _packed(batch.column(0), hashes, numbers)
+def _bitmap(keys: DataFrame) -> np.ndarray:
+    """Bytes with the bit of every key set; Spark joins the bits, at most ``BITMAP / 32`` words of 32 reach the driver."""
+    bit = F.col("key").bitwiseAND(BITMAP - 1)
+    words = keys.select(F.shiftright(bit, 5).cast("int").alias("word"), F.call_function(
+        "shiftleft", F.lit(1).cast("long"), bit.bitwiseAND(31).cast("int")).alias("bits")).groupBy("word").agg(
+        F.bit_or("bits").alias("bits")).toArrow()
+    out = np.zeros(BITMAP // 32, "<u4")
+    out[words.column("word").to_numpy()] = words.column("bits").to_numpy().astype("<u4")
+    return out.view(np.uint8)
+
+
+def _hit(bitmap: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    bit = keys.view(np.int64) & (BITMAP - 1)
+    return (bitmap[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1 == 1
 
 
-def _packed(places: pa.Array, hashes: list[np.ndarray], numbers: list[np.ndarray]) -> pa.RecordBatch:
-    def lists(parts: list[np.ndarray], kind: pa.DataType) -> pa.Array:
-        ends = np.cumsum([0, *map(len, parts)]).astype(np.int32)
-        return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(parts) if parts else [], kind))
+#: Added to the number of a run, so that runs are negative and windows, numbered by their first word, are not.
+_RUNS = -(1 << 30)
 
-    return pa.RecordBatch.from_arrays([places, lists(hashes, pa.int64()), lists(numbers, pa.int32())], ["place", "run", "at"])
+
+def _details(text: str, bitmap: np.ndarray, known: _Known) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes and numbers of the runs whose lead, and of the windows with an anchor, that the bitmap has."""
+    parts = sentences(text)
+    first = leads(parts)
+    held = dict(zip(first, _hit(bitmap, np.fromiter(first.values(), np.int64)), strict=True))
+    own = [(h, n + _RUNS) for n, (i, _, h) in enumerate(runs(parts)) if held[i]]
+    words = _hashes(parts, known)
+    at, keys = anchors(words)
+    at = at[_hit(bitmap, keys)]
+    windows = grams(words, PASSAGE)
+    step = np.zeros(len(windows) + 1, np.int64)
+    np.add.at(step, np.clip(at - _REACH + 1, 0, len(windows)), 1)
+    np.add.at(step, np.clip(at + 1, 0, len(windows)), -1)
+    start = np.flatnonzero(np.cumsum(step)[:-1])
+    return (np.concatenate([np.array([h for h, _ in own], np.int64), windows[start].view(np.int64)]),
+            np.concatenate([np.array([n for _, n in own], np.int32), start.astype(np.int32)]))
+
+
+def _lists(parts: list[np.ndarray], kind: pa.DataType) -> pa.Array:
+    ends = np.cumsum([0, *map(len, parts)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(parts) if parts else [], kind))
 
 
 def _place(id_col: str, text: str) -> Column:
@@ -183,38 +223,48 @@ def _place(id_col: str, text: str) -> Column:
     return F.struct(k.isNull().alias("no_id"), k.alias("id"), F.xxhash64(F.md5(col(text))).alias("mark"))
 
 
-def _shared(found: DataFrame) -> DataFrame:
-    """Every place of the hashes that have more than one, with the first."""
-    items = found.select("place", F.inline(F.arrays_zip("run", "at")))
-    spot = F.struct("place", "at")
-    first = items.groupBy("run").agg(F.min(spot).alias("first"), F.max(spot).alias("last")).filter("first < last")
-    return items.join(first.select("run", "first"), "run").withColumn("again", spot > F.col("first"))
-
-
 def repeated(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """Per ``place`` of a document with repeats: ``whole`` if it copies an earlier text, else the numbers of its non-first
     ``runs`` and the first words of its non-first ``windows``."""
+    spark = docs.sparkSession
     rows = docs.filter(F.length(col(text)) > 0).select(_place(id_col, text).alias("place"), col(text).alias("text"))
     kind = rows.schema["place"].dataType.simpleString()
-    shape = f"place {kind}, run array<bigint>, at array<int>"
-    found = settled(rows.mapInArrow(_emit, shape))
+    found = settled(rows.mapInArrow(_emit, f"place {kind}, keys array<bigint>"))
     copied = sized(settled(found.groupBy(F.col("place.mark").alias("mark")).agg(
         F.min("place").alias("kept"), F.max("place").alias("last")).filter("kept < last").select("mark", "kept")))
     judged = found.join(copied, F.col("place.mark") == F.col("mark"), "left").withColumn(
         "whole", F.coalesce(F.col("place") > F.col("kept"), F.lit(False)))
-    of_runs = F.col("at") >= 0
-    marks = settled(_shared(judged.filter("not whole")).filter(~of_runs | F.col("again")).groupBy("place").agg(
-        F.sort_array(F.collect_set(F.when(of_runs, F.col("at")))).alias("runs"),
-        F.collect_set(F.when(~of_runs, F.col("at"))).alias("near")))
-    windows = settled(rows.join(marks.filter(F.size("near") > 0).select("place", "near"), "place").mapInArrow(
-        _emit_windows, shape))
-    apart = (F.col("place") > F.col("first.place")) | (F.col("at") - F.col("first.at") >= PASSAGE)
-    passages = _shared(windows).filter(F.col("again") & apart).groupBy("place").agg(
-        F.sort_array(F.collect_set("at")).alias("windows"))
-    parts = marks.select("place", "runs").unionByName(passages, True).unionByName(
-        judged.filter("whole").select("place", "whole"), True)
-    return parts.groupBy("place").agg(F.max("whole").alias("whole"), F.first("runs", True).alias("runs"),
-                                      F.first("windows", True).alias("windows"))
+    single = judged.filter("not whole").select("place", "keys")
+    twice = single.select(F.explode("keys").alias("key")).groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    shared = spark.sparkContext.broadcast(_bitmap(twice))
+
+    def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column(1)
+            ends = lists.offsets.to_numpy()
+            hits = np.concatenate([[0], np.cumsum(_hit(shared.value, lists.values.to_numpy()))])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).filter(pa.array(hits[ends[1:]] > hits[ends[:-1]]))], ["place"])
+
+    def details(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = _Known()
+        for batch in batches:
+            both = [_details(t.as_py(), shared.value, known) for t in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), _lists([h for h, _ in both], pa.int64()),
+                                              _lists([n for _, n in both], pa.int32())], ["place", "key", "at"])
+
+    again = sized(settled(single.mapInArrow(near, f"place {kind}").distinct()))
+    items = settled(rows.join(again, "place").mapInArrow(
+        details, f"place {kind}, key array<bigint>, at array<int>")).select("place", F.inline(F.arrays_zip("key", "at")))
+    spot = F.struct("place", "at")
+    first = items.groupBy("key").agg(F.min(spot).alias("first"), F.max(spot).alias("last")).filter("first < last")
+    later = (F.col("place") > F.col("first.place")) | F.when(F.col("at") < 0, F.col("at") > F.col("first.at")).otherwise(
+        F.col("at") - F.col("first.at") >= PASSAGE)
+    marks = items.join(first.select("key", "first"), "key").filter(later).groupBy("place").agg(
+        F.sort_array(F.collect_set(F.when(F.col("at") < 0, F.col("at") - _RUNS))).alias("runs"),
+        F.sort_array(F.collect_set(F.when(F.col("at") >= 0, F.col("at")))).alias("windows"))
+    return marks.withColumn("whole", F.lit(False)).unionByName(
+        judged.filter("whole").select("place", "whole").distinct(), True)
 
 
 def _gone(text: str, whole: bool, numbers: list[int], windows: list[int]) -> list[list[int]]:
