@@ -8,7 +8,7 @@ other place all sentences of the run are removed.
 A window of ``PASSAGE`` words is removed, wherever its sentences begin and end, if it stands at an earlier place that it
 does not overlap. Windows are compared all, but only near words that can be repeated: in every ``PASSAGE`` words at
 least one group of ``GRAM`` words has the smallest hash of its surroundings, whatever stands around the passage, and
-only windows with such a group that occurs twice are hashed.
+only windows whose own smallest group occurs twice are hashed.
 
 Bare hashes travel first: of the shortest run forwards from each sentence and of those groups, counted with map-side
 combining, so one that very many documents share is one row per task before the shuffle. What occurs twice goes into a
@@ -43,7 +43,7 @@ SENTENCES = 2
 RUN_WORDS = 20
 LONGEST = 40
 PASSAGE = 51
-GRAM = 12
+GRAM = 36
 _REACH = PASSAGE - GRAM + 1  # groups in a passage
 _TURN = 0x9E3779B97F4A7C15
 _END = re.compile(r"[.!?]+(?=\s)|\n")
@@ -146,15 +146,20 @@ def _slide(best: Callable, x: np.ndarray, n: int) -> np.ndarray:
     return x
 
 
-def anchors(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Positions and hashes of the groups that are smallest in some passage; no word outside of it has a say in that."""
-    if len(hashes) < PASSAGE:
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    g = grams(hashes, GRAM)
-    least = _slide(np.minimum, g, _REACH)
-    edge = np.zeros(_REACH - 1, np.uint64)
-    at = np.flatnonzero(_slide(np.maximum, np.concatenate([edge, least, edge]), _REACH) == g)
-    return at, g[at]
+def least_groups(hashes: np.ndarray) -> np.ndarray:
+    """Smallest hash of a group of words in every passage."""
+    return _slide(np.minimum, grams(hashes, GRAM), _REACH) if len(hashes) >= PASSAGE else np.zeros(0, np.uint64)
+
+
+def anchors(hashes: np.ndarray) -> np.ndarray:
+    """Hashes of the groups that are smallest in some passage; no word outside of it has a say in that.
+
+    One group is smallest in at most ``_REACH`` passages in a row; in a longer row it occurs again and counts twice.
+    """
+    least = least_groups(hashes)
+    begins = np.flatnonzero(np.concatenate([np.ones(min(len(least), 1), bool), least[1:] != least[:-1]]))
+    long = np.diff(begins, append=len(least)) > _REACH
+    return np.concatenate([least[begins], least[begins[long]]])
 
 
 def _hashes(parts: list[tuple[int, int, list[str]]], known: _Known) -> np.ndarray:
@@ -170,7 +175,7 @@ def _emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for text in batch.column(1):
             parts = sentences(text.as_py())
             own = np.fromiter(leads(parts).values(), np.int64)
-            keys.append(np.concatenate([own, anchors(_hashes(parts, known))[1].view(np.int64)]))
+            keys.append(np.concatenate([own, anchors(_hashes(parts, known)).view(np.int64)]))
         yield pa.RecordBatch.from_arrays([batch.column(0), _lists(keys, pa.int64())], ["place", "keys"])
 
 
@@ -195,19 +200,14 @@ _RUNS = -(1 << 30)
 
 
 def _details(text: str, bitmap: np.ndarray, known: _Known) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes and numbers of the runs whose lead, and of the windows with an anchor, that the bitmap has."""
+    """Hashes and numbers of the runs whose lead, and of the windows whose smallest group, the bitmap has."""
     parts = sentences(text)
     first = leads(parts)
     held = dict(zip(first, _hit(bitmap, np.fromiter(first.values(), np.int64)), strict=True))
     own = [(h, n + _RUNS) for n, (i, _, h) in enumerate(runs(parts)) if held[i]]
     words = _hashes(parts, known)
-    at, keys = anchors(words)
-    at = at[_hit(bitmap, keys)]
     windows = grams(words, PASSAGE)
-    step = np.zeros(len(windows) + 1, np.int64)
-    np.add.at(step, np.clip(at - _REACH + 1, 0, len(windows)), 1)
-    np.add.at(step, np.clip(at + 1, 0, len(windows)), -1)
-    start = np.flatnonzero(np.cumsum(step)[:-1])
+    start = np.flatnonzero(_hit(bitmap, least_groups(words)))
     return (np.concatenate([np.array([h for h, _ in own], np.int64), windows[start].view(np.int64)]),
             np.concatenate([np.array([n for _, n in own], np.int32), start.astype(np.int32)]))
 

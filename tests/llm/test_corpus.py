@@ -341,6 +341,15 @@ def test_passages_are_found_wherever_sentences_end(spark):
     assert {r.doc_id: r.kept_text for r in repeats.strip(rows).collect()} == {1: tail, 2: " Other words."}
 
 
+def test_groups_that_repeat_without_a_gap_count_twice():
+    same = np.full(200, 7, np.uint64)
+    assert len(repeats.anchors(same)) == 2 and len(repeats.anchors(same[:50])) == 0
+    unit = G.integers(0, 2 ** 62, 51).astype(np.uint64)
+    found, n = np.unique(repeats.anchors(np.concatenate([unit, unit])), return_counts=True)
+    least = repeats.least_groups(np.concatenate([unit, unit]))
+    assert least[0] == least[51] and n[found == least[0]] >= 2
+
+
 def test_mixing_meets_the_weights(spark, docs, none):
     rows = [(i, f"t{i}", "big" if i % 10 else "rare") for i in range(4000)]
     df = spark.createDataFrame(rows, "doc_id long, text string, source string")
