@@ -36,7 +36,8 @@ def grid_of(df: DataFrame, series: Sequence[str], ts: str, hours: int = 3) -> Da
     """Every step between the first and last reading of each series.
 
     Stretches of ``CHUNK_STEPS`` steps are listed and spread first and opened afterwards, so a
-    single very long series is generated by many tasks.
+    single very long series is generated by many tasks. The few stretches make Spark estimate the grid far too low;
+    without the hint an inner join (also a left one whose missing steps are dropped later) broadcasts all of it.
     """
     step = hours * HOUR_US
     stretch = step * CHUNK_STEPS
@@ -50,7 +51,7 @@ def grid_of(df: DataFrame, series: Sequence[str], ts: str, hours: int = 3) -> Da
     )
     stop = F.least(F.col("_from") + F.lit(stretch - step), F.col("_end"))
     opened = stretches.select(*series, F.explode(F.sequence("_from", stop, F.lit(step))).alias("_us"))
-    return opened.select(*series, from_epoch_us("_us").alias(ts))
+    return opened.select(*series, from_epoch_us("_us").alias(ts)).hint("merge")
 
 
 def with_nulls(left: DataFrame, right: DataFrame, keys: Sequence[str], exact: Sequence[str] = (),

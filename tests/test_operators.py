@@ -146,6 +146,16 @@ def test_knn_impute_falls_back_to_mean(spark):
     assert [r["o"] for r in out] == [10.0, 12.0, 14.0]
 
 
+def test_grid_is_not_broadcast_where_missing_steps_are_dropped(spark):
+    df = spark.createDataFrame([("a", at(0), 1.0), ("a", at(40_000), 3.0), (None, at(2), 5.0)], "s string, t timestamp_ntz, v double")
+    known = grid.regularise(df.repartition(2), ["s"], "t").where("v IS NOT NULL")
+    assert sorted(r["v"] for r in known.collect()) == [1.0, 3.0, 5.0]
+    plan = known._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan.split("Initial Plan")[0]
+    filled = impute.impute_column(grid.regularise(df, ["s"], "t"), "v", "o", "median", limit=0)
+    assert filled.where("v IS NULL").select("o").distinct().collect() == [(3.0,)] and filled.count() == 40_002
+
+
 def test_positions_and_ranks(spark):
     rng = np.random.default_rng(4)
     df = spark.createDataFrame([(int(i), float(v)) for i, v in enumerate(rng.integers(0, 5, 500))], "id long, v double").repartition(7)
