@@ -61,6 +61,37 @@ def build(sample: np.ndarray, leaf_rows: int) -> KdTree:
     return KdTree(np.array(axis), np.array(cut), np.array(left), np.array(right), np.array(leaf))
 
 
+@dataclass
+class Forest:
+    """A tree per kind of rows; their leaves are numbered on."""
+
+    trees: dict[int, KdTree]
+
+    def __post_init__(self):
+        ends = np.cumsum([0, *(t.leaves for t in self.trees.values())])
+        self.first = dict(zip(self.trees, ends[:-1].tolist()))
+        self.kind = np.repeat(list(self.trees), np.diff(ends))  # of every leaf
+
+    def route(self, x: np.ndarray, kind: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(x), np.int64)
+        for k in np.unique(kind).tolist():
+            out[kind == k] = self.trees[k].route(x[kind == k]) + self.first[k]
+        return out
+
+
+def alike(x: np.ndarray, leaf: np.ndarray) -> list[np.ndarray]:
+    """Rows in groups that miss the same coordinates and lie in the same leaf."""
+    if not len(x):
+        return []
+    missing = np.packbits(np.isnan(x), axis=1)
+    keys = [leaf, *missing.T]
+    order = np.lexsort(keys)
+    new = np.zeros(len(x), bool)
+    for k in keys:
+        new[1:] |= k[order][1:] != k[order][:-1]
+    return np.split(order, np.flatnonzero(new))
+
+
 def _best_cut(x: np.ndarray) -> tuple[int, float] | None:
     share = (~np.isnan(x)).mean(axis=0)
     known = np.where(np.isnan(x), 0.0, x)
@@ -110,12 +141,21 @@ class Boxes:
         A coordinate counts if the row and every row of the block have it; the share of missing ones that scales the
         distance is at least that of the coordinates that some row of the block has.
         """
-        have = ~np.isnan(x)
-        out = np.zeros((len(x), len(self.low)))
-        for a in range(x.shape[1]):
-            v = x[:, a:a + 1]
+        return self._least(x, x, total)
+
+    def least_of_all(self, x: np.ndarray, total: int) -> np.ndarray:
+        """Least distance of any row of ``x`` to every block; all rows miss the same coordinates."""
+        return self._least(x.min(axis=0, keepdims=True), x.max(axis=0, keepdims=True), total)[0]
+
+    def take(self, blocks: np.ndarray) -> Boxes:
+        return Boxes(self.low[blocks], self.high[blocks], self.sure[blocks], self.some[blocks])
+
+    def _least(self, low: np.ndarray, high: np.ndarray, total: int) -> np.ndarray:
+        have = ~np.isnan(low)
+        out = np.zeros((len(low), len(self.low)))
+        for a in range(low.shape[1]):
             with np.errstate(invalid="ignore"):
-                gap = np.maximum(np.maximum(self.low[:, a] - v, v - self.high[:, a]), 0.0)
+                gap = np.maximum(np.maximum(self.low[:, a] - high[:, a:a + 1], low[:, a:a + 1] - self.high[:, a]), 0.0)
             out += np.where(have[:, a:a + 1] & self.sure[:, a], gap, 0.0) ** 2
         shared = have.astype(float) @ self.some.T.astype(float)
         with np.errstate(divide="ignore", invalid="ignore"):

@@ -74,3 +74,31 @@ def test_tree_parts_missing_rows_and_stops_at_equal_ones():
     assert kdtree.build(np.ones((50, 2)), 3).leaves == 1
     ramp = np.arange(64.0).reshape(-1, 1)
     assert kdtree.build(ramp, 8).leaves == 8
+
+
+@pytest.mark.parametrize("most", [64, 1])
+def test_donors_are_few_per_pattern_of_present_coordinates(spark, monkeypatch, most):
+    """Most donors differ only in coordinates that the receivers lack: they are equally far, and only the first can be near."""
+    monkeypatch.setattr(knn, "MOST_PATTERNS", most)
+    rng = np.random.default_rng(4)
+    y = np.round(rng.random((600, 3)) * [1, 90, 90], 2)
+    y[:, 0] = rng.integers(0, 3, 600)
+    y[::7, 1] = np.nan
+    x = np.full((40, 3), np.nan)
+    x[:, 0] = rng.integers(0, 3, 40)
+    x[::4, 1] = np.round(rng.random(10) * 90, 2)
+
+    def frame(z, parts):
+        return spark.createDataFrame([(i, float(i), *[None if np.isnan(v) else float(v) for v in r]) for i, r in enumerate(z)],
+                                     "id long, p double, c0 double, c1 double, c2 double").repartition(parts)
+
+    kept, first = [], knn._first_of_equal
+    monkeypatch.setattr(knn, "_first_of_equal", lambda *a: kept.append(first(*a)) or kept[-1])
+    for limits in ({}, {"broadcast_cells": 0, "block_rows": 30}):
+        got: dict = {}
+        for r in knn.nearest(frame(x, 2), frame(y, 3), ["id"], ["id"], COLS[:3], 4, "p", **limits).collect():
+            got.setdefault(r["id"], []).append((r["rank"], r["distance"], r["donor_id"]))
+        for i, want in enumerate(plain(x, y, 4, 3)):
+            assert [(d, j) for _, d, j in sorted(got.get(i, []))] == want
+    if most == 64:
+        assert kept[0].groupBy("_seen").count().where("_seen = 1").first()["count"] == 3 * 4
