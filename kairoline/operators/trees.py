@@ -1,6 +1,7 @@
 """Regression trees grown level by level over a settled table.
 
-A level costs a fixed number of scans, whatever the number of trees and open nodes: tasks route their rows to the open nodes,
+The table is kept in blocks of rows, each feature's values of a block side by side, so that tasks work on whole columns and
+Spark moves few large records. A level costs a fixed number of scans, whatever the number of trees and open nodes: tasks route their rows to the open nodes,
 add up what the level needs per node and feature, and Spark adds the tasks' sums. The driver receives one row per
 node and feature (times bins), decides on the splits, and sends the grown trees to the tasks of the next level. Open nodes
 beyond ``MOST_CELLS`` go in several scans, so neither side has to hold more than that.
@@ -24,6 +25,7 @@ from pyspark.sql import functions as F
 from kairoline.session import settle
 
 MOST_CELLS = 1_000_000  # nodes x features (x bins) of one scan
+BLOCK_ROWS = 1 << 15
 MARGIN_ROUNDS = 8  # rounds after which predictions so far are written down
 _ALIKE = 1e-10  # relative difference below which two scores count as equal
 
@@ -55,6 +57,13 @@ class Tree:
         return (np.array(self.feature), np.array(self.cut, float), np.array(self.left), np.array(self.right),
                 np.array(self.value, float))
 
+    def router(self) -> tuple:
+        """For ``_routed``: features, cuts and children (a leaf leads to itself), values, and the depth."""
+        feature, cut, left, right, value = self.arrays()
+        end, own = feature < 0, np.arange(len(feature))
+        children = np.stack([np.where(end, own, left), np.where(end, own, right)], axis=1)
+        return (np.where(end, 0, feature), np.where(end, np.inf, cut), children.ravel(), value, max(self.place).bit_length() - 1)
+
 
 def leaves(arrays: tuple[np.ndarray, ...], x: np.ndarray) -> np.ndarray:
     """Node of every row of ``x``."""
@@ -68,26 +77,69 @@ def leaves(arrays: tuple[np.ndarray, ...], x: np.ndarray) -> np.ndarray:
     return at
 
 
-def _grid(column: pa.Array, width: int, kind=np.float64) -> np.ndarray:
-    return column.flatten().to_numpy(zero_copy_only=False).astype(kind, copy=False).reshape(-1, width)
+def _routed(router: tuple, x: np.ndarray) -> np.ndarray:
+    """Node of every row of a block; ``x`` has one row per feature."""
+    feature, cut, children, _, depth = router
+    at, row, flat, start = np.zeros(x.shape[1], np.int64), np.arange(x.shape[1]), x.ravel(), feature * x.shape[1]
+    for _ in range(depth):
+        at = children.take(2 * at + (flat.take(start.take(at) + row) > cut.take(at)))
+    return at
+
+
+def _values(column: pa.Array, i: int, kind=np.float64) -> np.ndarray:
+    return np.frombuffer(column[i].as_buffer(), kind)
+
+
+def _each(batches: Iterator[pa.RecordBatch], p: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Features (one row each) and labels of every block."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            yield _values(batch.column(0), i).reshape(p, -1), _values(batch.column(1), i)
+
+
+def _packed(held: Sequence[pa.RecordBatch]) -> pa.RecordBatch:
+    table = pa.Table.from_batches(held)
+    *columns, ids = (c.to_numpy() for c in table.columns)
+    x, y = np.stack(columns[:-1]), np.ascontiguousarray(columns[-1], float)
+    bad = [int((~np.isfinite(c)).sum()) for c in columns]
+    return pa.RecordBatch.from_arrays([
+        pa.array([x.tobytes()], pa.binary()), pa.array([y.tobytes()], pa.binary()), pa.array([len(y)]), pa.array([float(y.sum())]),
+        pa.array([int(ids[0])]), pa.array([bad], pa.list_(pa.int64()))], ["x", "y", "n", "s", "id", "bad"])
 
 
 def matrix(df: DataFrame, features: Sequence[str], label: str) -> DataFrame:
-    """Settled rows ``x`` (features), ``y`` and ``id``. Nulls, NaN and infinite values raise, with counts per column."""
+    """Settled blocks: ``x`` (features, one after the other), ``y``, rows ``n``, label sum ``s``, and the ``id`` of the first row, from
+    which the others count on. Nulls, NaN and infinite values raise, with counts per column."""
     cols = [F.col(f"`{c}`").cast("double") for c in (*features, label)]
     cores = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() < cores:  # the table is read once per level: cut it evenly first
         df = df.select(*[F.col(f"`{c}`") for c in dict.fromkeys((*features, label))]).repartition(cores)
-    rows = settle(df.select(F.array(*cols[:-1]).alias("x"), cols[-1].alias("y"), F.monotonically_increasing_id().alias("id")))
-
-    def bad(c):
-        return F.count(F.when(c.isNull() | F.isnan(c) | (F.abs(c) == float("inf")), 1))
 
-    found = rows.agg(*[bad(F.col("x")[i]) for i in range(len(features))], bad(F.col("y"))).first()
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n = [], 0
+        for batch in batches:
+            if batch.num_rows:
+                held, n = [*held, batch], n + batch.num_rows
+            if n >= BLOCK_ROWS:
+                yield _packed(held)
+                held, n = [], 0
+        if n:
+            yield _packed(held)
+
+    flat = df.select(*[c.alias(f"_{i}") for i, c in enumerate(cols)], F.monotonically_increasing_id().alias("id"))
+    rows = settle(flat.mapInArrow(pack, "x binary, y binary, n bigint, s double, id bigint, bad array<bigint>"))
+    found = rows.agg(*[F.sum(F.col("bad")[i]) for i in range(len(cols))]).first()
     if any(found):
         where = ", ".join(f"{c} ({n})" for c, n in zip((*features, label), found, strict=True) if n)
         raise ValueError(f"nulls or values that are no finite number in {where}; impute them first")
-    return rows
+    return rows.drop("bad")
+
+
+def _mean_label(rows: DataFrame) -> float:
+    total, n = rows.agg(F.sum("s"), F.sum("n")).first()
+    if not n:
+        raise ValueError("no rows")
+    return total / n
 
 
 def _drawn(*parts) -> float:
@@ -95,24 +147,29 @@ def _drawn(*parts) -> float:
     return int(hashlib.md5(":".join(map(str, parts)).encode()).hexdigest()[:13], 16) / float(1 << 52)
 
 
-def _slots(trees: Sequence[Tree], open_nodes: Sequence[tuple[int, int]]) -> list[tuple[int, tuple, np.ndarray]]:
-    """Per tree with open nodes: its number, arrays, and the cell of each of its nodes (-1: none)."""
-    out: dict[int, np.ndarray] = {}
-    for cell, (t, node) in enumerate(open_nodes):
-        out.setdefault(t, np.full(len(trees[t].feature), -1))[node] = cell
-    return [(t, trees[t].arrays(), cells) for t, cells in out.items()]
+def _slots(trees: Sequence[Tree], open_nodes: Sequence[tuple[int, int]]) -> list[tuple[tuple, np.ndarray, np.ndarray]]:
+    """Per tree with open nodes: its router, the number among them of each of its nodes (-1: none), and their cells."""
+    of_tree: dict[int, list[int]] = {}
+    for cell, (t, _) in enumerate(open_nodes):
+        of_tree.setdefault(t, []).append(cell)
+    out = []
+    for t, cells in of_tree.items():
+        number = np.full(len(trees[t].feature), -1, np.int16 if len(cells) < 1 << 15 else np.int64)  # short ones sort faster
+        number[[open_nodes[c][1] for c in cells]] = np.arange(len(cells))
+        out.append((trees[t].router(), number, np.array(cells)))
+    return out
 
 
 def _parts(items: Sequence, size: int) -> list[Sequence]:
     return [items[i:i + max(size, 1)] for i in range(0, len(items), max(size, 1))]
 
 
-def _by_cell(cell: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Rows in order of their cells, where each cell starts, and the cells."""
-    order = np.argsort(cell, kind="stable")
-    order = order[np.searchsorted(cell[order], 0):]
-    cells, starts = np.unique(cell[order], return_index=True)
-    return order, starts, cells
+def _by_cell(number: np.ndarray, many: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Rows in order of their open nodes, where each node starts, and the nodes."""
+    order = np.argsort(number, kind="stable")
+    counts = np.bincount(number.astype(np.int64) + 1, minlength=many + 1)
+    seen = np.flatnonzero(counts[1:])
+    return order[counts[0]:], (np.cumsum(counts[1:]) - counts[1:])[seen], seen
 
 
 def _ranges(rows: DataFrame, trees: Sequence[Tree], open_nodes: Sequence[tuple[int, int]], p: int, shift: float) -> dict:
@@ -122,15 +179,16 @@ def _ranges(rows: DataFrame, trees: Sequence[Tree], open_nodes: Sequence[tuple[i
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         low, high = np.full((n_cells, p), np.inf), np.full((n_cells, p), -np.inf)
         sums = np.zeros((n_cells, 3))
-        for batch in batches:
-            x, y = _grid(batch.column(0), p), batch.column(1).to_numpy(zero_copy_only=False) - shift
-            for _, arrays, cells in slots:
-                order, starts, seen = _by_cell(cells[leaves(arrays, x)])
+        for x, y in _each(batches, p):
+            for router, number, cells in slots:
+                order, starts, seen = _by_cell(number[_routed(router, x)], len(cells))
                 if len(order):
-                    own, z = x[order], y[order]
-                    low[seen] = np.minimum(low[seen], np.minimum.reduceat(own, starts))
-                    high[seen] = np.maximum(high[seen], np.maximum.reduceat(own, starts))
-                    sums[seen] += np.add.reduceat(np.stack([np.ones(len(z)), z, z * z], axis=1), starts)
+                    at, z = cells[seen], y[order] - shift
+                    for f in range(p):
+                        own = x[f].take(order)
+                        low[at, f] = np.minimum(low[at, f], np.minimum.reduceat(own, starts))
+                        high[at, f] = np.maximum(high[at, f], np.maximum.reduceat(own, starts))
+                    sums[at] += np.stack([np.add.reduceat(v, starts) for v in (np.ones(len(z)), z, z * z)], axis=1)
         used = np.flatnonzero(sums[:, 0])
         yield pa.RecordBatch.from_arrays([
             pa.array(np.repeat(used, p)), pa.array(np.tile(np.arange(p), len(used))), pa.array(low[used].ravel()),
@@ -152,15 +210,16 @@ def _sides(rows: DataFrame, trees: Sequence[Tree], open_nodes: Sequence[tuple[in
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n, s = np.zeros((n_cells, p)), np.zeros((n_cells, p))
-        for batch in batches:
-            x, y = _grid(batch.column(0), p), batch.column(1).to_numpy(zero_copy_only=False) - shift
-            for _, arrays, cells in slots:
-                cell = cells[leaves(arrays, x)]
-                order, starts, seen = _by_cell(cell)
-                if len(order):
-                    goes = (x[order] <= cuts[cell[order]]).astype(float)
-                    n[seen] += np.add.reduceat(goes, starts)
-                    s[seen] += np.add.reduceat(goes * y[order, None], starts)
+        for x, y in _each(batches, p):
+            for router, number, cells in slots:
+                own, z = number[_routed(router, x)], y - shift
+                rows_in = np.flatnonzero(own >= 0)
+                own, z = own[rows_in].astype(np.int64), z[rows_in]
+                for f in range(p):
+                    goes = np.flatnonzero(x[f].take(rows_in) <= cuts[cells, f].take(own))
+                    left = own.take(goes)
+                    n[cells, f] += np.bincount(left, minlength=len(cells))
+                    s[cells, f] += np.bincount(left, z.take(goes), len(cells))
         c, f = np.nonzero(n)
         yield pa.RecordBatch.from_arrays([pa.array(c), pa.array(f), pa.array(n[c, f]), pa.array(s[c, f])], ["cell", "f", "n", "s"])
 
@@ -185,9 +244,7 @@ def extra_trees(df: DataFrame, features: Sequence[str], label: str, trees: int =
     """
     rows = matrix(df, features, label)
     p = len(features)
-    shift = rows.agg(F.avg("y")).first()[0]
-    if shift is None:
-        raise ValueError("no rows")
+    shift = _mean_label(rows)
     forest = [Tree() for _ in range(trees)]
     level = [(t, 0) for t in range(trees)]
     for d in range(depth + 1):
@@ -231,14 +288,13 @@ def bin_cuts(rows: DataFrame, p: int, bins: int) -> list[np.ndarray]:
 
     def some(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = [np.zeros(0)] * p
-        for batch in batches:
-            x = _grid(batch.column(0), p)
-            seen = [np.union1d(s, x[:, f])[:bins + 1] if len(s) <= bins else s for f, s in enumerate(seen)]
+        for x, _ in _each(batches, p):
+            seen = [np.union1d(s, x[f])[:bins + 1] if len(s) <= bins else s for f, s in enumerate(seen)]
         yield pa.RecordBatch.from_arrays([pa.array(np.repeat(np.arange(p), [len(s) for s in seen])),
                                           pa.array(np.concatenate(seen))], ["f", "v"])
 
     few: dict[int, list[float]] = {f: [] for f in range(p)}
-    distinct = rows.select("x").mapInArrow(some, "f bigint, v double").distinct()
+    distinct = rows.select("x", "y").mapInArrow(some, "f bigint, v double").distinct()
     # a task names at most bins + 1 values of a feature; more than bins in all mean quantiles
     counted = {f: n for f, n in distinct.groupBy("f").count().collect()}
     narrow = [f for f in range(p) if counted.get(f, 0) <= bins]
@@ -246,7 +302,13 @@ def bin_cuts(rows: DataFrame, p: int, bins: int) -> list[np.ndarray]:
         few[f].append(v)
     broad = [f for f in range(p) if f not in narrow]
     shares = [i / bins for i in range(1, bins)]
-    quantiles = rows.agg(*[F.percentile_approx(F.col("x")[f], shares, 40 * bins).alias(f"q{f}") for f in broad]).first() if broad else ()
+
+    def opened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for x, _ in _each(batches, p):
+            yield pa.RecordBatch.from_arrays([pa.array(x[f]) for f in broad], [f"x{f}" for f in broad])
+
+    values = rows.select("x", "y").mapInArrow(opened, ", ".join(f"x{f} double" for f in broad)) if broad else rows
+    quantiles = values.agg(*[F.percentile_approx(f"x{f}", shares, 40 * bins).alias(f"q{f}") for f in broad]).first() if broad else ()
     wide = dict(zip(broad, quantiles, strict=True))
     out = []
     for f in range(p):
@@ -264,25 +326,32 @@ class Boosted:
 def _histograms(rows: DataFrame, done: Sequence[tuple], tree: Tree, open_nodes: Sequence[int], p: int, bins: int,
                 draw: Callable[[np.ndarray], np.ndarray] | None) -> dict[int, np.ndarray]:
     """Per open node sums of gradients and Hessians (rows) by feature and bin."""
-    arrays, n_cells = tree.arrays(), len(open_nodes)
+    router, n_cells = tree.router(), len(open_nodes)
     cell_of = np.full(len(tree.feature), -1)
     cell_of[list(open_nodes)] = np.arange(n_cells)
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = np.zeros((2, n_cells * p * bins))
+        sums = np.zeros((2, p, n_cells * bins))
         for batch in batches:
-            b, g = _grid(batch.column(0), p, np.int64), _gradient(batch, done, p)
-            cell = cell_of[leaves(arrays, b)]
-            used = cell >= 0
-            if draw is not None:
-                used &= draw(batch.column(3).to_numpy())
-            at = ((cell[used, None] * p + np.arange(p)) * bins + b[used]).ravel()
-            sums[0] += np.bincount(at, np.repeat(g[used], p), len(sums[0]))
-            sums[1] += np.bincount(at, minlength=len(sums[0]))
+            for i in range(batch.num_rows):
+                b, g = _binned(batch, i, p), _gradient(batch, i, done, p)
+                cell = cell_of.take(_routed(router, b))
+                used = cell >= 0
+                if draw is not None:
+                    used &= draw(batch.column(3)[i].as_py() + np.arange(len(g)))
+                if not used.all():
+                    used = np.flatnonzero(used)
+                    b, g, cell = b[:, used], g.take(used), cell.take(used)
+                start = cell * bins
+                for f in range(p):
+                    at = start + b[f]
+                    sums[0, f] += np.bincount(at, g, n_cells * bins)
+                    sums[1, f] += np.bincount(at, minlength=n_cells * bins)
+        sums = sums.reshape(2, p, n_cells, bins).swapaxes(1, 2).reshape(2, -1)
         at = np.flatnonzero(sums[1])
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(sums[0, at]), pa.array(sums[1, at])], ["at", "g", "h"])
 
-    parts = rows.select("b", "y", "m", "id").mapInArrow(add, "at bigint, g double, h double")
+    parts = rows.mapInArrow(add, "at bigint, g double, h double")
     out = np.zeros((2, n_cells * p * bins))
     for at, g, h in parts.groupBy("at").agg(F.sum("g"), F.sum("h")).collect():
         out[:, at] = g, h
@@ -290,12 +359,16 @@ def _histograms(rows: DataFrame, done: Sequence[tuple], tree: Tree, open_nodes:
     return {node: shaped[:, i] for i, node in enumerate(open_nodes)}
 
 
-def _gradient(batch: pa.RecordBatch, done: Sequence[tuple], p: int) -> np.ndarray:
+def _binned(batch: pa.RecordBatch, i: int, p: int) -> np.ndarray:
+    return _values(batch.column(0), i, np.int16).reshape(p, -1)
+
+
+def _gradient(batch: pa.RecordBatch, i: int, done: Sequence[tuple], p: int) -> np.ndarray:
     """Prediction so far less the label: the gradient of half the squared error, whose Hessian is 1."""
-    b, m = _grid(batch.column(0), p, np.int64), batch.column(2).to_numpy(zero_copy_only=False).copy()
-    for arrays in done:
-        m += arrays[4][leaves(arrays, b)]
-    return m - batch.column(1).to_numpy(zero_copy_only=False)
+    b, m = _binned(batch, i, p), _values(batch.column(2), i).copy()
+    for router in done:
+        m += router[3].take(_routed(router, b))
+    return m - _values(batch.column(1), i)
 
 
 def _hashed(ids: np.ndarray, seed: int) -> np.ndarray:
@@ -334,21 +407,21 @@ def boosted(df: DataFrame, features: Sequence[str], label: str, rounds: int = 10
     """
     rows = matrix(df, features, label)
     p = len(features)
-    base = rows.agg(F.avg("y")).first()[0]
-    if base is None:
-        raise ValueError("no rows")
+    base = _mean_label(rows)
     cuts = bin_cuts(rows, p, bins)
     width = max(map(len, cuts), default=0) + 1
 
+    def block(b: bytes, y: bytes, m: bytes, first: int) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([*(pa.array([v], pa.binary()) for v in (b, y, m)), pa.array([first])], ["b", "y", "m", "id"])
+
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = _grid(batch.column(0), p)
-            b = np.stack([np.searchsorted(c, x[:, f]) for f, c in enumerate(cuts)], axis=1).astype(np.int16)
-            ends = pa.array(np.arange(0, b.size + 1, p).astype(np.int32))
-            yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(ends, pa.array(b.ravel())), batch.column(1),
-                                              pa.array(np.full(len(x), base)), batch.column(2)], ["b", "y", "m", "id"])
+            for i in range(batch.num_rows):
+                x, y = _values(batch.column(0), i).reshape(p, -1), _values(batch.column(1), i)
+                b = np.stack([np.searchsorted(c, x[f]) for f, c in enumerate(cuts)]).astype(np.int16)
+                yield block(b.tobytes(), y.tobytes(), np.full(len(y), base).tobytes(), batch.column(2)[i].as_py())
 
-    shape = "b array<smallint>, y double, m double, id bigint"
+    shape = "b binary, y binary, m binary, id bigint"
     rows = settle(rows.select("x", "y", "id").mapInArrow(place, shape))
     sizes = [len(c) for c in cuts]
     trees: list[Tree] = []
@@ -356,8 +429,10 @@ def boosted(df: DataFrame, features: Sequence[str], label: str, rounds: int = 10
 
     def written(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            m = _gradient(batch, done, p) + batch.column(1).to_numpy(zero_copy_only=False)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(m), batch.column(3)], ["b", "y", "m", "id"])
+            for i in range(batch.num_rows):
+                y = _values(batch.column(1), i)
+                m = _gradient(batch, i, done, p) + y
+                yield block(batch.column(0)[i].as_py(), y.tobytes(), m.tobytes(), batch.column(3)[i].as_py())
 
     for r in range(rounds):
         if len(done) == MARGIN_ROUNDS:
@@ -381,7 +456,7 @@ def boosted(df: DataFrame, features: Sequence[str], label: str, rounds: int = 10
             level = below
             if not level:
                 break
-        done.append(binned.arrays())
+        done.append(binned.router())
         trees.append(binned)
         if len(binned.feature) == 1 and draw is None:  # nothing left to split; later rounds are the same
             break

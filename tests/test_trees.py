@@ -138,3 +138,19 @@ def test_unusable_input_is_refused_and_constant_labels_give_one_leaf(spark):
     assert trees.extra_trees(flat, NAMES, "y", trees=1)[0].value == [3.0]
     found = trees.boosted(flat, NAMES, "y", rounds=5)
     assert found.base == 3.0 and all(abs(v) < 1e-12 for t in found.trees for v in t.value)
+
+
+def test_blocks_hold_all_rows_and_their_numbers(spark, monkeypatch):
+    monkeypatch.setattr(trees, "BLOCK_ROWS", 64)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "50")
+    try:
+        df, rows = table(spark, 3000)
+        found = trees.matrix(df.repartition(8), NAMES, "y").collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert sum(r["n"] for r in found) == 3000 and 24 < len(found) < 60
+    x = np.concatenate([np.frombuffer(r["x"]).reshape(3, -1) for r in found], axis=1)
+    y = np.concatenate([np.frombuffer(r["y"]) for r in found])
+    assert sorted(zip(*x, y)) == sorted(map(tuple, rows))
+    ids = np.concatenate([r["id"] + np.arange(r["n"]) for r in found])
+    assert len(np.unique(ids)) == 3000
