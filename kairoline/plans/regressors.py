@@ -149,18 +149,18 @@ class AdaBoostR2(_Stage, Estimator, _BoostParams):
             tree = DecisionTreeRegressor(featuresCol=features, labelCol=label, weightCol="_w", seed=self.get("seed") + i,
                                          maxDepth=self.get("maxDepth"), predictionCol="_p").fit(rows)
             scored = tree.transform(rows).withColumn("_e", F.abs(F.col(label) - F.col("_p")))
-            largest = scored.agg(F.max("_e")).first()[0]
+            largest, missed, weights = scored.agg(F.max("_e"), F.sum(F.col("_w") * F.col("_e")), F.sum("_w")).first()
             if not largest:
                 trees, votes = [*trees, tree], [*votes, 1.0 if not votes else max(votes) + math.log(1e12)]
                 break
             loss = F.col("_e") / F.lit(largest)
-            mean_loss = scored.agg(F.sum(F.col("_w") * loss) / F.sum("_w")).first()[0]
+            mean_loss = missed / weights / largest
             if mean_loss >= 0.5 and trees:
                 break
             beta = mean_loss / (1.0 - mean_loss)
             trees.append(tree)
             votes.append(rate * math.log(1.0 / beta))
-            if mean_loss >= 0.5:
+            if mean_loss >= 0.5 or i == self.get("rounds") - 1:
                 break
             weight = F.col("_w") * F.pow(F.lit(beta), rate * (1.0 - loss))
             # Each round reads the weights of the last one only.

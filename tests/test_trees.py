@@ -154,3 +154,15 @@ def test_blocks_hold_all_rows_and_their_numbers(spark, monkeypatch):
     assert sorted(zip(*x, y)) == sorted(map(tuple, rows))
     ids = np.concatenate([r["id"] + np.arange(r["n"]) for r in found])
     assert len(np.unique(ids)) == 3000
+
+
+def test_adaboost_writes_no_weights_after_its_last_round(spark, monkeypatch):
+    from pyspark.ml import Pipeline
+
+    from kairoline.plans import regressors
+
+    written, settle = [], regressors.settle
+    monkeypatch.setattr(regressors, "settle", lambda df: written.append(1) or settle(df))
+    df, _ = table(spark)
+    model = Pipeline(stages=build("AdaBoostRegressor", {"n_estimators": 3, "max_depth": 2}, NAMES, "y")).fit(df)
+    assert len(model.stages[-1].trees) == 3 and len(written) == 3
