@@ -14,7 +14,9 @@ Bare hashes travel first: of the shortest run forwards from each sentence and of
 combining, so one that very many documents share is one row per task before the shuffle. What occurs twice goes into a
 bitmap of ``BITMAP`` bits, which finds the documents to look at again (every repeated run begins with a repeated
 shortest one). The bitmap may let through more than it should, the more the fuller it is, and loses nothing; only the
-documents found by it send hashes with their places. Copies of a whole text are found by its digest; only the first is
+documents found by it, which a second such map of documents names so that no text has to move, send hashes with their
+places: one row per run, or per windows in a row that share their smallest group. Equal windows share it, so rows dealt
+by it meet all their equals, and travel once. Copies of a whole text are found by its digest; only the first is
 compared further. Spans come back per document and are applied where the text is.
 
 Defined results: sentences end at ``.``, ``!`` or ``?`` before white space, or at a line end; one longer than
@@ -32,7 +34,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kairoline.llm.common import col, fresh, settled, sized
@@ -91,9 +93,9 @@ def leads(parts: list[tuple[int, int, list[str]]]) -> dict[int, int]:
     return out
 
 
-def runs(parts: list[tuple[int, int, list[str]]]) -> list[tuple[int, int, int]]:
-    """First sentence, sentence after the last, and hash of every shortest run from a sentence on or back from one."""
-    n, sizes, joined = len(parts), [len(p[2]) for p in parts], [" ".join(p[2]) for p in parts]
+def bounds(parts: list[tuple[int, int, list[str]]]) -> list[tuple[int, int]]:
+    """First sentence and sentence after the last of every shortest run from a sentence on or back from one."""
+    n, sizes = len(parts), [len(p[2]) for p in parts]
     found = set()
     for i in range(n):
         words, j = 0, i
@@ -108,7 +110,13 @@ def runs(parts: list[tuple[int, int, list[str]]]) -> list[tuple[int, int, int]]:
             words += sizes[j]
         if i + 1 - j >= SENTENCES and words >= RUN_WORDS:
             found.add((j, i + 1))
-    return [(i, j, _digest(joined[i:j])) for i, j in sorted(found)]
+    return sorted(found)
+
+
+def runs(parts: list[tuple[int, int, list[str]]]) -> list[tuple[int, int, int]]:
+    """``bounds`` with the hash of every run."""
+    joined = [" ".join(p[2]) for p in parts]
+    return [(i, j, _digest(joined[i:j])) for i, j in bounds(parts)]
 
 
 class _Known(dict):
@@ -199,17 +207,27 @@ def _hit(bitmap: np.ndarray, keys: np.ndarray) -> np.ndarray:
 _RUNS = -(1 << 30)
 
 
-def _details(text: str, bitmap: np.ndarray, known: _Known) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes and numbers of the runs whose lead, and of the windows whose smallest group, the bitmap has."""
+def _details(text: str, bitmap: np.ndarray, known: _Known) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Stretches of one run whose lead, or of windows in a row whose common smallest group, the bitmap has.
+
+    Returns the key that a stretch is dealt by, the number of its first item, how many items it has, and the hashes of
+    all items. Equal items have equal keys.
+    """
     parts = sentences(text)
     first = leads(parts)
-    held = dict(zip(first, _hit(bitmap, np.fromiter(first.values(), np.int64)), strict=True))
-    own = [(h, n + _RUNS) for n, (i, _, h) in enumerate(runs(parts)) if held[i]]
+    held = {i for i, hit in zip(first, _hit(bitmap, np.fromiter(first.values(), np.int64)), strict=True) if hit}
+    joined = [" ".join(p[2]) for p in parts] if held else []
+    own = [(n + _RUNS, _digest(joined[i:j])) for n, (i, j) in enumerate(bounds(parts) if held else []) if i in held]
+    run, number = np.array([h for _, h in own], np.int64), np.array([n for n, _ in own], np.int32)
     words = _hashes(parts, known)
-    windows = grams(words, PASSAGE)
-    start = np.flatnonzero(_hit(bitmap, least_groups(words)))
-    return (np.concatenate([np.array([h for h, _ in own], np.int64), windows[start].view(np.int64)]),
-            np.concatenate([np.array([n for _, n in own], np.int32), start.astype(np.int32)]))
+    least = least_groups(words)
+    begins = np.flatnonzero(np.concatenate([np.ones(min(len(least), 1), bool), least[1:] != least[:-1]]))
+    sizes = np.diff(begins, append=len(least))
+    hit = _hit(bitmap, least[begins])
+    windows = grams(words, PASSAGE)[np.repeat(hit, sizes)] if hit.any() else np.zeros(0, np.uint64)
+    begins, sizes = begins[hit], sizes[hit]
+    return (np.concatenate([run, least[begins].view(np.int64)]), np.concatenate([number, begins.astype(np.int32)]),
+            np.concatenate([np.ones(len(run), np.int64), sizes]), np.concatenate([run, windows.view(np.int64)]))
 
 
 def _lists(parts: list[np.ndarray], kind: pa.DataType) -> pa.Array:
@@ -246,32 +264,43 @@ def repeated(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> Dat
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).filter(pa.array(hits[ends[1:]] > hits[ends[:-1]]))], ["place"])
 
+    again = single.mapInArrow(near, f"place {kind}").select(F.xxhash64("place").alias("key"))
+    sought = spark.sparkContext.broadcast(_bitmap(again))
+
     def details(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = _Known()
-        for batch in batches:
-            both = [_details(t.as_py(), shared.value, known) for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), _lists([h for h, _ in both], pa.int64()),
-                                              _lists([n for _, n in both], pa.int32())], ["place", "key", "at"])
-
-    again = sized(settled(single.mapInArrow(near, f"place {kind}").distinct()))
-    items = settled(rows.join(again, "place").mapInArrow(
-        details, f"place {kind}, key array<bigint>, at array<int>")).select("place", F.inline(F.arrays_zip("key", "at")))
-    spot = F.struct("place", "at")
-    first = items.groupBy("key").agg(F.min(spot).alias("first"), F.max(spot).alias("last")).filter("first < last")
+        for whole in batches:
+            batch = whole.filter(pa.array(_hit(sought.value, whole.column(2).to_numpy())))
+            for start in range(0, batch.num_rows, 1000):
+                part = batch.slice(start, 1000)
+                found = [_details(t.as_py(), shared.value, known) for t in part.column(1)]
+                deal, at, sizes, keys = (np.concatenate(x) for x in zip(*found, strict=True))
+                ends = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+                owner = np.repeat(np.arange(len(found)), [len(f[0]) for f in found])
+                yield pa.RecordBatch.from_arrays([
+                    part.column(0).take(pa.array(owner)), pa.array(deal, pa.int64()), pa.array(at, pa.int32()),
+                    pa.ListArray.from_arrays(pa.array(ends), pa.array(keys, pa.int64()))], ["place", "deal", "at", "keys"])
+
+    sent = rows.select("place", "text", F.xxhash64("place").alias("name")).mapInArrow(
+        details, f"place {kind}, deal bigint, at int, keys array<bigint>").repartition("deal")
+    items = sent.select("place", "deal", "at", F.posexplode("keys").alias("i", "key")).select(
+        "place", "deal", "key", (F.col("at") + F.col("i")).alias("at"))
+    spots = items.withColumn("first", F.min(F.struct("place", "at")).over(Window.partitionBy("deal", "key")))
     later = (F.col("place") > F.col("first.place")) | F.when(F.col("at") < 0, F.col("at") > F.col("first.at")).otherwise(
         F.col("at") - F.col("first.at") >= PASSAGE)
-    marks = items.join(first.select("key", "first"), "key").filter(later).groupBy("place").agg(
-        F.sort_array(F.collect_set(F.when(F.col("at") < 0, F.col("at") - _RUNS))).alias("runs"),
+    marks = spots.filter(later).select("place", "at", F.lit(False).alias("whole"))
+    copies = judged.filter("whole").select("place", F.lit(None).cast("int").alias("at"), "whole").distinct()
+    # The second bitmap may let a copy through, whose items then change nothing but its own row.
+    return marks.unionByName(copies).groupBy("place").agg(
+        F.max("whole").alias("whole"), F.sort_array(F.collect_set(F.when(F.col("at") < 0, F.col("at") - _RUNS))).alias("runs"),
         F.sort_array(F.collect_set(F.when(F.col("at") >= 0, F.col("at")))).alias("windows"))
-    return marks.withColumn("whole", F.lit(False)).unionByName(
-        judged.filter("whole").select("place", "whole").distinct(), True)
 
 
 def _gone(text: str, whole: bool, numbers: list[int], windows: list[int]) -> list[list[int]]:
     """Sorted, disjoint spans of the text that repeat an earlier place; white space before them included."""
     parts = sentences(text)
-    found = runs(parts)
-    spans = [(parts[i][0], parts[j - 1][1]) for i, j, _ in (found if whole else [found[n] for n in numbers])]
+    found = bounds(parts) if whole or len(numbers) else []
+    spans = [(parts[i][0], parts[j - 1][1]) for i, j in (found if whole else [found[n] for n in numbers])]
     if whole or len(windows):
         ends = [0, *(m.end() for m in _WORD.finditer(text))]
         windows = range(len(ends) - PASSAGE) if whole else windows

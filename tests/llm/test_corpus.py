@@ -383,3 +383,14 @@ def test_components_of_any_graph(spark):
     got = {r.tid: r.root for r in near_dups.components(df).collect()}
     assert got == {**dict.fromkeys("bcd", "a"), **dict.fromkeys("vwxyz", "u")}
     assert near_dups.components(df.limit(0)) is None
+
+
+def test_windows_that_share_a_group_travel_in_one_row(spark):
+    text = " ".join(f"w{i}" for i in range(400))
+    deal, at, sizes, keys = repeats._details(text, np.full(repeats.BITMAP // 8, 255, np.uint8), repeats._Known())
+    assert len(keys) == sizes.sum() and sizes.sum() >= 350 and len(deal) < 120
+    shifted = repeats._details("x y " + text, np.full(repeats.BITMAP // 8, 255, np.uint8), repeats._Known())
+    first = dict(zip(keys.tolist(), np.repeat(deal, sizes).tolist()))
+    second = dict(zip(shifted[3].tolist(), np.repeat(shifted[0], shifted[2]).tolist()))
+    both = first.keys() & second.keys()
+    assert len(both) >= 350 and all(first[k] == second[k] for k in both)
