@@ -27,6 +27,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -84,10 +85,19 @@ def _cells(s: np.ndarray) -> list[np.ndarray]:
             for r in range(ROWS)]
 
 
+def _packed(counts: np.ndarray) -> bytes:
+    return zstandard.compress(counts.astype("<i8").tobytes(), 1)
+
+
+def _unpacked(data: bytes) -> np.ndarray:
+    return np.frombuffer(zstandard.decompress(data), "<i8")
+
+
 def document_frequencies(distinct: DataFrame, text: str) -> np.ndarray:
     """The count-min table of shingles over all texts, the number of texts last.
 
-    Tasks emit their non-empty slices of the table; slices are added in a shuffle, and the sum has a fixed size.
+    Tasks emit their non-empty slices of the table, compressed, since those of a small task are nearly empty; slices are
+    added in a shuffle, and the sum has a fixed size.
     """
     piece = 4096
 
@@ -96,8 +106,9 @@ def document_frequencies(distinct: DataFrame, text: str) -> np.ndarray:
 
         def drain():
             if queue:
-                for cells in _cells(np.concatenate(queue)):
-                    held.__iadd__(np.bincount(cells, minlength=len(held)))
+                rows = held.reshape(ROWS, -1)
+                for r, cells in enumerate(_cells(np.concatenate(queue))):
+                    rows[r] += np.bincount(cells - (r << CELLS), minlength=1 << CELLS)
                 queue.clear()
 
         for batch in batches:
@@ -105,7 +116,7 @@ def document_frequencies(distinct: DataFrame, text: str) -> np.ndarray:
                 queue.append(np.unique(shingles(x)))
                 waiting += len(x)
                 n += 1
-                if waiting > 2_000_000:
+                if waiting > 500_000:
                     drain()
                     waiting = 0
         drain()
@@ -114,11 +125,10 @@ def document_frequencies(distinct: DataFrame, text: str) -> np.ndarray:
             used = np.flatnonzero(parts.any(axis=1))
             yield pa.RecordBatch.from_arrays([
                 pa.array([*used.tolist(), -1], pa.int32()),
-                pa.array([*(parts[i].astype("<i8").tobytes() for i in used), np.array([n], "<i8").tobytes()], pa.binary())],
-                ["piece", "counts"])
+                pa.array([*(_packed(parts[i]) for i in used), _packed(np.array([n]))], pa.binary())], ["piece", "counts"])
 
     def add(key: tuple, table: pa.Table) -> pa.Table:
-        total = sum(np.frombuffer(b.as_py(), "<i8") for b in table.column("counts"))
+        total = sum(_unpacked(b.as_py()) for b in table.column("counts"))
         return pa.table({"piece": pa.array([key[0].as_py()], pa.int32()), "counts": pa.array([total.tobytes()], pa.binary())})
 
     rows = distinct.select(word_hashes(col(text)).alias("h")).mapInArrow(count, "piece int, counts binary").groupBy(

@@ -394,3 +394,14 @@ def test_windows_that_share_a_group_travel_in_one_row(spark):
     second = dict(zip(shifted[3].tolist(), np.repeat(shifted[0], shifted[2]).tolist()))
     both = first.keys() & second.keys()
     assert len(both) >= 350 and all(first[k] == second[k] for k in both)
+
+
+def test_the_counts_of_a_small_task_are_sent_compressed(spark):
+    df = spark.createDataFrame([(f"a{i} b c d e f g h",) for i in range(9)], "text string").repartition(3)
+    table = near_dups.document_frequencies(df, "text")
+    assert table[-1] == 9
+    for s in near_dups.shingles(near_dups.hash_words("b c d e f g h")):
+        assert min(table[c] for c in near_dups._cells(np.array([s], np.uint64)))[0] >= 9
+    few = np.zeros(4096, np.int64)
+    few[::100] = 1
+    assert len(near_dups._packed(few)) < 1000 and (near_dups._unpacked(near_dups._packed(few)) == few).all()
